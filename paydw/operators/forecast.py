@@ -1,0 +1,259 @@
+"""Grouped ARMA / ARIMA / SARIMA forecasts.
+
+Many series at once: ``groupBy(keys).applyInPandas`` hands each series
+(one row per day, so a group is bounded by the period length) to a small
+NumPy fit. The fit is the two-stage least-squares method of Hannan and
+Rissanen (1982) instead of an exact state-space likelihood:
+
+1. difference d times and D times at the seasonal period s;
+2. fit a long autoregression by least squares, keep its residuals e;
+3. regress w_t on w_{t-i} (i in AR lags), e_{t-j} (j in MA lags) and a
+   constant when nothing was differenced;
+4. one-step fitted values on the training rows; forecasts roll forward
+   with future shocks 0; the interval is forecast +- z * s * sqrt(sum psi^2)
+   with psi the impulse response of the full (differenced) model.
+
+Seasonal terms enter as extra lags s*i (and their cross lags with the
+non-seasonal ones), each with a free coefficient. Short or constant series
+return NULL fits instead of failing.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType
+
+from paydw.operators.acf import _z
+
+
+def _lags(p: int, P: int, s: int) -> list[int]:
+    base = list(range(1, p + 1))
+    seas = [s * i for i in range(1, P + 1)]
+    cross = [a + b for a in base for b in seas]
+    return sorted(set(base + seas + cross))
+
+
+def _difference(y: np.ndarray, d: int, D: int, s: int) -> np.ndarray:
+    w = y.astype(float)
+    for _ in range(d):
+        w = w[1:] - w[:-1]
+    for _ in range(D):
+        w = w[s:] - w[:-s]
+    return w
+
+
+def _ols(X: np.ndarray, y: np.ndarray) -> np.ndarray | None:
+    if X.shape[0] <= X.shape[1] or X.shape[1] == 0:
+        return None
+    beta, *_ = np.linalg.lstsq(X, y, rcond=None)
+    return beta
+
+
+def hannan_rissanen(w: np.ndarray, ar_lags: list[int], ma_lags: list[int],
+                    with_const: bool, long_ar: int) -> dict | None:
+    n = len(w)
+    maxl = max(ar_lags + ma_lags + [0])
+    if n < maxl + long_ar + len(ar_lags) + len(ma_lags) + 3 or np.allclose(w, w[0]):
+        return None
+    # stage 1: long AR -> residual estimates
+    e = np.zeros(n)
+    if ma_lags:
+        m = long_ar
+        X = np.column_stack([np.ones(n - m)] + [w[m - i:n - i] for i in range(1, m + 1)])
+        b = _ols(X, w[m:])
+        if b is None:
+            return None
+        e[m:] = w[m:] - X @ b
+    # stage 2: regression on AR lags and lagged residuals
+    start = maxl + (long_ar if ma_lags else 0)
+    cols, names = [], []
+    if with_const:
+        cols.append(np.ones(n - start))
+        names.append("c")
+    for i in ar_lags:
+        cols.append(w[start - i:n - i])
+        names.append(f"ar{i}")
+    for j in ma_lags:
+        cols.append(e[start - j:n - j])
+        names.append(f"ma{j}")
+    X = np.column_stack(cols) if cols else np.zeros((n - start, 0))
+    b = _ols(X, w[start:])
+    if b is None:
+        return None
+    coef = dict(zip(names, b))
+    # recompute residuals recursively with the fitted model (for fitted values)
+    c = coef.get("c", 0.0)
+    res = np.zeros(n)
+    fit = np.full(n, np.nan)
+    for t in range(maxl, n):
+        v = c + sum(coef[f"ar{i}"] * w[t - i] for i in ar_lags) \
+            + sum(coef[f"ma{j}"] * res[t - j] for j in ma_lags)
+        fit[t] = v
+        res[t] = w[t] - v
+    sigma2 = float(np.mean(res[start:] ** 2)) if n > start else float("nan")
+    return {"coef": coef, "fit": fit, "res": res, "sigma2": sigma2, "start": maxl}
+
+
+def _psi(coef: dict, ar_lags, ma_lags, d: int, D: int, s: int, h: int) -> np.ndarray:
+    """Impulse response of the integrated model, h terms."""
+    phi = np.zeros(h + 1 + d + D * s + max(ar_lags + [0]))
+    for i in ar_lags:
+        phi[i] = coef[f"ar{i}"]
+    # full AR polynomial: (1 - sum phi_i B^i) (1-B)^d (1-B^s)^D
+    poly = np.zeros(len(phi))
+    poly[0] = 1.0
+    poly[1:] = -phi[1:]
+    for _ in range(d):
+        poly = np.convolve(poly, [1.0, -1.0])
+    for _ in range(D):
+        sp = np.zeros(s + 1)
+        sp[0], sp[s] = 1.0, -1.0
+        poly = np.convolve(poly, sp)
+    theta = np.zeros(h + 1)
+    theta[0] = 1.0
+    for j in ma_lags:
+        if j <= h:
+            theta[j] = coef[f"ma{j}"]
+    psi = np.zeros(h)
+    for k in range(h):
+        v = theta[k] if k < len(theta) else 0.0
+        for i in range(1, min(k, len(poly) - 1) + 1):
+            v -= poly[i] * psi[k - i]
+        psi[k] = v
+    return psi
+
+
+def forecast_series(y: np.ndarray, order=(1, 0, 1), seasonal=(0, 0, 0, 0), h: int = 1,
+                    alpha: float = 0.05, long_ar: int = 8):
+    """(fitted[n], forecast[h], lower[h], upper[h]) for one series; None when it cannot be fit."""
+    p, d, q = order
+    P, D, Q, s = seasonal
+    s = s or 1
+    ar_lags = _lags(p, P, s)
+    ma_lags = _lags(q, Q, s)
+    w = _difference(np.asarray(y, dtype=float), d, D, s)
+    m = hannan_rissanen(w, ar_lags, ma_lags, with_const=(d + D == 0), long_ar=long_ar)
+    if m is None:
+        return None
+    n, k0 = len(y), d + D * s
+    fitted = np.full(n, np.nan)
+    # w fitted -> y fitted: the one-step error on y equals the error on w
+    for t in range(m["start"], len(w)):
+        fitted[t + k0] = y[t + k0] - m["res"][t]
+    # forecast w forward with future shocks 0, then integrate back
+    coef, c = m["coef"], m["coef"].get("c", 0.0)
+    wx = list(w)
+    ex = list(m["res"])
+    for _ in range(h):
+        t = len(wx)
+        v = c + sum(coef[f"ar{i}"] * wx[t - i] for i in ar_lags) \
+            + sum(coef[f"ma{j}"] * ex[t - j] for j in ma_lags)
+        wx.append(v)
+        ex.append(0.0)
+    fw = np.array(wx[len(w):])
+    hist = list(np.asarray(y, dtype=float))
+    # undo the differences: rebuild levels step by step
+    levels = _integrate(hist, fw, d, D, s)
+    psi = _psi(coef, ar_lags, ma_lags, d, D, s, h)
+    se = np.sqrt(m["sigma2"] * np.cumsum(psi ** 2))
+    z = _z(alpha)
+    return fitted, levels, levels - z * se, levels + z * se, m
+
+
+def _integrate(hist: list, fw: np.ndarray, d: int, D: int, s: int) -> np.ndarray:
+    """Turn forecasts of the differenced series back into levels."""
+    # stack of series at each differencing stage, from level to fully differenced
+    stages = [np.asarray(hist, dtype=float)]
+    ops = [("d", 1)] * d + [("s", s)] * D
+    for _, lag in ops:
+        x = stages[-1]
+        stages.append(x[lag:] - x[:-lag])
+    cur = list(fw)
+    for (kind, lag), base in zip(reversed(ops), reversed(stages[:-1])):
+        ext = list(base)
+        for v in cur:
+            ext.append(v + ext[-lag])
+        cur = ext[len(base):]
+    return np.asarray(cur)
+
+
+FORECAST_FIELDS = [
+    StructField("modelo", StringType()),
+    StructField("conjunto", StringType()),
+    StructField("passo", IntegerType()),
+    StructField("data", DateType()),
+    StructField("valor", DoubleType()),
+    StructField("previsao", DoubleType()),
+    StructField("inferior", DoubleType()),
+    StructField("superior", DoubleType()),
+    StructField("residuo", DoubleType()),
+]
+
+
+def arima_forecast(df: DataFrame, keys: list[str], date_col: str, value_col: str, *,
+                   order=(1, 0, 1), seasonal=(0, 0, 0, 0), h: int | None = None,
+                   alpha: float = 0.05, long_ar: int = 8, name: str | None = None,
+                   train_col: str | None = None) -> DataFrame:
+    """Fitted values on the training rows and ``h`` forecasts per series.
+
+    Training rows: all rows, or those with ``train_col`` true. ``h`` defaults
+    to the number of non-training rows (the test half). Output rows carry
+    ``conjunto`` = 'treino' (fitted, residual) or 'previsao' (forecast step,
+    interval, and the actual value when the day exists in ``df``).
+    """
+    keys = list(keys)
+    name = name or f"arima{order}{seasonal if any(seasonal) else ''}"
+    schema = StructType([df.schema[k] for k in keys] + FORECAST_FIELDS)
+    cols = [*keys, date_col, value_col] + ([train_col] if train_col else [])
+    x = df.select(*cols)
+
+    def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(date_col)
+        tr = pdf[pdf[train_col].astype(bool)] if train_col else pdf
+        te = pdf[~pdf[train_col].astype(bool)] if train_col else pdf.iloc[0:0]
+        hh = h if h is not None else len(te)
+        y = tr[value_col].to_numpy(dtype=float)
+        days = pd.to_datetime(tr[date_col]).dt.date.to_numpy()
+        out = []
+        r = forecast_series(y, order, seasonal, max(hh, 1), alpha, long_ar) if len(y) else None
+        fitted = r[0] if r else np.full(len(y), np.nan)
+        for i in range(len(y)):
+            fv = fitted[i]
+            out.append(("treino", i, days[i], y[i], fv, None, None,
+                        (y[i] - fv) if np.isfinite(fv) else None))
+        if hh and len(y):
+            actual = dict(zip(pd.to_datetime(te[date_col]).dt.date, te[value_col].astype(float)))
+            last = days[-1]
+            for j in range(hh):
+                day = last + pd.Timedelta(days=j + 1)
+                day = day.date() if hasattr(day, "date") else day
+                fc, lo, hi = (float(r[1][j]), float(r[2][j]), float(r[3][j])) if r else (None,) * 3
+                out.append(("previsao", j + 1, day, actual.get(day), fc, lo, hi, None))
+        res = pd.DataFrame(out, columns=["conjunto", "passo", "data", "valor", "previsao",
+                                         "inferior", "superior", "residuo"])
+        res.insert(0, "modelo", name)
+        for k in reversed(keys):
+            res.insert(0, k, pdf[k].iloc[0])
+        res = res.astype({"passo": "int32"})
+        for c in ("valor", "previsao", "inferior", "superior", "residuo"):
+            res[c] = pd.to_numeric(res[c], errors="coerce").astype("float64")
+        return res[[f.name for f in schema.fields]]
+
+    grouped = x.groupBy(*keys) if keys else x.groupBy(F.lit(0).alias("_k"))
+    return grouped.applyInPandas(_fit, schema)
+
+
+def residual_summary(fc: DataFrame, keys: list[str]) -> DataFrame:
+    """count, mean, std, min, quartiles, max of the training residuals."""
+    r = F.col("residuo")
+    q = F.percentile(r, [0.25, 0.5, 0.75])
+    return (fc.where((F.col("conjunto") == "treino") & r.isNotNull())
+              .groupBy(*keys, "modelo")
+              .agg(F.count(r).alias("count"), F.avg(r).alias("mean"), F.stddev(r).alias("std"),
+                   F.min(r).alias("min"), q.alias("_q"), F.max(r).alias("max"))
+              .select(*keys, "modelo", "count", "mean", "std", "min",
+                      F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
+                      F.col("_q")[2].alias("p75"), "max"))
