@@ -206,6 +206,11 @@ SQL: dict[str, str] = {
     "calendar": _with("SELECT * FROM tempo"),
     "resolve_contract": _with("SELECT * FROM fact"),
     "merge_insert_only": _with("SELECT * FROM fact"),
+    "stream_ingest": _with("SELECT * FROM fact"),
+    "stream_daily_totals": f"""
+SELECT CAST(ts AS DATE) AS dia, CAST(user_id AS BIGINT) AS id_cliente, COUNT(*) AS eventos,
+       {_ms("value")} AS valor_total
+FROM events GROUP BY 1, 2""",
     "daily_summary": _with("SELECT * FROM fd"),
     "daily_join_calendar": _with(
         "SELECT * FROM fd JOIN tempo t ON fd.data_movimentacao = t.data "

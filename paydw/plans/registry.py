@@ -45,6 +45,39 @@ def _merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New transactions arrive as files; an availableNow stream resolves and merges them."""
+    import uuid
+
+    from paydw.session import scratch_path
+    from paydw.sources.driver import orders_to_transacoes
+    from paydw.streaming.ingest import ingest_transactions, staging_stream
+
+    wh = warehouse_for_sf(spark, sf_dir)
+    run = scratch_path(spark, "paydw-stream-ingest", uuid.uuid4().hex[:12])
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    stream = staging_stream(spark, f"{sf_dir}/orders*.parquet", orders.schema, orders_to_transacoes)
+    q = ingest_transactions(spark, stream, wh.contratos, f"{run}/fact_transacoes",
+                            checkpoint=f"{run}/_checkpoint")
+    q.awaitTermination()
+    return drop_partition(spark.read.parquet(f"{run}/fact_transacoes"))
+
+
+def _stream_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily totals per client on the event stream, watermark-bounded state."""
+    import uuid
+
+    from paydw.session import scratch_path
+    from paydw.streaming.live import live_daily_totals, read_latest_totals
+
+    run = scratch_path(spark, "paydw-stream-live", uuid.uuid4().hex[:12])
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    stream = spark.readStream.schema(ev.schema).parquet(f"{sf_dir}/events*.parquet")
+    q = live_daily_totals(spark, stream, f"{run}/totals", checkpoint=f"{run}/_checkpoint")
+    q.awaitTermination()
+    return read_latest_totals(spark, f"{run}/totals")
+
+
 def _event_use_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.event_use_days(spark, use_events(spark, sf_dir))
 
@@ -66,6 +99,9 @@ QUERIES: dict[str, Query] = {
     "usage_pivot_type": _wh(usage.usage_pivot_type),
     "usage_gaps": _wh(usage.usage_gaps),
     "event_use_days": _event_use_days,
+    # streaming
+    "stream_ingest": _stream_ingest,
+    "stream_daily_totals": _stream_daily_totals,
     # revenue (G4, G5)
     "revenue_client_day": _wh(revenue.revenue_client_day),
     "revenue_day": _wh(revenue.revenue_day),

@@ -66,7 +66,11 @@ def transaction_type(status) -> "F.Column":
 
 
 def staging_transacoes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
+    return orders_to_transacoes(_read(spark, sf_dir, "orders"))
+
+
+def orders_to_transacoes(o: DataFrame) -> DataFrame:
+    """Staging transaction columns from ``orders`` rows (batch or streaming)."""
     return o.select(
         F.col("o_orderkey").cast("long").alias("id_transacao"),
         F.col("o_custkey").cast("long").alias("id_cliente"),
