@@ -83,7 +83,7 @@ def hannan_rissanen(w: np.ndarray, ar_lags: list[int], ma_lags: list[int],
     b = _ols(X, w[start:])
     if b is None:
         return None
-    coef = dict(zip(names, b))
+    coef = _stabilize(dict(zip(names, b)), ar_lags, ma_lags)
     # recompute residuals recursively with the fitted model (for fitted values)
     c = coef.get("c", 0.0)
     res = np.zeros(n)
@@ -97,6 +97,39 @@ def hannan_rissanen(w: np.ndarray, ar_lags: list[int], ma_lags: list[int],
     return {"coef": coef, "fit": fit, "res": res, "sigma2": sigma2, "start": maxl}
 
 
+def _poly(coef: dict, lags: list[int], prefix: str, sign: float) -> np.ndarray:
+    """Coefficients of 1 + sign * sum c_i B^i in ascending powers of B."""
+    p = np.zeros(max(lags + [0]) + 1)
+    p[0] = 1.0
+    for i in lags:
+        p[i] = sign * coef[f"{prefix}{i}"]
+    return p
+
+
+def _stabilize(coef: dict, ar_lags: list[int], ma_lags: list[int]) -> dict:
+    """Invertible MA part (roots reflected outside the unit circle, which keeps
+    the autocovariances) and a stationary AR part (shrunk towards 0)."""
+    coef = dict(coef)
+    if ma_lags:
+        p = _poly(coef, ma_lags, "ma", 1.0)
+        roots = np.roots(p[::-1])
+        if len(roots) and np.any(np.abs(roots) < 1.0):
+            roots = np.where(np.abs(roots) < 1.0, 1.0 / np.conj(roots), roots)
+            q = np.real(np.poly(roots))[::-1]  # ascending, leading term scaled
+            q = q / q[0]
+            for j in ma_lags:
+                coef[f"ma{j}"] = float(q[j]) if j < len(q) else 0.0
+    if ar_lags:
+        for _ in range(200):
+            p = _poly(coef, ar_lags, "ar", -1.0)
+            roots = np.roots(p[::-1])
+            if not len(roots) or np.all(np.abs(roots) > 1.0 + 1e-6):
+                break
+            for i in ar_lags:
+                coef[f"ar{i}"] *= 0.98
+    return coef
+
+
 def _psi(coef: dict, ar_lags, ma_lags, d: int, D: int, s: int, h: int) -> np.ndarray:
     """Impulse response of the integrated model, h terms."""
     phi = np.zeros(h + 1 + d + D * s + max(ar_lags + [0]))
