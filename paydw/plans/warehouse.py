@@ -138,7 +138,8 @@ def _fingerprint(sf_dir: str) -> str:
 _OPEN: dict[tuple[str, str], str] = {}
 
 
-def warehouse_for_sf(spark: SparkSession, sf_dir: str, end_date="last") -> Warehouse:
+def warehouse_for_sf(spark: SparkSession, sf_dir: str, end_date="last",
+                     rebuild: bool = False) -> Warehouse:
     """The warehouse built from the driver tables of ``sf_dir`` (built once, then reused).
 
     It lives below ``spark.checkpoint.dir``: ``<fingerprint>/<attempt>``; a
@@ -147,10 +148,10 @@ def warehouse_for_sf(spark: SparkSession, sf_dir: str, end_date="last") -> Wareh
     """
     fp = _fingerprint(sf_dir) + (f"-{end_date}" if end_date != "last" else "")
     key = (spark.sparkContext.applicationId, fp)
-    if key in _OPEN:
+    if key in _OPEN and not rebuild:
         return Warehouse(spark, _OPEN[key])
     base = scratch_path(spark, "paydw-warehouse", fp)
-    latest = read_table(spark, f"{base}/_latest")
+    latest = None if rebuild else read_table(spark, f"{base}/_latest")
     if latest is not None:
         row = latest.first()
         if row is not None:
