@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paydw.operators.skew import salted_join
+
 
 def latest_contracts(contratos: DataFrame, max_source: DataFrame | None = None,
                      client: str = "id_cliente",
@@ -45,11 +47,22 @@ def resolve_contract(transacoes: DataFrame, contratos: DataFrame,
                      max_source: DataFrame | None = None,
                      client: str = "id_cliente", day: str = "data_movimentacao",
                      expiry: str = "data_vencimento_contrato",
-                     contract_cols: tuple[str, ...] = ("id_contrato",)) -> DataFrame:
-    """Transactions with the id of the contract in force (columns of ``transacoes`` + ``contract_cols``)."""
+                     contract_cols: tuple[str, ...] = ("id_contrato",),
+                     hot_clients: list | None = None, salt_buckets: int = 32,
+                     row_key: str = "id_transacao") -> DataFrame:
+    """Transactions with the id of the contract in force (columns of ``transacoes`` + ``contract_cols``).
+
+    ``hot_clients`` (e.g. from ``skew.hot_keys``) are split over
+    ``salt_buckets`` tasks by a salted join; without them the join relies
+    on AQE's skew-join handling.
+    """
     cand = latest_contracts(contratos, max_source, client, expiry).select(
         client, expiry, *contract_cols)
-    out = transacoes.join(cand, client).where(F.col(day) <= F.col(expiry))
+    if hot_clients:
+        joined = salted_join(transacoes, cand, client, hot_clients, salt_buckets, [row_key])
+    else:
+        joined = transacoes.join(cand, client)
+    out = joined.where(F.col(day) <= F.col(expiry))
     return out.select(*transacoes.columns, *contract_cols)
 
 

@@ -36,7 +36,7 @@ def ingest_batch(batch: DataFrame, contratos: DataFrame, fact_path: str,
         "data_movimentacao", "hora_movimentacao",
         month_ref(F.col("data_movimentacao")).alias(MONTH_PARTITION))
     insert_only_merge(resolved, fact_path, KEYS["fact_transacoes"], partition_by=MONTH_PARTITION,
-                      cluster_by=[MONTH_PARTITION, "id_cliente"])
+                      cluster_by=[MONTH_PARTITION, "id_cliente", "id_transacao"])
     if summary is not None:
         days = [r[0] for r in batch.select("data_movimentacao").distinct().collect()]
         summary(days)

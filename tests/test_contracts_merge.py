@@ -98,3 +98,17 @@ def test_merge_shuffled_path_matches_broadcast_path(spark, scratch):
     a = sorted(tuple(r) for r in spark.read.parquet(scratch + "/a").collect())
     b = sorted(tuple(r) for r in spark.read.parquet(scratch + "/b").collect())
     assert a == b and len(a) == 60
+
+
+def test_hot_client_salted_join_equals_plain(spark):
+    from paydw.operators.skew import hot_keys
+
+    # client 1 holds a third of all transactions
+    rows = [(i, 1 if i % 3 == 0 else 2 + i % 50, "2024-01-01") for i in range(3000)]
+    tx = _tx(spark, rows)
+    con = _contracts(spark, [(10 + c, c, "2024-12-31") for c in range(1, 52)])
+    hot = hot_keys(tx, "id_cliente", min_share=0.2, fraction=0.2)
+    assert hot == [1]
+    plain = sorted(tuple(r) for r in resolve_contract(tx, con).collect())
+    salted = sorted(tuple(r) for r in resolve_contract(tx, con, hot_clients=hot, salt_buckets=8).collect())
+    assert plain == salted and len(plain) == 3000
