@@ -257,7 +257,8 @@ SELECT g.id_cliente, g.data_movimentacao,
        COALESCE(w.quantidade_movimentacoes, 0) AS quantidade_movimentacoes,
        {", ".join(f"COALESCE(w.quantidade_{t}, 0) AS quantidade_{t}" for t in ("boleto", "payin", "payout"))},
        COALESCE(w.total_movimentacao, 0.0) AS total_movimentacao,
-       COALESCE(w.quantidade_movimentacoes, 0) > 0 AS uso
+       COALESCE(w.quantidade_movimentacoes, 0) > 0 AS uso,
+       isodow(g.data_movimentacao) = 7 AS is_domingo
 FROM g LEFT JOIN w ON w.id_cliente = g.id_cliente AND w.data_movimentacao = g.data_movimentacao"""),
     "usage_pivot_type": _with("""
 SELECT fact.id_cliente, t.data,

@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paydw.functions.calendar import is_sunday
 from paydw.operators.densify import densify
 from paydw.operators.series import pivot_types, use_gaps
 from paydw.plans.common import months_between_filter, sum_money, with_calendar, year_filter
@@ -64,7 +65,8 @@ def usage_dense(wh: Warehouse, start=None, end=None, today=None) -> DataFrame:
     measures = ["quantidade_movimentacoes", *[f"quantidade_{t}" for t in TRANSACTION_TYPES],
                 "total_movimentacao"]
     dense = densify(fd, ["id_cliente"], "data_movimentacao", measures, start=start, end=end)
-    return dense.withColumn("uso", F.col("quantidade_movimentacoes") > 0)
+    return dense.withColumns({"uso": F.col("quantidade_movimentacoes") > 0,
+                              "is_domingo": is_sunday(F.col("data_movimentacao"))})
 
 
 def usage_gaps(wh: Warehouse) -> DataFrame:

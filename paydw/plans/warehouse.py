@@ -34,7 +34,7 @@ from paydw.operators.contracts import resolve_contract
 from paydw.operators.merge import insert_only_merge, read_table
 from paydw.operators.skew import hot_keys
 from paydw.operators.summary import daily_summary
-from paydw.schemas import KEYS, MONTH_PARTITION
+from paydw.schemas import DIM_CLIENTES, DIM_CONTRATOS, DIM_TEMPO, KEYS, MONTH_PARTITION
 from paydw.session import scratch_path
 from paydw.sources.calendar import calendar
 from paydw.sources.driver import Staging, staging_from_sf
@@ -120,6 +120,26 @@ class Warehouse:
                           partition_by=MONTH_PARTITION, prune_on=MONTH_PARTITION,
                           cluster_by=[MONTH_PARTITION, "id_cliente", "data_movimentacao"])
 
+    def create_tables(self) -> None:
+        """Empty dimension tables with their schemas (bootstrap step 2).
+
+        The partitioned fact tables get their first files from the first merge.
+        """
+        schemas = {"dim_clientes": DIM_CLIENTES, "dim_contratos": DIM_CONTRATOS, "dim_tempo": DIM_TEMPO}
+        for name, schema in schemas.items():
+            if self.table_or_none(name) is None:
+                self.spark.createDataFrame([], schema).write.mode("append").parquet(f"{self.path}/{name}")
+
+    def bootstrap(self, staging: Staging, end_date="today") -> None:
+        """Create the model, load it from staging, calendar, then the daily summary (K9)."""
+        self.create_tables()
+        self.run_interval(staging, end_date=end_date)
+
+    def daily_summary_job(self, process_date) -> None:
+        """Summary of the day before ``process_date`` (the run at the first minute of a day)."""
+        d = _dt.date.fromisoformat(str(process_date)) - _dt.timedelta(days=1)
+        self.load_summary([d])
+
     def run_interval(self, staging: Staging, end_date="today", summary_days: list | None = None,
                      summarize: bool = True) -> None:
         """One ETL run: bootstrap when the tables are empty, an interval load otherwise."""
