@@ -10,11 +10,12 @@ of a new key are inserted (the source is not de-duplicated); NULL keys never
 match, so they insert on every run.
 
 Plan at scale: the target (a large fact table) is never shuffled. Its key
-columns are scanned and semi-joined against the *source* keys, which are
-broadcast when their count is under ``broadcast_rows`` (a checked bound);
-above it the join falls back to a shuffled anti join. With ``prune_on``
-(a partition column that is a function of the key) the target scan is
-limited to the partitions the source touches (dynamic partition pruning).
+columns are scanned, restricted to the min/max range of the batch's keys
+(pushed to parquet: row groups of older keys are skipped by statistics),
+and semi-joined against the *source* keys, which are broadcast when their
+count is under ``broadcast_rows`` (a checked bound); above it the join
+falls back to a shuffled anti join. With ``prune_on`` (a partition column
+that is a function of the key) the range filter on it prunes partitions.
 """
 
 from __future__ import annotations
@@ -33,26 +34,40 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+_RANGE_TYPES = ("long", "integer", "short", "byte", "date", "timestamp", "timestamp_ntz", "string")
+
+
 def new_rows(source: DataFrame, target: DataFrame | None, keys: list[str] | tuple[str, ...],
              prune_on: str | None = None,
              broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``source`` whose key is not in ``target`` (NULL keys always new)."""
+    """Rows of ``source`` whose key is not in ``target`` (NULL keys always new).
+
+    One small job first measures the distinct non-NULL source keys and their
+    min/max. The bounds become range filters on the target scan: exact (keys
+    outside them cannot match) and pushed to parquet, so row groups whose
+    statistics lie outside the batch's key range are skipped.
+    """
     keys = list(keys)
     if target is None:
         return source
     join_keys = keys + ([prune_on] if prune_on else [])
-    src_keys = source.select(*join_keys).where(
-        F.greatest(*[F.col(k).isNull().cast("int") for k in join_keys]) == 0
-    ).distinct() if len(join_keys) > 1 else source.select(*join_keys).where(
-        F.col(join_keys[0]).isNotNull()).distinct()
-    n_keys = src_keys.count()
-    if n_keys == 0:
+    not_null = F.greatest(*[F.col(k).isNull().cast("int") for k in join_keys]) == 0 \
+        if len(join_keys) > 1 else F.col(join_keys[0]).isNotNull()
+    src_keys = source.select(*join_keys).where(not_null).distinct()
+    ranged = [k for k in join_keys if source.schema[k].dataType.typeName() in _RANGE_TYPES]
+    stats = src_keys.agg(F.count(F.lit(1)).alias("_n"),
+                         *[F.min(k).alias(f"_lo_{k}") for k in ranged],
+                         *[F.max(k).alias(f"_hi_{k}") for k in ranged]).first()
+    if stats["_n"] == 0:
         return source
-    if n_keys <= broadcast_rows:
-        # target rows that collide with a source key; at most n_keys x dup rows
-        matched = target.select(*join_keys).join(F.broadcast(src_keys), join_keys, "left_semi")
+    tgt = target.select(*join_keys)
+    for k in ranged:
+        tgt = tgt.where(F.col(k).between(F.lit(stats[f"_lo_{k}"]), F.lit(stats[f"_hi_{k}"])))
+    if stats["_n"] <= broadcast_rows:
+        # target rows that collide with a source key; the target is scanned, never shuffled
+        matched = tgt.join(F.broadcast(src_keys), join_keys, "left_semi")
         return source.join(matched.distinct(), join_keys, "left_anti")
-    return source.join(target.select(*join_keys), join_keys, "left_anti")
+    return source.join(tgt, join_keys, "left_anti")
 
 
 def insert_only_merge(source: DataFrame, target_path: str, keys, *,
