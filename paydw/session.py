@@ -19,6 +19,32 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, shuffle_bytes: int | None = None,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster (e.g. 1000 executors reading ~100 TB).
+
+    Initial shuffle partitions: enough for ``shuffle_bytes`` at
+    ``target_partition_bytes`` each and at least 3 waves of tasks, so a
+    partition fits in executor memory without spilling; AQE then coalesces
+    small ones and splits skewed ones at runtime. Scan splits of 256 MB keep
+    the number of scan tasks proportional to the data.
+    """
+    parts = 3 * total_cores
+    if shuffle_bytes:
+        parts = max(parts, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "paydw", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
