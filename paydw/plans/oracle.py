@@ -114,7 +114,8 @@ split AS (
 
 
 def _with(body: str) -> str:
-    return f"WITH {BASE.strip()}\n{body}"
+    rec = "RECURSIVE " if "dl(serie" in body else ""
+    return f"WITH {rec}{BASE.strip()}\n{body}"
 
 
 def _trend_cte(series: str, scale: int) -> str:
@@ -202,6 +203,31 @@ band AS (SELECT *, {Z975} * SQRT(var_bartlett) AS band FROM v)
 """
 
 
+# PACF: lag-adjusted autocorrelations, then the Durbin-Levinson recursion over lists
+_PACF_CTE = _ACF_CTE.split("\nr AS (")[0] + f"""\nra AS (
+  SELECT g.serie, g.n,
+         list(CASE WHEN g.lag < g.n AND s0.s <> 0
+                   THEN COALESCE(p.s / (g.n - g.lag), 0.0) / (s0.s / g.n) ELSE 0.0 END ORDER BY g.lag) AS r
+  FROM grid g LEFT JOIN prods p ON p.serie = g.serie AND p.lag = g.lag
+  JOIN prods s0 ON s0.serie = g.serie AND s0.lag = 0
+  GROUP BY g.serie, g.n),
+dl(serie, n, k, p, pk) AS (
+  SELECT serie, n, 1, [r[2]], r[2] FROM ra
+  UNION ALL
+  SELECT dl.serie, dl.n, dl.k + 1,
+         list_append(list_transform(range(1, dl.k + 1), lambda j: dl.p[j] - x.pkn * dl.p[dl.k + 1 - j]), x.pkn),
+         x.pkn
+  FROM dl JOIN ra USING (serie),
+       LATERAL (SELECT (ra.r[dl.k + 2] - list_sum(list_transform(range(1, dl.k + 1), lambda i: dl.p[i] * ra.r[dl.k + 2 - i])))
+                       / (1 - list_sum(list_transform(range(1, dl.k + 1), lambda i: dl.p[i] * ra.r[i + 1]))) AS pkn) x
+  WHERE dl.k < {_ACF_LAGS}),
+pacf AS (
+  SELECT serie, 0 AS lag, CAST(1.0 AS DOUBLE) AS pacf, n FROM ra
+  UNION ALL SELECT serie, k AS lag, pk AS pacf, n FROM dl)
+"""
+_PACF_CTE = _PACF_CTE.replace("WITH RECURSIVE", "")
+
+
 SQL: dict[str, str] = {
     "calendar": _with("SELECT * FROM tempo"),
     "resolve_contract": _with("SELECT * FROM fact"),
@@ -315,6 +341,13 @@ SELECT serie, lag, CAST(n AS BIGINT) AS n, ROUND(acf, 8) AS acf, ROUND(var_bartl
     "acf_first_lag": _with(_ACF_CTE + """
 SELECT serie, CAST(COALESCE(MIN(CASE WHEN lag >= 1 AND ABS(acf) > band THEN lag END), 0) AS INTEGER) AS acf_first_lag
 FROM band GROUP BY serie"""),
+    "pacf": _with(_PACF_CTE + """
+SELECT serie, CAST(lag AS INTEGER) AS lag, ROUND(pacf, 8) AS pacf, CAST(n AS BIGINT) AS n,
+       ROUND(2.0 / SQRT(CAST(n AS DOUBLE)), 8) AS band FROM pacf"""),
+    "pacf_first_lag": _with(_PACF_CTE + """
+SELECT serie, CAST(COALESCE(MIN(CASE WHEN lag >= 1 AND ABS(pacf) > 2.0 / SQRT(CAST(n AS DOUBLE)) THEN lag END), 0)
+       AS INTEGER) AS pacf_first_lag
+FROM pacf GROUP BY serie"""),
     "type_by_segment": _with(f""",
 j AS (SELECT cli.segmento, fd.* FROM fd JOIN cli ON cli.id_cliente = fd.id_cliente
       JOIN con ON con.id_contrato = fd.id_contrato),

@@ -55,12 +55,17 @@ def acf_candidate(wh: Warehouse, nlags: int = 30) -> DataFrame:
     return acf_first_lag(a, KEYS).select("serie", F.col("acf_first_lag").cast("int"))
 
 
-def pacf_train(wh: Warehouse, nlags: int = 30) -> DataFrame:
+def _pacf(wh: Warehouse, nlags: int) -> DataFrame:
     return pacf(_train(wh), KEYS, ORDER, "valor", nlags=nlags)
 
 
+def pacf_train(wh: Warehouse, nlags: int = 30) -> DataFrame:
+    p = _pacf(wh, nlags)
+    return p.select("serie", "lag", F.round("pacf", 8).alias("pacf"), "n", F.round("band", 8).alias("band"))
+
+
 def pacf_candidate(wh: Warehouse, nlags: int = 30) -> DataFrame:
-    return pacf_first_lag(pacf_train(wh, nlags), KEYS)
+    return pacf_first_lag(_pacf(wh, nlags), KEYS).select("serie", F.col("pacf_first_lag").cast("int"))
 
 
 def _forecast(wh: Warehouse, order, seasonal, name: str) -> DataFrame:
