@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paydw.functions.money import cents, money_from_cents
-from paydw.schemas import TRANSACTION_TYPES
-
 SUMMARY_GROUP = ("id_cliente", "data_movimentacao", "id_contrato")
+# column order of the summary table
+SUMMARY_TYPE_ORDER = ("payin", "payout", "boleto")
 
 
 def summary_aggs(type_col: str = "tipo_transacao", value_col: str = "valor_transacao",
@@ -22,14 +22,13 @@ def summary_aggs(type_col: str = "tipo_transacao", value_col: str = "valor_trans
     v = cents(value_col)
     aggs = [F.count(count_col).cast("int").alias("quantidade_movimentacoes")]
     aggs += [F.sum(F.when(t == typ, 1).otherwise(0)).cast("int").alias(f"quantidade_{typ}")
-             for typ in ("payin", "payout", "boleto")]
+             for typ in SUMMARY_TYPE_ORDER]
     aggs.append(money_from_cents(F.sum(v)).alias("total_movimentacao"))
     aggs += [money_from_cents(F.sum(F.when(t == typ, v).otherwise(F.lit(0).cast("long"))))
-             .alias(f"total_{typ}") for typ in ("payin", "payout", "boleto")]
+             .alias(f"total_{typ}") for typ in SUMMARY_TYPE_ORDER]
     return aggs
 
 
 def daily_summary(fact: DataFrame, group: tuple[str, ...] = SUMMARY_GROUP) -> DataFrame:
     """``fact_transacoes_dia`` rows from resolved transactions."""
-    assert set(TRANSACTION_TYPES) == {"payin", "payout", "boleto"}
     return fact.groupBy(*group).agg(*summary_aggs())

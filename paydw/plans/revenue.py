@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,14 +39,14 @@ def revenue_client_day(wh: Warehouse) -> DataFrame:
 def revenue_day(wh: Warehouse) -> DataFrame:
     """Per day: revenue and value of each type and their totals (G5 + P4)."""
     r = _revenue_rows(wh)
-    rev_total = sum(F.col(f"_rev_{t}") for t in TRANSACTION_TYPES)
+    rev_total = reduce(add, [F.col(f"_rev_{t}") for t in TRANSACTION_TYPES])
     g = r.groupBy("data").agg(
         *[F.sum(F.col(RATE[t]).cast("decimal(12,6)") * F.col(f"total_{t}").cast("decimal(20,2)"))
           .alias(f"_rev_{t}") for t in TRANSACTION_TYPES],
         *[F.sum(F.round(F.col(f"total_{t}") * 100).cast("long")).alias(f"_val_{t}")
           for t in TRANSACTION_TYPES],
     )
-    val_total = sum(F.col(f"_val_{t}") for t in TRANSACTION_TYPES)
+    val_total = reduce(add, [F.col(f"_val_{t}") for t in TRANSACTION_TYPES])
     return g.select(
         "data",
         *[F.col(f"_rev_{t}").cast("double").alias(f"faturamento_{t}") for t in TRANSACTION_TYPES],

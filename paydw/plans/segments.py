@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +38,7 @@ def transacao_cliente(wh: Warehouse) -> DataFrame:
 
 
 def _revenue_row():
-    return sum(revenue_exact(f"taxa_{t}", f"total_{t}") for t in TRANSACTION_TYPES)
+    return reduce(add, [revenue_exact(f"taxa_{t}", f"total_{t}") for t in TRANSACTION_TYPES])
 
 
 def segment_day(wh: Warehouse) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar as _cal
 import datetime as _dt
 
 from pyspark.sql import DataFrame
@@ -40,13 +41,14 @@ def usage_window_bounds(wh: Warehouse, today=None) -> tuple[_dt.date, _dt.date]:
     if isinstance(today, str):
         today = _dt.date.fromisoformat(today)
 
-    def minus_months(d: _dt.date, k: int) -> _dt.date:
-        y, m = divmod(d.year * 12 + d.month - 1 - k, 12)
-        m += 1
-        import calendar as _cal
-        return _dt.date(y, m, min(d.day, _cal.monthrange(y, m)[1]))
+    return _minus_months(today, 3), _minus_months(today, 1)
 
-    return minus_months(today, 3), minus_months(today, 1)
+
+def _minus_months(d: _dt.date, k: int) -> _dt.date:
+    """``d`` minus ``k`` months, clamped to the last day of the month (as add_months)."""
+    y, m = divmod(d.year * 12 + d.month - 1 - k, 12)
+    m += 1
+    return _dt.date(y, m, min(d.day, _cal.monthrange(y, m)[1]))
 
 
 def usage_dense(wh: Warehouse, start=None, end=None, today=None) -> DataFrame:
