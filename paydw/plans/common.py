@@ -6,9 +6,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paydw.functions.money import cents, money_from_cents, revenue_exact
+from paydw.operators.merge import read_table
 from paydw.schemas import MONTH_PARTITION
 
 
+_MARTS: dict[tuple, str] = {}
+# Bump when a materialized table's definition changes (old copies are then ignored).
+MARTS_VERSION = "1"
+
+
+def materialized(wh, name: str, build) -> DataFrame:
+    """``build(wh)`` written once as a parquet table below the warehouse and read back.
+
+    For warehouses that no longer change (a built snapshot, as in
+    ``warehouse_for_sf``): the derived table cuts the lineage of every query
+    that starts from it (one job to write it, no recomputation by later
+    queries or other processes). A one-row pointer table publishes a
+    complete write, so a half-written table is never read.
+    """
+    import uuid
+
+    spark = wh.spark
+    key = (spark.sparkContext.applicationId, wh.path, name)
+    path = _MARTS.get(key)
+    if path is None:
+        base = f"{wh.path}/_marts/{name}-v{MARTS_VERSION}"
+        ptr = read_table(spark, f"{base}/_latest")
+        row = ptr.first() if ptr is not None else None
+        if row is not None:
+            path = row["path"]
+        else:
+            path = f"{base}/{uuid.uuid4().hex[:12]}"
+            build(wh).write.parquet(path)
+            spark.createDataFrame([(path,)], "path string").coalesce(1) \
+                .write.mode("overwrite").parquet(f"{base}/_latest")
+        _MARTS[key] = path
+    return spark.read.parquet(path)
+
+
 def with_calendar(facts: DataFrame, tempo: DataFrame, on: str = "data_movimentacao") -> DataFrame:
     """facts JOIN dim_tempo ON day.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paydw.plans import explore, revenue, segments, timeseries, trends, usage, volume
-from paydw.plans.common import drop_partition
+from paydw.plans.common import drop_partition, materialized
 from paydw.plans.warehouse import warehouse_for_sf
 from paydw.sources.driver import use_events
 
@@ -28,6 +28,23 @@ def _wh(fn) -> Query:
     return run
 
 
+def _dense(wh):
+    return materialized(wh, "segment_day_dense", segments.segment_day_dense)
+
+
+def _split(wh):
+    return materialized(wh, "series_split",
+                        lambda w: timeseries.series_split(w, dense=_dense(w)))
+
+
+def _seg_trend(fn) -> Query:
+    return _wh(lambda wh: fn(wh, dense=_dense(wh)))
+
+
+def _ts(fn) -> Query:
+    return _wh(lambda wh: fn(wh, split=_split(wh)))
+
+
 def _merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 run twice with the same staging data into a fresh table: the table equals one run."""
     import uuid
@@ -113,21 +130,21 @@ QUERIES: dict[str, Query] = {
     # trends (T1-T9)
     "trend_value_type": _wh(trends.trend_value_type),
     "trend_revenue_type": _wh(trends.trend_revenue_type),
-    "trend_segment_count": _wh(trends.trend_segment_count),
-    "trend_segment_value": _wh(trends.trend_segment_value),
-    "trend_segment_revenue": _wh(trends.trend_segment_revenue),
+    "trend_segment_count": _seg_trend(trends.trend_segment_count),
+    "trend_segment_value": _seg_trend(trends.trend_segment_value),
+    "trend_segment_revenue": _seg_trend(trends.trend_segment_revenue),
     "trend_extrapolate": _wh(trends.trend_extrapolate_value),
     "trend_predictions": _wh(trends.trend_predictions),
     # time series
-    "series_split": _wh(timeseries.series_split),
-    "acf": _wh(timeseries.acf_train),
-    "acf_first_lag": _wh(timeseries.acf_candidate),
-    "pacf": _wh(timeseries.pacf_train),
-    "pacf_first_lag": _wh(timeseries.pacf_candidate),
-    "arma_forecast": _wh(timeseries.arma_forecast),
-    "arima_forecast": _wh(timeseries.arima_forecast_q),
-    "sarima_forecast": _wh(timeseries.sarima_forecast),
-    "residual_summary": _wh(timeseries.residuals),
+    "series_split": _wh(_split),
+    "acf": _ts(timeseries.acf_train),
+    "acf_first_lag": _ts(timeseries.acf_candidate),
+    "pacf": _ts(timeseries.pacf_train),
+    "pacf_first_lag": _ts(timeseries.pacf_candidate),
+    "arma_forecast": _ts(timeseries.arma_forecast),
+    "arima_forecast": _ts(timeseries.arima_forecast_q),
+    "sarima_forecast": _ts(timeseries.sarima_forecast),
+    "residual_summary": _ts(timeseries.residuals),
     # proposed analyses
     "type_by_segment": _wh(explore.type_by_segment),
     "client_profile": _wh(explore.client_profile),

@@ -65,3 +65,4 @@ def segment_day_dense(wh: Warehouse) -> DataFrame:
     """(segment, day) on one global day axis (first to last day with data), zero-filled."""
     return densify(segment_day_all(wh), ["segmento"], "data_movimentacao",
                    ["quantidade_movimentacoes", "total_movimentacao", "faturamento"], axis="global")
+

@@ -26,66 +26,74 @@ def daily_total(wh: Warehouse) -> DataFrame:
     return wh.fact_dia.groupBy("data_movimentacao").agg(sum_money("total_movimentacao"))
 
 
-def ts_series(wh: Warehouse) -> DataFrame:
+def ts_series(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
     """(serie, day, value): 'total' over days with data plus each segment on a dense axis."""
     total = daily_total(wh).select(F.lit("total").alias("serie"), "data_movimentacao",
                                    F.col("total_movimentacao").alias("valor"))
-    seg = segment_day_dense(wh).select(F.col("segmento").alias("serie"), "data_movimentacao",
-                                       F.col("total_movimentacao").alias("valor"))
+    d = segment_day_dense(wh) if dense is None else dense
+    seg = d.select(F.col("segmento").alias("serie"), "data_movimentacao",
+                   F.col("total_movimentacao").alias("valor"))
     return total.unionByName(seg)
 
 
-def series_split(wh: Warehouse, overlap: bool = True) -> DataFrame:
-    return split_halves(ts_series(wh), KEYS, ORDER, overlap=overlap)
+def series_split(wh: Warehouse, overlap: bool = True, dense: DataFrame | None = None) -> DataFrame:
+    """The series split in halves (W5); the input of every model below.
 
+    Each model function takes ``split`` (this table, e.g. materialized once
+    for all of them) or computes it from the warehouse when None.
+    """
+    return split_halves(ts_series(wh, dense), KEYS, ORDER, overlap=overlap)
 
-def _train(wh: Warehouse) -> DataFrame:
-    return series_split(wh).where(F.col("conjunto") == "treino")
 
+def _train(wh: Warehouse, split: DataFrame | None) -> DataFrame:
+    s = series_split(wh) if split is None else split
+    return s.where(F.col("conjunto") == "treino")
 
-def acf_train(wh: Warehouse, nlags: int = 30) -> DataFrame:
-    a = acf(_train(wh), KEYS, ORDER, "valor", nlags=nlags)
+
+def acf_train(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None) -> DataFrame:
+    a = acf(_train(wh, split), KEYS, ORDER, "valor", nlags=nlags)
     return a.select("serie", F.col("lag").cast("int").alias("lag"), F.col("n").cast("long").alias("n"),
                     F.round("acf", 8).alias("acf"), F.round("var_bartlett", 10).alias("var_bartlett"),
                     F.round("band", 8).alias("band"))
 
 
-def acf_candidate(wh: Warehouse, nlags: int = 30) -> DataFrame:
-    a = acf(_train(wh), KEYS, ORDER, "valor", nlags=nlags)
+def acf_candidate(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None) -> DataFrame:
+    a = acf(_train(wh, split), KEYS, ORDER, "valor", nlags=nlags)
     return acf_first_lag(a, KEYS).select("serie", F.col("acf_first_lag").cast("int"))
 
 
-def _pacf(wh: Warehouse, nlags: int) -> DataFrame:
-    return pacf(_train(wh), KEYS, ORDER, "valor", nlags=nlags)
+def _pacf(wh: Warehouse, nlags: int, split: DataFrame | None) -> DataFrame:
+    return pacf(_train(wh, split), KEYS, ORDER, "valor", nlags=nlags)
 
 
-def pacf_train(wh: Warehouse, nlags: int = 30) -> DataFrame:
-    p = _pacf(wh, nlags)
+def pacf_train(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None) -> DataFrame:
+    p = _pacf(wh, nlags, split)
     return p.select("serie", "lag", F.round("pacf", 8).alias("pacf"), "n", F.round("band", 8).alias("band"))
 
 
-def pacf_candidate(wh: Warehouse, nlags: int = 30) -> DataFrame:
-    return pacf_first_lag(_pacf(wh, nlags), KEYS).select("serie", F.col("pacf_first_lag").cast("int"))
+def pacf_candidate(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None) -> DataFrame:
+    return pacf_first_lag(_pacf(wh, nlags, split), KEYS).select("serie", F.col("pacf_first_lag").cast("int"))
 
 
-def _forecast(wh: Warehouse, order, seasonal, name: str) -> DataFrame:
-    s = series_split(wh).withColumn("_treino", F.col("conjunto") == "treino")
+def _forecast(wh: Warehouse, order, seasonal, name: str, split: DataFrame | None) -> DataFrame:
+    s = (series_split(wh) if split is None else split).withColumn("_treino", F.col("conjunto") == "treino")
     return arima_forecast(s, KEYS, ORDER, "valor", order=order, seasonal=seasonal,
                           name=name, train_col="_treino")
 
 
-def arma_forecast(wh: Warehouse) -> DataFrame:
-    return _forecast(wh, (1, 0, 1), (0, 0, 0, 0), "arma_1_0_1")
+def arma_forecast(wh: Warehouse, split: DataFrame | None = None) -> DataFrame:
+    return _forecast(wh, (1, 0, 1), (0, 0, 0, 0), "arma_1_0_1", split)
 
 
-def arima_forecast_q(wh: Warehouse) -> DataFrame:
-    return _forecast(wh, (1, 1, 1), (0, 0, 0, 0), "arima_1_1_1")
+def arima_forecast_q(wh: Warehouse, split: DataFrame | None = None) -> DataFrame:
+    return _forecast(wh, (1, 1, 1), (0, 0, 0, 0), "arima_1_1_1", split)
 
 
-def sarima_forecast(wh: Warehouse, period: int = 12) -> DataFrame:
-    return _forecast(wh, (1, 1, 1), (1, 1, 1, period), f"sarima_1_1_1_1_1_1_{period}")
+def sarima_forecast(wh: Warehouse, period: int = 12, split: DataFrame | None = None) -> DataFrame:
+    return _forecast(wh, (1, 1, 1), (1, 1, 1, period), f"sarima_1_1_1_1_1_1_{period}", split)
 
 
-def residuals(wh: Warehouse) -> DataFrame:
-    fc = arma_forecast(wh).unionByName(arima_forecast_q(wh)).unionByName(sarima_forecast(wh))
+def residuals(wh: Warehouse, split: DataFrame | None = None) -> DataFrame:
+    fc = (arma_forecast(wh, split).unionByName(arima_forecast_q(wh, split))
+          .unionByName(sarima_forecast(wh, split=split)))
     return residual_summary(fc, KEYS)

@@ -30,9 +30,13 @@ def revenue_type_series(wh: Warehouse) -> DataFrame:
     return _stack(revenue_day(wh), {s: f"faturamento_{s}" for s in SERIES}, "data")
 
 
-def segment_series(wh: Warehouse, measure: str) -> DataFrame:
-    """(serie = segment, day, measure) on the dense global axis (T7-T9 input)."""
-    d = segment_day_dense(wh)
+def segment_series(wh: Warehouse, measure: str, dense: DataFrame | None = None) -> DataFrame:
+    """(serie = segment, day, measure) on the dense global axis (T7-T9 input).
+
+    ``dense``: a prepared ``segment_day_dense`` (e.g. materialized once for
+    several trend families); computed from the warehouse when None.
+    """
+    d = segment_day_dense(wh) if dense is None else dense
     return d.select(F.col("segmento").alias("serie"), "data_movimentacao",
                     F.col(measure).cast("double").alias("valor"))
 
@@ -59,18 +63,18 @@ def trend_revenue_type(wh: Warehouse) -> DataFrame:
     return _report(trend_summary(revenue_type_series(wh), ["serie"], "data_movimentacao", "valor", 4), "money")
 
 
-def trend_segment_count(wh: Warehouse) -> DataFrame:
-    s = segment_series(wh, "quantidade_movimentacoes")
+def trend_segment_count(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
+    s = segment_series(wh, "quantidade_movimentacoes", dense)
     return _report(trend_summary(s, ["serie"], "data_movimentacao", "valor", 0), "count")
 
 
-def trend_segment_value(wh: Warehouse) -> DataFrame:
-    s = segment_series(wh, "total_movimentacao")
+def trend_segment_value(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
+    s = segment_series(wh, "total_movimentacao", dense)
     return _report(trend_summary(s, ["serie"], "data_movimentacao", "valor", 2), "money")
 
 
-def trend_segment_revenue(wh: Warehouse) -> DataFrame:
-    s = segment_series(wh, "faturamento")
+def trend_segment_revenue(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
+    s = segment_series(wh, "faturamento", dense)
     return _report(trend_summary(s, ["serie"], "data_movimentacao", "valor", 4), "money")
 
 

@@ -24,7 +24,7 @@ import datetime as _dt
 import hashlib
 import os
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,9 +51,17 @@ class Warehouse:
     # split clients holding >= this share of a batch's transactions over salted tasks
     hot_client_share: float | None = 0.02
     salt_buckets: int = 32
+    # a frozen (built, no longer loaded) warehouse lists each table's files once
+    frozen: bool = False
+    _tables: dict = field(default_factory=dict, repr=False, compare=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        if not self.frozen:
+            return self.spark.read.parquet(f"{self.path}/{name}")
+        df = self._tables.get(name)
+        if df is None:
+            df = self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}")
+        return df
 
     def table_or_none(self, name: str) -> DataFrame | None:
         return read_table(self.spark, f"{self.path}/{name}")
@@ -163,7 +171,7 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-_OPEN: dict[tuple[str, str], str] = {}
+_OPEN: dict[tuple[str, str], Warehouse] = {}
 
 
 def warehouse_for_sf(spark: SparkSession, sf_dir: str, end_date="last",
@@ -177,19 +185,19 @@ def warehouse_for_sf(spark: SparkSession, sf_dir: str, end_date="last",
     fp = _fingerprint(sf_dir) + (f"-{end_date}" if end_date != "last" else "")
     key = (spark.sparkContext.applicationId, fp)
     if key in _OPEN and not rebuild:
-        return Warehouse(spark, _OPEN[key])
+        return _OPEN[key]
     base = scratch_path(spark, "paydw-warehouse", fp)
     latest = None if rebuild else read_table(spark, f"{base}/_latest")
     if latest is not None:
         row = latest.first()
         if row is not None:
-            _OPEN[key] = row["path"]
-            return Warehouse(spark, row["path"])
+            _OPEN[key] = Warehouse(spark, row["path"], frozen=True)
+            return _OPEN[key]
     path = f"{base}/{uuid.uuid4().hex[:12]}"
     wh = Warehouse(spark, path)
     wh.run_interval(staging_from_sf(spark, sf_dir), end_date=end_date)
     spark.createDataFrame([(path, _dt.datetime.now(_dt.timezone.utc).isoformat())],
                           "path string, built_at string") \
         .coalesce(1).write.mode("overwrite").parquet(f"{base}/_latest")
-    _OPEN[key] = path
-    return wh
+    _OPEN[key] = Warehouse(spark, path, frozen=True)
+    return _OPEN[key]
