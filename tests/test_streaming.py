@@ -46,3 +46,28 @@ def test_live_daily_totals(spark, scratch):
         F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("c"))
     want = {(r.dia, r.id_cliente): (r.n, r.c / 100.0) for r in want.collect()}
     assert got == want
+
+
+def test_live_totals_watermark_across_runs(spark, scratch):
+    import datetime as dt
+
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    t0 = dt.datetime(2024, 1, 1, 12, 0)
+    first = [(i, t0 + dt.timedelta(days=d), 1, "view", 1.0, "{}") for i, d in enumerate(range(5))]
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{scratch}/in/b=1")
+    src = f"{scratch}/in/*"
+
+    def run():
+        stream = spark.readStream.schema(spark.read.parquet(f"{scratch}/in/b=1").schema).parquet(src)
+        live_daily_totals(spark, stream, f"{scratch}/out", checkpoint=f"{scratch}/ck").awaitTermination()
+        return {(r.dia, r.id_cliente): (r.eventos, r.valor_total)
+                for r in read_latest_totals(spark, f"{scratch}/out").collect()}
+
+    got = run()
+    assert len(got) == 5 and all(v == (1, 1.0) for v in got.values())
+    # watermark is now (last event - 1 day): a row for day 0 is too late, one for the last day is not
+    late = [(100, t0, 1, "view", 5.0, "{}"), (101, t0 + dt.timedelta(days=4, hours=1), 1, "view", 2.0, "{}")]
+    spark.createDataFrame(late, schema).coalesce(1).write.parquet(f"{scratch}/in/b=2")
+    got = run()
+    assert got[(dt.date(2024, 1, 1), 1)] == (1, 1.0)      # dropped: later than the watermark
+    assert got[(dt.date(2024, 1, 5), 1)] == (2, 3.0)      # updated: within the lateness bound
