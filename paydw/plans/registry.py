@@ -70,6 +70,7 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paydw.sources.driver import orders_to_transacoes
     from paydw.streaming.ingest import ingest_transactions, staging_stream
 
+    sf_dir = sf_dir.rstrip("/")
     wh = warehouse_for_sf(spark, sf_dir)
     run = scratch_path(spark, "paydw-stream-ingest", uuid.uuid4().hex[:12])
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
@@ -87,6 +88,7 @@ def _stream_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paydw.session import scratch_path
     from paydw.streaming.live import live_daily_totals, read_latest_totals
 
+    sf_dir = sf_dir.rstrip("/")
     run = scratch_path(spark, "paydw-stream-live", uuid.uuid4().hex[:12])
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     stream = spark.readStream.schema(ev.schema).parquet(f"{sf_dir}/events*.parquet")
