@@ -20,6 +20,7 @@ that is a function of the key) the range filter on it prunes partitions.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,14 +78,24 @@ def insert_only_merge(source: DataFrame, target_path: str, keys, *,
     """Append the rows of ``source`` whose key is new to the parquet table at ``target_path``."""
     spark = source.sparkSession
     target = read_table(spark, target_path)
-    new = new_rows(source, target, keys, prune_on=prune_on, broadcast_rows=broadcast_rows)
+    cached = None
     if target is not None:
-        new = new.select(*target.columns)
-    out = new
-    if cluster_by:
-        # range partitioning: balanced files that each hold few partition values
-        out = out.repartitionByRange(*[F.col(c) for c in cluster_by])
-    writer = out.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(target_path)
+        # the batch is read twice (key statistics, then the anti join): keep it
+        # for the duration of the merge; it spills to disk, and a lost
+        # executor's blocks are recomputed from lineage
+        cached = source = source.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        new = new_rows(source, target, keys, prune_on=prune_on, broadcast_rows=broadcast_rows)
+        if target is not None:
+            new = new.select(*target.columns)
+        out = new
+        if cluster_by:
+            # range partitioning: balanced files that each hold few partition values
+            out = out.repartitionByRange(*[F.col(c) for c in cluster_by])
+        writer = out.write.mode("append")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(target_path)
+    finally:
+        if cached is not None:
+            cached.unpersist()
