@@ -128,6 +128,30 @@ class Warehouse:
                           partition_by=MONTH_PARTITION, prune_on=MONTH_PARTITION,
                           cluster_by=[MONTH_PARTITION, "id_cliente", "data_movimentacao"])
 
+    def recompute_summary(self, days: list) -> None:
+        """Optional late-row mode (Q17): rebuild the summary of the months of ``days``.
+
+        The insert-only summary ignores transactions that arrive after their
+        day was summarized. This mode recomputes whole month partitions from
+        the fact table: first into a staging copy (Spark cannot overwrite a
+        table it is reading), then that copy replaces exactly those month
+        partitions (dynamic partition overwrite); other months are untouched.
+        """
+        import uuid
+
+        months = sorted({int(str(d)[:4]) * 100 + int(str(d)[5:7]) for d in days})
+        if not months:
+            return
+        fact = self.table("fact_transacoes").where(F.col(MONTH_PARTITION).isin(months))
+        summ = daily_summary(fact).withColumn(MONTH_PARTITION, month_ref(F.col("data_movimentacao")))
+        stage = f"{self.path}/_staging/fact_transacoes_dia/{uuid.uuid4().hex[:12]}"
+        summ.repartitionByRange(F.col(MONTH_PARTITION), F.col("id_cliente"), F.col("data_movimentacao")) \
+            .write.partitionBy(MONTH_PARTITION).parquet(stage)
+        target = self.table("fact_transacoes_dia")
+        staged = self.spark.read.parquet(stage).select(*target.columns)
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(MONTH_PARTITION).parquet(f"{self.path}/fact_transacoes_dia")
+
     def create_tables(self) -> None:
         """Empty dimension tables with their schemas (bootstrap step 2).
 

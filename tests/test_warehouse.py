@@ -58,3 +58,25 @@ def test_late_transaction_does_not_change_summary(spark, scratch):
                     summary_days=[row.data_movimentacao])
     assert wh.fact.where(F.col("id_transacao") == 10**12).count() == 1
     assert sorted(map(tuple, wh.fact_dia.collect())) == before
+
+
+def test_recompute_mode_takes_late_rows(spark, scratch):
+    sf = "/root/testdata/sf0.001"
+    st = staging_from_sf(spark, sf)
+    wh = Warehouse(spark, scratch)
+    wh.run_interval(st, end_date="last")
+    row = wh.fact.orderBy("data_movimentacao").first()
+    late = spark.createDataFrame(
+        [(10**12, row.id_cliente, "payin", 5.0, row.data_movimentacao, row.hora_movimentacao)],
+        st.transacoes.schema)
+    wh.run_interval(Staging(st.clientes, st.contratos, late), end_date="last", summarize=False)
+    other_before = sorted(map(tuple, wh.fact_dia.where(F.col("mes_ref") != int(
+        row.data_movimentacao.strftime("%Y%m"))).collect()))
+    wh.recompute_summary([row.data_movimentacao])
+    from paydw.operators.summary import daily_summary
+    want = sorted(map(tuple, daily_summary(wh.fact.drop("mes_ref")).collect()))
+    got = sorted(map(tuple, wh.fact_dia.drop("mes_ref").collect()))
+    assert got == want
+    other_after = sorted(map(tuple, wh.fact_dia.where(F.col("mes_ref") != int(
+        row.data_movimentacao.strftime("%Y%m"))).collect()))
+    assert other_after == other_before
