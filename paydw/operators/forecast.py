@@ -2,14 +2,16 @@
 
 Many series at once: ``groupBy(keys).applyInPandas`` hands each series
 (one row per day, so a group is bounded by the period length) to a small
-NumPy fit. The fit is the two-stage least-squares method of Hannan and
+NumPy fit. The fit starts from the two-stage least-squares method of Hannan and
 Rissanen (1982) instead of an exact state-space likelihood:
 
 1. difference d times and D times at the seasonal period s;
 2. fit a long autoregression by least squares, keep its residuals e;
 3. regress w_t on w_{t-i} (i in AR lags), e_{t-j} (j in MA lags) and a
    constant when nothing was differenced;
-4. one-step fitted values on the training rows; forecasts roll forward
+4. refine all coefficients by Levenberg-Marquardt on the conditional sum
+   of squares (the usual approximation of the Gaussian likelihood);
+5. one-step fitted values on the training rows; forecasts roll forward
    with future shocks 0; the interval is forecast +- z * s * sqrt(sum psi^2)
    with psi the impulse response of the full (differenced) model.
 
@@ -52,8 +54,69 @@ def _ols(X: np.ndarray, y: np.ndarray) -> np.ndarray | None:
     return beta
 
 
+def _css_residuals(w: np.ndarray, coef: dict, ar_lags, ma_lags, start: int) -> np.ndarray:
+    c = coef.get("c", 0.0)
+    phi = [(i, coef[f"ar{i}"]) for i in ar_lags]
+    theta = [(j, coef[f"ma{j}"]) for j in ma_lags]
+    n = len(w)
+    res = np.zeros(n)
+    ar_part = np.full(n, c)
+    for i, f in phi:
+        ar_part[start:] += f * w[start - i:n - i]
+    for t in range(start, n):
+        v = ar_part[t]
+        for j, th in theta:
+            v += th * res[t - j]
+        res[t] = w[t] - v
+    return res[start:]
+
+
+def _css_refine(w: np.ndarray, coef: dict, names: list[str], ar_lags, ma_lags, start: int,
+                iters: int = 25) -> dict:
+    """Levenberg-Marquardt on the conditional sum of squares, from the two-stage estimate.
+
+    Conditional least squares is the usual approximation of the Gaussian
+    likelihood of an ARMA model; steps that leave the stationary/invertible
+    region are pulled back by ``_stabilize``.
+    """
+    x = np.array([coef[k] for k in names], dtype=float)
+
+    def resid(v):
+        return _css_residuals(w, _stabilize(dict(zip(names, v)), ar_lags, ma_lags), ar_lags, ma_lags, start)
+
+    r = resid(x)
+    sse = float(r @ r)
+    lam = 1e-3
+    for _ in range(iters):
+        J = np.empty((len(r), len(x)))
+        for k in range(len(x)):
+            h = 1e-6 * max(1.0, abs(x[k]))
+            xk = x.copy()
+            xk[k] += h
+            J[:, k] = (resid(xk) - r) / h
+        g = J.T @ r
+        A = J.T @ J
+        improved = False
+        for _ in range(10):
+            try:
+                step = np.linalg.solve(A + lam * np.diag(np.diag(A) + 1e-12), -g)
+            except np.linalg.LinAlgError:
+                lam *= 10
+                continue
+            xn = x + step
+            rn = resid(xn)
+            sn = float(rn @ rn)
+            if np.isfinite(sn) and sn < sse:
+                x, r, sse, lam, improved = xn, rn, sn, max(lam / 10, 1e-9), True
+                break
+            lam *= 10
+        if not improved or np.max(np.abs(step)) < 1e-8:
+            break
+    return _stabilize(dict(zip(names, x)), ar_lags, ma_lags)
+
+
 def hannan_rissanen(w: np.ndarray, ar_lags: list[int], ma_lags: list[int],
-                    with_const: bool, long_ar: int) -> dict | None:
+                    with_const: bool, long_ar: int, refine: bool = True) -> dict | None:
     n = len(w)
     maxl = max(ar_lags + ma_lags + [0])
     if n < maxl + long_ar + len(ar_lags) + len(ma_lags) + 3 or np.allclose(w, w[0]):
@@ -84,6 +147,8 @@ def hannan_rissanen(w: np.ndarray, ar_lags: list[int], ma_lags: list[int],
     if b is None:
         return None
     coef = _stabilize(dict(zip(names, b)), ar_lags, ma_lags)
+    if refine and ma_lags:
+        coef = _css_refine(w, coef, names, ar_lags, ma_lags, maxl)
     # recompute residuals recursively with the fitted model (for fitted values)
     c = coef.get("c", 0.0)
     res = np.zeros(n)
