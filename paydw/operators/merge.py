@@ -65,9 +65,11 @@ def new_rows(source: DataFrame, target: DataFrame | None, keys: list[str] | tupl
     for k in ranged:
         tgt = tgt.where(F.col(k).between(F.lit(stats[f"_lo_{k}"]), F.lit(stats[f"_hi_{k}"])))
     if stats["_n"] <= broadcast_rows:
-        # target rows that collide with a source key; the target is scanned, never shuffled
-        matched = tgt.join(F.broadcast(src_keys), join_keys, "left_semi")
-        return source.join(matched.distinct(), join_keys, "left_anti")
+        # target keys that collide with a source key; the target is scanned, never
+        # shuffled. The matches are a subset of the counted source keys, so they
+        # are broadcast to the anti join as well.
+        matched = tgt.join(F.broadcast(src_keys), join_keys, "left_semi").distinct()
+        return source.join(F.broadcast(matched), join_keys, "left_anti")
     return source.join(tgt, join_keys, "left_anti")
 
 
