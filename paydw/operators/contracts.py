@@ -10,17 +10,18 @@ into a nested-loop join on the day inequality. It is rewritten with
 
     max{v : v >= d} = m   if m >= d, else NULL,   m = max(v) per client
 
-so only equi-joins on the client remain: a per-client aggregate over the
-contracts (small, one row per client), joined back to the contracts on
-(client, expiry), joined to the transactions on the client. The big side
-(transactions) is shuffled once; a hot client is split by AQE's skew join,
-and when the per-client table is small at runtime AQE turns the join into a
+so only an equi-join on the client remains: a window partitioned by client
+over the contracts keeps those at their client's latest expiry (one row
+per client, already hash-partitioned by client), then the transactions are
+joined on the client. The big side (transactions) is shuffled once; hot
+clients are split by a salted join (``hot_clients``) or AQE's skew join,
+and when the contract side is small at runtime AQE turns the join into a
 broadcast without any hint.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paydw.operators.skew import salted_join
@@ -32,15 +33,25 @@ def latest_contracts(contratos: DataFrame, max_source: DataFrame | None = None,
     """Contracts whose expiry equals the latest expiry of their client.
 
     ``max_source`` is the table the maximum is taken over (the warehouse
-    dimension in the reference); it defaults to ``contratos``.
+    dimension in the reference); it defaults to ``contratos``. One window
+    partitioned by client over (max_source rows + candidate rows) gives the
+    maximum next to each candidate: a single exchange on the client, and the
+    result stays hash-partitioned by client for the join with the
+    transactions. A client has a handful of contracts, so a window partition
+    stays small even for a client with a third of all transactions.
     """
-    src = contratos if max_source is None else max_source
-    latest = src.groupBy(client).agg(F.max(expiry).alias("_latest_expiry"))
-    return (
-        contratos.join(latest, client)
-        .where(F.col(expiry) == F.col("_latest_expiry"))
-        .drop("_latest_expiry")
-    )
+    w = Window.partitionBy(client)
+    if max_source is None:
+        x = contratos.withColumn("_latest", F.max(expiry).over(w))
+        return x.where(F.col(expiry) == F.col("_latest")).drop("_latest")
+    cand = contratos.withColumn("_cand", F.lit(True))
+    ref = max_source.select(
+        *[F.col(f.name) if f.name in (client, expiry) else F.lit(None).cast(f.dataType).alias(f.name)
+          for f in contratos.schema.fields],
+        F.lit(False).alias("_cand"))
+    x = cand.unionByName(ref).withColumn(
+        "_latest", F.max(F.when(~F.col("_cand"), F.col(expiry))).over(w))
+    return x.where(F.col("_cand") & (F.col(expiry) == F.col("_latest"))).drop("_cand", "_latest")
 
 
 def resolve_contract(transacoes: DataFrame, contratos: DataFrame,

@@ -41,7 +41,7 @@ from paydw.sources.driver import Staging, staging_from_sf
 
 TABLES = ("dim_clientes", "dim_contratos", "dim_tempo", "fact_transacoes", "fact_transacoes_dia")
 # Bump when the ETL output changes so cached warehouses are rebuilt.
-WAREHOUSE_VERSION = "2"
+WAREHOUSE_VERSION = "3"
 
 
 @dataclass
