@@ -73,7 +73,8 @@ def usage_dense(wh: Warehouse, start=None, end=None, today=None) -> DataFrame:
 
 def usage_gaps(wh: Warehouse) -> DataFrame:
     """Per client and use day: previous use day and idle days in between."""
-    days = wh.fact_dia.select("id_cliente", "data_movimentacao").distinct()
+    # one shuffle by client serves both the distinct and the per-client window
+    days = wh.fact_dia.select("id_cliente", "data_movimentacao").repartition("id_cliente").distinct()
     return use_gaps(days, ["id_cliente"], "data_movimentacao")
 
 
@@ -86,7 +87,12 @@ def usage_pivot_type(wh: Warehouse) -> DataFrame:
 
 
 def event_use_days(spark, events: DataFrame) -> DataFrame:
-    """Use days and gaps from the use-event source: per (client, day) events and value."""
+    """Use days and gaps from the use-event source: per (client, day) events and value.
+
+    Raw events are aggregated with partial (map-side) aggregation before the
+    shuffle, so a client with a third of all events adds one row per task;
+    the per-client window then runs over one row per client and day.
+    """
     per_day = events.groupBy("id_cliente", "data_movimentacao").agg(
         F.count(F.lit(1)).alias("eventos"), sum_money("valor", "valor_total"))
     return use_gaps(per_day, ["id_cliente"], "data_movimentacao")

@@ -12,18 +12,26 @@ from paydw.plans.warehouse import Warehouse
 QTY = ("quantidade_boleto", "quantidade_payout", "quantidade_payin")
 
 
-def volume_client_day(wh: Warehouse, id_cliente: int | None = None) -> DataFrame:
-    """Per (day, client): summed quantities of boleto, payout, payin."""
+def volume_client_day(wh: Warehouse, id_cliente: int | None = None,
+                      by_client: bool = False) -> DataFrame:
+    """Per (day, client): summed quantities of boleto, payout, payin.
+
+    ``by_client`` hash-partitions the summary rows by client first, so that
+    the aggregate and a later per-client window share one shuffle (the rows
+    are already daily, so a client adds at most a few rows a day).
+    """
     fd = wh.fact_dia.select("id_cliente", "data_movimentacao", *QTY)
     if id_cliente is not None:
         fd = fd.where(F.col("id_cliente") == id_cliente)
+    if by_client:
+        fd = fd.repartition("id_cliente")
     j = with_calendar(fd, wh.tempo)
     return j.groupBy("data", "id_cliente").agg(*[F.sum(q).cast("long").alias(q) for q in QTY])
 
 
 def volume_moving_avg(wh: Warehouse, window: int = 5, id_cliente: int | None = None) -> DataFrame:
     """G2 with a trailing ``window``-row mean per client, ordered by day."""
-    v = volume_client_day(wh, id_cliente)
+    v = volume_client_day(wh, id_cliente, by_client=True)
     out = moving_average(v, ["id_cliente"], "data", list(QTY), window=window)
     return out.withColumnsRenamed({f"{q}_media_movel": f"media_movel_{q.split('_')[1]}" for q in QTY})
 
