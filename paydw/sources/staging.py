@@ -13,8 +13,10 @@ from pyspark.sql.types import StructType
 
 
 def read_staging(spark: SparkSession, path: str, schema: StructType,
-                 fmt: str = "parquet") -> DataFrame:
-    reader = spark.read.format(fmt)
+                 fmt: str = "parquet", options: dict | None = None) -> DataFrame:
+    opts = {"header": "true"} if fmt == "csv" else {}
+    opts.update(options or {})
+    reader = spark.read.format(fmt).options(**opts)
     if fmt != "parquet":
         reader = reader.schema(schema)
     df = reader.load(path)
@@ -22,9 +24,10 @@ def read_staging(spark: SparkSession, path: str, schema: StructType,
 
 
 def read_staging_window(spark: SparkSession, path: str, schema: StructType,
-                        date_col: str, start, end, fmt: str = "parquet") -> DataFrame:
+                        date_col: str, start, end, fmt: str = "parquet",
+                        options: dict | None = None) -> DataFrame:
     """Rows of one pull window ``start <= date_col < end``; the filter reaches the scan."""
-    df = read_staging(spark, path, schema, fmt)
+    df = read_staging(spark, path, schema, fmt, options)
     c = F.col(date_col)
     return df.where((c >= F.lit(start)) & (c < F.lit(end)))
 

@@ -69,3 +69,22 @@ def test_bootstrap_and_previous_day_job(spark, scratch):
     after = wh.fact_dia.where(F.col("data_movimentacao") == nxt).count()
     expect = wh.fact.where(F.col("data_movimentacao") == nxt).select("id_cliente", "id_contrato").distinct().count()
     assert before == 0 and after == expect > 0
+
+
+def test_staging_readers_enforce_schema_and_window(spark, scratch):
+    from paydw.schemas import STAGING_TRANSACOES
+    from paydw.sources.staging import read_staging, read_staging_window
+
+    rows = [(1, 7, "payin", 10.5, dt.date(2024, 1, d), dt.datetime(2024, 1, d, 9)) for d in (1, 2, 3)]
+    spark.createDataFrame(rows, STAGING_TRANSACOES).write.option("header", True).csv(scratch + "/csv")
+    df = read_staging(spark, scratch + "/csv", STAGING_TRANSACOES, fmt="csv")
+    assert df.schema == STAGING_TRANSACOES
+    assert sorted(r.data_movimentacao.day for r in df.collect()) == [1, 2, 3]
+    w = read_staging_window(spark, scratch + "/csv", STAGING_TRANSACOES, "data_movimentacao",
+                            "2024-01-02", "2024-01-03", fmt="csv")
+    assert [r.data_movimentacao.day for r in w.collect()] == [2]
+    spark.createDataFrame(rows, STAGING_TRANSACOES).write.parquet(scratch + "/pq")
+    wp = read_staging_window(spark, scratch + "/pq", STAGING_TRANSACOES, "data_movimentacao",
+                             "2024-01-02", "2024-01-04")
+    plan = wp._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(data_movimentacao" in plan and wp.count() == 2
