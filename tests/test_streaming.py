@@ -71,3 +71,25 @@ def test_live_totals_watermark_across_runs(spark, scratch):
     got = run()
     assert got[(dt.date(2024, 1, 1), 1)] == (1, 1.0)      # dropped: later than the watermark
     assert got[(dt.date(2024, 1, 5), 1)] == (2, 3.0)      # updated: within the lateness bound
+
+
+def test_ingest_with_summary_callback(spark, scratch):
+    from paydw.operators.summary import daily_summary
+    from paydw.plans.warehouse import Warehouse
+    from paydw.sources.driver import staging_clientes
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    wh = Warehouse(spark, f"{scratch}/dw")
+    wh.load_clientes(staging_clientes(spark, SF))
+    wh.load_contratos(staging_contratos(spark, SF))
+    cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    src = f"{scratch}/staging"
+    for i, part in enumerate((orders.where(cut), orders.where(~cut))):
+        part.write.parquet(f"{src}/batch={i}")
+        q = ingest_transactions(spark, staging_stream(spark, src + "/*", orders.schema, orders_to_transacoes),
+                                wh.contratos, f"{wh.path}/fact_transacoes",
+                                checkpoint=f"{scratch}/ck", summary=wh.load_summary)
+        q.awaitTermination()
+    got = sorted(map(tuple, wh.fact_dia.drop("mes_ref").collect()))
+    want = sorted(map(tuple, daily_summary(wh.fact.drop("mes_ref")).collect()))
+    assert got == want and len(got) > 0
