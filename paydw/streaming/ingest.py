@@ -43,8 +43,7 @@ def ingest_batch(batch: DataFrame, contratos: DataFrame, fact_path: str,
 
 
 def ingest_transactions(spark: SparkSession, stream: DataFrame, contratos: DataFrame,
-                        fact_path: str, checkpoint: str | None = None, summary=None,
-                        max_files_per_trigger: int | None = None):
+                        fact_path: str, checkpoint: str | None = None, summary=None):
     """Start the ingest stream (``availableNow``) and return the running query.
 
     ``stream`` is a streaming DataFrame with the staging transaction columns.
