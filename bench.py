@@ -46,12 +46,16 @@ def main() -> None:
         .write.format("noop").mode("overwrite").save()
     times["resolve_contract_only"] = time.time() - t
 
+    errors: dict[str, str] = {}
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         t = time.time()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = time.time() - t
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = time.time() - t
+        except Exception as e:  # record and go on: one failure must not hide the rest
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
@@ -62,6 +66,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 

@@ -164,3 +164,14 @@ def test_forecast_integrated_trend(spark):
     assert all(b > a for a, b in zip(prev, prev[1:]))
     assert fc[-1].previsao == pytest.approx(y[79], rel=0.1)
     assert all(r.inferior < r.previsao < r.superior for r in fc)
+
+
+def test_psi_weights():
+    from paydw.operators.forecast import _psi
+
+    # AR(1): psi_k = phi^k; random walk: all ones; MA(1) after one difference: 1, 1+theta, 1+theta, ...
+    assert np.allclose(_psi({"ar1": 0.5}, [1], [], 0, 0, 1, 5), [1, 0.5, 0.25, 0.125, 0.0625])
+    assert np.allclose(_psi({}, [], [], 1, 0, 1, 4), [1, 1, 1, 1])
+    assert np.allclose(_psi({"ma1": 0.3}, [], [1], 1, 0, 1, 4), [1, 1.3, 1.3, 1.3])
+    # seasonal difference with period 3: shocks persist at lags 3, 6, ...
+    assert np.allclose(_psi({}, [], [], 0, 1, 3, 7), [1, 0, 0, 1, 0, 0, 1])
