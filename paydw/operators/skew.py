@@ -18,6 +18,7 @@ Results are exactly those of the plain join: the sample only steers the plan.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +29,17 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.02, fraction: float =
              seed: int = 17) -> list:
     """Keys with an estimated share of rows >= ``min_share`` (at most 1/min_share of them)."""
     s = df.select(key).where(F.col(key).isNotNull()).sample(fraction=fraction, seed=seed)
-    counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    tot = counts.agg(F.sum("n").alias("t")).first()["t"] or 0
-    if tot == 0:
-        return []
-    # shares of the sample sum to 1, so at most 1/min_share keys qualify
-    rows = counts.where(F.col("n") >= F.lit(min_share * tot)).collect()
-    return [r[key] for r in rows]
+    # the sampled counts are read by two actions: keep them, so the source is scanned once
+    counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tot = counts.agg(F.sum("n").alias("t")).first()["t"] or 0
+        if tot == 0:
+            return []
+        # shares of the sample sum to 1, so at most 1/min_share keys qualify
+        rows = counts.where(F.col("n") >= F.lit(min_share * tot)).collect()
+        return [r[key] for r in rows]
+    finally:
+        counts.unpersist()
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, hot: list, buckets: int,
