@@ -20,6 +20,8 @@ that is a function of the key) the range filter on it prunes partitions.
 
 from __future__ import annotations
 
+import os
+
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +30,21 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+def _local_missing(path: str) -> bool:
+    """True when ``path`` is on the local filesystem and has no parquet data yet."""
+    if "://" in path and not path.startswith("file://"):
+        return False  # remote filesystem: let Spark decide
+    p = path[len("file://"):] if path.startswith("file://") else path
+    p = p[len("file:"):] if p.startswith("file:") else p
+    if not os.path.isdir(p):
+        return True
+    return not any(not n.startswith(("_", ".")) for n in os.listdir(p))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``, or None when it does not exist yet."""
+    if _local_missing(path):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException:
