@@ -229,6 +229,8 @@ _PACF_CTE = _PACF_CTE.replace("WITH RECURSIVE", "")
 
 
 SQL: dict[str, str] = {
+    "dim_clientes": _with("SELECT * FROM cli"),
+    "dim_contratos": _with("SELECT * FROM con"),
     "calendar": _with("SELECT * FROM tempo"),
     "resolve_contract": _with("SELECT * FROM fact"),
     "merge_insert_only": _with("SELECT * FROM fact"),

@@ -102,7 +102,9 @@ def _event_use_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    # ETL outputs
+    # ETL outputs
+    "dim_clientes": _wh(lambda wh: wh.clientes),
+    "dim_contratos": _wh(lambda wh: wh.contratos),
     "calendar": _wh(lambda wh: wh.tempo),
     "resolve_contract": _wh(lambda wh: drop_partition(wh.fact)),
     "daily_summary": _wh(lambda wh: drop_partition(wh.fact_dia)),
