@@ -117,8 +117,10 @@ class Warehouse:
 
     def load_summary(self, days: list | None = None) -> None:
         """Daily summary of ``days`` (all days when None), insert-only on (client, day)."""
+        if days is not None and len(days) == 0:
+            return
         fact = self.table("fact_transacoes")
-        if days:
+        if days is not None:
             ds = [F.lit(str(d)).cast("date") for d in days]
             months = sorted({int(str(d)[:4]) * 100 + int(str(d)[5:7]) for d in days})
             fact = fact.where(F.col(MONTH_PARTITION).isin(months)

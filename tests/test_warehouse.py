@@ -80,3 +80,15 @@ def test_recompute_mode_takes_late_rows(spark, scratch):
     other_after = sorted(map(tuple, wh.fact_dia.where(F.col("mes_ref") != int(
         row.data_movimentacao.strftime("%Y%m"))).collect()))
     assert other_after == other_before
+
+
+def test_empty_interval_changes_nothing(spark, scratch):
+    sf = "/root/testdata/sf0.001"
+    st = staging_from_sf(spark, sf)
+    wh = Warehouse(spark, scratch)
+    wh.run_interval(st, end_date="2002-01-01")
+    before = {t: sorted(map(tuple, wh.table(t).collect())) for t in ("fact_transacoes", "fact_transacoes_dia")}
+    empty = Staging(st.clientes.limit(0), st.contratos.limit(0), st.transacoes.limit(0))
+    wh.run_interval(empty, end_date="2002-01-01", summary_days=[])
+    for t, rows in before.items():
+        assert sorted(map(tuple, wh.table(t).collect())) == rows
