@@ -185,8 +185,25 @@ class Warehouse:
             self.load_summary(summary_days)
 
 
+_CODE_DIGEST: list[str] = []
+
+
+def _code_digest() -> str:
+    """Digest of this package's source: a changed job never reuses an old build."""
+    if not _CODE_DIGEST:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        h = hashlib.sha1()
+        for d, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    with open(os.path.join(d, f), "rb") as fh:
+                        h.update(f.encode() + b"\0" + fh.read())
+        _CODE_DIGEST.append(h.hexdigest()[:12])
+    return _CODE_DIGEST[0]
+
+
 def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha1(f"{WAREHOUSE_VERSION}|{os.path.abspath(sf_dir)}".encode())
+    h = hashlib.sha1(f"{WAREHOUSE_VERSION}|{_code_digest()}|{os.path.abspath(sf_dir)}".encode())
     for name in ("customer", "orders"):
         p = os.path.join(sf_dir, f"{name}.parquet")
         try:
