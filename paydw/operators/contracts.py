@@ -41,11 +41,14 @@ def latest_contracts(contratos: DataFrame, max_source: DataFrame | None = None,
     stays small even for a client with a third of all transactions.
     """
     w = Window.partitionBy(client)
+    # contracts without a client can never match a transaction: dropping them
+    # also keeps them from forming one large NULL window partition
+    contratos = contratos.where(F.col(client).isNotNull())
     if max_source is None:
         x = contratos.withColumn("_latest", F.max(expiry).over(w))
         return x.where(F.col(expiry) == F.col("_latest")).drop("_latest")
     cand = contratos.withColumn("_cand", F.lit(True))
-    ref = max_source.select(
+    ref = max_source.where(F.col(client).isNotNull()).select(
         *[F.col(f.name) if f.name in (client, expiry) else F.lit(None).cast(f.dataType).alias(f.name)
           for f in contratos.schema.fields],
         F.lit(False).alias("_cand"))
