@@ -1,9 +1,10 @@
 """DuckDB SQL that states each registered query independently (correctness gate).
 
 The views ``customer``, ``orders``, ``events`` are the driver tables. The
-common table expressions rebuild the star schema with plain SQL, with the
-contract resolution in its original correlated form, so every Spark job is
-checked against a formulation it does not share code with.
+common table expressions rebuild the star schema with plain SQL, so every Spark job is
+checked against a formulation it does not share code with; contract
+resolution is stated by its definition (no contract of the client expires
+later), not by the per-client maximum the Spark job uses.
 """
 
 from __future__ import annotations
@@ -46,13 +47,14 @@ tx AS (
          o_orderdate AS hora_movimentacao
   FROM orders),
 fact AS (
-  SELECT st.id_transacao, st.id_cliente, sc.id_contrato, st.tipo_transacao, st.valor_transacao,
-         st.data_movimentacao, st.hora_movimentacao
-  FROM tx st JOIN con sc ON sc.id_cliente = st.id_cliente
-  WHERE st.data_movimentacao <= sc.data_vencimento_contrato
-    AND sc.data_vencimento_contrato = (
-      SELECT MAX(c2.data_vencimento_contrato) FROM con c2
-      WHERE c2.id_cliente = st.id_cliente AND c2.data_vencimento_contrato >= st.data_movimentacao)),
+  -- the rule stated literally: a contract of the client, valid on the day, at the
+  -- latest expiry among the client's contracts (ties keep every tied contract)
+  SELECT t.id_transacao, t.id_cliente, c.id_contrato, t.tipo_transacao, t.valor_transacao,
+         t.data_movimentacao, t.hora_movimentacao
+  FROM tx t JOIN con c ON c.id_cliente = t.id_cliente AND t.data_movimentacao <= c.data_vencimento_contrato
+  WHERE NOT EXISTS (SELECT 1 FROM con later
+                    WHERE later.id_cliente = t.id_cliente
+                      AND later.data_vencimento_contrato > c.data_vencimento_contrato)),
 fd AS (
   SELECT id_cliente, data_movimentacao, id_contrato,
          CAST(COUNT(id_cliente) AS INTEGER) AS quantidade_movimentacoes,

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from paydw.operators.contracts import resolve_contract, resolve_contract_correlated_sql
+from paydw.operators.contracts import resolve_contract, resolve_contract_by_definition_sql
 from paydw.operators.merge import insert_only_merge
 from paydw.schemas import STAGING_CONTRATOS, STAGING_TRANSACOES
 
@@ -48,21 +48,21 @@ def test_fixture_cases(spark):
     assert len(got) == 5
 
 
-def test_rewrite_equals_correlated_form(spark):
+def test_rewrite_equals_definition(spark):
     _tx(spark, TX).createOrReplaceTempView("t_tx")
     _contracts(spark, CONTRACTS).createOrReplaceTempView("t_con")
-    corr = spark.sql(resolve_contract_correlated_sql("t_tx", "t_con"))
+    corr = spark.sql(resolve_contract_by_definition_sql("t_tx", "t_con"))
     assert sorted((r.id_transacao, r.id_contrato) for r in corr.collect()) == _resolved(spark)
 
 
-def test_rewrite_equals_correlated_on_driver_data(spark):
+def test_rewrite_equals_definition_on_driver_data(spark):
     from paydw.sources.driver import staging_contratos, staging_transacoes
 
     sf = "/root/testdata/sf0.001"
     tx, con = staging_transacoes(spark, sf), staging_contratos(spark, sf)
     tx.createOrReplaceTempView("d_tx")
     con.createOrReplaceTempView("d_con")
-    corr = spark.sql(resolve_contract_correlated_sql("d_tx", "d_con"))
+    corr = spark.sql(resolve_contract_by_definition_sql("d_tx", "d_con"))
     ours = resolve_contract(tx, con)
     a = sorted(tuple(r) for r in corr.select("id_transacao", "id_contrato").collect())
     b = sorted(tuple(r) for r in ours.select("id_transacao", "id_contrato").collect())
