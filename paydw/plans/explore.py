@@ -44,9 +44,18 @@ def client_profile(wh: Warehouse) -> DataFrame:
 
 def weekday_seasonality(wh: Warehouse) -> DataFrame:
     """Per (segment, weekday): days observed, mean transactions and mean value a day."""
+    return _seasonality(wh, "dia_da_semana")
+
+
+def month_seasonality(wh: Warehouse) -> DataFrame:
+    """Per (segment, calendar month): days observed, mean transactions and mean value a day."""
+    return _seasonality(wh, "mes")
+
+
+def _seasonality(wh: Warehouse, attr: str) -> DataFrame:
     sd = with_calendar(segment_day(wh), wh.tempo)
     n = F.count(F.lit(1))
-    return sd.groupBy("segmento", "dia_da_semana").agg(
+    return sd.groupBy("segmento", attr).agg(
         n.alias("dias"),
         (F.sum("quantidade_movimentacoes").cast("double") / n).alias("quantidade_media"),
         ((F.sum(F.round(F.col("total_movimentacao") * 100).cast("long")).cast("double") / 100.0) / n)

@@ -230,6 +230,15 @@ pacf AS (
 _PACF_CTE = _PACF_CTE.replace("WITH RECURSIVE", "")
 
 
+def _seasonality_sql(attr: str) -> str:
+    return f"""
+SELECT s.segmento, t.{attr}, COUNT(*) AS dias,
+       CAST(SUM(s.quantidade_movimentacoes) AS DOUBLE) / COUNT(*) AS quantidade_media,
+       (CAST(SUM(CAST(ROUND(s.total_movimentacao * 100.0) AS BIGINT)) AS DOUBLE) / 100.0) / COUNT(*) AS valor_medio
+FROM seg_all s JOIN tempo t ON s.data_movimentacao = t.data
+GROUP BY s.segmento, t.{attr}"""
+
+
 SQL: dict[str, str] = {
     "dim_clientes": _with("SELECT * FROM cli"),
     "dim_contratos": _with("SELECT * FROM con"),
@@ -373,10 +382,6 @@ SELECT id_cliente, segmento, quantidade_movimentacoes,
        {", ".join(f"ROUND(participacao_{t}, 8) AS participacao_{t}" for t in TYPES)},
        {", ".join(f"ROUND(participacao_{t} - m_{t}, 8) AS desvio_{t}" for t in TYPES)}
 FROM sh JOIN m USING (segmento)"""),
-    "weekday_seasonality": _with("""
-SELECT s.segmento, t.dia_da_semana, COUNT(*) AS dias,
-       CAST(SUM(s.quantidade_movimentacoes) AS DOUBLE) / COUNT(*) AS quantidade_media,
-       (CAST(SUM(CAST(ROUND(s.total_movimentacao * 100.0) AS BIGINT)) AS DOUBLE) / 100.0) / COUNT(*) AS valor_medio
-FROM seg_all s JOIN tempo t ON s.data_movimentacao = t.data
-GROUP BY s.segmento, t.dia_da_semana"""),
+    "weekday_seasonality": _with(_seasonality_sql("dia_da_semana")),
+    "month_seasonality": _with(_seasonality_sql("mes")),
 }

@@ -153,6 +153,7 @@ QUERIES: dict[str, Query] = {
     "type_by_segment": _wh(explore.type_by_segment),
     "client_profile": _wh(explore.client_profile),
     "weekday_seasonality": _wh(explore.weekday_seasonality),
+    "month_seasonality": _wh(explore.month_seasonality),
 }
 
 
