@@ -24,14 +24,20 @@ from pyspark.sql import functions as F
 from paydw.functions.calendar import month_ref
 from paydw.operators.contracts import resolve_contract
 from paydw.operators.merge import insert_only_merge
+from paydw.operators.skew import hot_keys
 from paydw.schemas import KEYS, MONTH_PARTITION
 from paydw.session import scratch_path
 
 
 def ingest_batch(batch: DataFrame, contratos: DataFrame, fact_path: str,
-                 summary=None) -> None:
-    """One micro-batch: resolve contracts, merge into the fact table, summarize its days."""
-    resolved = resolve_contract(batch, contratos).select(
+                 summary=None, hot_client_share: float | None = 0.02) -> None:
+    """One micro-batch: resolve contracts, merge into the fact table, summarize its days.
+
+    Clients holding at least ``hot_client_share`` of the batch are split over
+    salted tasks in the contract join (estimated on a sample of the batch).
+    """
+    hot = hot_keys(batch, "id_cliente", min_share=hot_client_share) if hot_client_share else None
+    resolved = resolve_contract(batch, contratos, hot_clients=hot).select(
         "id_transacao", "id_cliente", "id_contrato", "tipo_transacao", "valor_transacao",
         "data_movimentacao", "hora_movimentacao",
         month_ref(F.col("data_movimentacao")).alias(MONTH_PARTITION))
@@ -43,7 +49,8 @@ def ingest_batch(batch: DataFrame, contratos: DataFrame, fact_path: str,
 
 
 def ingest_transactions(spark: SparkSession, stream: DataFrame, contratos: DataFrame,
-                        fact_path: str, checkpoint: str | None = None, summary=None):
+                        fact_path: str, checkpoint: str | None = None, summary=None,
+                        hot_client_share: float | None = 0.02):
     """Start the ingest stream (``availableNow``) and return the running query.
 
     ``stream`` is a streaming DataFrame with the staging transaction columns.
@@ -54,7 +61,7 @@ def ingest_transactions(spark: SparkSession, stream: DataFrame, contratos: DataF
     checkpoint = checkpoint or scratch_path(spark, "paydw-streams", "ingest")
 
     def _batch(df: DataFrame, batch_id: int) -> None:
-        ingest_batch(df, contratos, fact_path, summary)
+        ingest_batch(df, contratos, fact_path, summary, hot_client_share)
 
     w = stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True)
