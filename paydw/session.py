@@ -42,6 +42,10 @@ def cluster_conf(total_cores: int, shuffle_bytes: int | None = None,
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+        # streaming state (live totals) off the JVM heap, checkpointed incrementally
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
 
 
