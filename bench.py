@@ -28,7 +28,8 @@ def main() -> None:
 
     from paydw.session import get_session
 
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="paydw-bench",
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 2))))
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=parts, app="paydw-bench",
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
 
     from paydw.operators.contracts import resolve_contract
