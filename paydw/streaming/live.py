@@ -48,9 +48,34 @@ def live_daily_totals(spark: SparkSession, events: DataFrame, out_path: str,
     return w.start()
 
 
-def read_latest_totals(spark: SparkSession, out_path: str) -> DataFrame:
-    """Last value of each (day, client) in the update log."""
-    log = spark.read.parquet(out_path).dropDuplicates()
+def _latest(log: DataFrame) -> DataFrame:
     w = Window.partitionBy("dia", "id_cliente").orderBy(F.col("batch_id").desc())
-    return (log.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
-               .drop("_r", "batch_id"))
+    return log.dropDuplicates().withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
+
+
+def read_latest_totals(spark: SparkSession, out_path: str, snapshot: str | None = None) -> DataFrame:
+    """Last value of each (day, client) in the update log.
+
+    With ``snapshot`` (written by ``snapshot_totals``) only log entries of
+    later batches are read on top of it, so log files older than the
+    snapshot can be expired.
+    """
+    log = spark.read.parquet(out_path)
+    if snapshot is not None:
+        snap = spark.read.parquet(snapshot)
+        upto = snap.agg(F.max("batch_id").alias("m")).first()["m"]
+        if upto is not None:
+            log = snap.unionByName(log.where(F.col("batch_id") > F.lit(upto)))
+    return _latest(log).drop("batch_id")
+
+
+def snapshot_totals(spark: SparkSession, out_path: str, snapshot_path: str,
+                    previous: str | None = None) -> None:
+    """Write the latest value of every (day, client), with its batch id, to a new folder."""
+    log = spark.read.parquet(out_path)
+    if previous is not None:
+        prev = spark.read.parquet(previous)
+        upto = prev.agg(F.max("batch_id").alias("m")).first()["m"]
+        if upto is not None:
+            log = prev.unionByName(log.where(F.col("batch_id") > F.lit(upto)))
+    _latest(log).write.parquet(snapshot_path)
