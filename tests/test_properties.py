@@ -70,3 +70,28 @@ def test_resolution_matches_correlated_model(spark, con, tx):
         STAGING_TRANSACOES)
     got = sorted((r.id_transacao, r.id_contrato) for r in resolve_contract(tdf, cdf).collect())
     assert got == _resolve_model(tx, con)
+
+
+@SETTINGS
+@given(vals=st.lists(st.lists(st.integers(0, 10**7), min_size=3, max_size=40), min_size=2, max_size=3),
+       start=st.integers(0, 20000))
+def test_trend_matches_numpy_and_adds_up(spark, vals, start):
+    import numpy as np
+    import pytest
+
+    from paydw.operators.trend import trend_fit
+
+    n = min(len(v) for v in vals)
+    series = [np.array(v[:n]) / 100.0 for v in vals]            # money with cents
+    d0 = dt.date(1970, 1, 1) + dt.timedelta(days=start)
+    rows = [(f"s{k}", d0 + dt.timedelta(days=i), float(y[i])) for k, y in enumerate(series) for i in range(n)]
+    rows += [("total", d0 + dt.timedelta(days=i), float(sum(round(y[i], 2) for y in series))) for i in range(n)]
+    df = spark.createDataFrame(rows, "serie string, data_movimentacao date, valor double")
+    fits = {r.serie: r for r in trend_fit(df, ["serie"], "data_movimentacao", "valor").collect()}
+    x = np.arange(n) + start
+    for k, y in enumerate(series):
+        b, a = np.polyfit(x, y, 1)
+        assert fits[f"s{k}"].slope == pytest.approx(b, rel=1e-6, abs=1e-6)
+        assert fits[f"s{k}"].intercept == pytest.approx(a, rel=1e-6, abs=1e-3)
+    assert fits["total"].slope == pytest.approx(sum(fits[f"s{k}"].slope for k in range(len(series))),
+                                                rel=1e-6, abs=1e-6)
