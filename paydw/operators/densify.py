@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def _days(start, end):
     return F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY")))
 
@@ -27,7 +28,7 @@ def day_grid(df: DataFrame, keys: list[str], date_col: str, *, start=None, end=N
     if axis == "global":
         b = df.agg(F.min(date_col).alias("s"), F.max(date_col).alias("e")).first()
         if b is None or b["s"] is None:
-            return df.select(*keys, F.col(date_col)).limit(0)
+            return df.select(*keys, F.col(date_col)).where(F.lit(False))  # no data: empty axis
         return day_grid(df, keys, date_col, start=b["s"], end=b["e"])
     if not keys:
         raise ValueError("per_key axis needs keys")
