@@ -92,3 +92,21 @@ def test_empty_interval_changes_nothing(spark, scratch):
     wh.run_interval(empty, end_date="2002-01-01", summary_days=[])
     for t, rows in before.items():
         assert sorted(map(tuple, wh.table(t).collect())) == rows
+
+
+def test_etl_with_a_hot_client_equals_plain_resolution(spark, scratch):
+    from paydw.operators.contracts import resolve_contract
+    from paydw.operators.summary import daily_summary
+
+    st = staging_from_sf(spark, "/root/testdata/sf0.001")
+    # give a third of all transactions to client 7
+    tx = st.transacoes.withColumn(
+        "id_cliente", F.when(F.pmod(F.col("id_transacao"), F.lit(3)) == 0, F.lit(7)).otherwise(F.col("id_cliente")))
+    hot = Staging(st.clientes, st.contratos, tx)
+    wh = Warehouse(spark, scratch, hot_client_share=0.2, salt_buckets=8)
+    wh.run_interval(hot, end_date="2002-01-01")
+    want = resolve_contract(tx, st.contratos)
+    got = wh.fact.drop("mes_ref")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    assert sorted(map(tuple, wh.fact_dia.drop("mes_ref").collect())) == \
+        sorted(map(tuple, daily_summary(want).collect()))
