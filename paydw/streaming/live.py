@@ -21,15 +21,28 @@ from paydw.functions.money import cents
 from paydw.session import scratch_path
 
 
+def _event_time(c):
+    """An instant whose UTC wall clock is the event's wall clock (no session time zone involved).
+
+    Event times without a zone are read as local wall clock; the watermark
+    needs a TIMESTAMP, and day windows are aligned to UTC midnight, so the
+    wall clock is carried over as UTC instead of being shifted by the
+    session zone.
+    """
+    secs = (F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long") * 86400
+            + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c))
+    return F.timestamp_seconds(secs)  # whole seconds: enough for day windows and lateness
+
+
 def daily_totals_stream(events: DataFrame, ts_col: str = "ts", client_col: str = "user_id",
                         value_col: str = "value", lateness: str = "1 day") -> DataFrame:
-    ts = F.col(ts_col).cast("timestamp")
-    x = events.select(ts.alias("_ts"), F.col(client_col).cast("long").alias("id_cliente"),
-                      F.col(value_col).alias("_v"))
+    x = events.select(_event_time(F.col(ts_col)).alias("_ts"),
+                      F.col(client_col).cast("long").alias("id_cliente"), F.col(value_col).alias("_v"))
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int"))
     return (x.withWatermark("_ts", lateness)
              .groupBy(F.window("_ts", "1 day"), "id_cliente")
              .agg(F.count(F.lit(1)).alias("eventos"), F.sum(cents("_v")).alias("_cents"))
-             .select(F.to_date(F.col("window.start")).alias("dia"), "id_cliente", "eventos",
+             .select(day.alias("dia"), "id_cliente", "eventos",
                      (F.col("_cents").cast("double") / 100.0).alias("valor_total")))
 
 

@@ -100,3 +100,18 @@ def test_ingest_with_summary_callback(spark, scratch):
     got = sorted(map(tuple, wh.fact_dia.drop("mes_ref").collect()))
     want = sorted(map(tuple, daily_summary(wh.fact.drop("mes_ref")).collect()))
     assert got == want and len(got) > 0
+
+
+def test_live_totals_do_not_depend_on_session_time_zone(spark, scratch):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        stream = spark.readStream.schema(ev.schema).parquet(f"{SF}/events*.parquet")
+        live_daily_totals(spark, stream, f"{scratch}/out", checkpoint=f"{scratch}/ck").awaitTermination()
+        got = sorted((r.dia, r.id_cliente, r.eventos) for r in read_latest_totals(spark, f"{scratch}/out").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = ev.groupBy(F.to_date("ts").alias("dia"), F.col("user_id").alias("id_cliente")).agg(
+        F.count(F.lit(1)).alias("n"))
+    assert got == sorted((r.dia, r.id_cliente, r.n) for r in want.collect())
