@@ -18,6 +18,7 @@ duplicates rows and a window is never skipped.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,13 @@ def ingest_transactions(spark: SparkSession, stream: DataFrame, contratos: DataF
     checkpoint = checkpoint or scratch_path(spark, "paydw-streams", "ingest")
 
     def _batch(df: DataFrame, batch_id: int) -> None:
-        ingest_batch(df, contratos, fact_path, summary, hot_client_share)
+        # several actions read the batch (hot-key sample, merge, summary days):
+        # keep it for the duration of the call instead of re-reading the files
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            ingest_batch(df, contratos, fact_path, summary, hot_client_share)
+        finally:
+            df.unpersist()
 
     w = stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True)
