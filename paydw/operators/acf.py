@@ -9,17 +9,17 @@ Band: Bartlett's variance var_k = (1 + 2 sum_{j<k} r_j^2) / n (1/n at k=1,
 0 at k=0); half-width z * sqrt(var_k), z the 97.5% normal quantile. The
 first lag >= 1 outside a zero-centred band is the ACF candidate.
 
-PACF: Durbin-Levinson on the lag vector of each series, a grouped pandas
-function over <= nlags+1 rows per series (so a group never grows with data).
+PACF: Durbin-Levinson on the lag vector of each series (nlags+1 values,
+so a group never grows with the data), written with Spark's higher-order
+functions (``aggregate``/``transform``); ``durbin_levinson`` is the same
+recursion in NumPy, kept as the brute-force reference for tests.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 # Fixed value: two-sided 95% normal quantile.
 Z_975 = 1.959963984540054
@@ -97,37 +97,39 @@ def durbin_levinson(r: np.ndarray) -> np.ndarray:
     return out
 
 
+# Durbin-Levinson over the lag array ``r`` (r[0] = 1), with Spark's higher-order
+# functions: ``aggregate`` over k = 1..m carries phi_{k-1,1..k-1} and the pacf so far.
+_SEQ = "IF(k > 1, sequence(1, k - 1), CAST(array() AS array<int>))"
+_PK = (f"try_divide(r[k] - aggregate({_SEQ}, CAST(0 AS double), (s, j) -> s + acc.phi[j - 1] * r[k - j]), "
+       f"1 - aggregate({_SEQ}, CAST(0 AS double), (s, j) -> s + acc.phi[j - 1] * r[j]))")
+_DURBIN_LEVINSON = f"""aggregate(sequence(1, size(r) - 1),
+  named_struct('phi', CAST(array() AS array<double>), 'out', array(CAST(1.0 AS double))),
+  (acc, k) -> named_struct(
+    'phi', concat(transform({_SEQ}, j -> acc.phi[j - 1] - {_PK} * acc.phi[k - j - 1]), array({_PK})),
+    'out', concat(acc.out, array({_PK}))),
+  acc -> acc.out)"""
+
+
 def pacf(df: DataFrame, keys: list[str], order: str, value_col: str, nlags: int = 30,
          method: str = "ywadjusted") -> DataFrame:
     """Rows (keys..., lag, pacf, n, band) by Durbin-Levinson (Yule-Walker).
 
     ``ywadjusted`` uses the lag-adjusted autocovariances (divisor n-k),
     ``yw`` the plain ones. ``band`` is 2/sqrt(n), the threshold of T13.
+    The recursion runs in Spark's higher-order functions over the lag array
+    of each series (nlags+1 values), so no Python worker is involved; the
+    aggregate reuses the partitioning of the autocorrelation job.
     """
     keys = list(keys)
     a = acf(df, keys, order, value_col, nlags, adjusted=(method == "ywadjusted"), alpha=None)
-    a = a.select(*keys, "n", "lag", "acf")
-    schema = StructType(
-        [df.schema[k] for k in keys]
-        + [StructField("lag", IntegerType()), StructField("pacf", DoubleType()),
-           StructField("n", LongType()), StructField("band", DoubleType())]
-    )
-
-    def _dl(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        r = pdf["acf"].to_numpy(dtype=float)
-        n = int(pdf["n"].iloc[0])
-        r = np.nan_to_num(r, nan=0.0)
-        res = durbin_levinson(r)
-        out = pd.DataFrame({"lag": pdf["lag"].astype("int32").to_numpy(), "pacf": res,
-                            "n": n, "band": 2.0 / np.sqrt(n)})
-        for k in keys:
-            out.insert(0, k, pdf[k].iloc[0])
-        return out[[f.name for f in schema.fields]]
-
-    if keys:
-        return a.groupBy(*keys).applyInPandas(_dl, schema)
-    return a.groupBy(F.lit(0).alias("_k")).applyInPandas(_dl, schema)
+    lags = F.array_sort(F.collect_list(F.struct(F.col("lag"), F.coalesce(F.col("acf"), F.lit(0.0)).alias("acf"))))
+    grouped = a.groupBy(*keys) if keys else a.groupBy()
+    per = grouped.agg(F.first("n").alias("n"), lags.alias("_lags"))
+    per = per.select(*keys, "n", F.transform("_lags", lambda x: x["acf"]).alias("r"))
+    out = per.select(*keys, "n", F.posexplode(F.expr(_DURBIN_LEVINSON)).alias("lag", "pacf"))
+    return out.select(*keys, F.col("lag").cast("int").alias("lag"), "pacf",
+                      F.col("n").cast("long").alias("n"),
+                      (F.lit(2.0) / F.sqrt(F.col("n").cast("double"))).alias("band"))
 
 
 def pacf_first_lag(pacf_df: DataFrame, keys: list[str]) -> DataFrame:
