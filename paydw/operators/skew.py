@@ -1,19 +1,22 @@
-"""Hot keys: detection on a sample and salted equi-joins.
+"""Hot keys: detection by counting and salted equi-joins.
 
 A key that holds a large share of the rows (one client with a third of all
 transactions) sends all of them to one task of a shuffled join. AQE's skew
 join splits such partitions at runtime; ``salted_join`` does it explicitly
 and independently of AQE thresholds:
 
-* ``hot_keys`` estimates, on a Bernoulli sample, the keys holding at least
-  ``min_share`` of the rows. At most 1/min_share keys can qualify, so the
-  list brought to the driver is bounded whatever the data size.
+* ``hot_keys`` counts the rows of every key (one column scanned, partial
+  aggregation before the shuffle) and returns the keys holding at least
+  ``min_share`` of them. At most 1/min_share keys can qualify, so the list
+  brought to the driver is bounded whatever the data size. A Bernoulli
+  ``fraction`` can stand in for the full count; either way all rows are
+  processed by the join, the counts only steer the plan.
 * the big side gets a salt in [0, buckets) on rows of hot keys (0 otherwise),
   taken from a hash of row columns; the small side repeats each hot key's
   rows once per salt. Hot keys are split over ``buckets`` tasks; other keys
   are untouched and the small side grows by (hot rows x buckets) only.
 
-Results are exactly those of the plain join: the sample only steers the plan.
+Results are exactly those of the plain join.
 """
 
 from __future__ import annotations
@@ -25,17 +28,19 @@ from pyspark.sql import functions as F
 SALT = "_salt"
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.02, fraction: float = 0.01,
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.02, fraction: float | None = None,
              seed: int = 17) -> list:
-    """Keys with an estimated share of rows >= ``min_share`` (at most 1/min_share of them)."""
-    s = df.select(key).where(F.col(key).isNotNull()).sample(fraction=fraction, seed=seed)
-    # the sampled counts are read by two actions: keep them, so the source is scanned once
+    """Keys holding a share of rows >= ``min_share`` (at most 1/min_share of them)."""
+    s = df.select(key).where(F.col(key).isNotNull())
+    if fraction is not None:
+        s = s.sample(fraction=fraction, seed=seed)
+    # the counts are read by two actions: keep them, so the source is scanned once
     counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tot = counts.agg(F.sum("n").alias("t")).first()["t"] or 0
         if tot == 0:
             return []
-        # shares of the sample sum to 1, so at most 1/min_share keys qualify
+        # the shares sum to 1, so at most 1/min_share keys qualify
         rows = counts.where(F.col("n") >= F.lit(min_share * tot)).collect()
         return [r[key] for r in rows]
     finally:

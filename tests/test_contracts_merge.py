@@ -107,7 +107,7 @@ def test_hot_client_salted_join_equals_plain(spark):
     rows = [(i, 1 if i % 3 == 0 else 2 + i % 50, "2024-01-01") for i in range(3000)]
     tx = _tx(spark, rows)
     con = _contracts(spark, [(10 + c, c, "2024-12-31") for c in range(1, 52)])
-    hot = hot_keys(tx, "id_cliente", min_share=0.2, fraction=0.2)
+    hot = hot_keys(tx, "id_cliente", min_share=0.2)
     assert hot == [1]
     plain = sorted(tuple(r) for r in resolve_contract(tx, con).collect())
     salted = sorted(tuple(r) for r in resolve_contract(tx, con, hot_clients=hot, salt_buckets=8).collect())
