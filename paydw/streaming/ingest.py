@@ -35,7 +35,7 @@ def ingest_batch(batch: DataFrame, contratos: DataFrame, fact_path: str,
     """One micro-batch: resolve contracts, merge into the fact table, summarize its days.
 
     Clients holding at least ``hot_client_share`` of the batch are split over
-    salted tasks in the contract join (estimated on a sample of the batch).
+    salted tasks in the contract join (rows per client counted on the batch).
     """
     hot = hot_keys(batch, "id_cliente", min_share=hot_client_share) if hot_client_share else None
     resolved = resolve_contract(batch, contratos, hot_clients=hot).select(
