@@ -62,7 +62,7 @@ def ingest_transactions(spark: SparkSession, stream: DataFrame, contratos: DataF
     checkpoint = checkpoint or scratch_path(spark, "paydw-streams", "ingest")
 
     def _batch(df: DataFrame, batch_id: int) -> None:
-        # several actions read the batch (hot-key sample, merge, summary days):
+        # several actions read the batch (hot-key counts, merge, summary days):
         # keep it for the duration of the call instead of re-reading the files
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
