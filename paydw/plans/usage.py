@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paydw.functions.calendar import is_sunday
 from paydw.operators.densify import densify
-from paydw.operators.series import pivot_types, use_gaps
+from paydw.operators.series import use_gaps
 from paydw.plans.common import months_between_filter, sum_money, with_calendar, year_filter
 from paydw.plans.warehouse import Warehouse
 from paydw.schemas import TRANSACTION_TYPES
@@ -79,11 +79,17 @@ def usage_gaps(wh: Warehouse) -> DataFrame:
 
 
 def usage_pivot_type(wh: Warehouse) -> DataFrame:
-    """One row per (client, day) with the transaction count of each type."""
-    long = usage_client_day_type(wh)
-    return pivot_types(long, ["id_cliente", "data"], "tipo_transacao", "quantidade_movimentacoes",
-                       list(TRANSACTION_TYPES)).select(
-        "id_cliente", "data", *[F.col(t).cast("long").alias(t) for t in TRANSACTION_TYPES])
+    """One row per (client, day) with the transaction count of each type.
+
+    Long -> wide as conditional counts in one aggregate over the fact rows
+    (one shuffle); pivoting the per-type rows (``pivot_types``) gives the same
+    table with two more shuffles.
+    """
+    fact = wh.fact.select("id_cliente", "tipo_transacao", "data_movimentacao")
+    j = with_calendar(fact, wh.tempo)
+    t = F.col("tipo_transacao")
+    return j.groupBy("id_cliente", "data").agg(
+        *[F.sum(F.when(t == x, 1).otherwise(0)).cast("long").alias(x) for x in TRANSACTION_TYPES])
 
 
 def event_use_days(spark, events: DataFrame) -> DataFrame:

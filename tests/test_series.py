@@ -175,3 +175,13 @@ def test_psi_weights():
     assert np.allclose(_psi({"ma1": 0.3}, [], [1], 1, 0, 1, 4), [1, 1.3, 1.3, 1.3])
     # seasonal difference with period 3: shocks persist at lags 3, 6, ...
     assert np.allclose(_psi({}, [], [], 0, 1, 3, 7), [1, 0, 0, 1, 0, 0, 1])
+
+
+def test_pivot_types_equals_conditional_counts(spark):
+    from paydw.operators.series import pivot_types
+
+    rows = [("a", D0, "boleto", 2), ("a", D0, "payin", 1), ("b", D0, "payout", 4)]
+    df = spark.createDataFrame(rows, "k string, d date, tipo string, n long")
+    got = {(r.k,): (r.boleto, r.payin, r.payout) for r in
+           pivot_types(df, ["k", "d"], "tipo", "n", ["boleto", "payin", "payout"]).collect()}
+    assert got == {("a",): (2, 1, 0), ("b",): (0, 0, 4)}
