@@ -112,3 +112,20 @@ def test_hot_client_salted_join_equals_plain(spark):
     plain = sorted(tuple(r) for r in resolve_contract(tx, con).collect())
     salted = sorted(tuple(r) for r in resolve_contract(tx, con, hot_clients=hot, salt_buckets=8).collect())
     assert plain == salted and len(plain) == 3000
+
+
+def test_nulls_follow_the_definition(spark):
+    con = spark.createDataFrame(
+        [(1, 1, 0.5, 0.25, 1.0, D("2024-06-01")), (2, 1, 0.5, 0.25, 1.0, None),
+         (3, None, 0.5, 0.25, 1.0, D("2024-12-31")), (4, 2, 0.5, 0.25, 1.0, None)], STAGING_CONTRATOS)
+    tx = spark.createDataFrame(
+        [(1, 1, "payin", 1.0, D("2024-01-01"), dt.datetime(2024, 1, 1)),
+         (2, None, "payin", 1.0, D("2024-01-01"), dt.datetime(2024, 1, 1)),
+         (3, 2, "payin", 1.0, D("2024-01-01"), dt.datetime(2024, 1, 1)),
+         (4, 1, "payin", 1.0, None, None)], STAGING_TRANSACOES)
+    tx.createOrReplaceTempView("n_tx")
+    con.createOrReplaceTempView("n_con")
+    ref = sorted(tuple(r) for r in spark.sql(resolve_contract_by_definition_sql("n_tx", "n_con"))
+                 .select("id_transacao", "id_contrato").collect())
+    got = sorted(tuple(r) for r in resolve_contract(tx, con).select("id_transacao", "id_contrato").collect())
+    assert got == ref == [(1, 1)]
