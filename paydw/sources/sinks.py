@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed format of the exported trend tables: header ``data_movimentacao,prediction``,
-# days as UTC timestamps such as 2023-10-01T00:00:00Z.
-EXPORT_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+# days written as UTC midnight timestamps such as 2023-10-01T00:00:00Z.
+EXPORT_DAY_FORMAT = "yyyy-MM-dd"
+EXPORT_MIDNIGHT_SUFFIX = "T00:00:00Z"
 
 
 def _export_cols(date_col: str, value_col: str) -> list:
-    return [F.date_format(F.col(date_col).cast("timestamp"), EXPORT_TS_FORMAT).alias("data_movimentacao"),
+    day = F.date_format(F.to_date(F.col(date_col)), EXPORT_DAY_FORMAT)
+    return [F.concat(day, F.lit(EXPORT_MIDNIGHT_SUFFIX)).alias("data_movimentacao"),
             F.col(value_col).cast("double").alias("prediction")]
 
 
