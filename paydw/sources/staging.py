@@ -7,6 +7,8 @@ source fails at read time, not in the middle of a merge.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -32,6 +34,16 @@ def read_staging_window(spark: SparkSession, path: str, schema: StructType,
     return df.where((c >= F.lit(start)) & (c < F.lit(end)))
 
 
+def jdbc_day_predicates(date_col: str, days: list) -> list[str]:
+    """One half-open predicate per day: each becomes one JDBC partition (one task)."""
+    out = []
+    for d in days:
+        d0 = _dt.date.fromisoformat(str(d))
+        d1 = d0 + _dt.timedelta(days=1)
+        out.append(f"{date_col} >= DATE '{d0.isoformat()}' AND {date_col} < DATE '{d1.isoformat()}'")
+    return out
+
+
 def read_jdbc_window(spark: SparkSession, url: str, table: str, schema: StructType,
                      date_col: str, days: list, properties: dict | None = None) -> DataFrame:
     """Pull one window from an operational database, one partition per day.
@@ -39,7 +51,6 @@ def read_jdbc_window(spark: SparkSession, url: str, table: str, schema: StructTy
     ``days`` are ISO dates; every day becomes its own JDBC predicate, so the
     pull is split over executors and a failed day is retried by Spark alone.
     """
-    predicates = [f"{date_col} >= DATE '{d}' AND {date_col} < DATE '{d}' + INTERVAL '1' DAY"
-                  for d in days]
-    df = spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
+    df = spark.read.jdbc(url, table, predicates=jdbc_day_predicates(date_col, days),
+                         properties=properties or {})
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -88,3 +88,16 @@ def test_staging_readers_enforce_schema_and_window(spark, scratch):
                              "2024-01-02", "2024-01-04")
     plan = wp._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(data_movimentacao" in plan and wp.count() == 2
+
+
+def test_jdbc_day_predicates_and_cluster_conf():
+    from paydw.session import cluster_conf
+    from paydw.sources.staging import jdbc_day_predicates
+
+    p = jdbc_day_predicates("data_movimentacao", ["2024-02-28", dt.date(2024, 2, 29)])
+    assert p == ["data_movimentacao >= DATE '2024-02-28' AND data_movimentacao < DATE '2024-02-29'",
+                 "data_movimentacao >= DATE '2024-02-29' AND data_movimentacao < DATE '2024-03-01'"]
+    c = cluster_conf(4000, shuffle_bytes=100 * 2**40)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600          # 100 TB at 256 MB
+    assert int(cluster_conf(4000)["spark.sql.shuffle.partitions"]) == 12000   # three task waves
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
