@@ -299,6 +299,15 @@ SELECT g.id_cliente, g.data_movimentacao,
        COALESCE(w.quantidade_movimentacoes, 0) > 0 AS uso,
        isodow(g.data_movimentacao) = 7 AS is_domingo
 FROM g LEFT JOIN w ON w.id_cliente = g.id_cliente AND w.data_movimentacao = g.data_movimentacao"""),
+    "usage_window": _with(f""",
+bounds AS (SELECT CAST(MAX(data) - INTERVAL 3 MONTH AS DATE) AS s, CAST(MAX(data) - INTERVAL 1 MONTH AS DATE) AS e
+           FROM tempo)
+SELECT fact.id_cliente, t.data, t.dia, t.mes, t.ano, fact.tipo_transacao,
+       {_ms("fact.valor_transacao")} AS total_movimentacao,
+       COUNT(fact.id_cliente) AS quantidade_movimentacoes
+FROM fact JOIN tempo t ON fact.data_movimentacao = t.data, bounds
+WHERE t.data BETWEEN bounds.s AND bounds.e
+GROUP BY fact.id_cliente, t.data, t.dia, t.mes, t.ano, fact.tipo_transacao"""),
     "usage_pivot_type": _with("""
 SELECT fact.id_cliente, t.data,
        CAST(SUM(CASE WHEN tipo_transacao = 'boleto' THEN 1 ELSE 0 END) AS BIGINT) AS boleto,
@@ -347,6 +356,13 @@ FROM fit2 f JOIN last USING (serie),
      LATERAL (SELECT unnest(generate_series(last.ultimo, last.ultimo + INTERVAL 29 DAY, INTERVAL 1 DAY)) AS d) g"""),
     "trend_predictions": _with(_trend_cte(_VALUE_SERIES, 2) + """
 SELECT serie, data_movimentacao, valor, ROUND(prediction, 4) AS prediction FROM pred"""),
+    "trend_predictions_revenue": _with(_trend_cte(_REVENUE_SERIES, 4) + """
+SELECT serie, data_movimentacao, valor, ROUND(prediction, 4) AS prediction FROM pred"""),
+    "trend_predictions_segment": " UNION ALL ".join(
+        "SELECT * FROM (" + _with(_trend_cte(_seg_series(m), sc) + f"""
+SELECT '{name}' AS medida, serie, data_movimentacao, valor, ROUND(prediction, 4) AS prediction FROM pred""") + ")"
+        for name, m, sc in (("quantidade", "quantidade_movimentacoes", 0), ("valor", "total_movimentacao", 2),
+                            ("faturamento", "faturamento", 4))),
     "series_split": _with("SELECT * FROM split"),
     "acf": _with(_ACF_CTE + """
 SELECT serie, lag, CAST(n AS BIGINT) AS n, ROUND(acf, 8) AS acf, ROUND(var_bartlett, 10) AS var_bartlett,

@@ -116,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "date_bounds": _wh(volume.date_bounds),
     # use (G3, W2, P8, W4)
     "usage_client_day_type": _wh(usage.usage_client_day_type),
+    "usage_window": _wh(usage.usage_window),
     "usage_dense": _wh(usage.usage_dense),
     "usage_pivot_type": _wh(usage.usage_pivot_type),
     "usage_gaps": _wh(usage.usage_gaps),
@@ -139,6 +140,8 @@ QUERIES: dict[str, Query] = {
     "trend_segment_revenue": _seg_trend(trends.trend_segment_revenue),
     "trend_extrapolate": _wh(trends.trend_extrapolate_value),
     "trend_predictions": _wh(trends.trend_predictions),
+    "trend_predictions_revenue": _wh(trends.trend_predictions_revenue),
+    "trend_predictions_segment": _seg_trend(trends.trend_predictions_segment),
     # time series
     "series_split": _wh(_split),
     "acf": _ts(timeseries.acf_train),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paydw.operators.trend import trend_extrapolate, trend_summary
+from paydw.operators.trend import trend_extrapolate, trend_predict, trend_summary
 from paydw.plans.revenue import revenue_day
 from paydw.plans.segments import segment_day_dense
 from paydw.plans.warehouse import Warehouse
@@ -85,8 +85,28 @@ def trend_extrapolate_value(wh: Warehouse, dias: int = 30, start_offset: int = 0
     return ex.select("serie", "data_movimentacao", F.round("prediction", 4).alias("prediction"))
 
 
+def _predictions(series: DataFrame, scale: int) -> DataFrame:
+    p = trend_predict(series, ["serie"], "data_movimentacao", "valor", scale)
+    return p.select("serie", "data_movimentacao", "valor", F.round("prediction", 4).alias("prediction"))
+
+
 def trend_predictions(wh: Warehouse) -> DataFrame:
     """In-sample predictions of the value-type trends: the exported (day, prediction) tables."""
-    from paydw.operators.trend import trend_predict
-    p = trend_predict(value_type_series(wh), ["serie"], "data_movimentacao", "valor", 2)
-    return p.select("serie", "data_movimentacao", "valor", F.round("prediction", 4).alias("prediction"))
+    return _predictions(value_type_series(wh), 2)
+
+
+def trend_predictions_revenue(wh: Warehouse) -> DataFrame:
+    """In-sample predictions of the revenue-type trends (boleto, payin, payout, total)."""
+    return _predictions(revenue_type_series(wh), 4)
+
+
+def trend_predictions_segment(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
+    """In-sample predictions of the segment trends, one family per measure (``medida``):
+    transactions, value and revenue per segment on the dense day axis."""
+    fams = [("quantidade", "quantidade_movimentacoes", 0), ("valor", "total_movimentacao", 2),
+            ("faturamento", "faturamento", 4)]
+    out = None
+    for name, measure, scale in fams:
+        p = _predictions(segment_series(wh, measure, dense), scale).withColumn("medida", F.lit(name))
+        out = p if out is None else out.unionByName(p)
+    return out.select("medida", "serie", "data_movimentacao", "valor", "prediction")

@@ -51,6 +51,21 @@ def _minus_months(d: _dt.date, k: int) -> _dt.date:
     return _dt.date(y, m, min(d.day, _cal.monthrange(y, m)[1]))
 
 
+def usage_window(wh: Warehouse, start=None, end=None, today=None) -> DataFrame:
+    """G3 rows of the window [start, end] (both ends inclusive, F3), days with use only."""
+    if start is None or end is None:
+        start, end = usage_window_bounds(wh, today)
+    fact = wh.fact.select("id_cliente", "tipo_transacao", "valor_transacao", "data_movimentacao", "mes_ref")
+    d = F.col("data_movimentacao")
+    fact = fact.where(months_between_filter(start, end)
+                      & (d >= F.lit(str(start)).cast("date")) & (d <= F.lit(str(end)).cast("date")))
+    j = with_calendar(fact, wh.tempo)
+    return j.groupBy("id_cliente", "data", "dia", "mes", "ano", "tipo_transacao").agg(
+        sum_money("valor_transacao", "total_movimentacao"),
+        F.count("id_cliente").alias("quantidade_movimentacoes"),
+    )
+
+
 def usage_dense(wh: Warehouse, start=None, end=None, today=None) -> DataFrame:
     """Per client active in [start, end] and every day of it: use and value, 0 when idle."""
     if start is None or end is None:
