@@ -69,6 +69,10 @@ def main(argv: list[str] | None = None) -> None:
         from paydw.sources.sinks import export_trend_csv
 
         export_trend_csv(trends.trend_predictions(wh), f"{a.out}/valor")
+        export_trend_csv(trends.trend_predictions_revenue(wh), f"{a.out}/faturamento")
+        seg = trends.trend_predictions_segment(wh)
+        for medida in ("quantidade", "valor", "faturamento"):
+            export_trend_csv(seg.where(F.col("medida") == medida), f"{a.out}/segmento_{medida}")
 
 
 if __name__ == "__main__":

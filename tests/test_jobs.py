@@ -24,3 +24,17 @@ def test_bootstrap_then_interval_equals_one_shot(spark, scratch):
     inc = Warehouse(spark, f"{scratch}/dw")
     for t in ("fact_transacoes", "fact_transacoes_dia", "dim_tempo", "dim_clientes", "dim_contratos"):
         assert sorted(map(tuple, inc.table(t).collect())) == sorted(map(tuple, one.table(t).collect())), t
+
+
+def test_export_trends_writes_every_family(spark, scratch):
+    import glob
+    import os
+
+    from paydw.plans.warehouse import warehouse_for_sf
+
+    wh = warehouse_for_sf(spark, SF)
+    main(["export-trends", "--warehouse", wh.path, "--out", f"{scratch}/exp"])
+    root = scratch[5:] if scratch.startswith("file:") else scratch
+    for fam in ("valor", "faturamento", "segmento_quantidade", "segmento_valor", "segmento_faturamento"):
+        dirs = glob.glob(os.path.join(root, "exp", fam, "serie=*"))
+        assert len(dirs) >= 4, fam
