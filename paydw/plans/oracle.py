@@ -254,6 +254,11 @@ FROM events GROUP BY 1, 2""",
     "daily_join_calendar": _with(
         "SELECT * FROM fd JOIN tempo t ON fd.data_movimentacao = t.data "
         "WHERE t.mes = 4 AND t.dia > 5 AND t.dia < 20"),
+    "daily_with_calendar": _with("SELECT * FROM fd JOIN tempo t ON fd.data_movimentacao = t.data"),
+    "daily_with_client_contract": _with("""
+SELECT fd.*, cli.razao_social, cli.data_inicio_relacionamento, cli.status, cli.data_fim_relacionamento,
+       cli.segmento, con.taxa_payout, con.taxa_payin, con.taxa_boleto, con.data_vencimento_contrato
+FROM fd JOIN cli ON cli.id_cliente = fd.id_cliente JOIN con ON con.id_contrato = fd.id_contrato"""),
     "volume_client_day": _with("""
 SELECT t.data, fd.id_cliente,
        CAST(SUM(quantidade_boleto) AS BIGINT) AS quantidade_boleto,

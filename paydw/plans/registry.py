@@ -111,6 +111,8 @@ QUERIES: dict[str, Query] = {
     "merge_insert_only": _merge_insert_only,
     # volume (G2, W1, J1 + F7, G10-G11)
     "daily_join_calendar": _wh(volume.daily_join_calendar),
+    "daily_with_calendar": _wh(volume.daily_with_calendar),
+    "daily_with_client_contract": _wh(segments.daily_with_client_contract),
     "volume_client_day": _wh(volume.volume_client_day),
     "volume_moving_avg": _wh(volume.volume_moving_avg),
     "date_bounds": _wh(volume.date_bounds),

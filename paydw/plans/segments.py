@@ -37,6 +37,14 @@ def transacao_cliente(wh: Warehouse) -> DataFrame:
     return wh.fact_dia.drop("mes_ref").join(_segment_dims(wh), ["id_contrato", "id_cliente"])
 
 
+def daily_with_client_contract(wh: Warehouse) -> DataFrame:
+    """Every summary row with its client's attributes and its contract's terms."""
+    cli = wh.clientes
+    con = wh.contratos.drop("id_cliente")
+    fd = wh.fact_dia.drop("mes_ref")
+    return fd.join(cli, "id_cliente").join(con, "id_contrato")
+
+
 def _revenue_row():
     return reduce(add, [revenue_exact(f"taxa_{t}", f"total_{t}") for t in TRANSACTION_TYPES])
 

@@ -45,6 +45,11 @@ def daily_join_calendar(wh: Warehouse, mes: int = 4, dia_min: int = 5, dia_max:
     return drop_partition(with_calendar(fd, t))
 
 
+def daily_with_calendar(wh: Warehouse) -> DataFrame:
+    """Every summary row with its calendar attributes (J1), the base of the volume views."""
+    return drop_partition(with_calendar(wh.fact_dia, wh.tempo))
+
+
 def date_bounds(wh: Warehouse) -> DataFrame:
     """First day, last day and number of distinct days with data."""
     d = F.col("data_movimentacao")
