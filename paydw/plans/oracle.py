@@ -368,6 +368,8 @@ SELECT serie, data_movimentacao, valor, ROUND(prediction, 4) AS prediction FROM
 SELECT '{name}' AS medida, serie, data_movimentacao, valor, ROUND(prediction, 4) AS prediction FROM pred""") + ")"
         for name, m, sc in (("quantidade", "quantidade_movimentacoes", 0), ("valor", "total_movimentacao", 2),
                             ("faturamento", "faturamento", 4))),
+    "daily_total": _with(f"SELECT data_movimentacao, {_ms('total_movimentacao')} AS total_movimentacao "
+                         "FROM fd GROUP BY data_movimentacao"),
     "series_split": _with("SELECT * FROM split"),
     "acf": _with(_ACF_CTE + """
 SELECT serie, lag, CAST(n AS BIGINT) AS n, ROUND(acf, 8) AS acf, ROUND(var_bartlett, 10) AS var_bartlett,

@@ -145,6 +145,7 @@ QUERIES: dict[str, Query] = {
     "trend_predictions_revenue": _wh(trends.trend_predictions_revenue),
     "trend_predictions_segment": _seg_trend(trends.trend_predictions_segment),
     # time series
+    "daily_total": _wh(timeseries.daily_total),
     "series_split": _wh(_split),
     "acf": _ts(timeseries.acf_train),
     "acf_first_lag": _ts(timeseries.acf_candidate),
