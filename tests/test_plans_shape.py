@@ -33,3 +33,14 @@ def test_projection_pruned_at_scan(spark):
     assert scans == ["[id_cliente#" + scans[0].split("[id_cliente#")[1]]
     cols = [c.split("#")[0] for c in scans[0].strip("[").split(",")]
     assert cols == ["id_cliente", "data_movimentacao", "mes_ref"]
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                "FlatMapCoGroupsInPandas", "AggregateInPandas")
+PANDAS_QUERIES = {"arma_forecast", "arima_forecast", "sarima_forecast", "residual_summary"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - PANDAS_QUERIES))
+def test_jvm_only_outside_the_forecasts(spark, name):
+    plan = _plan(E.queries()[name](spark, SF))
+    assert not any(node in plan for node in PYTHON_NODES)
