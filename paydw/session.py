@@ -41,6 +41,7 @@ def cluster_conf(total_cores: int, shuffle_bytes: int | None = None,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
         # streaming state (live totals) off the JVM heap, checkpointed incrementally
         "spark.sql.streaming.stateStore.providerClass":
