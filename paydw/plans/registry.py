@@ -37,6 +37,14 @@ def _split(wh):
                         lambda w: timeseries.series_split(w, dense=_dense(w)))
 
 
+def _daily(wh):
+    return materialized(wh, "revenue_day", revenue.revenue_day)
+
+
+def _type_trend(fn) -> Query:
+    return _wh(lambda wh: fn(wh, daily=_daily(wh)))
+
+
 def _seg_trend(fn) -> Query:
     return _wh(lambda wh: fn(wh, dense=_dense(wh)))
 
@@ -135,14 +143,14 @@ QUERIES: dict[str, Query] = {
     "segment_day_dense": _wh(segments.segment_day_dense),
     "segment_revenue_day": _wh(segments.segment_revenue_day),
     # trends (T1-T9)
-    "trend_value_type": _wh(trends.trend_value_type),
-    "trend_revenue_type": _wh(trends.trend_revenue_type),
+    "trend_value_type": _type_trend(trends.trend_value_type),
+    "trend_revenue_type": _type_trend(trends.trend_revenue_type),
     "trend_segment_count": _seg_trend(trends.trend_segment_count),
     "trend_segment_value": _seg_trend(trends.trend_segment_value),
     "trend_segment_revenue": _seg_trend(trends.trend_segment_revenue),
-    "trend_extrapolate": _wh(trends.trend_extrapolate_value),
-    "trend_predictions": _wh(trends.trend_predictions),
-    "trend_predictions_revenue": _wh(trends.trend_predictions_revenue),
+    "trend_extrapolate": _type_trend(trends.trend_extrapolate_value),
+    "trend_predictions": _type_trend(trends.trend_predictions),
+    "trend_predictions_revenue": _type_trend(trends.trend_predictions_revenue),
     "trend_predictions_segment": _seg_trend(trends.trend_predictions_segment),
     # time series
     "daily_total": _wh(timeseries.daily_total),

@@ -19,15 +19,19 @@ def _stack(df: DataFrame, cols: dict[str, str], date_col: str) -> DataFrame:
                      F.expr(f"stack({len(cols)}, {pairs}) AS (serie, valor)"))
 
 
-def value_type_series(wh: Warehouse) -> DataFrame:
-    """(serie, day, value moved) for boleto, payin, payout and their total (T5 input)."""
+def value_type_series(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
+    """(serie, day, value moved) for boleto, payin, payout and their total (T5 input).
+
+    ``daily``: a prepared ``revenue_day`` (e.g. materialized once for all the
+    type trends); computed from the warehouse when None.
+    """
     cols = {s: (f"total_{s}" if s != "total" else "total") for s in SERIES}
-    return _stack(revenue_day(wh), cols, "data")
+    return _stack(revenue_day(wh) if daily is None else daily, cols, "data")
 
 
-def revenue_type_series(wh: Warehouse) -> DataFrame:
+def revenue_type_series(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
     """(serie, day, revenue) per type and total (T6 input)."""
-    return _stack(revenue_day(wh), {s: f"faturamento_{s}" for s in SERIES}, "data")
+    return _stack(revenue_day(wh) if daily is None else daily, {s: f"faturamento_{s}" for s in SERIES}, "data")
 
 
 def segment_series(wh: Warehouse, measure: str, dense: DataFrame | None = None) -> DataFrame:
@@ -55,12 +59,14 @@ def _report(fit: DataFrame, kind: str) -> DataFrame:
         F.round("rmse", dr).alias("rmse"))
 
 
-def trend_value_type(wh: Warehouse) -> DataFrame:
-    return _report(trend_summary(value_type_series(wh), ["serie"], "data_movimentacao", "valor", 2), "money")
+def trend_value_type(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
+    return _report(trend_summary(value_type_series(wh, daily), ["serie"], "data_movimentacao", "valor", 2),
+                   "money")
 
 
-def trend_revenue_type(wh: Warehouse) -> DataFrame:
-    return _report(trend_summary(revenue_type_series(wh), ["serie"], "data_movimentacao", "valor", 4), "money")
+def trend_revenue_type(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
+    return _report(trend_summary(revenue_type_series(wh, daily), ["serie"], "data_movimentacao", "valor", 4),
+                   "money")
 
 
 def trend_segment_count(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
@@ -78,9 +84,10 @@ def trend_segment_revenue(wh: Warehouse, dense: DataFrame | None = None) -> Data
     return _report(trend_summary(s, ["serie"], "data_movimentacao", "valor", 4), "money")
 
 
-def trend_extrapolate_value(wh: Warehouse, dias: int = 30, start_offset: int = 0) -> DataFrame:
+def trend_extrapolate_value(wh: Warehouse, dias: int = 30, start_offset: int = 0,
+                            daily: DataFrame | None = None) -> DataFrame:
     """``dias`` days of each value-type trend from its last observed day (T4)."""
-    fit = trend_summary(value_type_series(wh), ["serie"], "data_movimentacao", "valor", 2)
+    fit = trend_summary(value_type_series(wh, daily), ["serie"], "data_movimentacao", "valor", 2)
     ex = trend_extrapolate(fit, ["serie"], "ultimo_dia", dias, start_offset)
     return ex.select("serie", "data_movimentacao", F.round("prediction", 4).alias("prediction"))
 
@@ -90,14 +97,14 @@ def _predictions(series: DataFrame, scale: int) -> DataFrame:
     return p.select("serie", "data_movimentacao", "valor", F.round("prediction", 4).alias("prediction"))
 
 
-def trend_predictions(wh: Warehouse) -> DataFrame:
+def trend_predictions(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
     """In-sample predictions of the value-type trends: the exported (day, prediction) tables."""
-    return _predictions(value_type_series(wh), 2)
+    return _predictions(value_type_series(wh, daily), 2)
 
 
-def trend_predictions_revenue(wh: Warehouse) -> DataFrame:
+def trend_predictions_revenue(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
     """In-sample predictions of the revenue-type trends (boleto, payin, payout, total)."""
-    return _predictions(revenue_type_series(wh), 4)
+    return _predictions(revenue_type_series(wh, daily), 4)
 
 
 def trend_predictions_segment(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
