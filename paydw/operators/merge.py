@@ -105,7 +105,8 @@ def insert_only_merge(source: DataFrame, target_path: str, keys, *,
     try:
         new = new_rows(source, target, keys, prune_on=prune_on, broadcast_rows=broadcast_rows)
         if target is not None:
-            new = new.select(*target.columns)
+            # appended files keep the table's schema (names, order and types)
+            new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
         out = new
         if cluster_by:
             # range partitioning: balanced files that each hold few partition values

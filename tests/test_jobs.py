@@ -38,3 +38,25 @@ def test_export_trends_writes_every_family(spark, scratch):
     for fam in ("valor", "faturamento", "segmento_quantidade", "segmento_valor", "segmento_faturamento"):
         dirs = glob.glob(os.path.join(root, "exp", fam, "serie=*"))
         assert len(dirs) >= 4, fam
+
+
+def test_ingest_and_daily_summary_commands(spark, scratch):
+    st = staging_from_sf(spark, SF)
+    cut = F.col("data_movimentacao") < F.lit("1999-01-01").cast("date")
+    for name, df in (("clientes", st.clientes), ("contratos", st.contratos)):
+        df.write.parquet(f"{scratch}/s1/{name}")
+    st.transacoes.where(cut).write.parquet(f"{scratch}/s1/transacoes")
+    main(["bootstrap", "--warehouse", f"{scratch}/dw", "--staging", f"{scratch}/s1", "--end-date", "2002-01-01"])
+    st.transacoes.where(~cut).write.parquet(f"{scratch}/incoming/part=1")
+    main(["ingest", "--warehouse", f"{scratch}/dw", "--incoming", f"{scratch}/incoming/*",
+          "--checkpoint", f"{scratch}/ck"])
+    one = Warehouse(spark, f"{scratch}/one")
+    one.bootstrap(st, end_date="2002-01-01")
+    inc = Warehouse(spark, f"{scratch}/dw")
+    for t in ("fact_transacoes", "fact_transacoes_dia"):
+        assert sorted(map(tuple, inc.table(t).collect())) == sorted(map(tuple, one.table(t).collect())), t
+    # the previous-day job over a day already summarized changes nothing
+    day = inc.fact.agg(F.max("data_movimentacao")).first()[0]
+    before = inc.fact_dia.count()
+    main(["daily-summary", "--warehouse", f"{scratch}/dw", "--process-date", str(day + __import__("datetime").timedelta(days=1))])
+    assert inc.fact_dia.count() == before
