@@ -95,3 +95,21 @@ def test_trend_matches_numpy_and_adds_up(spark, vals, start):
         assert fits[f"s{k}"].intercept == pytest.approx(a, rel=1e-6, abs=1e-3)
     assert fits["total"].slope == pytest.approx(sum(fits[f"s{k}"].slope for k in range(len(series))),
                                                 rel=1e-6, abs=1e-6)
+
+
+@SETTINGS
+@given(data=st.dictionaries(st.sampled_from(["a", "b", "c"]),
+                            st.dictionaries(st.integers(0, 40), st.integers(1, 99), min_size=1, max_size=8),
+                            min_size=1, max_size=3))
+def test_densify_per_key_axis(spark, data):
+    from paydw.operators.densify import densify
+
+    d0 = dt.date(2024, 1, 1)
+    rows = [(k, d0 + dt.timedelta(days=i), v) for k, days in data.items() for i, v in days.items()]
+    df = spark.createDataFrame(rows, "k string, d date, v long")
+    got = {(r.k, r.d): r.v for r in densify(df, ["k"], "d", ["v"]).collect()}
+    want = {}
+    for k, days in data.items():
+        for i in range(min(days), max(days) + 1):
+            want[(k, d0 + dt.timedelta(days=i))] = days.get(i, 0)
+    assert got == want
