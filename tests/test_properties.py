@@ -113,3 +113,23 @@ def test_densify_per_key_axis(spark, data):
         for i in range(min(days), max(days) + 1):
             want[(k, d0 + dt.timedelta(days=i))] = days.get(i, 0)
     assert got == want
+
+
+@SETTINGS
+@given(vals=st.lists(st.integers(-1000, 1000), min_size=1, max_size=60), window=st.integers(1, 7))
+def test_split_and_moving_average(spark, vals, window):
+    import pandas as pd
+
+    from paydw.operators.series import moving_average, split_halves
+
+    d0 = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([("s", d0 + dt.timedelta(days=i), float(v)) for i, v in enumerate(vals)],
+                               "serie string, d date, valor double")
+    n = len(vals)
+    sp = split_halves(df, ["serie"], "d").collect()
+    tr = sorted(r.posicao for r in sp if r.conjunto == "treino")
+    te = sorted(r.posicao for r in sp if r.conjunto == "teste")
+    assert tr == list(range(0, n // 2 + 1)) and te == list(range(n // 2, n))
+    ma = [r.valor_media_movel for r in moving_average(df, ["serie"], "d", ["valor"], window).orderBy("d").collect()]
+    ref = pd.Series(vals, dtype=float).rolling(window, min_periods=1).mean().tolist()
+    assert all(abs(a - b) < 1e-9 for a, b in zip(ma, ref)) and len(ma) == n
