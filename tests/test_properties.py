@@ -133,3 +133,24 @@ def test_split_and_moving_average(spark, vals, window):
     ma = [r.valor_media_movel for r in moving_average(df, ["serie"], "d", ["valor"], window).orderBy("d").collect()]
     ref = pd.Series(vals, dtype=float).rolling(window, min_periods=1).mean().tolist()
     assert all(abs(a - b) < 1e-9 for a, b in zip(ma, ref)) and len(ma) == n
+
+
+@SETTINGS
+@given(vals=st.lists(st.integers(-500, 500), min_size=2, max_size=50), nlags=st.integers(1, 10))
+def test_acf_matches_definition(spark, vals, nlags):
+    import numpy as np
+
+    from paydw.operators.acf import acf
+
+    d0 = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([("s", d0 + dt.timedelta(days=i), float(v)) for i, v in enumerate(vals)],
+                               "serie string, d date, valor double")
+    got = {r.lag: r.acf for r in acf(df, ["serie"], "d", "valor", nlags).collect()}
+    y = np.array(vals, dtype=float)
+    c = y - y.mean()
+    den = float(c @ c)
+    for k in range(nlags + 1):
+        if den == 0 or k >= len(y):
+            assert got[k] is None
+        else:
+            assert abs(got[k] - float(c[k:] @ c[:len(c) - k]) / den) < 1e-9
