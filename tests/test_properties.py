@@ -154,3 +154,37 @@ def test_acf_matches_definition(spark, vals, nlags):
             assert got[k] is None
         else:
             assert abs(got[k] - float(c[k:] @ c[:len(c) - k]) / den) < 1e-9
+
+
+day_rows = st.lists(st.tuples(st.integers(1, 4), st.integers(0, 70), st.integers(0, 9)), max_size=15)
+
+
+@SETTINGS
+@given(target=day_rows, source=day_rows)
+def test_partition_pruned_merge_matches_model(spark, target, source):
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from paydw.functions.calendar import month_ref
+    from paydw.session import scratch_path
+
+    d0 = dt.date(2024, 1, 1)
+    path = scratch_path(spark, "paydw-prop", uuid.uuid4().hex[:12])
+    schema = "id_cliente long, data_movimentacao date, v long"
+
+    def frame(rows):
+        df = spark.createDataFrame([(c, d0 + dt.timedelta(days=d), v) for c, d, v in rows], schema)
+        return df.withColumn("mes_ref", month_ref(F.col("data_movimentacao")))
+
+    keys = ["id_cliente", "data_movimentacao"]
+    if target:
+        insert_only_merge(frame(target), path, keys, partition_by="mes_ref", prune_on="mes_ref")
+    if source:
+        insert_only_merge(frame(source), path, keys, partition_by="mes_ref", prune_on="mes_ref")
+    have = {(c, d) for c, d, _ in target}
+    model = list(target) + [(c, d, v) for c, d, v in source if (c, d) not in have]
+    got = []
+    if model:
+        got = sorted((r.id_cliente, (r.data_movimentacao - d0).days, r.v) for r in spark.read.parquet(path).collect())
+    assert got == sorted(model)
