@@ -9,11 +9,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paydw.llm import lang_id, spot_sigs, token_counts, token_files
+from paydw.llm import lang_id, mixing, secret_scan, spot_sigs, token_counts, token_files, topk_search
 from paydw.llm.common import table
 from paydw.session import scratch_path
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings")) \
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def op5_spot_sigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot_sigs.fingerprints_beside_next(table(spark, sf_dir, "documents"))
 
@@ -32,12 +41,37 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predict(docs, net, passing=("held_out",))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(secret_scan.KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_spot_sigs, op6_token_files, op7_language_id, op10_token_counts)}
+    f.__name__: f for f in (op1_source_mix, op4_topk_search, op5_spot_sigs, op6_token_files, op7_language_id,
+                              op9_secret_scan, op10_token_counts)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_topk_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND NOT coalesce(list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x))), FALSE)),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+        r AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+            FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+}
