@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paydw.llm import lang_id, mixing, secret_scan, spot_sigs, token_counts, token_files, topk_search
+from paydw.llm import (lang_id, mixing, ngram_join, secret_scan, spot_sigs, token_counts, token_files,
+                       topk_search)
 from paydw.llm.common import table
 from paydw.session import scratch_path
 
@@ -41,6 +42,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predict(docs, net, passing=("held_out",))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_components(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secret_scan.scan(docs, secret_scan.train(docs))
@@ -57,7 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_source_mix, op4_topk_search, op5_spot_sigs, op6_token_files, op7_language_id,
-                              op9_secret_scan, op10_token_counts)}
+                              op8_ngram_join, op9_secret_scan, op10_token_counts)}
 
 ORACLE: dict[str, str] = {
     "op4_topk_search": """
