@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paydw.llm import (lang_id, mixing, ngram_join, secret_scan, spot_sigs, token_counts, token_files,
+from paydw.llm import (lang_id, line_dedup, mixing, ngram_join, secret_scan, spot_sigs, token_counts, token_files,
                        topk_search)
 from paydw.llm.common import table
 from paydw.session import scratch_path
@@ -19,6 +19,14 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text") \
+        .withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"))
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", F.col("_dropped").cast("long").alias("n_dropped"),
+        F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings")) \
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -61,10 +69,33 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mix, op4_topk_search, op5_spot_sigs, op6_token_files, op7_language_id,
+    f.__name__: f for f in (op1_source_mix, op2_line_dedup, op4_topk_search, op5_spot_sigs, op6_token_files, op7_language_id,
                               op8_ngram_join, op9_secret_scan, op10_token_counts)}
 
 ORACLE: dict[str, str] = {
+    "op2_line_dedup": """
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS pos
+            FROM documents),
+        first AS (
+            SELECT line, min({'d': doc_id, 'p': pos}) AS at FROM l WHERE length(line) >= 20 GROUP BY line),
+        near AS (
+            SELECT DISTINCT b.line FROM first a JOIN first b
+            ON length(a.line) BETWEEN length(b.line) - 2 AND length(b.line) + 2
+               AND a.at < b.at AND a.line <> b.line AND levenshtein(a.line, b.line) <= 2),
+        marked AS (
+            SELECT l.doc_id, l.pos, l.line,
+                   length(l.line) >= 20 AND (n.line IS NOT NULL OR f.at <> {'d': l.doc_id, 'p': l.pos}) AS gone
+            FROM l LEFT JOIN first f ON f.line = l.line LEFT JOIN near n ON n.line = l.line),
+        kept AS (
+            SELECT doc_id, count(*) AS n_lines, count_if(gone) AS n_dropped,
+                   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
+            FROM marked GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, CAST(coalesce(k.n_dropped, 0) AS BIGINT) AS n_dropped,
+               CASE WHEN d.text IS NOT NULL THEN sha256(k.text) END AS kept_sha256
+        FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
+
     "op4_topk_search": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

@@ -9,16 +9,18 @@ files, stripes and row groups by their metadata.
 
 from __future__ import annotations
 
+import os
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paydw.llm.common import bounded_batches
-from paydw.llm.token_counts import slices
 
 FILE_SCHEMA = T.StructType([T.StructField("part", T.LongType()), T.StructField("row", T.LongType()),
                             T.StructField("doc_id", T.LongType()),
@@ -27,40 +29,80 @@ FILE_SCHEMA = T.StructType([T.StructField("part", T.LongType()), T.StructField("
 BLANKS = " \n\t\r"
 
 
+class Numbers(dict):
+    """Numbers for keys, in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizers file; words between blanks are encoded once and kept."""
+    """Ids of texts by a tokenizers file; words between blanks are encoded once and kept for a while."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
         self.encode = Tokenizer.from_file(path).encode_batch
-        self.most, self.table = most, {}
-        self.blanks = str.maketrans(dict.fromkeys(BLANKS, " "))
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.most = most
+        self.forget()
+
+    def forget(self) -> None:
+        """Word numbers, how many ids each word has, and all their ids end to end."""
+        self.index, self.counts, self.ids = Numbers(), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def learn(self, words: list[str], group: int = 256) -> None:
+        """Encode new words, many in one text; the place of an id in that text tells its word."""
+        counts, ids = [self.counts], [self.ids]
+        for i in range(0, len(words), 64 * group):
+            groups = [words[j:j + group] for j in range(i, min(i + 64 * group, len(words)), group)]
+            for ws, e in zip(groups, self.encode([" ".join(ws) for ws in groups], add_special_tokens=False), strict=True):
+                starts = np.cumsum([0] + [len(w) + 1 for w in ws[:-1]])
+                at = np.fromiter((o[0] for o in e.offsets), dtype=np.int64)
+                counts.append(np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(ws)))
+                ids.append(np.array(e.ids, dtype=np.int32))
+        self.counts, self.ids = np.concatenate(counts), np.concatenate(ids)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and how many belong to each text."""
-        words = [t.translate(self.blanks).split(" ") for t in texts]
-        fresh = list({w for ws in words for w in ws if w not in self.table})
-        for i in range(0, len(fresh), 50_000):
-            part = fresh[i:i + 50_000]
-            self.table.update((w, np.array(e.ids, dtype=np.int32)) for w, e in
-                              zip(part, self.encode(part, add_special_tokens=False), strict=True))
-        get = self.table.__getitem__
-        out = [np.concatenate([get(w) for w in ws]) for ws in words]
-        if len(self.table) > self.most:
-            self.table.clear()
-        return np.concatenate(out), np.array([len(x) for x in out], dtype=np.int64)
+        if len(self.index) > self.most:
+            self.forget()
+        for blank in BLANKS[1:]:
+            texts = pc.replace_substring(texts, blank, " ")
+        lists = pc.split_pattern(texts, " ")
+        words = lists.flatten().dictionary_encode()
+        here = np.fromiter(map(self.index.__getitem__, words.dictionary.to_pylist()), dtype=np.int64)
+        self.learn(list(islice(self.index, len(self.counts), None)))
+        at = here[words.indices.to_numpy()]
+        counts = self.counts[at]
+        ends = np.r_[0, np.cumsum(counts)]
+        first = (np.cumsum(self.counts) - self.counts)[at]
+        ids = self.ids[np.repeat(first - ends[:-1], counts) + np.arange(ends[-1])]
+        return ids, np.diff(ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
+
+
+def text_slices(texts: pa.Array, limit: int):
+    """Neighbouring texts in groups of about ``limit`` bytes, each text whole."""
+    start = total = 0
+    for i, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if total and total + size > limit:
+            yield start, i
+            start, total = i, 0
+        total += size
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int, parts: int | None = None,
-                      id_col: str = "doc_id", text_col: str = "text", buffer_chars: int = 2_000_000,
+                      id_col: str = "doc_id", text_col: str = "text", buffer_bytes: int = 2_000_000,
                       stripe_mb: int = 16) -> None:
     """Encode ``docs`` and write ``(part, row, doc_id, ids)`` as ORC in ascending id order.
 
     ``part`` and ``row`` number the rows in that order; null ids come first;
     equal ids are ordered by their text. A null text counts as empty and holds
     the end id only. Texts are shuffled once, as text; ids are never shuffled.
-    ``parts`` is the number of files (by default about 32 MB of text each).
+    ``parts`` is the number of files (by default about 48 MB of text each).
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -68,7 +110,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if parts is None:
         chars = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        parts = max(1, -(-chars // (32 << 20)))
+        parts = max(1, -(-chars // (48 << 20)))
     order = ["doc_id", F.xxhash64("text")]
     dealt = narrow.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text") \
         .withColumn("part", F.spark_partition_id().cast("long"))
@@ -76,9 +118,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
     def run(batches):
         encode, row = WordEncoder(vocabulary), 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, j in slices(texts, buffer_chars):
-                ids, counts = encode(texts[i:j])
+            texts = batch.column("text")
+            for i, j in text_slices(texts, buffer_bytes):
+                ids, counts = encode(texts.slice(i, j - i))
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id).astype(np.int32)
                 offsets = np.r_[0, ends + np.arange(1, len(ends) + 1)].astype(np.int32)
