@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paydw.llm import (lang_id, line_dedup, mixing, ngram_join, secret_scan, spot_sigs, token_counts, token_files,
-                       topk_search)
+from paydw.llm import (lang_id, line_dedup, mixing, ngram_join, piece_lattice, secret_scan, spot_sigs, token_counts,
+                       token_files, topk_search)
 from paydw.llm.common import table
 from paydw.session import scratch_path
 
@@ -27,6 +27,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.encode_and_decode(table(spark, sf_dir, "documents"),
+                                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings")) \
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -69,7 +74,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mix, op2_line_dedup, op4_topk_search, op5_spot_sigs, op6_token_files, op7_language_id,
+    f.__name__: f for f in (op1_source_mix, op2_line_dedup, op3_piece_lattice, op4_topk_search, op5_spot_sigs, op6_token_files, op7_language_id,
                               op8_ngram_join, op9_secret_scan, op10_token_counts)}
 
 ORACLE: dict[str, str] = {
