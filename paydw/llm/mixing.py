@@ -83,8 +83,11 @@ def apportion(df: DataFrame, within: list[str], key: list[Column], votes: str, s
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = 150, most: int = 2, seed: int = 11,
         block_words: int = 16, shard_words: int = 250_000, bin_shards: int = 1024, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` for every row of ``docs``.
+        text_col: str = "text", source_col: str = "source", passing: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, source, size, source_size, target, taken, copies, extra`` for every row of ``docs``.
+
+    ``taken`` counts ``copies`` times the whole text and, once more, the words
+    in the ranges ``extra`` (first word from 0, end exclusive).
 
     Null texts have size 0 and take nothing; null sources are one source;
     repeated rows count and are taken like any other. A source's documents are
@@ -102,9 +105,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = 150, m
         return F.conv(F.substring(col, a, n), 16, 10).cast("long")
 
     rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                           size_of(F.col(text_col)).alias("size"), key.alias("h"))
+                           size_of(F.col(text_col)).alias("size"), key.alias("h"), *passing)
                .select("doc_id", "source", "size", part(F.col("h"), 1, 15).alias("h"),
-                       part(F.col("h"), 16, 12).alias("g")), "sizes")
+                       part(F.col("h"), 16, 12).alias("g"), *passing), "sizes")
     goals = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     every = Window.partitionBy()
     goals = goals.withColumn("seats", F.round(F.sum("target").over(every) / block_words).cast("long"))
@@ -116,7 +119,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = 150, m
     same = rows["source"].eqNullSafe(goals["source"])
     placed = rows.join(goals, same, "left").select(
         "doc_id", rows["source"], "size", "h", "source_size", "target",
-        (F.col("g") % F.col("n_shards")).alias("shard"))
+        (F.col("g") % F.col("n_shards")).alias("shard"), *passing)
     shards = placed.groupBy("source", "shard").agg(F.sum("size").alias("words"))
     shards = shards.withColumn("bin", F.floor(F.col("shard") / bin_shards)) \
         .withColumn("n", F.greatest(F.lit(1), F.round(F.col("words") / block_words)).cast("long"))
@@ -141,14 +144,47 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = 150, m
     def chosen(j):  # an affine permutation of 0 .. n-1: the prime step shares no factor with a smaller n
         return (j * F.lit(999_999_937) + (F.col("shard") + 1) * F.lit(7_368_787 + seed)) % F.col("n") < F.col("extra")
 
-    def overlap(j):
-        lo = F.floor(j * F.col("words") / F.col("n"))
-        hi = F.floor((j + 1) * F.col("words") / F.col("n"))
-        return F.greatest(F.lit(0).cast("long"), F.least(hi, F.col("end")) - F.greatest(lo, F.col("start")))
+    def span(j):  # the words of block j in this document, counted from its own first word
+        low = F.greatest(F.floor(j * F.col("words") / F.col("n")), F.col("start")) - F.col("start")
+        high = F.least(F.floor((j + 1) * F.col("words") / F.col("n")), F.col("end")) - F.col("start")
+        return F.struct(low.cast("long").alias("first"), high.cast("long").alias("end"))
 
-    once = F.aggregate(F.sequence(F.greatest(F.lit(0).cast("long"), first - 1), F.least(F.col("n") - 1, last + 1)),
-                       F.lit(0).cast("long"),
-                       lambda a, j: a + F.when(chosen(j), overlap(j).cast("long")).otherwise(F.lit(0).cast("long")))
-    extra = F.when((F.col("extra") > 0) & (F.col("size") > 0), once).otherwise(F.lit(0)).cast("long")
+    near = F.sequence(F.greatest(F.lit(0).cast("long"), first - 1), F.least(F.col("n") - 1, last + 1))
+    spans = F.filter(F.transform(F.filter(near, chosen), span), lambda s: s["end"] > s["first"])
+    df = df.withColumn("extra", F.when((F.col("extra") > 0) & (F.col("size") > 0), spans)
+                       .otherwise(F.array().cast("array<struct<first:bigint,end:bigint>>")))
+    more = F.aggregate("extra", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["first"])
     return df.select("doc_id", "source", "size", "source_size", "target",
-                     (F.col("base") * F.col("size") + extra).cast("long").alias("taken"))
+                     (F.col("base") * F.col("size") + more).cast("long").alias("taken"),
+                     F.col("base").cast("int").alias("copies"), "extra", *passing)
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          **options) -> DataFrame:
+    """The mix itself: ``docs`` with a row for each whole copy of a text and one for its extra blocks.
+
+    All columns are kept. A text of extra blocks keeps the white space behind
+    its words. Rows of which nothing is taken go; so do texts without a word.
+    Rows are matched by id, hash of text and source, and their number among equal rows.
+    """
+    def numbered(df, ident, *hashed):
+        h = F.xxhash64(*[F.coalesce(c, F.lit("")) for c in hashed])
+        by = [F.coalesce(ident, F.lit(-2**63)), h]
+        return df.withColumn("_key", by[0]).withColumn("_hash", by[1]).withColumn(
+            "_nr", F.row_number().over(Window.partitionBy("_key", "_hash").orderBy(F.lit(1))))
+
+    hashes = docs.select(F.col(id_col).cast("long").alias(id_col), text_col, source_col,
+                         F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(source_col), F.lit("")))
+                         .alias("_hash"))
+    plan = mix(hashes, id_col=id_col, text_col=text_col, source_col=source_col, passing=("_hash",), **options)
+    plan = plan.select(F.coalesce("doc_id", F.lit(-2**63)).alias("_key"), "_hash", "copies", "extra") \
+        .withColumn("_nr", F.row_number().over(Window.partitionBy("_key", "_hash").orderBy("copies", "extra")))
+    rows = numbered(docs, F.col(id_col).cast("long"), F.col(text_col), F.col(source_col)) \
+        .join(plan, ["_key", "_hash", "_nr"])
+    words = F.regexp_extract_all(text_col, F.lit(WORD + r"[\x20\x09-\x0D]*"), 0)
+    blocks = F.array_join(F.flatten(F.transform("extra", lambda s: F.slice(
+        words, (s["first"] + 1).cast("int"), (s["end"] - s["first"]).cast("int")))), "")
+    texts = F.concat(F.array_repeat(F.col(text_col), F.col("copies")),
+                     F.when(F.size("extra") > 0, F.array(blocks)).otherwise(F.array().cast("array<string>")))
+    return rows.withColumn("_texts", texts).withColumn(text_col, F.explode("_texts")) \
+        .where(F.col(text_col).rlike(WORD)).select(*[F.col(f"`{c}`") for c in docs.columns])

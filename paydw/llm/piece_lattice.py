@@ -278,7 +278,7 @@ def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", passing: tupl
                                              names=[*keep, "text"])
 
     schema = ", ".join([f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in keep] + ["text string"])
-    return encoded.select(*keep, "ids").mapInArrow(run, schema)
+    return encoded.select(*dict.fromkeys([*keep, "ids"])).mapInArrow(run, schema)
 
 
 def encode_and_decode(docs: DataFrame, model: str, **options) -> DataFrame:

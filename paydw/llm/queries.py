@@ -16,7 +16,7 @@ from paydw.session import scratch_path
 
 
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "copies", "extra")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
