@@ -1,9 +1,9 @@
 """Column expressions shared by the jobs (all built-in Spark functions)."""
 
 from paydw.functions.calendar import calendar_columns, month_ref, is_weekend, is_sunday
-from paydw.functions.money import cents, money_sum, money_from_cents, exact_money, revenue_exact
+from paydw.functions.money import amount, as_double, revenue_amount
 
 __all__ = [
     "calendar_columns", "month_ref", "is_weekend", "is_sunday",
-    "cents", "money_sum", "money_from_cents", "exact_money", "revenue_exact",
+    "amount", "as_double", "revenue_amount",
 ]

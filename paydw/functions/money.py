@@ -1,9 +1,10 @@
-"""Exact money arithmetic.
+"""Money arithmetic that does not depend on row order and rounds no row.
 
-Money columns are DOUBLE in the tables, as in the data model, but sums are
-taken over integer cents so that they are exact and independent of the
-order in which partitions are combined. Revenue (rate x value) is computed in
-DECIMAL for the same reason.
+Money columns are DOUBLE, as in the data model. A value is turned into a wide
+decimal before it is added up: 26 digits before the point and 10 behind it,
+more than a DOUBLE of money carries. Sums are then exact and the same for any
+order of partitions; they become DOUBLE again once, at the end. A value that
+does not fit fails the job (ANSI mode, Spark's default) and is not cut off.
 """
 
 from __future__ import annotations
@@ -11,31 +12,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Rates are stored with at most 6 decimals, money with 2.
-RATE_TYPE = "decimal(12,6)"
-MONEY_TYPE = "decimal(20,2)"
+AMOUNT_TYPE = "decimal(36,10)"
 
 
-def cents(c: Column | str) -> Column:
+def amount(c: Column | str) -> Column:
+    """A DOUBLE as the decimal that it is written as."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * F.lit(100.0)).cast("long")
+    return c.cast(AMOUNT_TYPE)
 
 
-def money_from_cents(c: Column) -> Column:
-    return c.cast("double") / F.lit(100.0)
+def as_double(total: Column) -> Column:
+    return total.cast("double")
 
 
-def money_sum(c: Column | str) -> Column:
-    """SUM of a money column, exact to the cent, returned as DOUBLE."""
-    return money_from_cents(F.sum(cents(c)))
-
-
-def exact_money(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c.cast(MONEY_TYPE)
-
-
-def revenue_exact(rate: Column | str, value: Column | str) -> Column:
-    """rate x value as an exact DECIMAL (scale 8)."""
+def revenue_amount(rate: Column | str, value: Column | str) -> Column:
+    """rate x value, the DOUBLE product, as an amount."""
     rate = F.col(rate) if isinstance(rate, str) else rate
-    return rate.cast(RATE_TYPE) * exact_money(value)
+    value = F.col(value) if isinstance(value, str) else value
+    return amount(rate * value)

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paydw.functions.money import cents, money_from_cents
+from paydw.functions.money import AMOUNT_TYPE, amount, as_double
+
 SUMMARY_GROUP = ("id_cliente", "data_movimentacao", "id_contrato")
 # column order of the summary table
 SUMMARY_TYPE_ORDER = ("payin", "payout", "boleto")
@@ -19,12 +20,12 @@ SUMMARY_TYPE_ORDER = ("payin", "payout", "boleto")
 def summary_aggs(type_col: str = "tipo_transacao", value_col: str = "valor_transacao",
                  count_col: str = "id_cliente") -> list:
     t = F.col(type_col)
-    v = cents(value_col)
+    v = amount(value_col)
     aggs = [F.count(count_col).cast("int").alias("quantidade_movimentacoes")]
     aggs += [F.sum(F.when(t == typ, 1).otherwise(0)).cast("int").alias(f"quantidade_{typ}")
              for typ in SUMMARY_TYPE_ORDER]
-    aggs.append(money_from_cents(F.sum(v)).alias("total_movimentacao"))
-    aggs += [money_from_cents(F.sum(F.when(t == typ, v).otherwise(F.lit(0).cast("long"))))
+    aggs.append(as_double(F.sum(v)).alias("total_movimentacao"))
+    aggs += [as_double(F.sum(F.when(t == typ, v).otherwise(F.lit(0).cast(AMOUNT_TYPE))))
              .alias(f"total_{typ}") for typ in SUMMARY_TYPE_ORDER]
     return aggs
 

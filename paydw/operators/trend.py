@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EPOCH = "1970-01-01"
-_INT = "decimal(38,0)"
+# day numbers, and values with 10 decimals: their products fit 38 digits
+_DAY, _VALUE = "decimal(10,0)", "decimal(27,10)"
 
 
 def epoch_day(d: Column | str) -> Column:
@@ -29,64 +30,52 @@ def epoch_day(d: Column | str) -> Column:
     return F.datediff(d, F.lit(EPOCH).cast("date")).cast("long")
 
 
-def _units(value_col: str, scale: int) -> Column:
-    """y in exact integer units of 10^-scale."""
-    return F.round(F.col(value_col).cast("double") * F.lit(float(10 ** scale))).cast(_INT)
-
-
-def _sums(value_col: str, date_col: str, scale: int, over=None) -> dict[str, Column]:
-    y = _units(value_col, scale)
-    x = epoch_day(date_col).cast(_INT)
-    ok = F.col(value_col).isNotNull() & F.col(date_col).isNotNull()
-    y, x = F.when(ok, y), F.when(ok, x)
+def _sums(value_col: str, date_col: str, over=None) -> dict[str, Column]:
+    y, x = F.col(value_col).cast("double"), epoch_day(date_col)
+    ok = y.isNotNull() & x.isNotNull()
+    y, x = F.when(ok, y.cast(_VALUE)), F.when(ok, x.cast(_DAY))
     aggs = {"n": F.count(y), "_sx": F.sum(x), "_sxx": F.sum(x * x), "_sy": F.sum(y),
-            "_sxy": F.sum(x * y), "_syy": F.sum(y * y)}
+            "_sxy": F.sum(x * y), "_syy": F.sum(y.cast("double") * y.cast("double"))}
     if over is not None:
         aggs = {k: v.over(over) for k, v in aggs.items()}
     return aggs
 
 
-def _fit_cols(scale: int) -> dict[str, Column]:
+def _fit_cols() -> dict[str, Column]:
     n = F.col("n").cast("double")
-    sx, sxx = F.col("_sx").cast("double"), F.col("_sxx").cast("double")
-    sy, sxy, syy = (F.col(c).cast("double") for c in ("_sy", "_sxy", "_syy"))
+    sx, sxx, sy, sxy, syy = (F.col(c).cast("double") for c in ("_sx", "_sxx", "_sy", "_sxy", "_syy"))
     den = n * sxx - sx * sx
-    slope_u = F.when(den != 0, (n * sxy - sx * sy) / den)
-    icpt_u = (sy - slope_u * sx) / n
-    unit = float(10 ** scale)
+    slope = F.when(den != 0, (n * sxy - sx * sy) / den)
     syy_c = syy - sy * sy / n
     r2 = F.when((den != 0) & (syy_c != 0),
                 (n * sxy - sx * sy) * (n * sxy - sx * sy) / (den * (n * syy - sy * sy)))
-    return {"slope": slope_u / unit, "intercept": icpt_u / unit, "r2": r2}
+    return {"slope": slope, "intercept": (sy - slope * sx) / n, "r2": r2}
 
 
-def trend_fit(df: DataFrame, keys: list[str], date_col: str, value_col: str,
-              scale: int = 2) -> DataFrame:
+def trend_fit(df: DataFrame, keys: list[str], date_col: str, value_col: str) -> DataFrame:
     """One row per series: n, slope (per day), intercept (at 1970-01-01), r2."""
-    s = _sums(value_col, date_col, scale)
+    s = _sums(value_col, date_col)
     g = df.groupBy(*keys).agg(*[v.alias(k) for k, v in s.items()])
-    return g.select(*keys, "n", *[v.alias(k) for k, v in _fit_cols(scale).items()])
+    return g.select(*keys, "n", *[v.alias(k) for k, v in _fit_cols().items()])
 
 
-def trend_predict(df: DataFrame, keys: list[str], date_col: str, value_col: str,
-                  scale: int = 2) -> DataFrame:
+def trend_predict(df: DataFrame, keys: list[str], date_col: str, value_col: str) -> DataFrame:
     """Rows of ``df`` with the fit of their series, ``prediction`` and ``residual``."""
     w = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    s = _sums(value_col, date_col, scale, over=w)
-    fitted = df.withColumns(s).withColumns(_fit_cols(scale)).drop(*[k for k in s if k != "n"])
+    s = _sums(value_col, date_col, over=w)
+    fitted = df.withColumns(s).withColumns(_fit_cols()).drop(*[k for k in s if k != "n"])
     pred = F.col("intercept") + F.col("slope") * epoch_day(date_col).cast("double")
     return (fitted.withColumn("prediction", pred)
                   .withColumn("residual", F.col(value_col).cast("double") - F.col("prediction")))
 
 
-def trend_summary(df: DataFrame, keys: list[str], date_col: str, value_col: str,
-                  scale: int = 2) -> DataFrame:
+def trend_summary(df: DataFrame, keys: list[str], date_col: str, value_col: str) -> DataFrame:
     """Fit per series plus in-sample RMSE (divisor n, T3).
 
     Predictions come from a window partitioned by the keys; the RMSE
     aggregate reuses that partitioning (no second shuffle).
     """
-    p = trend_predict(df, keys, date_col, value_col, scale)
+    p = trend_predict(df, keys, date_col, value_col)
     r = F.col("residual")
     return p.groupBy(*keys).agg(
         F.first("n").alias("n"), F.first("slope").alias("slope"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paydw.functions.money import cents, money_from_cents, revenue_exact
+from paydw.functions.money import amount, as_double, revenue_amount
 from paydw.operators.merge import read_table
 from paydw.schemas import MONTH_PARTITION
 
@@ -69,12 +69,12 @@ def year_filter(ano: int) -> Column:
 
 
 def sum_money(c: str, alias: str | None = None) -> Column:
-    return money_from_cents(F.sum(cents(c))).alias(alias or c)
+    return as_double(F.sum(amount(c))).alias(alias or c)
 
 
 def sum_revenue(rate: str, value: str, alias: str) -> Column:
-    """Exact SUM(rate * value) returned as DOUBLE."""
-    return F.sum(revenue_exact(rate, value)).cast("double").alias(alias)
+    """SUM(rate * value) as DOUBLE, the same for any order of rows."""
+    return as_double(F.sum(revenue_amount(rate, value))).alias(alias)
 
 
 def rnd(c: Column | str, digits: int, alias: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paydw.functions.money import amount, as_double
 from paydw.plans.common import sum_money, with_calendar
 from paydw.plans.segments import segment_day, transacao_cliente
 from paydw.plans.warehouse import Warehouse
@@ -58,5 +59,5 @@ def _seasonality(wh: Warehouse, attr: str) -> DataFrame:
     return sd.groupBy("segmento", attr).agg(
         n.alias("dias"),
         (F.sum("quantidade_movimentacoes").cast("double") / n).alias("quantidade_media"),
-        ((F.sum(F.round(F.col("total_movimentacao") * 100).cast("long")).cast("double") / 100.0) / n)
+        (as_double(F.sum(amount("total_movimentacao"))) / n)
         .alias("valor_medio"))

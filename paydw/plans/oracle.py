@@ -9,17 +9,22 @@ later), not by the per-client maximum the Spark job uses.
 
 from __future__ import annotations
 
-# integer cents of a money expression, and a money sum returned as DOUBLE
-def _c(x: str) -> str:
-    return f"CAST(ROUND({x} * 100.0) AS BIGINT)"
+# A DOUBLE as the decimal that it is written as, and an exact decimal as the nearest
+# DOUBLE: both go by way of text, as a direct cast scales by 10^10 in floating point.
+def _c(x: str, width: int = 36) -> str:
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL({width},10))"
+
+
+def _f(x: str) -> str:
+    return f"CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
 
 
 def _ms(x: str) -> str:
-    return f"CAST(SUM({_c(x)}) AS DOUBLE) / 100"
+    return _f(f"SUM({_c(x)})")
 
 
 def _rev(rate: str, value: str) -> str:
-    return f"CAST({rate} AS DECIMAL(12,6)) * CAST({value} AS DECIMAL(20,2))"
+    return _c(f"{rate} * {value}")
 
 
 TYPES = ("payin", "payout", "boleto")
@@ -60,7 +65,7 @@ fd AS (
          CAST(COUNT(id_cliente) AS INTEGER) AS quantidade_movimentacoes,
          {", ".join(f"CAST(SUM(CASE WHEN tipo_transacao = '{t}' THEN 1 ELSE 0 END) AS INTEGER) AS quantidade_{t}" for t in TYPES)},
          {_ms("valor_transacao")} AS total_movimentacao,
-         {", ".join(f"CAST(SUM(CASE WHEN tipo_transacao = '{t}' THEN {_c('valor_transacao')} ELSE 0 END) AS DOUBLE) / 100 AS total_{t}" for t in TYPES)}
+         {", ".join(f"{_f(f"SUM(CASE WHEN tipo_transacao = '{t}' THEN {_c('valor_transacao')} ELSE 0 END)")} AS total_{t}" for t in TYPES)}
   FROM fact GROUP BY id_cliente, data_movimentacao, id_contrato),
 tempo AS (
   SELECT CAST(d AS DATE) AS data, CAST(year(d) AS INTEGER) AS ano, CAST(month(d) AS INTEGER) AS mes,
@@ -72,7 +77,7 @@ seg_all AS (
   SELECT cli.segmento, fd.data_movimentacao,
          CAST(SUM(fd.quantidade_movimentacoes) AS BIGINT) AS quantidade_movimentacoes,
          {_ms("fd.total_movimentacao")} AS total_movimentacao,
-         CAST(SUM({" + ".join(_rev(f"con.taxa_{t}", f"fd.total_{t}") for t in ("boleto", "payin", "payout"))}) AS DOUBLE) AS faturamento
+         {_f("SUM(" + " + ".join(_rev(f"con.taxa_{t}", f"fd.total_{t}") for t in ("boleto", "payin", "payout")) + ")")} AS faturamento
   FROM fd JOIN cli ON cli.id_cliente = fd.id_cliente JOIN con ON con.id_contrato = fd.id_contrato
   GROUP BY cli.segmento, fd.data_movimentacao),
 seg_dense AS (
@@ -86,19 +91,14 @@ seg_dense AS (
                                                   (SELECT MAX(data_movimentacao) FROM seg_all),
                                                   INTERVAL 1 DAY)) AS d) days) g
   LEFT JOIN seg_all s ON s.segmento = g.segmento AND s.data_movimentacao = g.data_movimentacao),
-rev_day AS (
+revenue_day AS (
   SELECT t.data,
-         {", ".join(f"SUM({_rev(f'con.taxa_{t}', f'fd.total_{t}')}) AS r_{t}" for t in ("boleto", "payin", "payout"))},
-         {", ".join(f"SUM({_c(f'fd.total_{t}')}) AS v_{t}" for t in ("boleto", "payin", "payout"))}
+         {", ".join(f"{_f(f'SUM({_rev(f'con.taxa_{t}', f'fd.total_{t}')})')} AS faturamento_{t}" for t in ("boleto", "payin", "payout"))},
+         {_f("SUM(" + " + ".join(_rev(f"con.taxa_{t}", f"fd.total_{t}") for t in ("boleto", "payin", "payout")) + ")")} AS faturamento_total,
+         {", ".join(f"{_ms(f'fd.total_{t}')} AS total_{t}" for t in ("boleto", "payin", "payout"))},
+         {_f("SUM(" + " + ".join(_c(f"fd.total_{t}") for t in ("boleto", "payin", "payout")) + ")")} AS total
   FROM fd JOIN con ON con.id_contrato = fd.id_contrato JOIN tempo t ON fd.data_movimentacao = t.data
   GROUP BY t.data),
-revenue_day AS (
-  SELECT data,
-         {", ".join(f"CAST(r_{t} AS DOUBLE) AS faturamento_{t}" for t in ("boleto", "payin", "payout"))},
-         CAST(r_boleto + r_payin + r_payout AS DOUBLE) AS faturamento_total,
-         {", ".join(f"CAST(v_{t} AS DOUBLE) / 100 AS total_{t}" for t in ("boleto", "payin", "payout"))},
-         CAST(v_boleto + v_payin + v_payout AS DOUBLE) / 100 AS total
-  FROM rev_day),
 ts AS (
   SELECT 'total' AS serie, data_movimentacao, {_ms("total_movimentacao")} AS valor
   FROM fd GROUP BY data_movimentacao
@@ -120,27 +120,26 @@ def _with(body: str) -> str:
     return f"WITH {rec}{BASE.strip()}\n{body}"
 
 
-def _trend_cte(series: str, scale: int) -> str:
-    """sums -> closed-form OLS fit per series, same arithmetic order as the Spark job."""
-    unit = f"CAST({10 ** scale} AS DOUBLE)"
+def _trend_cte(series: str) -> str:
+    """Least squares per series in closed form: exact sums of days, values and their products."""
     return f""",
 ser AS ({series}),
 xy AS (
   SELECT serie, data_movimentacao, valor,
-         CAST(date_diff('day', DATE '1970-01-01', data_movimentacao) AS HUGEINT) AS x,
-         CAST(ROUND(CAST(valor AS DOUBLE) * {unit}) AS HUGEINT) AS yu
+         CAST(date_diff('day', DATE '1970-01-01', data_movimentacao) AS DECIMAL(10,0)) AS x,
+         {_c("valor", 27)} AS y
   FROM ser),
 sums AS (
-  SELECT serie, COUNT(yu) AS n, CAST(COUNT(yu) AS DOUBLE) AS dn,
-         CAST(SUM(x) AS DOUBLE) AS sx, CAST(SUM(x * x) AS DOUBLE) AS sxx, CAST(SUM(yu) AS DOUBLE) AS sy,
-         CAST(SUM(x * yu) AS DOUBLE) AS sxy, CAST(SUM(yu * yu) AS DOUBLE) AS syy
+  SELECT serie, COUNT(y) AS n, CAST(COUNT(y) AS DOUBLE) AS dn,
+         CAST(SUM(x) AS DOUBLE) AS sx, CAST(SUM(x * x) AS DOUBLE) AS sxx, {_f("SUM(y)")} AS sy,
+         {_f("SUM(x * y)")} AS sxy, SUM(valor * valor) AS syy
   FROM xy GROUP BY serie),
 fit AS (
   SELECT serie, n, dn, sx, sy, sxy, syy, dn * sxx - sx * sx AS den,
-         CASE WHEN dn * sxx - sx * sx <> 0 THEN (dn * sxy - sx * sy) / (dn * sxx - sx * sx) END AS slope_u
+         CASE WHEN dn * sxx - sx * sx <> 0 THEN (dn * sxy - sx * sy) / (dn * sxx - sx * sx) END AS slope
   FROM sums),
 fit2 AS (
-  SELECT serie, n, slope_u / {unit} AS slope, ((sy - slope_u * sx) / dn) / {unit} AS intercept,
+  SELECT serie, n, slope, (sy - slope * sx) / dn AS intercept,
          CASE WHEN den <> 0 AND (syy - sy * sy / dn) <> 0
               THEN (dn * sxy - sx * sy) * (dn * sxy - sx * sy) / (den * (dn * syy - sy * sy)) END AS r2
   FROM fit),
@@ -151,9 +150,9 @@ pred AS (
 """
 
 
-def _trend_report(series: str, scale: int, kind: str) -> str:
+def _trend_report(series: str, kind: str) -> str:
     ds, di, dr = {"count": (10, 8, 6), "money": (6, 4, 2)}[kind]
-    return _with(_trend_cte(series, scale) + f"""
+    return _with(_trend_cte(series) + f"""
 SELECT f.serie, CAST(f.n AS BIGINT) AS n, ROUND(f.slope, {ds}) AS inclinacao_dia,
        ROUND(f.intercept, {di}) AS intercepto, ROUND(f.r2, 8) AS r2,
        ROUND(SQRT(AVG((p.valor - p.prediction) * (p.valor - p.prediction))), {dr}) AS rmse
@@ -234,7 +233,7 @@ def _seasonality_sql(attr: str) -> str:
     return f"""
 SELECT s.segmento, t.{attr}, COUNT(*) AS dias,
        CAST(SUM(s.quantidade_movimentacoes) AS DOUBLE) / COUNT(*) AS quantidade_media,
-       (CAST(SUM(CAST(ROUND(s.total_movimentacao * 100.0) AS BIGINT)) AS DOUBLE) / 100.0) / COUNT(*) AS valor_medio
+       {_ms("s.total_movimentacao")} / COUNT(*) AS valor_medio
 FROM seg_all s JOIN tempo t ON s.data_movimentacao = t.data
 GROUP BY s.segmento, t.{attr}"""
 
@@ -338,7 +337,7 @@ SELECT id_cliente, data_movimentacao, eventos, valor_total,
 FROM d""",
     "revenue_client_day": _with(f"""
 SELECT t.data, fd.id_cliente,
-       {", ".join(f"CAST(SUM({_rev(f'con.taxa_{x}', f'fd.total_{x}')}) AS DOUBLE) AS faturamento_{x}" for x in ("boleto", "payin", "payout"))},
+       {", ".join(f"{_f(f'SUM({_rev(f'con.taxa_{x}', f'fd.total_{x}')})')} AS faturamento_{x}" for x in ("boleto", "payin", "payout"))},
        {", ".join(f"{_ms(f'fd.total_{x}')} AS total_{x}" for x in ("boleto", "payin", "payout"))}
 FROM fd JOIN con ON con.id_contrato = fd.id_contrato JOIN tempo t ON fd.data_movimentacao = t.data
 GROUP BY t.data, fd.id_cliente"""),
@@ -348,26 +347,26 @@ GROUP BY t.data, fd.id_cliente"""),
         "SELECT segmento, data_movimentacao, quantidade_movimentacoes, total_movimentacao FROM seg_all"),
     "segment_revenue_day": _with("SELECT segmento, data_movimentacao, faturamento FROM seg_all"),
     "segment_day_dense": _with("SELECT * FROM seg_dense"),
-    "trend_value_type": _trend_report(_VALUE_SERIES, 2, "money"),
-    "trend_revenue_type": _trend_report(_REVENUE_SERIES, 4, "money"),
-    "trend_segment_count": _trend_report(_seg_series("quantidade_movimentacoes"), 0, "count"),
-    "trend_segment_value": _trend_report(_seg_series("total_movimentacao"), 2, "money"),
-    "trend_segment_revenue": _trend_report(_seg_series("faturamento"), 4, "money"),
-    "trend_extrapolate": _with(_trend_cte(_VALUE_SERIES, 2) + """,
+    "trend_value_type": _trend_report(_VALUE_SERIES, "money"),
+    "trend_revenue_type": _trend_report(_REVENUE_SERIES, "money"),
+    "trend_segment_count": _trend_report(_seg_series("quantidade_movimentacoes"), "count"),
+    "trend_segment_value": _trend_report(_seg_series("total_movimentacao"), "money"),
+    "trend_segment_revenue": _trend_report(_seg_series("faturamento"), "money"),
+    "trend_extrapolate": _with(_trend_cte(_VALUE_SERIES) + """,
 last AS (SELECT serie, MAX(data_movimentacao) AS ultimo FROM ser GROUP BY serie)
 SELECT f.serie, CAST(d AS DATE) AS data_movimentacao,
        ROUND(f.intercept + f.slope * CAST(date_diff('day', DATE '1970-01-01', CAST(d AS DATE)) AS DOUBLE), 4) AS prediction
 FROM fit2 f JOIN last USING (serie),
      LATERAL (SELECT unnest(generate_series(last.ultimo, last.ultimo + INTERVAL 29 DAY, INTERVAL 1 DAY)) AS d) g"""),
-    "trend_predictions": _with(_trend_cte(_VALUE_SERIES, 2) + """
+    "trend_predictions": _with(_trend_cte(_VALUE_SERIES) + """
 SELECT serie, data_movimentacao, valor, ROUND(prediction, 4) AS prediction FROM pred"""),
-    "trend_predictions_revenue": _with(_trend_cte(_REVENUE_SERIES, 4) + """
+    "trend_predictions_revenue": _with(_trend_cte(_REVENUE_SERIES) + """
 SELECT serie, data_movimentacao, valor, ROUND(prediction, 4) AS prediction FROM pred"""),
     "trend_predictions_segment": " UNION ALL ".join(
-        "SELECT * FROM (" + _with(_trend_cte(_seg_series(m), sc) + f"""
+        "SELECT * FROM (" + _with(_trend_cte(_seg_series(m)) + f"""
 SELECT '{name}' AS medida, serie, data_movimentacao, valor, ROUND(prediction, 4) AS prediction FROM pred""") + ")"
-        for name, m, sc in (("quantidade", "quantidade_movimentacoes", 0), ("valor", "total_movimentacao", 2),
-                            ("faturamento", "faturamento", 4))),
+        for name, m in (("quantidade", "quantidade_movimentacoes"), ("valor", "total_movimentacao"),
+                        ("faturamento", "faturamento"))),
     "daily_total": _with(f"SELECT data_movimentacao, {_ms('total_movimentacao')} AS total_movimentacao "
                          "FROM fd GROUP BY data_movimentacao"),
     "series_split": _with("SELECT * FROM split"),

@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paydw.functions.money import amount, as_double, revenue_amount
 from paydw.plans.common import sum_money, sum_revenue, with_calendar
 from paydw.plans.warehouse import Warehouse
 from paydw.schemas import TRANSACTION_TYPES
@@ -39,18 +40,11 @@ def revenue_client_day(wh: Warehouse) -> DataFrame:
 def revenue_day(wh: Warehouse) -> DataFrame:
     """Per day: revenue and value of each type and their totals (G5 + P4)."""
     r = _revenue_rows(wh)
-    rev_total = reduce(add, [F.col(f"_rev_{t}") for t in TRANSACTION_TYPES])
-    g = r.groupBy("data").agg(
-        *[F.sum(F.col(RATE[t]).cast("decimal(12,6)") * F.col(f"total_{t}").cast("decimal(20,2)"))
-          .alias(f"_rev_{t}") for t in TRANSACTION_TYPES],
-        *[F.sum(F.round(F.col(f"total_{t}") * 100).cast("long")).alias(f"_val_{t}")
-          for t in TRANSACTION_TYPES],
-    )
-    val_total = reduce(add, [F.col(f"_val_{t}") for t in TRANSACTION_TYPES])
-    return g.select(
-        "data",
-        *[F.col(f"_rev_{t}").cast("double").alias(f"faturamento_{t}") for t in TRANSACTION_TYPES],
-        rev_total.cast("double").alias("faturamento_total"),
-        *[(F.col(f"_val_{t}").cast("double") / 100.0).alias(f"total_{t}") for t in TRANSACTION_TYPES],
-        (val_total.cast("double") / 100.0).alias("total"),
+    rates = {t: revenue_amount(RATE[t], f"total_{t}") for t in TRANSACTION_TYPES}
+    values = {t: amount(f"total_{t}") for t in TRANSACTION_TYPES}
+    return r.groupBy("data").agg(
+        *[as_double(F.sum(rates[t])).alias(f"faturamento_{t}") for t in TRANSACTION_TYPES],
+        as_double(F.sum(reduce(add, rates.values()))).alias("faturamento_total"),
+        *[as_double(F.sum(values[t])).alias(f"total_{t}") for t in TRANSACTION_TYPES],
+        as_double(F.sum(reduce(add, values.values()))).alias("total"),
     )

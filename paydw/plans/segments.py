@@ -8,7 +8,7 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paydw.functions.money import revenue_exact
+from paydw.functions.money import revenue_amount
 from paydw.operators.densify import densify
 from paydw.plans.common import sum_money
 from paydw.plans.warehouse import Warehouse
@@ -46,7 +46,7 @@ def daily_with_client_contract(wh: Warehouse) -> DataFrame:
 
 
 def _revenue_row():
-    return reduce(add, [revenue_exact(f"taxa_{t}", f"total_{t}") for t in TRANSACTION_TYPES])
+    return reduce(add, [revenue_amount(f"taxa_{t}", f"total_{t}") for t in TRANSACTION_TYPES])
 
 
 def segment_day(wh: Warehouse) -> DataFrame:

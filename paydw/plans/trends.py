@@ -60,60 +60,60 @@ def _report(fit: DataFrame, kind: str) -> DataFrame:
 
 
 def trend_value_type(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
-    return _report(trend_summary(value_type_series(wh, daily), ["serie"], "data_movimentacao", "valor", 2),
+    return _report(trend_summary(value_type_series(wh, daily), ["serie"], "data_movimentacao", "valor"),
                    "money")
 
 
 def trend_revenue_type(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
-    return _report(trend_summary(revenue_type_series(wh, daily), ["serie"], "data_movimentacao", "valor", 4),
+    return _report(trend_summary(revenue_type_series(wh, daily), ["serie"], "data_movimentacao", "valor"),
                    "money")
 
 
 def trend_segment_count(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
     s = segment_series(wh, "quantidade_movimentacoes", dense)
-    return _report(trend_summary(s, ["serie"], "data_movimentacao", "valor", 0), "count")
+    return _report(trend_summary(s, ["serie"], "data_movimentacao", "valor"), "count")
 
 
 def trend_segment_value(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
     s = segment_series(wh, "total_movimentacao", dense)
-    return _report(trend_summary(s, ["serie"], "data_movimentacao", "valor", 2), "money")
+    return _report(trend_summary(s, ["serie"], "data_movimentacao", "valor"), "money")
 
 
 def trend_segment_revenue(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
     s = segment_series(wh, "faturamento", dense)
-    return _report(trend_summary(s, ["serie"], "data_movimentacao", "valor", 4), "money")
+    return _report(trend_summary(s, ["serie"], "data_movimentacao", "valor"), "money")
 
 
 def trend_extrapolate_value(wh: Warehouse, dias: int = 30, start_offset: int = 0,
                             daily: DataFrame | None = None) -> DataFrame:
     """``dias`` days of each value-type trend from its last observed day (T4)."""
-    fit = trend_summary(value_type_series(wh, daily), ["serie"], "data_movimentacao", "valor", 2)
+    fit = trend_summary(value_type_series(wh, daily), ["serie"], "data_movimentacao", "valor")
     ex = trend_extrapolate(fit, ["serie"], "ultimo_dia", dias, start_offset)
     return ex.select("serie", "data_movimentacao", F.round("prediction", 4).alias("prediction"))
 
 
-def _predictions(series: DataFrame, scale: int) -> DataFrame:
-    p = trend_predict(series, ["serie"], "data_movimentacao", "valor", scale)
+def _predictions(series: DataFrame) -> DataFrame:
+    p = trend_predict(series, ["serie"], "data_movimentacao", "valor")
     return p.select("serie", "data_movimentacao", "valor", F.round("prediction", 4).alias("prediction"))
 
 
 def trend_predictions(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
     """In-sample predictions of the value-type trends: the exported (day, prediction) tables."""
-    return _predictions(value_type_series(wh, daily), 2)
+    return _predictions(value_type_series(wh, daily))
 
 
 def trend_predictions_revenue(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
     """In-sample predictions of the revenue-type trends (boleto, payin, payout, total)."""
-    return _predictions(revenue_type_series(wh, daily), 4)
+    return _predictions(revenue_type_series(wh, daily))
 
 
 def trend_predictions_segment(wh: Warehouse, dense: DataFrame | None = None) -> DataFrame:
     """In-sample predictions of the segment trends, one family per measure (``medida``):
     transactions, value and revenue per segment on the dense day axis."""
-    fams = [("quantidade", "quantidade_movimentacoes", 0), ("valor", "total_movimentacao", 2),
-            ("faturamento", "faturamento", 4)]
+    fams = [("quantidade", "quantidade_movimentacoes"), ("valor", "total_movimentacao"),
+            ("faturamento", "faturamento")]
     out = None
-    for name, measure, scale in fams:
-        p = _predictions(segment_series(wh, measure, dense), scale).withColumn("medida", F.lit(name))
+    for name, measure in fams:
+        p = _predictions(segment_series(wh, measure, dense)).withColumn("medida", F.lit(name))
         out = p if out is None else out.unionByName(p)
     return out.select("medida", "serie", "data_movimentacao", "valor", "prediction")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paydw.functions.money import cents
+from paydw.functions.money import amount
 from paydw.session import scratch_path
 
 
@@ -41,9 +41,9 @@ def daily_totals_stream(events: DataFrame, ts_col: str = "ts", client_col: str =
     day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int"))
     return (x.withWatermark("_ts", lateness)
              .groupBy(F.window("_ts", "1 day"), "id_cliente")
-             .agg(F.count(F.lit(1)).alias("eventos"), F.sum(cents("_v")).alias("_cents"))
+             .agg(F.count(F.lit(1)).alias("eventos"), F.sum(amount("_v")).alias("_total"))
              .select(day.alias("dia"), "id_cliente", "eventos",
-                     (F.col("_cents").cast("double") / 100.0).alias("valor_total")))
+                     F.col("_total").cast("double").alias("valor_total")))
 
 
 def live_daily_totals(spark: SparkSession, events: DataFrame, out_path: str,
