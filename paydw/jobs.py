@@ -1,15 +1,20 @@
 """Scheduled jobs, one command each (what the reference runs as notebooks).
 
     python -m paydw.jobs bootstrap     --warehouse W --staging S [--end-date D]
-    python -m paydw.jobs interval      --warehouse W --staging S [--end-date D]
+    python -m paydw.jobs interval      --warehouse W --staging S [--end-date D] [--process-date D]
+                                       [--start D --end D] [--late ignore] [--clear-staging]
     python -m paydw.jobs daily-summary --warehouse W --process-date D
-    python -m paydw.jobs ingest        --warehouse W --incoming F [--checkpoint C]
+    python -m paydw.jobs ingest        --warehouse W --incoming F --checkpoint C [--staging S] [--process-date D]
     python -m paydw.jobs export-trends --warehouse W --out O
 
 ``S`` holds one parquet folder per staging table (clientes, contratos,
 transacoes) with the staging schemas; ``F`` is a folder where transaction
 files arrive. A scheduler (cron, a workflow tool) runs these on a cadence;
-``ingest`` processes what arrived since its last run and stops.
+``ingest`` processes what arrived since its last run and stops. Days before the
+process date are closed and summarized; late rows rebuild their month unless
+``--late ignore``. ``--start`` and ``--end`` pull one window of transactions
+(end exclusive) with all clients and contracts; ``--clear-staging`` empties the
+staging folders once the run has succeeded.
 """
 
 from __future__ import annotations
@@ -20,15 +25,18 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from paydw.schemas import STAGING_CLIENTES, STAGING_CONTRATOS, STAGING_TRANSACOES
-from paydw.session import get_session, scratch_path
-from paydw.sources.staging import read_staging
+from paydw.session import get_session
 from paydw.sources.driver import Staging
+from paydw.sources.staging import read_staging, read_staging_window
+from paydw.storage import remove
 
 
-def _staging(spark, path: str) -> Staging:
+def _staging(spark, path: str, start=None, end=None) -> Staging:
+    tx = read_staging_window(spark, f"{path}/transacoes", STAGING_TRANSACOES, "data_movimentacao",
+                             dt.date.fromisoformat(start), dt.date.fromisoformat(end)) if start and end \
+        else read_staging(spark, f"{path}/transacoes", STAGING_TRANSACOES)
     return Staging(read_staging(spark, f"{path}/clientes", STAGING_CLIENTES),
-                   read_staging(spark, f"{path}/contratos", STAGING_CONTRATOS),
-                   read_staging(spark, f"{path}/transacoes", STAGING_TRANSACOES))
+                   read_staging(spark, f"{path}/contratos", STAGING_CONTRATOS), tx)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -41,6 +49,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out")
     ap.add_argument("--end-date", default="today")
     ap.add_argument("--process-date", default=str(dt.date.today()))
+    ap.add_argument("--start")
+    ap.add_argument("--end")
+    ap.add_argument("--late", choices=["recompute", "ignore"], default="recompute")
+    ap.add_argument("--clear-staging", action="store_true")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
 
@@ -51,19 +63,23 @@ def main(argv: list[str] | None = None) -> None:
     if a.job == "bootstrap":
         wh.bootstrap(_staging(spark, a.staging), end_date=a.end_date)
     elif a.job == "interval":
-        st = _staging(spark, a.staging)
-        days = [r[0] for r in st.transacoes.select("data_movimentacao").distinct().collect()]
-        wh.run_interval(st, end_date=a.end_date, summary_days=days)
+        wh.run_interval(_staging(spark, a.staging, a.start, a.end), end_date=a.end_date,
+                        process_date=a.process_date, late=a.late)
+        if a.clear_staging:
+            for name in ("clientes", "contratos", "transacoes"):
+                remove(spark, f"{a.staging}/{name}")
     elif a.job == "daily-summary":
         wh.daily_summary_job(a.process_date)
     elif a.job == "ingest":
-        from paydw.streaming.ingest import ingest_transactions, staging_stream
+        from paydw.streaming.ingest import staging_stream
 
+        if not a.checkpoint:
+            ap.error("ingest needs --checkpoint, a folder that outlives the run")
+        if a.staging:
+            wh.load_clientes(read_staging(spark, f"{a.staging}/clientes", STAGING_CLIENTES))
+            wh.load_contratos(read_staging(spark, f"{a.staging}/contratos", STAGING_CONTRATOS))
         stream = staging_stream(spark, a.incoming, STAGING_TRANSACOES)
-        ckpt = a.checkpoint or scratch_path(spark, "paydw-streams", "ingest-job")
-        q = ingest_transactions(spark, stream, wh.contratos, f"{a.warehouse}/fact_transacoes",
-                                checkpoint=ckpt, summary=wh.load_summary)
-        q.awaitTermination()
+        wh.ingest(stream, a.checkpoint, a.process_date, late=a.late).awaitTermination()
     elif a.job == "export-trends":
         from paydw.plans import trends
         from paydw.sources.sinks import export_trend_csv

@@ -9,54 +9,34 @@ Semantics kept from MERGE: existing keys are never touched; all source rows
 of a new key are inserted (the source is not de-duplicated); NULL keys never
 match, so they insert on every run.
 
-Plan at scale: the target (a large fact table) is never shuffled. Its key
-columns are scanned, restricted to the min/max range of the batch's keys
-(pushed to parquet: row groups of older keys are skipped by statistics),
-and semi-joined against the *source* keys, which are broadcast when their
-count is under ``broadcast_rows`` (a checked bound); above it the join
-falls back to a shuffled anti join. With ``prune_on`` (a partition column
-that is a function of the key) the range filter on it prunes partitions.
+Plan at scale: the key columns of the target are scanned, restricted to the
+min/max range of the batch's keys (pushed to parquet: row groups of older keys
+are skipped by statistics), and reduced to the keys that the batch has. Which
+side of that semi-join is broadcast, if any, is Spark's choice by bytes, so a
+small batch never shuffles the target and a backfill is an ordinary shuffled
+join. With ``prune_on`` (a partition column that is a function of the key) the
+range filter on it prunes partitions.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def _local_missing(path: str) -> bool:
-    """True when ``path`` is on the local filesystem and has no parquet data yet."""
-    if "://" in path and not path.startswith("file://"):
-        return False  # remote filesystem: let Spark decide
-    p = path[len("file://"):] if path.startswith("file://") else path
-    p = p[len("file:"):] if p.startswith("file:") else p
-    if not os.path.isdir(p):
-        return True
-    return not any(not n.startswith(("_", ".")) for n in os.listdir(p))
+from paydw.storage import has_data
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet table at ``path``, or None when it does not exist yet."""
-    if _local_missing(path):
-        return None
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    """The parquet table at ``path``, or None when it has no data file yet; any other error is raised."""
+    return spark.read.parquet(path) if has_data(spark, path) else None
 
 
 _RANGE_TYPES = ("long", "integer", "short", "byte", "date", "timestamp", "timestamp_ntz", "string")
 
 
 def new_rows(source: DataFrame, target: DataFrame | None, keys: list[str] | tuple[str, ...],
-             prune_on: str | None = None,
-             broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             prune_on: str | None = None) -> DataFrame:
     """Rows of ``source`` whose key is not in ``target`` (NULL keys always new).
 
     One small job first measures the distinct non-NULL source keys and their
@@ -80,20 +60,23 @@ def new_rows(source: DataFrame, target: DataFrame | None, keys: list[str] | tupl
     tgt = target.select(*join_keys)
     for k in ranged:
         tgt = tgt.where(F.col(k).between(F.lit(stats[f"_lo_{k}"]), F.lit(stats[f"_hi_{k}"])))
-    if stats["_n"] <= broadcast_rows:
-        # target keys that collide with a source key; the target is scanned, never
-        # shuffled. The matches are a subset of the counted source keys, so they
-        # are broadcast to the anti join as well.
-        matched = tgt.join(F.broadcast(src_keys), join_keys, "left_semi").distinct()
-        return source.join(F.broadcast(matched), join_keys, "left_anti")
-    return source.join(tgt, join_keys, "left_anti")
+    matched = tgt.join(src_keys, join_keys, "left_semi").distinct()
+    return source.join(matched, join_keys, "left_anti")
+
+
+def spread(*keys: str | Column, files: int = 8) -> Column:
+    """One of ``files`` numbers for each row, by the hash of ``keys``: how a partition's rows are dealt to its files."""
+    return F.pmod(F.xxhash64(*keys), F.lit(files))
 
 
 def insert_only_merge(source: DataFrame, target_path: str, keys, *,
-                      partition_by: str | None = None, cluster_by: list[str] | None = None,
-                      prune_on: str | None = None,
-                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> None:
-    """Append the rows of ``source`` whose key is new to the parquet table at ``target_path``."""
+                      partition_by: str | None = None, dealt_by: Column | None = None,
+                      sort_by: list[str] | None = None, prune_on: str | None = None) -> None:
+    """Append the rows of ``source`` whose key is new to the parquet table at ``target_path``.
+
+    A table partition's rows go to as many files as ``dealt_by`` has values,
+    each sorted by ``sort_by``; dealing by hash needs no look at the data first.
+    """
     spark = source.sparkSession
     target = read_table(spark, target_path)
     cached = None
@@ -103,14 +86,13 @@ def insert_only_merge(source: DataFrame, target_path: str, keys, *,
         # executor's blocks are recomputed from lineage
         cached = source = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        new = new_rows(source, target, keys, prune_on=prune_on, broadcast_rows=broadcast_rows)
+        new = new_rows(source, target, keys, prune_on=prune_on)
         if target is not None:
             # appended files keep the table's schema (names, order and types)
             new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
         out = new
-        if cluster_by:
-            # range partitioning: balanced files that each hold few partition values
-            out = out.repartitionByRange(*[F.col(c) for c in cluster_by])
+        if partition_by and dealt_by is not None:
+            out = out.repartition(F.col(partition_by), dealt_by).sortWithinPartitions(partition_by, *(sort_by or []))
         writer = out.write.mode("append")
         if partition_by:
             writer = writer.partitionBy(partition_by)

@@ -245,6 +245,10 @@ SQL: dict[str, str] = {
     "resolve_contract": _with("SELECT * FROM fact"),
     "merge_insert_only": _with("SELECT * FROM fact"),
     "stream_ingest": _with("SELECT * FROM fact"),
+    "incremental_fact": _with("SELECT * FROM fact"),
+    "incremental_summary": _with("SELECT * FROM fd"),
+    "incremental_calendar": _with("SELECT * FROM tempo"),
+    "incremental_revenue_day": _with("SELECT * FROM revenue_day"),
     "stream_daily_totals": f"""
 SELECT CAST(ts AS DATE) AS dia, CAST(user_id AS BIGINT) AS id_cliente, COUNT(*) AS eventos,
        {_ms("value")} AS valor_total

@@ -10,12 +10,18 @@ Steps (each an insert-only merge, K1-K5):
    days being processed (all days at bootstrap, ``days`` in interval runs)
 
 Fact tables are partitioned by month (``mes_ref`` = yyyymm: months, not
-days, so files stay large) and range-clustered by (month, client, row key)
-before the write, which gives balanced files with tight min/max statistics
-for client and date filters; the row key as last sort column lets a client
-holding a third of all rows spread over many files instead of one task. Every table is a written parquet table, so the
-analytics start from scans (lineage is cut; a lost executor only re-runs
-tasks of the current job).
+days, so files stay large); a month's rows are dealt to files by the hash of
+the client (of the row key for a client with a large share, which so spreads
+over many files) and sorted by client and row key within each file. Every
+table is a written parquet table, so the analytics start from scans (lineage
+is cut; a lost executor only re-runs tasks of the current job).
+
+Incremental runs lose nothing: transactions without a contract wait in
+``pending_transacoes`` and are tried again by every later run; the calendar
+grows without holes from the first day seen; only closed days (before the
+run's ``process_date``) are summarized, and rows that arrive for a summarized
+day rebuild its month (``late="recompute"``) or are left out of the summary as
+in the reference (``late="ignore"``).
 """
 
 from __future__ import annotations
@@ -26,22 +32,25 @@ import os
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paydw.functions.calendar import month_ref
 from paydw.operators.contracts import resolve_contract
-from paydw.operators.merge import insert_only_merge, read_table
+from paydw.operators.merge import insert_only_merge, read_table, spread
 from paydw.operators.skew import hot_keys
 from paydw.operators.summary import daily_summary
-from paydw.schemas import DIM_CLIENTES, DIM_CONTRATOS, DIM_TEMPO, KEYS, MONTH_PARTITION
+from paydw.schemas import (DIM_CLIENTES, DIM_CONTRATOS, DIM_TEMPO, FACT_TRANSACOES, FACT_TRANSACOES_DIA, KEYS,
+                           MONTH_PARTITION, STAGING_TRANSACOES)
 from paydw.session import scratch_path
 from paydw.sources.calendar import calendar
 from paydw.sources.driver import Staging, staging_from_sf
+from paydw.storage import files, remove
 
 TABLES = ("dim_clientes", "dim_contratos", "dim_tempo", "fact_transacoes", "fact_transacoes_dia")
 # Bump when the ETL output changes so cached warehouses are rebuilt.
-WAREHOUSE_VERSION = "3"
+WAREHOUSE_VERSION = "4"
 
 
 @dataclass
@@ -96,63 +105,124 @@ class Warehouse:
     def load_contratos(self, staging_contratos: DataFrame) -> None:
         insert_only_merge(staging_contratos, f"{self.path}/dim_contratos", KEYS["dim_contratos"])
 
-    def load_transacoes(self, staging_transacoes: DataFrame, staging_contratos: DataFrame) -> None:
-        # the maximum is taken over the warehouse dimension, the join over staging
-        hot = (hot_keys(staging_transacoes, "id_cliente", min_share=self.hot_client_share)
-               if self.hot_client_share else None)
-        resolved = resolve_contract(staging_transacoes, staging_contratos,
-                                    max_source=self.table("dim_contratos"),
-                                    hot_clients=hot, salt_buckets=self.salt_buckets)
-        resolved = resolved.select(
-            "id_transacao", "id_cliente", "id_contrato", "tipo_transacao", "valor_transacao",
-            "data_movimentacao", "hora_movimentacao",
-            month_ref(F.col("data_movimentacao")).alias(MONTH_PARTITION))
-        insert_only_merge(resolved, f"{self.path}/fact_transacoes", KEYS["fact_transacoes"],
-                          partition_by=MONTH_PARTITION,
-                          cluster_by=[MONTH_PARTITION, "id_cliente", "id_transacao"])
+    def pending(self) -> DataFrame | None:
+        """Transactions that no contract has taken yet."""
+        latest = read_table(self.spark, f"{self.path}/pending_transacoes/latest")
+        return None if latest is None else self.spark.read.schema(STAGING_TRANSACOES).parquet(latest.first()["path"])
+
+    def _keep_pending(self, rows: DataFrame) -> None:
+        """Replace the pending transactions: a new copy, then the pointer to it, then the old copy goes."""
+        base = f"{self.path}/pending_transacoes"
+        old = read_table(self.spark, f"{base}/latest")
+        old = old.first()["path"] if old is not None else None
+        new = f"{base}/{uuid.uuid4().hex[:12]}"
+        rows.write.parquet(new)
+        self.spark.createDataFrame([(new,)], "path string").coalesce(1).write.mode("overwrite").parquet(f"{base}/latest")
+        if old is not None:
+            remove(self.spark, old)
+
+    def load_transacoes(self, staging_transacoes: DataFrame) -> DataFrame:
+        """Resolve and insert new transactions and those that wait; what still has no contract waits on.
+
+        Returns the days of the resolved rows (persisted; one row a day).
+        """
+        names = STAGING_TRANSACOES.fieldNames()
+        rows = staging_transacoes.select(*names)
+        waiting = self.pending()
+        if waiting is not None:
+            rows = rows.unionByName(waiting.select(*names).join(
+                rows.select("id_transacao", "id_cliente"), ["id_transacao", "id_cliente"], "left_anti"))
+        hot = (hot_keys(rows, "id_cliente", min_share=self.hot_client_share)
+               if self.hot_client_share else [])
+        resolved = resolve_contract(rows, self.table("dim_contratos"), hot_clients=hot,
+                                    salt_buckets=self.salt_buckets)
+        fact = resolved.select(*[F.col(f.name).cast(f.dataType) for f in FACT_TRANSACOES.fields],
+                               month_ref(F.col("data_movimentacao")).alias(MONTH_PARTITION))
+        row = F.when(F.col("id_cliente").isin(hot), F.col("id_transacao")) if hot else F.lit(0)
+        insert_only_merge(fact, f"{self.path}/fact_transacoes", KEYS["fact_transacoes"],
+                          partition_by=MONTH_PARTITION, dealt_by=spread(F.col("id_cliente"), row),
+                          sort_by=["id_cliente", "id_transacao"])
+        days = resolved.select("data_movimentacao").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        days.count()  # before the rows that waited are replaced
+        self._keep_pending(rows.join(resolved.select("id_transacao", "id_cliente"),
+                                     ["id_transacao", "id_cliente"], "left_anti").select(*names).distinct())
+        return days
 
     def load_tempo(self, transacoes: DataFrame, end_date="today") -> None:
-        cal = calendar(transacoes, "data_movimentacao", end_date=end_date)
-        insert_only_merge(cal, f"{self.path}/dim_tempo", KEYS["dim_tempo"])
-
-    def load_summary(self, days: list | None = None) -> None:
-        """Daily summary of ``days`` (all days when None), insert-only on (client, day)."""
+        """Extend the calendar: every day from the first one seen so far to ``end_date`` or the last one seen."""
+        days = transacoes.select("data_movimentacao")
+        known = self.table_or_none("dim_tempo")
+        if known is not None:
+            days = days.union(known.select("data"))
+        insert_only_merge(calendar(days, "data_movimentacao", end_date=end_date),
+                          f"{self.path}/dim_tempo", KEYS["dim_tempo"])
+
+    def summarize_closed(self, process_date, touched: DataFrame, late: str = "recompute") -> None:
+        """Summary of the days before ``process_date`` that have none yet, and of late rows.
+
+        ``touched``: the days of the run's resolved rows. Those up to the last
+        summarized day are late.
+        """
+        last = self.table_or_none("fact_transacoes_dia")
+        last = last.agg(F.max("data_movimentacao")).first()[0] if last is not None else None
+        d = F.col("data_movimentacao")
+        if last is not None and late == "recompute":
+            months = touched.where(d <= F.lit(last)).select(month_ref(d).alias("m")).distinct().collect()
+            self.recompute_months([r["m"] for r in months], before=F.least(
+                F.lit(str(process_date)).cast("date"), F.date_add(F.lit(last), 1)))
+        self.load_summary(after=last, before=process_date)
+
+    def load_summary(self, days: list | None = None, after=None, before=None) -> None:
+        """Daily summary of ``days`` (all days when None), insert-only on (client, day).
+
+        ``after`` and ``before`` bound the days, both exclusive.
+        """
         if days is not None and len(days) == 0:
             return
-        fact = self.table("fact_transacoes")
+        fact = self.table_or_none("fact_transacoes")
+        if fact is None:
+            return
+        d = F.col("data_movimentacao")
         if days is not None:
-            ds = [F.lit(str(d)).cast("date") for d in days]
-            months = sorted({int(str(d)[:4]) * 100 + int(str(d)[5:7]) for d in days})
-            fact = fact.where(F.col(MONTH_PARTITION).isin(months)
-                              & F.col("data_movimentacao").isin(ds))
-        summ = daily_summary(fact).withColumn(MONTH_PARTITION, month_ref(F.col("data_movimentacao")))
-        insert_only_merge(summ, f"{self.path}/fact_transacoes_dia", KEYS["fact_transacoes_dia"],
+            months = sorted({int(str(x)[:4]) * 100 + int(str(x)[5:7]) for x in days})
+            fact = fact.where(F.col(MONTH_PARTITION).isin(months) & d.isin([F.lit(str(x)).cast("date") for x in days]))
+        if after is not None:
+            fact = fact.where((F.col(MONTH_PARTITION) >= int(str(after)[:4]) * 100 + int(str(after)[5:7]))
+                              & (d > F.lit(str(after)).cast("date")))
+        if before is not None:
+            fact = fact.where((F.col(MONTH_PARTITION) <= int(str(before)[:4]) * 100 + int(str(before)[5:7]))
+                              & (d < F.lit(str(before)).cast("date")))
+        insert_only_merge(self._summary(fact), f"{self.path}/fact_transacoes_dia", KEYS["fact_transacoes_dia"],
                           partition_by=MONTH_PARTITION, prune_on=MONTH_PARTITION,
-                          cluster_by=[MONTH_PARTITION, "id_cliente", "data_movimentacao"])
+                          dealt_by=spread("id_cliente"), sort_by=["id_cliente", "data_movimentacao"])
+
+    def _summary(self, fact: DataFrame) -> DataFrame:
+        return daily_summary(fact).select(*[F.col(f.name).cast(f.dataType) for f in FACT_TRANSACOES_DIA.fields],
+                                          month_ref(F.col("data_movimentacao")).alias(MONTH_PARTITION))
 
     def recompute_summary(self, days: list) -> None:
-        """Optional late-row mode (Q17): rebuild the summary of the months of ``days``.
+        """Optional late-row mode (Q17): rebuild the summary of the months of ``days``."""
+        self.recompute_months(sorted({int(str(d)[:4]) * 100 + int(str(d)[5:7]) for d in days}))
 
-        The insert-only summary ignores transactions that arrive after their
-        day was summarized. This mode recomputes whole month partitions from
-        the fact table: first into a staging copy (Spark cannot overwrite a
-        table it is reading), then that copy replaces exactly those month
-        partitions (dynamic partition overwrite); other months are untouched.
-        """
-        import uuid
+    def recompute_months(self, months: list[int], before=None) -> None:
+        """Rebuild the summary of whole months from the fact table, of days before ``before`` only.
 
-        months = sorted({int(str(d)[:4]) * 100 + int(str(d)[5:7]) for d in days})
+        First into a staging copy (Spark cannot overwrite a table it is
+        reading), then that copy replaces exactly those month partitions
+        (dynamic partition overwrite) and goes; other months are untouched.
+        """
         if not months:
             return
         fact = self.table("fact_transacoes").where(F.col(MONTH_PARTITION).isin(months))
-        summ = daily_summary(fact).withColumn(MONTH_PARTITION, month_ref(F.col("data_movimentacao")))
-        stage = f"{self.path}/_staging/fact_transacoes_dia/{uuid.uuid4().hex[:12]}"
-        summ.repartitionByRange(F.col(MONTH_PARTITION), F.col("id_cliente"), F.col("data_movimentacao")) \
-            .write.partitionBy(MONTH_PARTITION).parquet(stage)
-        target = self.table("fact_transacoes_dia")
-        staged = self.spark.read.parquet(stage).select(*target.columns)
+        if before is not None:
+            fact = fact.where(F.col("data_movimentacao") < before)
+        stage = f"{self.path}/_staging-{uuid.uuid4().hex[:12]}"
+        self._summary(fact).repartition(F.col(MONTH_PARTITION), spread("id_cliente")) \
+            .sortWithinPartitions(MONTH_PARTITION, "id_cliente", "data_movimentacao").write.parquet(stage)
+        staged = self.spark.read.parquet(stage)
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(MONTH_PARTITION).parquet(f"{self.path}/fact_transacoes_dia")
+        remove(self.spark, stage)
 
     def create_tables(self) -> None:
         """Empty dimension tables with their schemas (bootstrap step 2).
@@ -175,14 +245,41 @@ class Warehouse:
         self.load_summary([d])
 
     def run_interval(self, staging: Staging, end_date="today", summary_days: list | None = None,
-                     summarize: bool = True) -> None:
-        """One ETL run: bootstrap when the tables are empty, an interval load otherwise."""
-        self.load_clientes(staging.clientes)
-        self.load_contratos(staging.contratos)
-        self.load_transacoes(staging.transacoes, staging.contratos)
-        self.load_tempo(staging.transacoes, end_date=end_date)
-        if summarize:
-            self.load_summary(summary_days)
+                     summarize: bool = True, process_date=None, late: str = "recompute") -> None:
+        """One ETL run: bootstrap when the tables are empty, an interval load otherwise.
+
+        With ``process_date`` the days before it are closed and summarized
+        (see ``summarize_closed``); without it all days, or ``summary_days``,
+        are, insert-only. Staging is read once and kept until the run ends.
+        """
+        tx = staging.transacoes.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if staging.clientes is not None:
+                self.load_clientes(staging.clientes)
+            if staging.contratos is not None:
+                self.load_contratos(staging.contratos)
+            touched = self.load_transacoes(tx)
+            self.load_tempo(tx, end_date=end_date)
+            if summarize and process_date is not None:
+                self.summarize_closed(process_date, touched, late)
+            elif summarize:
+                self.load_summary(summary_days)
+            touched.unpersist()
+        finally:
+            tx.unpersist()
+
+    def ingest(self, stream: DataFrame, checkpoint: str, process_date, end_date="last", late: str = "recompute"):
+        """Start an ``availableNow`` stream of staging transactions into the warehouse.
+
+        Every micro-batch is an interval run without new clients and contracts
+        (load these first): facts, calendar, closed days, pending rows.
+        """
+        def batch(df: DataFrame, _: int) -> None:
+            self.run_interval(Staging(None, None, df), end_date=end_date,
+                              process_date=process_date, late=late)
+
+        return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint) \
+            .trigger(availableNow=True).start()
 
 
 _CODE_DIGEST: list[str] = []
@@ -202,15 +299,11 @@ def _code_digest() -> str:
     return _CODE_DIGEST[0]
 
 
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha1(f"{WAREHOUSE_VERSION}|{_code_digest()}|{os.path.abspath(sf_dir)}".encode())
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the code, the folder and its tables' files (names, sizes, times of change)."""
+    h = hashlib.sha1(f"{WAREHOUSE_VERSION}|{_code_digest()}|{sf_dir.rstrip('/')}".encode())
     for name in ("customer", "orders"):
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        try:
-            st = os.stat(p)
-            h.update(f"|{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(f"|{name}".encode())
+        h.update(repr((name, sorted(files(spark, f"{sf_dir}/{name}.parquet")))).encode())
     return h.hexdigest()[:16]
 
 
@@ -225,7 +318,7 @@ def warehouse_for_sf(spark: SparkSession, sf_dir: str, end_date="last",
     one-row pointer table ``_latest`` names the last complete attempt, so an
     interrupted build is never read.
     """
-    fp = _fingerprint(sf_dir) + (f"-{end_date}" if end_date != "last" else "")
+    fp = _fingerprint(spark, sf_dir) + (f"-{end_date}" if end_date != "last" else "")
     key = (spark.sparkContext.applicationId, fp)
     if key in _OPEN and not rebuild:
         return _OPEN[key]

@@ -5,6 +5,9 @@ stream over the staging folder is run with ``trigger(availableNow=True)``
 by the same scheduler: each run processes every file that arrived since the
 last run and stops. Per micro-batch (``foreachBatch``):
 
+(``Warehouse.ingest`` is the complete form: it also keeps transactions that
+have no contract yet, extends the calendar and summarizes closed days only.)
+
 1. resolve the contract of each transaction (J5) against the contract
    dimension, a static table read at batch time;
 2. insert-only merge into the fact table (K3);
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from paydw.functions.calendar import month_ref
 from paydw.operators.contracts import resolve_contract
-from paydw.operators.merge import insert_only_merge
+from paydw.operators.merge import insert_only_merge, spread
 from paydw.operators.skew import hot_keys
 from paydw.schemas import KEYS, MONTH_PARTITION
 from paydw.session import scratch_path
@@ -43,7 +46,7 @@ def ingest_batch(batch: DataFrame, contratos: DataFrame, fact_path: str,
         "data_movimentacao", "hora_movimentacao",
         month_ref(F.col("data_movimentacao")).alias(MONTH_PARTITION))
     insert_only_merge(resolved, fact_path, KEYS["fact_transacoes"], partition_by=MONTH_PARTITION,
-                      cluster_by=[MONTH_PARTITION, "id_cliente", "id_transacao"])
+                      dealt_by=spread("id_cliente", "id_transacao"), sort_by=["id_cliente", "id_transacao"])
     if summary is not None:
         days = [r[0] for r in batch.select("data_movimentacao").distinct().collect()]
         summary(days)

@@ -93,7 +93,7 @@ def test_merge_shuffled_path_matches_broadcast_path(spark, scratch):
     insert_only_merge(t, scratch + "/a", ["k"])
     insert_only_merge(t, scratch + "/b", ["k"])
     s = spark.range(40, 60).select(F.col("id").alias("k"), F.lit("new").alias("v"))
-    insert_only_merge(s, scratch + "/a", ["k"], broadcast_rows=0)
+    insert_only_merge(s, scratch + "/a", ["k"])
     insert_only_merge(s, scratch + "/b", ["k"])
     a = sorted(tuple(r) for r in spark.read.parquet(scratch + "/a").collect())
     b = sorted(tuple(r) for r in spark.read.parquet(scratch + "/b").collect())
