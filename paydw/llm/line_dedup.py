@@ -6,9 +6,10 @@ distinct line is indexed by its segments, probes the indexes of its own and
 the next shorter lengths with the substrings at those places, and each pair
 that meets is verified once by a banded bit-parallel edit distance.
 
-Texts move only where they must: lines that occur once are cut into keys where
-they are read, candidates are fetched by their hash, and documents that lose
-no line are passed on as they are.
+Texts move only where they must: lines are cut into keys where they are read,
+candidates are fetched by their hash, and documents that lose no line are
+passed on as they are. Very common lines, at most ``2 ** HOT_BITS`` of them, are
+known before and give keys only once.
 """
 
 from __future__ import annotations
@@ -19,23 +20,24 @@ from pyspark.sql import functions as F
 from paydw.llm.common import cut, in_buckets
 
 # Letters whose counts (modulo 256) make up a line's sketch.
-COUNTED = "eanitros"
+COUNTED = "eanits"
 BITS = 20
+HOT_BITS = 18
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
-    """``k, pos, line, h1, h2`` of every line of at least ``least`` characters; a null id counts as the smallest."""
+    """``k, pos, line, n, h1, h2`` of every line of at least ``least`` characters; a null id counts as the smallest."""
     lines = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63)).alias("k"),
                         F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
-    return lines.where(F.length("line") >= least).select(
-        "k", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
+    return lines.withColumn("n", F.length("line")).where(F.col("n") >= least).select(
+        "k", "pos", "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
 
 
 def sketch(line: Column) -> Column:
-    """Counts of eight letters, a byte each."""
+    """Counts of a few letters, a byte each."""
     out = F.lit(0).cast("long")
     for k, c in enumerate(COUNTED):
-        n = (F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long")
+        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))).cast("long")
         out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(255), 8 * k))
     return out
 
@@ -49,38 +51,30 @@ def sketch_distance(a: Column, b: Column) -> Column:
     return out
 
 
-def segment(n: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment i of a line of n characters."""
-    start = F.floor(n * i / (edits + 1)).cast("int")
-    return start, (F.floor(n * (i + 1) / (edits + 1)) - start).cast("int")
-
-
-def index_keys(line: Column, edits: int) -> Column:
-    n = F.length(line)
-    keys = []
-    for i in range(edits + 1):
-        start, size = segment(n, i, edits)
-        keys.append(F.xxhash64(n, F.lit(i), F.substring(line, start + 1, size)))
-    return F.array(*keys)
+def places(edits: int, probe: bool) -> list[tuple[int, int, int]]:
+    """(d, i, move): what to look for in a line, segment i of a line d characters shorter, moved by so much.
 
+    For the index that is each of the line's own segments. Segment i of a
+    similar line stands at most i places from its own place, or else too many
+    edits lie to its left, and at most ``edits - i`` places from there moved by
+    d, or else too many lie to its right.
+    """
+    if not probe:
+        return [(0, i, 0) for i in range(edits + 1)]
+    return [(d, i, move) for d in range(edits + 1) for i in range(edits + 1)
+            for move in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1)]
 
-def probe_keys(line: Column, edits: int) -> Column:
-    """Keys of the substrings that may equal a segment of a line up to ``edits`` characters shorter.
 
-    Segment i of a similar line, of length n - d, stands here at most i places
-    from its own place, or else too many edits lie to its left, and at most
-    edits - i places from there moved by d, or else too many lie to its right.
-    """
-    keys = []
-    for d in range(edits + 1):
-        n = F.length(line) - d
-        for i in range(edits + 1):
-            start, size = segment(n, i, edits)
-            for move in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1):
-                at = start + move
-                inside = (at >= 0) & (at + size <= F.length(line))
-                keys.append(F.when(inside, F.xxhash64(n, F.lit(i), F.substring(line, at + 1, size))))
-    return F.array_compact(F.array(*keys))
+def keyed(lines: DataFrame, edits: int, probe: bool) -> DataFrame:
+    """``h1, s, key``: a row for each place of ``lines (h1, line, n, s)``; equal keys are equal substrings of equal rank."""
+    spots = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(m).alias("move"))
+                      for d, i, m in places(edits, probe)])
+    rows = lines.select("h1", "s", "line", "n", F.explode(spots).alias("p")) \
+        .select("h1", "s", "line", F.col("n").alias("own"), (F.col("n") - F.col("p.d")).alias("n"), "p.i", "p.move")
+    rows = rows.select("h1", "s", "line", "own", "n", "i", F.expr(f"int(n * i div {edits + 1})").alias("start"),
+                       F.expr(f"int(n * (i + 1) div {edits + 1})").alias("end"), "move")
+    return rows.where("start + move >= 0 and end + move <= own").select(
+        "h1", "s", F.xxhash64("n", "i", F.expr("substring(line, start + move + 1, end - start)")).alias("key"))
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -109,22 +103,8 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
     end = F.aggregate(F.sequence(F.lit(0), F.size(b) - 1), start, step)[f"r{edits}"]
     gap = F.size(a) - F.size(b)
-    return (F.abs(gap) <= edits) & (F.floor(end / F.pow(F.lit(2.0), gap + edits)).cast("int") % 2 == 1)
-
-
-def distinct_lines(lines: DataFrame, classes: DataFrame) -> DataFrame:
-    """One row a distinct line: ``h1, line``.
-
-    A line whose hash shares no bucket with any repeated line occurs once and
-    stays where it is read; of the others the first occurrence is found by a join.
-    """
-    repeated = classes.where("n > 1").select(F.col("h1").bitwiseAND((1 << BITS) - 1).alias("bucket")).distinct()
-    marked = lines.withColumn("bucket", F.col("h1").bitwiseAND((1 << BITS) - 1)) \
-        .join(F.broadcast(repeated.withColumn("often", F.lit(True))), "bucket", "left")  # 2 ** BITS rows at most
-    once = marked.where("often is null").select("h1", "line")
-    firsts = classes.select("h1", "h2", F.col("k"), F.col("pos"))
-    return once.union(marked.where("often").join(firsts, ["h1", "h2", "k", "pos"])
-                      .dropDuplicates(["h1", "h2"]).select("h1", "line"))
+    place = F.call_function("shiftright", end, F.greatest(gap, F.lit(-edits)) + edits)
+    return (F.abs(gap) <= edits) & (place.bitwiseAND(1) == 1)
 
 
 def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str = "doc_id",
@@ -137,15 +117,19 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str
     count as one document.
     """
     lines = lines_of(docs, id_col, text_col, least)
-    classes = cut(lines.groupBy("h1", "h2").agg(F.min(F.struct("k", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-                  .select("h1", "h2", "first.k", "first.pos", "n"), "lines")
-    single = distinct_lines(lines, classes)
-    light = sketch(F.col("line"))
-    index = single.select("h1", light.alias("s1"), F.explode(index_keys(F.col("line"), edits)).alias("key"))
-    probe = single.select(F.col("h1").alias("g1"), light.alias("s2"),
-                          F.explode(probe_keys(F.col("line"), edits)).alias("key"))
-    met = index.join(probe, (index["key"] == probe["key"]) & (F.col("h1") != F.col("g1"))
-                     & (sketch_distance(F.col("s1"), F.col("s2")) <= 2 * edits))
+    short = cut(lines.select("k", "pos", "h1", "h2"), "lines")
+    classes = cut(short.groupBy("h1", "h2").agg(F.min(F.struct("k", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
+                  .select("h1", "h2", "first.k", "first.pos", "n"), "classes")
+    # lines with more than 1 / 2 ** HOT_BITS of all occurrences: fewer than 2 ** HOT_BITS, whatever the input
+    hot = classes.where(F.col("n") > short.count() / 2 ** HOT_BITS) \
+        .select("h1", "h2", F.col("k").alias("k0"), F.col("pos").alias("pos0"))
+    some = lines.join(F.broadcast(hot), ["h1", "h2"], "left").where("k0 is null or (k = k0 and pos = pos0)") \
+        .select("h1", "line", "n", sketch(F.col("line")).alias("s"))
+    # a line that still comes more than once is indexed once; its probes then meet it once each
+    index = keyed(some, edits, False).repartition("key").dropDuplicates(["key", "h1"])
+    probe = keyed(some, edits, True).select(F.col("h1").alias("g1"), F.col("s").alias("s2"), F.col("key").alias("key2"))
+    met = index.join(probe, (F.col("key") == F.col("key2")) & (F.col("h1") != F.col("g1"))
+                     & (sketch_distance(F.col("s"), F.col("s2")) <= 2 * edits))
     pairs = cut(met.select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b")).distinct(), "pairs")
 
     ids = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
@@ -166,7 +150,7 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str
     bad = cut(classes.join(near, ["h1", "h2"], "left").where("n > 1 or near")
               .select("h1", "h2", F.col("k").alias("k0"), F.col("pos").alias("pos0"),
                       F.coalesce("near", F.lit(False)).alias("near")), "bad")
-    where = in_buckets(lines.select("k", "pos", "h1", "h2"), bad, "h1", BITS)
+    where = in_buckets(short, bad, "h1", BITS)
     return where.join(bad, ["h1", "h2"]).where("near or k <> k0 or pos <> pos0").select("k", "pos")
 
 
