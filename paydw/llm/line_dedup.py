@@ -155,24 +155,23 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str
 
 
 def dedup_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """``docs`` without repeated lines, all columns kept, and ``_dropped``: how many lines each lost.
+                text_col: str = "text", dropped_col: str = "_dropped") -> DataFrame:
+    """``docs`` without repeated lines, all columns kept, and ``dropped_col``: how many lines each lost.
 
     See ``repeated_lines`` for the lines that go. The others stay joined by
-    ``\\n``; a text that loses all its lines is empty; null texts stay null.
+    line ends; a text that loses all its lines is empty; null texts stay null.
     """
     gone = cut(repeated_lines(docs, edits, least, id_col, text_col).groupBy("k")
-               .agg(F.collect_set("pos").alias("_gone")).withColumn("_h", F.xxhash64("k")), "gone")
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63))
-    buckets = gone.select(F.col("_h").bitwiseAND((1 << BITS) - 1).alias("_bucket")).distinct() \
-        .withColumn("_some", F.lit(True))
-    marked = docs.withColumn("_bucket", F.xxhash64(key).bitwiseAND((1 << BITS) - 1)) \
-        .join(F.broadcast(buckets), "_bucket", "left").drop("_bucket")
-    same = marked.where("_some is null").drop("_some").withColumn("_dropped", F.lit(0))
-    less = marked.where("_some").drop("_some").withColumn("_k", key) \
-        .join(gone.select(F.col("k").alias("_k"), "_gone"), "_k", "left")
-    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda line, i: ~F.array_contains("_gone", i))
-    less = less.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col))
-                           .otherwise(F.array_join(kept, "\n"))) \
-        .withColumn("_dropped", F.coalesce(F.size("_gone"), F.lit(0))).drop("_k", "_gone")
-    return same.unionByName(less)
+               .agg(F.collect_set("pos").alias("gone")).withColumn("h", F.xxhash64("k")), "gone")
+    buckets = gone.select(F.col("h").bitwiseAND((1 << BITS) - 1).alias("bucket")).distinct().withColumn("some", F.lit(True))
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63)).alias("k"))
+    marked = rows.withColumn("bucket", F.xxhash64("k").bitwiseAND((1 << BITS) - 1)) \
+        .join(F.broadcast(buckets), "bucket", "left")  # 2 ** BITS rows at most
+    same = marked.where("some is null").select("row", F.lit(None).cast("array<int>").alias("gone"))
+    less = marked.where("some").join(gone.select("k", "gone"), "k", "left").select("row", "gone")
+    text = F.col("row").getField(text_col)
+    kept = F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("gone", i))
+    return same.union(less).select(
+        *[F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col
+          else F.col("row").getField(c).alias(c) for c in docs.columns if c != dropped_col],
+        F.coalesce(F.size("gone"), F.lit(0)).alias(dropped_col))

@@ -167,24 +167,21 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     its words. Rows of which nothing is taken go; so do texts without a word.
     Rows are matched by id, hash of text and source, and their number among equal rows.
     """
-    def numbered(df, ident, *hashed):
-        h = F.xxhash64(*[F.coalesce(c, F.lit("")) for c in hashed])
-        by = [F.coalesce(ident, F.lit(-2**63)), h]
-        return df.withColumn("_key", by[0]).withColumn("_hash", by[1]).withColumn(
-            "_nr", F.row_number().over(Window.partitionBy("_key", "_hash").orderBy(F.lit(1))))
-
-    hashes = docs.select(F.col(id_col).cast("long").alias(id_col), text_col, source_col,
-                         F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(source_col), F.lit("")))
-                         .alias("_hash"))
-    plan = mix(hashes, id_col=id_col, text_col=text_col, source_col=source_col, passing=("_hash",), **options)
-    plan = plan.select(F.coalesce("doc_id", F.lit(-2**63)).alias("_key"), "_hash", "copies", "extra") \
-        .withColumn("_nr", F.row_number().over(Window.partitionBy("_key", "_hash").orderBy("copies", "extra")))
-    rows = numbered(docs, F.col(id_col).cast("long"), F.col(text_col), F.col(source_col)) \
-        .join(plan, ["_key", "_hash", "_nr"])
-    words = F.regexp_extract_all(text_col, F.lit(WORD + r"[\x20\x09-\x0D]*"), 0)
+    none, null_id = F.lit(""), F.lit(-2**63)
+    base = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).alias("text"), F.col(source_col).alias("source")) \
+        .withColumn("hash", F.xxhash64(F.coalesce("text", none), F.coalesce("source", none)))
+    plan = mix(base, passing=("hash",), **options)
+    plan = plan.select(F.coalesce("doc_id", null_id).alias("key"), "hash", "copies", "extra") \
+        .withColumn("nr", F.row_number().over(Window.partitionBy("key", "hash").orderBy("copies", "extra")))
+    rows = base.select(F.coalesce("doc_id", null_id).alias("key"), "hash", "row", "text") \
+        .withColumn("nr", F.row_number().over(Window.partitionBy("key", "hash").orderBy(F.lit(1)))) \
+        .join(plan, ["key", "hash", "nr"])
+    words = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), 0)
     blocks = F.array_join(F.flatten(F.transform("extra", lambda s: F.slice(
         words, (s["first"] + 1).cast("int"), (s["end"] - s["first"]).cast("int")))), "")
-    texts = F.concat(F.array_repeat(F.col(text_col), F.col("copies")),
+    texts = F.concat(F.array_repeat(F.col("text"), F.col("copies")),
                      F.when(F.size("extra") > 0, F.array(blocks)).otherwise(F.array().cast("array<string>")))
-    return rows.withColumn("_texts", texts).withColumn(text_col, F.explode("_texts")) \
-        .where(F.col(text_col).rlike(WORD)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = rows.select("row", F.explode(texts).alias("taken")).where(F.col("taken").rlike(WORD))
+    return rows.select(*[F.col("taken").alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+                         for c in docs.columns])

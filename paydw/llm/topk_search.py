@@ -89,7 +89,7 @@ def best_of_block(candidates: pd.DataFrame, queries: pd.DataFrame, k: int, tile:
     """``query_id, vec_id, score`` of each query's k best in a block; ties go to smaller ids."""
     found = []
     if len(candidates) and len(queries):
-        width = max(candidates["v"].map(len).max(), queries["v"].map(len).max(), 1)
+        width = int(max(candidates["v"].map(len).max(), queries["v"].map(len).max(), 1))
         x, q = matrix(candidates["v"], width), matrix(queries["v"], width)
         most = int(np.abs(x).max(initial=1)) * int(np.abs(q).max(initial=1)) * width
         kind = np.float64 if most < 2 ** 53 else object  # sums of whole numbers stay exact
@@ -110,7 +110,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     null or non-finite component take no part; shorter vectors are filled with
     0; equal queries (id and vector) count once. Candidates and queries are dealt to blocks of about
     ``block_rows``; each pair of blocks is one task's work, and only a
-    query's k best of a block leave it.
+    query's k best of a block leave it. A score beyond a long fails the job.
     """
     rows = cut(vectors.select(F.col(id_col).cast("long").alias("vec_id"), quantized(F.col(vector_col)).alias("v"))
                .where("vec_id is not null and v is not null"), "vectors")
