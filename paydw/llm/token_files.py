@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paydw.llm.common import bounded_batches
+from paydw.llm.common import bounded_batches, cut
 
 FILE_SCHEMA = T.StructType([T.StructField("part", T.LongType()), T.StructField("row", T.LongType()),
                             T.StructField("doc_id", T.LongType()),
@@ -164,7 +164,7 @@ def document_index(files: DataFrame) -> DataFrame:
                  pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())],
                 names=["part", "row", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows = files.mapInArrow(run, "part long, row long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = cut(files.mapInArrow(run, "part long, row long, doc_id long, n_tokens long, ids_crc32 long"), "index")
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
     within = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("row")) - F.col("n_tokens")
