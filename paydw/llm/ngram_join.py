@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paydw.llm.common import bounded_batches, components, cut, in_buckets
-from paydw.llm.token_counts import slices
+from paydw.llm.token_files import text_slices
 
 BITS = 16  # n-gram counts are kept for 2 ** BITS hash buckets
 
@@ -32,36 +33,41 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Shingles:
-    """Sets of hashed word n-grams of UTF-8 texts; a bounded table keeps words seen lately."""
-
-    def __init__(self, words: int, most: int = 300_000):
-        self.words, self.most, self.table = words, most, {}
-
-    def __call__(self, texts: list[bytes]):
-        """A sorted array of distinct n-grams for each text: A-Z lower-cased, cut at ASCII white space."""
-        table, n = self.table, self.words
-        split = [t.lower().split() for t in texts]
-        for w in {w for ws in split for w in ws if w not in table}:
-            table[w] = xxhash.xxh64_intdigest(w)
-        for ws in split:
-            h = np.fromiter((table[w] for w in ws), dtype=np.uint64, count=len(ws))
-            if len(h) < n:  # the whole sequence is one n-gram
-                h = np.array([xxhash.xxh64_intdigest(b" ".join(ws), seed=1)], dtype=np.uint64) if len(h) else h
-                yield h
-                continue
-            gram = h[:len(h) - n + 1].copy()
-            for k in range(1, n):
-                gram = gram * np.uint64(0x9E3779B97F4A7C15) + h[k:len(h) - n + 1 + k]
-            yield np.unique(mixed(gram))
-        if len(table) > self.most:
-            table.clear()
+def shingles(texts: pa.Array, words: int) -> list[np.ndarray]:
+    """A sorted array of distinct hashed n-grams for each text: A-Z lower-cased, cut at ASCII white space.
+
+    Words are hashed once for all texts of the call. A text of fewer than
+    ``words`` words has one n-gram, its whole sequence.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat = lists.flatten()
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    ends -= ends[0]
+    filled = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0  # white space at an end leaves empty words
+    before = np.r_[0, np.cumsum(filled)]
+    ends = before[ends]
+    coded = flat.filter(pa.array(filled)).dictionary_encode()
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist()), dtype=np.uint64,
+                         count=len(coded.dictionary))
+    h = hashes[coded.indices.to_numpy()] if len(hashes) else np.zeros(0, np.uint64)
+    gram = h[:max(len(h) - words + 1, 0)].copy()
+    for k in range(1, words):
+        gram = gram * np.uint64(0x9E3779B97F4A7C15) + h[k:k + len(gram)]
+    gram = mixed(gram)
+    out = []
+    for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        if j - i >= words:
+            out.append(np.unique(gram[i:j - words + 1]))
+        else:
+            one = h[i:j] * np.arange(3, 3 + 2 * (j - i), 2, dtype=np.uint64)
+            out.append(mixed(one.sum(keepdims=True) + np.uint64(j - i)) if j > i else h[:0])
+    return out
 
 
 def read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def bucket_counts(rows: DataFrame, words: int, buffer_bytes: int = 4_000_000) -> np.ndarray:
@@ -71,15 +77,12 @@ def bucket_counts(rows: DataFrame, words: int, buffer_bytes: int = 4_000_000) ->
     ``2 ** BITS`` numbers, whatever the input.
     """
     def run(batches):
-        shingles, total = Shingles(words), np.zeros(1 << BITS, dtype=np.int64)
+        total = np.zeros(1 << BITS, dtype=np.int64)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, j in slices(texts, buffer_bytes):
-                for grams in shingles(texts[i:j]):
-                    total += np.bincount((grams & np.uint64((1 << BITS) - 1)).astype(np.int64), minlength=1 << BITS) \
-                        if len(grams) > 4096 else 0
-                    if len(grams) <= 4096:
-                        np.add.at(total, (grams & np.uint64((1 << BITS) - 1)).astype(np.int64), 1)
+            texts = batch.column("text")
+            for i, j in text_slices(texts, buffer_bytes):
+                grams = np.concatenate(shingles(texts.slice(i, j - i), words))
+                total += np.bincount((grams & np.uint64((1 << BITS) - 1)).astype(np.int64), minlength=1 << BITS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())],
                                          names=["bucket", "n"])
@@ -91,37 +94,61 @@ def bucket_counts(rows: DataFrame, words: int, buffer_bytes: int = 4_000_000) ->
     return out
 
 
+def parity_bits(grams: np.ndarray) -> np.ndarray:
+    """Parities of how many n-grams fall in each of 2 n to 4 n hash buckets (a power of two), as 64-bit words.
+
+    Two such bitmaps differ in at most as many bits as the sets differ in
+    n-grams. Folding the halves of one over each other gives the bitmap of half the size.
+    """
+    m = max(128, 1 << int(2 * len(grams) - 1).bit_length()) if len(grams) else 128
+    bits = np.bincount((grams & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    while len(bits) > size:
+        bits = bits[:len(bits) // 2] ^ bits[len(bits) // 2:]
+    return bits
+
+
 def prefix_rows(rows: DataFrame, words: int, percent: int, counts: np.ndarray, buffer_bytes: int = 4_000_000) -> DataFrame:
-    """A row for each text: set size, 128-bit digest of the set, parity bits and rare-first prefix."""
+    """A row for each text: set size, 128-bit digest of the set, parity bits (all, and folded to 128) and rare-first prefix."""
     signed = np.int64
 
     def run(batches):
-        shingles = Shingles(words)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, j in slices(texts, buffer_bytes):
-                out = [[] for _ in range(6)]
-                for grams in shingles(texts[i:j]):
+            texts = batch.column("text")
+            for i, j in text_slices(texts, buffer_bytes):
+                out = [[] for _ in range(7)]
+                for grams in shingles(texts.slice(i, j - i), words):
                     n = len(grams)
                     short = n - -(-percent * n // 100) + 1 if n else 0
-                    bits = np.bincount((grams >> np.uint64(57)).astype(np.int64), minlength=128) & 1
-                    p = np.packbits(bits.astype(np.uint8)).view(signed)
-                    order = np.lexsort((grams, counts[(grams & np.uint64((1 << BITS) - 1)).astype(np.int64)]))[:short]
+                    bits = parity_bits(grams)
+                    p = folded(bits, 2)
+                    often = counts[(grams & np.uint64((1 << BITS) - 1)).astype(np.int64)]
+                    order = np.argsort(often, kind="stable")[:short]  # equally rare ones by their hash
                     for column, value in zip(out, (n, grams.sum(dtype=np.uint64).astype(signed),
                                                    np.bitwise_xor.reduce(mixed(grams)).astype(signed) if n else 0,
-                                                   p[0], p[1], grams[order].astype(signed)), strict=True):
+                                                   p[0], p[1], bits, grams[order].astype(signed)), strict=True):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i), *[pa.array(c, pa.int64()) for c in out[:5]],
-                     pa.array(out[5], pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "d1", "d2", "p1", "p2", "prefix"])
+                     *[pa.array(c, pa.list_(pa.int64())) for c in out[5:]]],
+                    names=["doc_id", "n", "d1", "d2", "p1", "p2", "bits", "prefix"])
 
-    return rows.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, p1 long, p2 long, prefix array<bigint>")
+    return rows.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, p1 long, p2 long, "
+                                "bits array<bigint>, prefix array<bigint>")
+
+
+def needed(n, m, percent: int) -> Column:
+    """The least size of the intersection of similar sets of sizes n and m."""
+    n, m = (F.col(x) if isinstance(x, str) else x for x in (n, m))
+    return F.ceil((n + m) * percent / (100 + percent))
 
 
 def possible(percent: int, n, m, i, j, p1, q1, p2, q2) -> Column:
     """Whether two sets that share an n-gram at places i and j can be similar: the three filters."""
-    need = F.ceil((n + m) * percent / (100 + percent))  # least size of the intersection
+    need = needed(n, m, percent)
     length = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     positional = F.least(n - i, m - j) >= need
     # suffix: an n-gram in one set only flips a parity bit, so bits that differ bound the difference from below
@@ -129,27 +156,45 @@ def possible(percent: int, n, m, i, j, p1, q1, p2, q2) -> Column:
     return length & positional & suffix
 
 
-def verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets are similar. Sets are made only of texts that stand in a pair."""
+def differing(a: Column, b: Column) -> Column:
+    """In how many bits two parity bitmaps differ; the larger is folded to the smaller one's size (half, as sizes are near)."""
+    def half(x):
+        n = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, F.lit(1), n), F.slice(x, n + 1, n), lambda p, q: p.bitwiseXOR(q))
+
+    a, b = F.when(F.size(a) > F.size(b), half(a)).otherwise(a), F.when(F.size(b) > F.size(a), half(b)).otherwise(b)
+    return F.when(F.size(a) == F.size(b), F.aggregate(
+        F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, x: s + x)).otherwise(F.lit(0))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose whole sets are similar.
+
+    Whole bitmaps rule out most of the others first; sets are made only of the
+    texts of pairs that are left, and compared once a pair.
+    """
+    maps = sets.select("doc_id", "n", "bits").dropDuplicates(["doc_id"])
+    near = pairs.join(maps.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a") \
+        .join(maps.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b") \
+        .where(differing(F.col("x"), F.col("y")) <= F.col("na") + F.col("nb") - 2 * needed("na", "nb", percent))
+    pairs = cut(near.select("a", "b"), "near")
     ids = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
               .withColumn("h", F.xxhash64("doc_id")), "ids")
     few = in_buckets(rows.withColumn("h", F.xxhash64("doc_id")), ids, "h").join(ids.drop("h"), "doc_id", "left_semi") \
         .dropDuplicates(["doc_id"]).select("doc_id", "text")
 
     def run(batches):
-        shingles = Shingles(words)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, j in slices(texts, 4_000_000):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i),
-                     pa.array([g.astype(np.int64) for g in shingles(texts[i:j])], pa.list_(pa.int64()))],
-                    names=["doc_id", "grams"])
+            texts = batch.column("text")
+            for i, j in text_slices(texts, 4_000_000):
+                grams = [g.astype(np.int64) for g in shingles(texts.slice(i, j - i), words)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(grams, pa.list_(pa.int64()))],
+                                                 names=["doc_id", "grams"])
 
-    sets = cut(few.mapInArrow(run, "doc_id long, grams array<bigint>"), "sets")
+    whole = cut(few.mapInArrow(run, "doc_id long, grams array<bigint>"), "sets")
     both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
+    return (pairs.join(whole.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a")
+            .join(whole.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
             .where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
@@ -164,7 +209,7 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 90, id_col:
     """
     rows = read(docs, id_col, text_col)
     counts = bucket_counts(rows, words)
-    sets = cut(prefix_rows(rows, words, percent, counts), "prefixes")
+    sets = cut(prefix_rows(rows, words, percent, counts), "prefixes")  # bits and prefixes take about an eighth of the sets
 
     full = sets.where("n > 0 and doc_id is not null")
     classes = cut(full.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
@@ -176,23 +221,28 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 90, id_col:
     rank = index.groupBy("doc_id").agg((F.first("n") * (100 - percent) - 100 * F.count(F.lit(1))).alias("own"))
     index = cut(index.join(rank, "doc_id"), "ranked")
 
-    def joined(left, right, on, more):
-        p = possible(percent, F.col("l.n"), F.col("r.n"), F.col("l.pos"), F.col("r.pos"), F.col("l.p1"),
-                     F.col("r.p1"), F.col("l.p2"), F.col("r.p2"))
-        return left.alias("l").join(right.alias("r"), (F.col("l.gram") == F.col("r.gram")) & more & p) \
-            .select(F.least("l.doc_id", "r.doc_id").alias("a"), F.greatest("l.doc_id", "r.doc_id").alias("b")).distinct()
+    def filters():
+        return possible(percent, F.col("l.n"), F.col("r.n"), F.col("l.pos"), F.col("r.pos"), F.col("l.p1"),
+                        F.col("r.p1"), F.col("l.p2"), F.col("r.p2"))
 
+    # each text meets the best pivot of its n-grams: one pair a text at most
     pivots = index.groupBy("gram").agg(F.min(F.struct("own", "doc_id", "n", "p1", "p2", "pos")).alias("p")) \
         .select("gram", "p.*")
-    first = cut(joined(index, pivots, "gram", F.col("l.doc_id") != F.col("r.doc_id")), "first")
-    links = cut(verified(first, rows, words, percent), "links")
+    first = index.alias("l").join(pivots.alias("r"), (F.col("l.gram") == F.col("r.gram"))
+                                  & (F.col("l.doc_id") != F.col("r.doc_id")) & filters()) \
+        .groupBy(F.col("l.doc_id").alias("d")).agg(F.min(F.struct("r.own", "r.doc_id")).alias("p")) \
+        .select(F.least("d", "p.doc_id").alias("a"), F.greatest("d", "p.doc_id").alias("b")).distinct()
+    first = cut(first, "first")
+    links = cut(verified(first, sets, rows, words, percent), "links")
     found = components(links)
     placed = cut(index.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                  .withColumn("component", F.coalesce("component", "doc_id")), "placed")
-    second = joined(placed, placed, "gram", (F.col("l.doc_id") < F.col("r.doc_id"))
-                    & (F.col("l.component") != F.col("r.component")))
+    second = placed.alias("l").join(placed.alias("r"), (F.col("l.gram") == F.col("r.gram"))
+                                    & (F.col("l.doc_id") < F.col("r.doc_id"))
+                                    & (F.col("l.component") != F.col("r.component")) & filters()) \
+        .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct()
     second = cut(second.join(first, ["a", "b"], "left_anti"), "second")
-    links = links.union(verified(second, rows, words, percent))
+    links = links.union(verified(second, sets, rows, words, percent))
 
     found = components(links)
     named = classes.join(found, F.col("rep") == F.col("node"), "left") \
