@@ -8,16 +8,17 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from paydw.plans.registry import QUERIES  # noqa: E402
 from compare import digest, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 ORACLE = E.oracle_sql()
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     if name not in ORACLE:
         assert len(df.columns) > 0

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from paydw.plans.registry import QUERIES
 from paydw.plans import usage
 from paydw.plans.warehouse import warehouse_for_sf
 
@@ -13,9 +13,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_products(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
@@ -40,7 +40,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "
 PANDAS_QUERIES = {"arma_forecast", "arima_forecast", "sarima_forecast", "residual_summary"}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - PANDAS_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PANDAS_QUERIES))
 def test_jvm_only_outside_the_forecasts(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     assert not any(node in plan for node in PYTHON_NODES)
