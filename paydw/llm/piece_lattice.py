@@ -20,14 +20,14 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paydw.llm.common import bounded_batches, cut
+from paydw.llm.common import bounded_batches, cut, doubles
 from paydw.llm.token_counts import SPACE, slices
 
-UNKNOWN = -1
 # What the library takes from the lowest score for a character without a piece.
 PENALTY = 10.0
 
@@ -75,72 +75,89 @@ class Pieces:
 
 
 def lattice(words: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
-    """Edges ``keys, start, size, score, id`` of each row's ``word``; every character has an edge of size 1."""
+    """Edges ``keys, word, edge`` of each row's ``word``; every character has an edge of size 1.
+
+    An edge is one number, its end, its size and its piece: ``end << 24 |
+    (127 - size) << 17 | id + 1``, with 0 for no piece. In their order all edges
+    into a place stand behind all edges into earlier places, longer ones first.
+    """
     n = F.length("word")
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda s: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(pieces.longest), n - s)),
-        lambda size: F.struct(s.alias("start"), size.alias("size"), F.substring(F.col("word"), s + 1, size).alias("piece")))))
-    edges = words.where(n > 0).select(*keys, F.explode(spans).alias("e")).select(*keys, "e.*")
-    found = edges.join(F.broadcast(pieces.table(words.sparkSession)), "piece", "left")
-    return found.where("id is not null or size = 1").select(
-        *keys, "start", "size", F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"),
-        F.coalesce("id", F.lit(UNKNOWN)).alias("id"))
-
-
-def viterbi(edges: Column) -> Column:
-    """Ids of the best path as (start, id) in order; of equal paths the one with the longer last piece.
-
-    ``edges``: array of (end, start, score, id). In that order all edges into a
-    place are behind all edges into earlier places, so one pass is enough: the
-    best way into the current place is kept apart and joins the others when the
-    next place begins. A second fold goes back from the end.
+    starts = words.where(n > 0).select(*dict.fromkeys([*keys, "word"]), F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
+    spans = starts.select(*dict.fromkeys([*keys, "word"]), "start", F.explode(F.sequence(
+        F.lit(1), F.least(F.lit(pieces.longest), n - F.col("start")))).alias("size"))
+    spans = spans.withColumn("piece", F.expr("substring(word, start + 1, size)"))
+    found = spans.join(F.broadcast(pieces.table(words.sparkSession)), "piece", "left").where("id is not null or size = 1")
+    edge = F.shiftleft((F.col("start") + F.col("size")).cast("long"), 24) \
+        .bitwiseOR(F.shiftleft((127 - F.col("size")).cast("long"), 17)) \
+        .bitwiseOR(F.coalesce(F.col("id") + 1, F.lit(0)).cast("long"))
+    return found.select(*dict.fromkeys([*keys, "word"]), edge.alias("edge"))
+
+
+def viterbi(edges: Column, pieces: Pieces) -> Column:
+    """The best path as its edges, last first; of equal paths the one with the longer last piece.
+
+    One pass over the edges in order: the best way into the current place is
+    kept apart and joins the earlier ones when the next place begins. A second
+    fold goes back from the end.
     """
-    way = "struct<end:int,start:int,score:double,id:int>"
-    first = F.struct(F.lit(0).alias("end"), F.lit(0).alias("start"), F.lit(0.0).alias("score"), F.lit(UNKNOWN).alias("id"))
+    scores = [pieces.unknown_score] * (max(i for _, _, i in pieces.rows) + 2)
+    for _, score, i in pieces.rows:
+        scores[i + 1] = score
+    table = doubles(scores)
 
-    def forward(state, e):
-        # the way into place p is element p of ``done``; the current one is not there yet
-        opened = e["end"] != state["last"]["end"]
-        done = F.when(opened, F.concat(state["done"], F.array(state["last"]))).otherwise(state["done"])
-        score = F.element_at(done, e["start"] + 1)["score"] + e["score"]
-        new = F.struct(e["end"].alias("end"), e["start"].alias("start"), score.alias("score"), e["id"].alias("id"))
-        last = F.when(opened | (score > state["last"]["score"]), new).otherwise(state["last"])
-        return F.struct(done.alias("done"), last.alias("last"))
+    def end_of(e):
+        return F.shiftright(e, 24)
 
-    folded = F.aggregate(F.array_sort(edges), F.struct(F.array().cast(f"array<{way}>").alias("done"), first.alias("last")),
-                         forward, lambda s: F.concat(s["done"], F.array(s["last"])))
+    def size_of(e):
+        return 127 - F.shiftright(e, 17).bitwiseAND(127)
 
-    def backward(state, w):
-        on = w["end"] == state["at"]
-        return F.struct(F.when(on, w["start"]).otherwise(state["at"]).alias("at"),
-                        F.when(on, F.concat(F.array(F.struct(w["start"].alias("start"), w["id"].alias("id"))), state["path"]))
-                        .otherwise(state["path"]).alias("path"))
-
-    ways = F.reverse(F.slice(folded, F.lit(2), F.greatest(F.size(folded) - 1, F.lit(1))))
-    start = F.struct(F.element_at(ways, 1)["end"].alias("at"),
-                     F.array().cast("array<struct<start:int,id:int>>").alias("path"))
-    return F.aggregate(ways, start, backward)["path"]
+    def forward(state, e):
+        # the score and the edge of the best way into place p are element p of the lists; the current one's are not there yet
+        opened = end_of(e) != end_of(state["edge"])
+        ways = F.when(opened, F.concat(state["ways"], F.array(state["edge"]))).otherwise(state["ways"])
+        sums = F.when(opened, F.concat(state["sums"], F.array(state["sum"]))).otherwise(state["sums"])
+        score = F.element_at(sums, (end_of(e) - size_of(e) + 1).cast("int")) \
+            + F.element_at(table, (e.bitwiseAND((1 << 17) - 1) + 1).cast("int"))
+        better = opened | (score > state["sum"])
+        return F.struct(ways.alias("ways"), sums.alias("sums"), F.when(better, e).otherwise(state["edge"]).alias("edge"),
+                        F.when(better, score).otherwise(state["sum"]).alias("sum"))
+
+    start = F.struct(F.array().cast("array<bigint>").alias("ways"), F.array().cast("array<double>").alias("sums"),
+                     F.lit(0).cast("long").alias("edge"), F.lit(0.0).alias("sum"))
+    ways = F.aggregate(F.array_sort(edges), start, forward,
+                       lambda s: F.reverse(F.concat(s["ways"], F.array(s["edge"]))))
+
+    def backward(state, e):
+        on = end_of(e) == state["at"]
+        return F.struct(F.when(on, state["at"] - size_of(e)).otherwise(state["at"]).alias("at"),
+                        F.when(on & (e > 0), F.concat(state["path"], F.array(e))).otherwise(state["path"]).alias("path"))
+
+    first = F.struct(F.lit(None).cast("long").alias("at"), F.array().cast("array<bigint>").alias("path"))
+    return F.aggregate(ways, first.withField("at", end_of(F.element_at(ways, 1))), backward)["path"]
 
 
 def segment(words: DataFrame, pieces: Pieces, keys: list[str], parts: list[str]) -> DataFrame:
-    """``keys, ids`` of each row of ``words (keys, word)``; ``parts`` of the keys deal the words to tasks.
+    """``keys, word, ids`` of each row of ``words (keys, word)``; ``parts`` of the keys deal the words to tasks.
 
     Words are dealt before their substrings are made, so edges never move.
+    ``keys`` tell rows apart.
     """
+    # lists of edges are small: let a task keep many words' lists before it turns to sorting
+    words.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
     dealt = words.repartition(*parts)
-    edges = lattice(dealt, pieces, [*keys, "word"])
-    paths = edges.groupBy(*keys, "word").agg(F.collect_list(F.struct(
-        (F.col("start") + F.col("size")).alias("end"), "start", "score", "id")).alias("edges")) \
-        .select(*keys, "word", viterbi(F.col("edges")).alias("path"))
+    paths = lattice(dealt, pieces, keys).groupBy(*keys).agg(F.first("word").alias("text"), F.collect_list("edge").alias("edges")) \
+        .select(*keys, F.col("text"), viterbi(F.col("edges"), pieces).alias("path"))
     raw = F.lit(pieces.byte_ids)
 
-    def ids(step):
-        char = F.hex(F.encode(F.substring(F.col("word"), step["start"] + 1, F.lit(1)), "UTF-8"))
-        return F.when(step["id"] != UNKNOWN, F.array(step["id"])).otherwise(F.transform(
+    def ids(edge):
+        end = F.shiftright(edge, 24).cast("int")
+        char = F.hex(F.encode(F.substring(F.col("text"), end, F.lit(1)), "UTF-8"))
+        own = (edge.bitwiseAND((1 << 17) - 1) - 1).cast("int")
+        return F.when(own >= 0, F.array(own)).otherwise(F.transform(
             F.sequence(F.lit(0), (F.length(char) / 2).cast("int") - 1),
             lambda i: F.element_at(raw, F.conv(F.substring(char, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + 1)))
 
-    return paths.select(*keys, "word", F.flatten(F.transform("path", ids)).alias("ids"))
+    return paths.select(*keys, F.flatten(F.transform(F.reverse("path"), ids)).alias("ids"))
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -154,14 +171,44 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.T).view("<u4").reshape(-1).astype(np.int64)
 
 
-CHUNK = ("chunk string, words array<string>, doc_id array<bigint>, sizes array<bigint>, digests array<string>, "
+CHUNK = ("chunk long, words array<string>, doc_id array<bigint>, sizes array<bigint>, digests array<string>, "
          "numbers binary")
+CUT = "\x1f"  # stands between words while texts are split; texts that hold it are split by the pattern
+
+
+def words_of(texts: list[str], pieces: Pieces) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of some texts, all words as places in that list, and the number of each text's words."""
+    find, plain = re.compile(pieces.pattern).findall, pieces.pattern[0] == "[" and "\n" in pieces.pattern
+    lists = []
+    for t in texts:
+        if not t:
+            lists.append("")
+        elif plain and t[0] != " " and CUT not in t and "  " not in t and "\t" not in t and "\r" not in t and SPACE not in t:
+            # between single spaces and line ends, what the pattern finds is what stands between cuts
+            lists.append(SPACE + t.replace(" ", CUT + SPACE).replace("\n", CUT + "\n" + CUT))
+        else:
+            lists.append(find(SPACE + t.replace(" ", SPACE)))
+    fast = pc.split_pattern(pa.array([x if isinstance(x, str) else "" for x in lists], pa.string()), CUT)
+    flat = fast.flatten()
+    filled = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+    ends = np.r_[0, np.cumsum(filled)][fast.offsets.to_numpy()]
+    coded = flat.filter(pa.array(filled)).dictionary_encode()
+    distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    slow = [i for i, x in enumerate(lists) if not isinstance(x, str)]
+    if not slow:
+        return distinct, at, np.diff(ends)
+    index = {w: k for k, w in enumerate(distinct)}
+    pieces_at, sizes = [], np.diff(ends)
+    for i, x in enumerate(lists):
+        pieces_at.append(at[ends[i]:ends[i + 1]] if isinstance(x, str) else
+                         np.fromiter((index.setdefault(w, len(index)) for w in x), dtype=np.int64, count=len(x)))
+        sizes[i] = len(pieces_at[-1])
+    return list(index), np.concatenate(pieces_at), sizes
 
 
 def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_chars: int) -> DataFrame:
     """Documents in chunks: per document its number of words, all word numbers, and the words that ``known`` lacks."""
     def run(batches):
-        find, made = re.compile(pieces.pattern).findall, []
         local: dict[str, int] = {}
         ids, sizes, digests, numbers, chars = [], [], [], [], 0
 
@@ -170,22 +217,23 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
             return local.setdefault(w, base + len(local)) if n is None else n
 
         def chunk():
-            columns = [[uuid.uuid4().hex], [list(local)], [list(ids)], [list(sizes)], [list(digests)],
-                       [packed(np.concatenate(numbers) if numbers else np.zeros(0, np.int64))]]
-            types = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()),
+            columns = [[uuid.uuid4().int >> 65], [list(local)], [ids], [np.concatenate(sizes)], [digests],
+                       [packed(np.concatenate(numbers))]]
+            types = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()),
                      pa.list_(pa.string()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                                               names=["chunk", "words", "doc_id", "sizes", "digests", "numbers"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = find(SPACE + text.replace(" ", SPACE)) if text else made
-                numbers.append(np.fromiter(map(number, words), dtype=np.int64, count=len(words)))
-                ids.append(doc_id)
-                sizes.append(len(words))
-                digests.append(hashlib.sha256(text.encode("utf-8", "replace")).hexdigest())
-                chars += len(text)
-                if chars > chunk_chars:
+            texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+            for i, j in slices(texts, min(chunk_chars, 4_000_000)):
+                distinct, at, counts = words_of(texts[i:j], pieces)
+                numbers.append(np.fromiter(map(number, distinct), dtype=np.int64, count=len(distinct))[at])
+                ids += keys[i:j]
+                sizes.append(counts)
+                digests += [hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for t in texts[i:j]]
+                chars += sum(map(len, texts[i:j]))
+                if chars >= chunk_chars:
                     yield chunk()
                     local.clear()
                     ids, sizes, digests, numbers, chars = [], [], [], [], 0
@@ -205,23 +253,20 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
     few = docs.where(unit < sample_chars / max(total, 1))
 
     def run(batches):
-        find = re.compile(pieces.pattern).findall
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for i, j in slices(texts, 4_000_000):
-                counts: dict[str, int] = {}
-                for t in texts[i:j]:
-                    for w in find(SPACE + t.replace(" ", SPACE)) if t else ():
-                        counts[w] = counts.get(w, 0) + 1
-                yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                                                 names=["word", "n"])
+                distinct, at, _ = words_of(texts[i:j], pieces)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(distinct, pa.string()), pa.array(np.bincount(at, minlength=len(distinct)), pa.int64())],
+                    names=["word", "n"])
 
     return few.mapInArrow(run, "word string, n long").where(F.length("word") <= longest) \
         .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most).select("word")
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 18,
-           sample_chars: int = 64_000_000, chunk_chars: int = 12_000_000) -> DataFrame:
+           sample_chars: int = 48_000_000, chunk_chars: int = 12_000_000) -> DataFrame:
     """``doc_id, ids, text_sha256`` for every row of ``docs``: piece ids of the best segmentation.
 
     Null and empty texts have no ids; null ids and repeated rows pass through;
@@ -235,7 +280,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     pieces = Pieces(model)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    often = cut(segment(frequent_words(narrow, pieces, most, sample_chars), pieces, [], ["word"]), "frequent").toPandas()
+    often = cut(segment(frequent_words(narrow, pieces, most, sample_chars), pieces, ["word"], ["word"]), "frequent").toPandas()
     known = dict(zip(often["word"], range(len(often)), strict=True))
     counts = often["ids"].map(len).to_numpy(dtype=np.int64) if len(often) else np.zeros(0, np.int64)
     flat = np.concatenate(often["ids"].to_list()).astype(np.int32) if len(often) else np.zeros(0, np.int32)
