@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from paydw.llm.common import cut, in_buckets
 
-# Letters whose counts (modulo 256) make up a line's sketch.
-COUNTED = "eanits"
+# Letters whose counts (modulo 16) make up a line's sketch.
+COUNTED = "eanitsrohlducmgw"
 BITS = 20
 HOT_BITS = 18
 
@@ -34,11 +34,11 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFra
 
 
 def sketch(line: Column) -> Column:
-    """Counts of a few letters, a byte each."""
+    """Counts of sixteen letters modulo 16, four bits each."""
     out = F.lit(0).cast("long")
     for k, c in enumerate(COUNTED):
         n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))).cast("long")
-        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(255), 8 * k))
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(15), 4 * k))
     return out
 
 
@@ -46,8 +46,8 @@ def sketch_distance(a: Column, b: Column) -> Column:
     """What two sketches differ by; an edit changes it by 2 at most."""
     out = F.lit(0).cast("long")
     for k in range(len(COUNTED)):
-        d = F.abs(F.shiftrightunsigned(a, 8 * k).bitwiseAND(255) - F.shiftrightunsigned(b, 8 * k).bitwiseAND(255))
-        out = out + F.least(d, F.lit(256) - d)
+        d = F.abs(F.shiftrightunsigned(a, 4 * k).bitwiseAND(15) - F.shiftrightunsigned(b, 4 * k).bitwiseAND(15))
+        out = out + F.least(d, F.lit(16) - d)
     return out
 
 
@@ -66,19 +66,44 @@ def places(edits: int, probe: bool) -> list[tuple[int, int, int]]:
 
 
 def keyed(lines: DataFrame, edits: int, probe: bool) -> DataFrame:
-    """``h1, s, key``: a row for each place of ``lines (h1, line, n, s)``; equal keys are equal substrings of equal rank."""
+    """``h1, s, key``: a row for each place of ``lines (h1, line, n, s)``; equal keys are equal substrings of equal rank.
+
+    Lines are cut as UTF-32, in which a character's place is known without reading what is before it.
+    """
     spots = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(m).alias("move"))
                       for d, i, m in places(edits, probe)])
-    rows = lines.select("h1", "s", "line", "n", F.explode(spots).alias("p")) \
+    rows = lines.select("h1", "s", F.encode("line", "UTF-32").alias("line"), "n", F.explode(spots).alias("p")) \
         .select("h1", "s", "line", F.col("n").alias("own"), (F.col("n") - F.col("p.d")).alias("n"), "p.i", "p.move")
     rows = rows.select("h1", "s", "line", "own", "n", "i", F.expr(f"int(n * i div {edits + 1})").alias("start"),
                        F.expr(f"int(n * (i + 1) div {edits + 1})").alias("end"), "move")
     return rows.where("start + move >= 0 and end + move <= own").select(
-        "h1", "s", F.xxhash64("n", "i", F.expr("substring(line, start + move + 1, end - start)")).alias("key"))
+        "h1", "s", F.xxhash64("n", "i", F.expr("substring(line, (start + move) * 4 + 1, (end - start) * 4)")).alias("key"))
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def trimmed(a: Column, b: Column) -> Column:
+    """Texts ``a`` and ``b`` without most of what they have in common at both ends; their distance stays."""
+    def step(s, part):
+        size = F.floor(F.least(F.length(s["a"]), F.length(s["b"])) / F.abs(part)).cast("int")
+        front = part > 0
+        same = F.when(front, F.left(s["a"], size) == F.left(s["b"], size)) \
+            .otherwise(F.right(s["a"], size) == F.right(s["b"], size))
+
+        def rest(x):
+            return F.when(~same, x).when(front, F.substr(x, size + 1)).otherwise(F.left(x, F.length(x) - size))
+
+        return F.struct(rest(s["a"]).alias("a"), rest(s["b"]).alias("b"))
+
+    parts = F.array(*[F.lit(x) for p in (2, 2, 4, 4, 8, 8) for x in (p, -p)])
+    return F.aggregate(parts, F.struct(a.alias("a"), b.alias("b")), step)
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
-    """Whether two texts (arrays of characters) are within ``edits`` edits: bit-parallel, in a band.
+    """Whether two texts are within ``edits`` edits: bit-parallel, in a band of diagonals.
 
     Bit d + edits of state k: k edits turn the characters of ``b`` read so far
     into as many characters of ``a`` plus d. Reading one more character keeps
@@ -87,13 +112,18 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     """
     every = (1 << (2 * edits + 1)) - 1
     start = F.struct(*[F.lit(sum(1 << (edits + d) for d in range(k + 1))).alias(f"r{k}") for k in range(edits + 1)])
-
-    def step(state, j):
-        char = F.get(b, j)
-        match = F.lit(0)
-        for d in range(-edits, edits + 1):
-            hit = F.when(j + d >= 0, F.coalesce(F.get(a, F.greatest(j + d, F.lit(0))) == char, F.lit(False)))
-            match = match + F.when(hit, F.lit(1 << (d + edits))).otherwise(F.lit(0))
+    edge = F.array_repeat(F.lit(""), edits)  # before the first character nothing matches, behind the last there is none
+
+    def step_over(x):
+        def step(state, j):
+            char, match = F.get(x["b"], j), None
+            for d in range(2 * edits + 1):
+                bit = F.when(F.get(x["a"], j + d) == char, F.lit(1 << d)).otherwise(F.lit(0))
+                match = bit if match is None else match + bit
+            return let(match, lambda m: states(state, m))
+        return step
+
+    def states(state, match):
         new = [state["r0"].bitwiseAND(match)]
         for k in range(1, edits + 1):
             old = state[f"r{k - 1}"]
@@ -101,10 +131,17 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
                        .bitwiseOR(F.shiftleft(new[-1], 1)).bitwiseAND(every))
         return F.struct(*[x.cast("int").alias(f"r{k}") for k, x in enumerate(new)])
 
-    end = F.aggregate(F.sequence(F.lit(0), F.size(b) - 1), start, step)[f"r{edits}"]
-    gap = F.size(a) - F.size(b)
-    place = F.call_function("shiftright", end, F.greatest(gap, F.lit(-edits)) + edits)
-    return (F.abs(gap) <= edits) & (place.bitwiseAND(1) == 1)
+    def reached(x):
+        end = F.aggregate(F.sequence(F.lit(0), F.greatest(F.size(x["b"]) - 1, F.lit(0))), start, step_over(x))[f"r{edits}"]
+        gap = F.size(x["a"]) - 2 * edits - F.size(x["b"])
+        place = F.call_function("shiftright", end, F.greatest(gap, F.lit(-edits)) + edits)
+        return F.when(F.size(x["b"]) == 0, F.abs(gap) <= edits).otherwise((F.abs(gap) <= edits) & (place.bitwiseAND(1) == 1))
+
+    def chars(x):
+        return F.when(F.length(x) > 0, F.split(x, "")).otherwise(F.array().cast("array<string>"))
+
+    return let(trimmed(a, b), lambda s: let(
+        F.struct(F.concat(edge, chars(s["a"]), edge).alias("a"), chars(s["b"]).alias("b")), reached))
 
 
 def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str = "doc_id",
@@ -134,11 +171,11 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str
 
     ids = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
     texts = in_buckets(lines, ids, "h1", BITS).join(ids, "h1", "left_semi").dropDuplicates(["h1", "h2"]) \
-        .select("h1", "h2", F.split("line", "").alias("chars"))
+        .select("h1", "h2", "line")
     texts = cut(texts.join(classes.select("h1", "h2", F.struct("k", "pos").alias("first")), ["h1", "h2"]), "candidates")
 
     def side(name, end):
-        return texts.select(F.col("h1").alias(name), F.col("h2").alias(f"h2{end}"), F.col("chars").alias(f"c{end}"),
+        return texts.select(F.col("h1").alias(name), F.col("h2").alias(f"h2{end}"), F.col("line").alias(f"c{end}"),
                             F.col("first").alias(f"f{end}"))
 
     same = pairs.join(side("a", "a"), "a").join(side("b", "b"), "b") \

@@ -132,10 +132,10 @@ def test_bit_parallel_distance(spark):
     for _ in range(150):
         a = "".join(rng.choice("abé") for _ in range(rng.randint(5, 30)))
         pairs.append((a, edit(rng, a, rng.randint(0, 4)) or "a"))
-    pairs += [("abcdefgh", "h"), ("a", "abcdefgh")]
+    pairs += [("abcdefgh", "h"), ("a", "abcdefgh"), ("ab", ""), ("", "abc"), ("", ""), ("xabx", "xx")]
     df = spark.createDataFrame(pairs, "a string, b string")
     for edits in (1, 2, 3):
-        near = line_dedup.within_edits(F.split("a", ""), F.split("b", ""), edits)
+        near = line_dedup.within_edits(F.col("a"), F.col("b"), edits)
         assert all(r.near == (distance(r.a, r.b) <= edits) for r in df.withColumn("near", near).collect())
 
 
