@@ -5,8 +5,8 @@ Layers (each one a set of DataFrame/SQL jobs that stay on the executors):
 * ``sources``   - staging readers, the driver-table roles and the calendar.
 * ``operators`` - reusable relational operators: insert-only merge, contract
   resolution, daily summary, dense day axes, ordered-series windows, trend
-  fits, autocorrelation and grouped forecasts.
-* ``functions`` - column expressions (calendar attributes, exact money sums).
+  fits and autocorrelation.
+* ``functions`` - column expressions (calendar attributes, money sums that round no row).
 * ``plans``     - the warehouse ETL and the analytics questions built on it.
 * ``streaming`` - incremental ingest and live daily totals.
 """

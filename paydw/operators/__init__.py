@@ -3,7 +3,6 @@
 from paydw.operators.acf import acf, acf_first_lag, durbin_levinson, pacf, pacf_first_lag
 from paydw.operators.contracts import latest_contracts, resolve_contract
 from paydw.operators.densify import day_grid, densify
-from paydw.operators.forecast import arima_forecast, forecast_series, residual_summary
 from paydw.operators.merge import insert_only_merge, new_rows, read_table
 from paydw.operators.series import moving_average, pivot_types, split_halves, use_gaps
 from paydw.operators.summary import daily_summary
@@ -12,7 +11,6 @@ from paydw.operators.trend import trend_extrapolate, trend_fit, trend_predict, t
 __all__ = [
     "acf", "acf_first_lag", "durbin_levinson", "pacf", "pacf_first_lag",
     "latest_contracts", "resolve_contract", "day_grid", "densify",
-    "arima_forecast", "forecast_series", "residual_summary",
     "insert_only_merge", "new_rows", "read_table",
     "moving_average", "pivot_types", "split_halves", "use_gaps", "daily_summary",
     "trend_extrapolate", "trend_fit", "trend_predict", "trend_summary",

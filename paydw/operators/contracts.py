@@ -78,27 +78,3 @@ def resolve_contract(transacoes: DataFrame, contratos: DataFrame,
         joined = transacoes.join(cand, client)
     out = joined.where(F.col(day) <= F.col(expiry))
     return out.select(*transacoes.columns, *contract_cols)
-
-
-def resolve_contract_by_definition_sql(tx_view: str, contracts_view: str,
-                                      max_view: str | None = None) -> str:
-    """The resolution rule stated literally, for brute-force checks on small data.
-
-    A contract of the transaction's client qualifies when it is still valid
-    on the day, its expiry occurs among the client's contracts in
-    ``max_view`` that are valid on the day, and no such contract expires
-    later. (Quadratic per client: only for tests.)
-    """
-    max_view = max_view or contracts_view
-    return f"""
-    SELECT t.id_transacao, t.id_cliente, c.id_contrato, t.tipo_transacao,
-           t.valor_transacao, t.data_movimentacao, t.hora_movimentacao
-    FROM {tx_view} t INNER JOIN {contracts_view} c
-      ON c.id_cliente = t.id_cliente AND t.data_movimentacao <= c.data_vencimento_contrato
-    WHERE EXISTS (SELECT 1 FROM {max_view} m
-                  WHERE m.id_cliente = t.id_cliente
-                    AND m.data_vencimento_contrato = c.data_vencimento_contrato)
-      AND NOT EXISTS (SELECT 1 FROM {max_view} later
-                      WHERE later.id_cliente = t.id_cliente
-                        AND later.data_vencimento_contrato > c.data_vencimento_contrato)
-    """

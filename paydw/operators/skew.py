@@ -8,9 +8,8 @@ and independently of AQE thresholds:
 * ``hot_keys`` counts the rows of every key (one column scanned, partial
   aggregation before the shuffle) and returns the keys holding at least
   ``min_share`` of them. At most 1/min_share keys can qualify, so the list
-  brought to the driver is bounded whatever the data size. A Bernoulli
-  ``fraction`` can stand in for the full count; either way all rows are
-  processed by the join, the counts only steer the plan.
+  brought to the driver is bounded whatever the data size. All rows
+  are processed by the join; the counts only steer the plan.
 * the big side gets a salt in [0, buckets) on rows of hot keys (0 otherwise),
   taken from a hash of row columns; the small side repeats each hot key's
   rows once per salt. Hot keys are split over ``buckets`` tasks; other keys
@@ -28,12 +27,9 @@ from pyspark.sql import functions as F
 SALT = "_salt"
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.02, fraction: float | None = None,
-             seed: int = 17) -> list:
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.02) -> list:
     """Keys holding a share of rows >= ``min_share`` (at most 1/min_share of them)."""
     s = df.select(key).where(F.col(key).isNotNull())
-    if fraction is not None:
-        s = s.sample(fraction=fraction, seed=seed)
     # the counts are read by two actions: keep them, so the source is scanned once
     counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -254,6 +254,8 @@ SELECT CAST(ts AS DATE) AS dia, CAST(user_id AS BIGINT) AS id_cliente, COUNT(*)
        {_ms("value")} AS valor_total
 FROM events GROUP BY 1, 2""",
     "daily_summary": _with("SELECT * FROM fd"),
+    "warehouse_fact": _with("SELECT * FROM fact"),
+    "warehouse_summary": _with("SELECT * FROM fd"),
     "daily_join_calendar": _with(
         "SELECT * FROM fd JOIN tempo t ON fd.data_movimentacao = t.data "
         "WHERE t.mes = 4 AND t.dia > 5 AND t.dia < 20"),
@@ -269,6 +271,21 @@ SELECT t.data, fd.id_cliente,
        CAST(SUM(quantidade_payin) AS BIGINT) AS quantidade_payin
 FROM fd JOIN tempo t ON fd.data_movimentacao = t.data
 GROUP BY t.data, fd.id_cliente"""),
+    "volume_one_client": _with("""
+SELECT t.data, fd.id_cliente,
+       CAST(SUM(quantidade_boleto) AS BIGINT) AS quantidade_boleto,
+       CAST(SUM(quantidade_payout) AS BIGINT) AS quantidade_payout,
+       CAST(SUM(quantidade_payin) AS BIGINT) AS quantidade_payin
+FROM fd JOIN tempo t ON fd.data_movimentacao = t.data
+WHERE fd.id_cliente = (SELECT MIN(id_cliente) FROM fd)
+GROUP BY t.data, fd.id_cliente"""),
+    "usage_one_year": _with(f"""
+SELECT fact.id_cliente, t.data, t.dia, t.mes, t.ano, fact.tipo_transacao,
+       {_ms("fact.valor_transacao")} AS total_movimentacao,
+       COUNT(fact.id_cliente) AS quantidade_movimentacoes
+FROM fact JOIN tempo t ON fact.data_movimentacao = t.data
+WHERE t.ano = (SELECT year(MIN(data_movimentacao)) + 1 FROM fd)
+GROUP BY fact.id_cliente, t.data, t.dia, t.mes, t.ano, fact.tipo_transacao"""),
     "volume_moving_avg": _with(""", v AS (
 SELECT t.data, fd.id_cliente,
        CAST(SUM(quantidade_boleto) AS BIGINT) AS quantidade_boleto,

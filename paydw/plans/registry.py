@@ -12,10 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paydw.operators.contracts import resolve_contract
+from paydw.operators.skew import hot_keys
+from paydw.operators.summary import daily_summary
 from paydw.plans import explore, revenue, segments, timeseries, trends, usage, volume
 from paydw.plans.common import drop_partition, materialized
 from paydw.plans.warehouse import warehouse_for_sf
-from paydw.sources.driver import use_events
+from paydw.sources.driver import staging_from_sf, use_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +32,9 @@ def _wh(fn) -> Query:
 
 
 def _dense(wh):
-    return materialized(wh, "segment_day_dense", segments.segment_day_dense)
+    # the join and the aggregate run once: bounds, axis and facts of the dense form read their result
+    sparse = materialized(wh, "segment_day_all", segments.segment_day_all)
+    return materialized(wh, "segment_day_dense", lambda w: segments.dense_days(sparse))
 
 
 def _split(wh):
@@ -53,6 +58,25 @@ def _ts(fn) -> Query:
     return _wh(lambda wh: fn(wh, split=_split(wh)))
 
 
+def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 straight from staging: transactions with the contract in force."""
+    st = staging_from_sf(spark, sf_dir)
+    return resolve_contract(st.transacoes, st.contratos,
+                            hot_clients=hot_keys(st.transacoes, "id_cliente"))
+
+
+def _one_client(wh) -> DataFrame:
+    """F1 on volume: the client with the smallest id in the summary."""
+    first = wh.fact_dia.agg(F.min("id_cliente")).first()[0]
+    return volume.volume_client_day(wh, id_cliente=first)
+
+
+def _one_year(wh) -> DataFrame:
+    """F2 on use: the year after the first day with data."""
+    year = wh.fact_dia.agg(F.year(F.min("data_movimentacao"))).first()[0]
+    return usage.usage_client_day_type(wh, ano=year + 1)
+
+
 def _merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 run twice with the same staging data into a fresh table: the table equals one run."""
     import uuid
@@ -156,8 +180,10 @@ QUERIES: dict[str, Query] = {
     "dim_clientes": _wh(lambda wh: wh.clientes),
     "dim_contratos": _wh(lambda wh: wh.contratos),
     "calendar": _wh(lambda wh: wh.tempo),
-    "resolve_contract": _wh(lambda wh: drop_partition(wh.fact)),
-    "daily_summary": _wh(lambda wh: drop_partition(wh.fact_dia)),
+    "resolve_contract": lambda spark, sf_dir: _resolved(spark, sf_dir),
+    "daily_summary": lambda spark, sf_dir: daily_summary(_resolved(spark, sf_dir)),
+    "warehouse_fact": _wh(lambda wh: drop_partition(wh.fact)),
+    "warehouse_summary": _wh(lambda wh: drop_partition(wh.fact_dia)),
     "merge_insert_only": _merge_insert_only,
     # incremental runs that cut days
     "incremental_fact": lambda spark, sf_dir: drop_partition(_incremental(spark, sf_dir).fact),
@@ -169,10 +195,12 @@ QUERIES: dict[str, Query] = {
     "daily_with_calendar": _wh(volume.daily_with_calendar),
     "daily_with_client_contract": _wh(segments.daily_with_client_contract),
     "volume_client_day": _wh(volume.volume_client_day),
+    "volume_one_client": _wh(_one_client),
     "volume_moving_avg": _wh(volume.volume_moving_avg),
     "date_bounds": _wh(volume.date_bounds),
     # use (G3, W2, P8, W4)
     "usage_client_day_type": _wh(usage.usage_client_day_type),
+    "usage_one_year": _wh(_one_year),
     "usage_window": _wh(usage.usage_window),
     "usage_dense": _wh(usage.usage_dense),
     "usage_pivot_type": _wh(usage.usage_pivot_type),
@@ -187,7 +215,7 @@ QUERIES: dict[str, Query] = {
     # segments (G6-G8, W3)
     "clients_per_segment": _wh(segments.clients_per_segment),
     "segment_day": _wh(segments.segment_day),
-    "segment_day_dense": _wh(segments.segment_day_dense),
+    "segment_day_dense": _wh(_dense),
     "segment_revenue_day": _wh(segments.segment_revenue_day),
     # trends (T1-T9)
     "trend_value_type": _type_trend(trends.trend_value_type),
@@ -199,17 +227,13 @@ QUERIES: dict[str, Query] = {
     "trend_predictions": _type_trend(trends.trend_predictions),
     "trend_predictions_revenue": _type_trend(trends.trend_predictions_revenue),
     "trend_predictions_segment": _seg_trend(trends.trend_predictions_segment),
-    # time series
+    # time series
     "daily_total": _wh(timeseries.daily_total),
     "series_split": _wh(_split),
     "acf": _ts(timeseries.acf_train),
     "acf_first_lag": _ts(timeseries.acf_candidate),
     "pacf": _ts(timeseries.pacf_train),
     "pacf_first_lag": _ts(timeseries.pacf_candidate),
-    "arma_forecast": _ts(timeseries.arma_forecast),
-    "arima_forecast": _ts(timeseries.arima_forecast_q),
-    "sarima_forecast": _ts(timeseries.sarima_forecast),
-    "residual_summary": _ts(timeseries.residuals),
     # proposed analyses
     "type_by_segment": _wh(explore.type_by_segment),
     "client_profile": _wh(explore.client_profile),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,8 +70,12 @@ def segment_day_all(wh: Warehouse) -> DataFrame:
         F.sum(_revenue_row()).cast("double").alias("faturamento"))
 
 
-def segment_day_dense(wh: Warehouse) -> DataFrame:
-    """(segment, day) on one global day axis (first to last day with data), zero-filled."""
-    return densify(segment_day_all(wh), ["segmento"], "data_movimentacao",
+def dense_days(sparse: DataFrame) -> DataFrame:
+    """``segment_day_all`` rows on one global day axis (first to last day with data), zero-filled."""
+    return densify(sparse, ["segmento"], "data_movimentacao",
                    ["quantidade_movimentacoes", "total_movimentacao", "faturamento"], axis="global")
 
+
+def segment_day_dense(wh: Warehouse) -> DataFrame:
+    """(segment, day) on the dense axis; the segment days are kept while axis and facts read them."""
+    return dense_days(segment_day_all(wh).persist(StorageLevel.MEMORY_AND_DISK))

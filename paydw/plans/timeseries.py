@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paydw.operators.acf import acf, acf_first_lag, pacf, pacf_first_lag
-from paydw.operators.forecast import arima_forecast, residual_summary
 from paydw.operators.series import split_halves
 from paydw.plans.common import sum_money
 from paydw.plans.segments import segment_day_dense
@@ -73,27 +72,3 @@ def pacf_train(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None) -
 
 def pacf_candidate(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None) -> DataFrame:
     return pacf_first_lag(_pacf(wh, nlags, split), KEYS).select("serie", F.col("pacf_first_lag").cast("int"))
-
-
-def _forecast(wh: Warehouse, order, seasonal, name: str, split: DataFrame | None) -> DataFrame:
-    s = (series_split(wh) if split is None else split).withColumn("_treino", F.col("conjunto") == "treino")
-    return arima_forecast(s, KEYS, ORDER, "valor", order=order, seasonal=seasonal,
-                          name=name, train_col="_treino")
-
-
-def arma_forecast(wh: Warehouse, split: DataFrame | None = None) -> DataFrame:
-    return _forecast(wh, (1, 0, 1), (0, 0, 0, 0), "arma_1_0_1", split)
-
-
-def arima_forecast_q(wh: Warehouse, split: DataFrame | None = None) -> DataFrame:
-    return _forecast(wh, (1, 1, 1), (0, 0, 0, 0), "arima_1_1_1", split)
-
-
-def sarima_forecast(wh: Warehouse, period: int = 12, split: DataFrame | None = None) -> DataFrame:
-    return _forecast(wh, (1, 1, 1), (1, 1, 1, period), f"sarima_1_1_1_1_1_1_{period}", split)
-
-
-def residuals(wh: Warehouse, split: DataFrame | None = None) -> DataFrame:
-    fc = (arma_forecast(wh, split).unionByName(arima_forecast_q(wh, split))
-          .unionByName(sarima_forecast(wh, split=split)))
-    return residual_summary(fc, KEYS)

@@ -66,36 +66,3 @@ def test_split_and_acf_shapes(wh):
         assert r.tr == r.n // 2 + 1 and r.te == r.n - r.n // 2
     a = timeseries.acf_train(wh)
     assert a.where(F.col("lag") == 0).select(F.min("acf"), F.max("acf")).first() == (1.0, 1.0)
-
-
-def test_forecast_queries_match_brute_force(wh):
-    import datetime as dt
-
-    import numpy as np
-    import pandas as pd
-
-    from paydw.operators.forecast import forecast_series
-
-    split = timeseries.series_split(wh)
-    tr = split.where((F.col("serie") == "total") & (F.col("conjunto") == "treino")).orderBy("data_movimentacao")
-    rows = tr.collect()
-    y = np.array([r.valor for r in rows])
-    n_test = split.where((F.col("serie") == "total") & (F.col("conjunto") == "teste")).count()
-    fitted, fc, lo, hi, _ = forecast_series(y, (1, 1, 1), (0, 0, 0, 0), n_test)
-    out = timeseries.arima_forecast_q(wh).where(F.col("serie") == "total")
-    got_fit = [r.previsao for r in out.where(F.col("conjunto") == "treino").orderBy("passo").collect()]
-    got_fc = out.where(F.col("conjunto") == "previsao").orderBy("passo").collect()
-    assert len(got_fit) == len(y) and len(got_fc) == n_test
-    assert np.allclose(np.nan_to_num(np.array(got_fit, dtype=float), nan=-1.0),
-                       np.nan_to_num(fitted, nan=-1.0), rtol=1e-9)
-    assert np.allclose([r.previsao for r in got_fc], fc, rtol=1e-9)
-    assert np.allclose([r.superior for r in got_fc], hi, rtol=1e-9)
-    last = rows[-1].data_movimentacao
-    assert [r.data for r in got_fc] == [last + dt.timedelta(days=j + 1) for j in range(n_test)]
-    summ = timeseries.residuals(wh).where((F.col("serie") == "total") & (F.col("modelo") == "arima_1_1_1")).first()
-    res = pd.Series(y - fitted).dropna()
-    d = res.describe()
-    assert summ["count"] == d["count"]
-    for k, col in (("mean", "mean"), ("std", "std"), ("min", "min"), ("25%", "p25"), ("50%", "p50"),
-                   ("75%", "p75"), ("max", "max")):
-        assert summ[col] == pytest.approx(d[k], rel=1e-9, abs=1e-6), k

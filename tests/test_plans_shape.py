@@ -37,10 +37,8 @@ def test_projection_pruned_at_scan(spark):
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "FlatMapCoGroupsInPandas", "AggregateInPandas")
-PANDAS_QUERIES = {"arma_forecast", "arima_forecast", "sarima_forecast", "residual_summary"}
 
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - PANDAS_QUERIES))
-def test_jvm_only_outside_the_forecasts(spark, name):
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_jvm_only(spark, name):
     plan = _plan(QUERIES[name](spark, SF))
     assert not any(node in plan for node in PYTHON_NODES)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from paydw.operators.acf import acf, durbin_levinson, pacf
 from paydw.operators.densify import densify
-from paydw.operators.forecast import arima_forecast, forecast_series, residual_summary
 from paydw.operators.series import moving_average, split_halves, use_gaps
 from paydw.operators.trend import trend_extrapolate, trend_fit, trend_summary
 
@@ -129,54 +128,6 @@ def test_pacf_grouped(spark):
     assert abs(p[("a", 2)]) < 0.15
 
 
-def test_forecast_recovers_arma():
-    rng = np.random.default_rng(1)
-    n = 4000
-    e = rng.normal(size=n)
-    y = np.zeros(n)
-    for t in range(1, n):
-        y[t] = 0.6 * y[t - 1] + e[t] + 0.3 * e[t - 1]
-    r = forecast_series(y, (1, 0, 1), (0, 0, 0, 0), 5, long_ar=20)
-    assert r[4]["coef"]["ar1"] == pytest.approx(0.6, abs=0.05)
-    assert r[4]["coef"]["ma1"] == pytest.approx(0.3, abs=0.05)
-    assert np.all(r[2] < r[1]) and np.all(r[1] < r[3])
-
-
-def test_forecast_short_or_constant_series_is_null(spark):
-    df = _series(spark, [5.0] * 20).withColumn("_t", F.lit(True))
-    out = arima_forecast(df, ["serie"], "data_movimentacao", "valor", order=(1, 1, 1), h=3,
-                         train_col="_t")
-    rows = out.collect()
-    assert len(rows) == 23
-    assert all(r.previsao is None for r in rows)
-    assert residual_summary(out, ["serie"]).count() == 0
-
-
-def test_forecast_integrated_trend(spark):
-    y = 100 + 2.0 * np.arange(80) + np.random.default_rng(2).normal(0, 0.5, 80)
-    df = _series(spark, y).withColumn("_t", F.col("data_movimentacao") < F.lit(D0 + dt.timedelta(days=60)))
-    out = arima_forecast(df, ["serie"], "data_movimentacao", "valor", order=(1, 1, 1), train_col="_t")
-    fc = out.where(F.col("conjunto") == "previsao").orderBy("passo").collect()
-    assert len(fc) == 20
-    assert fc[0].valor == pytest.approx(y[60])
-    # differenced models carry no constant (as in the reference): the drift fades slowly
-    prev = [r.previsao for r in fc]
-    assert all(b > a for a, b in zip(prev, prev[1:]))
-    assert fc[-1].previsao == pytest.approx(y[79], rel=0.1)
-    assert all(r.inferior < r.previsao < r.superior for r in fc)
-
-
-def test_psi_weights():
-    from paydw.operators.forecast import _psi
-
-    # AR(1): psi_k = phi^k; random walk: all ones; MA(1) after one difference: 1, 1+theta, 1+theta, ...
-    assert np.allclose(_psi({"ar1": 0.5}, [1], [], 0, 0, 1, 5), [1, 0.5, 0.25, 0.125, 0.0625])
-    assert np.allclose(_psi({}, [], [], 1, 0, 1, 4), [1, 1, 1, 1])
-    assert np.allclose(_psi({"ma1": 0.3}, [], [1], 1, 0, 1, 4), [1, 1.3, 1.3, 1.3])
-    # seasonal difference with period 3: shocks persist at lags 3, 6, ...
-    assert np.allclose(_psi({}, [], [], 0, 1, 3, 7), [1, 0, 0, 1, 0, 0, 1])
-
-
 def test_pivot_types_equals_conditional_counts(spark):
     from paydw.operators.series import pivot_types
 
