@@ -27,6 +27,10 @@ FILE_SCHEMA = T.StructType([T.StructField("part", T.LongType()), T.StructField("
                             T.StructField("ids", T.ArrayType(T.IntegerType()))])
 # White space at which the pre-tokenizer of the vocabulary always parts.
 BLANKS = " \n\t\r"
+# A letter and the mark behind it never share a token; a special token's string and combining
+# marks are where lower-casing first could change what the vocabulary's own rules see.
+LETTER_MARK = r"(\p{L})([.,;:!?])"
+AS_IT_IS = r"<\||\p{M}"
 
 
 class Numbers(dict):
@@ -68,6 +72,8 @@ class WordEncoder:
         """All ids end to end, and how many belong to each text."""
         if len(self.index) > self.most:
             self.forget()
+        texts = pc.replace_substring_regex(texts, LETTER_MARK, r"\1 \2")
+        texts = pc.if_else(pc.match_substring_regex(texts, AS_IT_IS), texts, pc.ascii_lower(texts))
         for blank in BLANKS[1:]:
             texts = pc.replace_substring(texts, blank, " ")
         lists = pc.split_pattern(texts, " ")
