@@ -21,6 +21,11 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def whole(a: Column, b: Column) -> Column:
+    """a divided by b without the remainder, in whole numbers."""
+    return F.call_function("div", a, b)
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = 150, most: int = 2) -> DataFrame:
     """``target`` of each row of ``sources (source, source_size)``, one row a source.
 
@@ -109,8 +114,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = 150, m
                .select("doc_id", "source", "size", part(F.col("h"), 1, 15).alias("h"),
                        part(F.col("h"), 16, 12).alias("g"), *passing), "sizes")
     goals = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    every = Window.partitionBy()
-    goals = goals.withColumn("seats", F.round(F.sum("target").over(every) / block_words).cast("long"))
+    # the targets add up to this share of all sizes; in whole numbers it does not depend on the order of a sum
+    total = F.sum("source_size").over(Window.partitionBy()) * min(share, 100 * most)
+    goals = goals.withColumn("seats", whole(total + 50 * block_words, F.lit(100 * block_words)))
     goals = apportion(goals, [], [F.asc_nulls_last(F.col("source").cast("binary"))], "target", "seats", "quota") \
         .withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")) \
         .select("source", "source_size", "target", "quota", "n_shards")
@@ -138,15 +144,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = 150, m
     df = df.withColumn("start", F.col("end") - F.col("size")) \
         .withColumn("q", F.least("q", most * F.col("n"))) \
         .withColumn("base", F.floor(F.col("q") / F.col("n"))).withColumn("extra", F.col("q") % F.col("n"))
-    first = F.floor(F.col("start") * F.col("n") / F.col("words")).cast("long")
-    last = F.floor((F.col("end") - 1) * F.col("n") / F.col("words")).cast("long")
+    words = F.greatest("words", F.lit(1))
+    first, last = whole(F.col("start") * F.col("n"), words), whole((F.col("end") - 1) * F.col("n"), words)
 
     def chosen(j):  # an affine permutation of 0 .. n-1: the prime step shares no factor with a smaller n
         return (j * F.lit(999_999_937) + (F.col("shard") + 1) * F.lit(7_368_787 + seed)) % F.col("n") < F.col("extra")
 
     def span(j):  # the words of block j in this document, counted from its own first word
-        low = F.greatest(F.floor(j * F.col("words") / F.col("n")), F.col("start")) - F.col("start")
-        high = F.least(F.floor((j + 1) * F.col("words") / F.col("n")), F.col("end")) - F.col("start")
+        low = F.greatest(whole(j * F.col("words"), F.col("n")), F.col("start")) - F.col("start")
+        high = F.least(whole((j + 1) * F.col("words"), F.col("n")), F.col("end")) - F.col("start")
         return F.struct(low.cast("long").alias("first"), high.cast("long").alias("end"))
 
     near = F.sequence(F.greatest(F.lit(0).cast("long"), first - 1), F.least(F.col("n") - 1, last + 1))

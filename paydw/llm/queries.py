@@ -78,6 +78,74 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                               op8_ngram_join, op9_secret_scan, op10_token_counts)}
 
 ORACLE: dict[str, str] = {
+    # targets by trying how many sources stop; quotas by listing all quotients
+    "op1_source_mix": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   md5('11:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS m
+            FROM documents),
+        s AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   [3, 1, 2][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3] AS weight
+            FROM d GROUP BY source),
+        o AS (
+            SELECT *, row_number() OVER (ORDER BY source_size * (6 // weight), encode(source) NULLS LAST) AS nr FROM s),
+        t AS (
+            SELECT k.k, 150 * (SELECT sum(source_size) FROM o)
+                        - 200 * coalesce((SELECT sum(source_size) FROM o WHERE nr <= k.k), 0) AS left_over,
+                   (SELECT sum(weight) FROM o WHERE nr > k.k) AS sharing
+            FROM (SELECT unnest(range((SELECT count(*) FROM o))) AS k) k),
+        rate AS (
+            SELECT * FROM t WHERE NOT EXISTS (
+                SELECT 1 FROM o WHERE o.nr > t.k AND t.left_over * o.weight > 200 * o.source_size * t.sharing)
+            ORDER BY k LIMIT 1),
+        goal AS (
+            SELECT o.source, o.source_size,
+                   CASE WHEN o.nr <= rate.k THEN CAST(2 * o.source_size AS DOUBLE)
+                        ELSE CAST(rate.left_over * o.weight AS DOUBLE) / CAST(100 * rate.sharing AS DOUBLE) END AS target,
+                   greatest(1, CAST(ceil(o.source_size / 250000) AS BIGINT)) AS n_shards
+            FROM o, rate),
+        seats AS (SELECT CAST((150 * sum(source_size) + 800) // 1600 AS BIGINT) AS seats FROM o),
+        q1 AS (
+            SELECT source, target, row_number() OVER (
+                       ORDER BY target / (2 * k + 1) DESC, encode(source) NULLS LAST, k) AS place
+            FROM goal, (SELECT unnest(range((SELECT seats FROM seats))) AS k) ks
+            WHERE target > 0 AND k <= target / 8),
+        quota AS (SELECT source, count(*) AS quota FROM q1 WHERE place <= (SELECT seats FROM seats) GROUP BY source),
+        p AS (
+            SELECT d.*, goal.source_size, goal.target, CAST('0x' || substr(m, 1, 15) AS BIGINT) AS h,
+                   CAST('0x' || substr(m, 16, 12) AS BIGINT) % goal.n_shards AS shard
+            FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source),
+        sh AS (
+            SELECT source, shard, CAST(sum(size) AS BIGINT) AS words,
+                   greatest(1, CAST(round(sum(size) / 16) AS BIGINT)) AS n
+            FROM p GROUP BY source, shard),
+        q2 AS (
+            SELECT sh.source, sh.shard, quota.quota, row_number() OVER (
+                       PARTITION BY sh.source ORDER BY CAST(words AS DOUBLE) / (2 * k + 1) DESC, sh.shard, k) AS place
+            FROM sh JOIN quota ON sh.source IS NOT DISTINCT FROM quota.source,
+                 LATERAL (SELECT unnest(range(quota.quota)) AS k) ks
+            WHERE words > 0),
+        sq AS (
+            SELECT sh.*, least(coalesce(c.q, 0), 2 * n) AS q
+            FROM sh LEFT JOIN (SELECT source, shard, count(*) AS q FROM q2 WHERE place <= quota GROUP BY source, shard) c
+            ON c.source IS NOT DISTINCT FROM sh.source AND c.shard = sh.shard),
+        blocks AS (
+            SELECT source, shard, j * words // n AS lo, (j + 1) * words // n AS hi
+            FROM (SELECT sq.*, unnest(range(n)) AS j FROM sq)
+            WHERE (j * 999999937 + (shard + 1) * 7368798) % n < q % n),
+        e AS (
+            SELECT *, sum(size) OVER (PARTITION BY source, shard ORDER BY h, doc_id, size
+                                      ROWS UNBOUNDED PRECEDING) AS en FROM p),
+        more AS (
+            SELECT e.doc_id, sum(least(b.hi, e.en) - greatest(b.lo, e.en - e.size)) AS more
+            FROM e JOIN blocks b ON b.source IS NOT DISTINCT FROM e.source AND b.shard = e.shard
+                 AND b.lo < e.en AND b.hi > e.en - e.size
+            GROUP BY e.doc_id)
+        SELECT e.doc_id, CAST(e.size AS BIGINT) AS size, e.source_size, e.target,
+               CAST(sq.q // sq.n * e.size + coalesce(more.more, 0) AS BIGINT) AS taken
+        FROM e JOIN sq ON sq.source IS NOT DISTINCT FROM e.source AND sq.shard = e.shard
+        LEFT JOIN more ON more.doc_id = e.doc_id""",
     "op2_line_dedup": """
         WITH l AS (
             SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
@@ -115,4 +183,26 @@ ORACLE: dict[str, str] = {
             SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
             FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op8_ngram_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        g AS (
+            SELECT DISTINCT doc_id, gram FROM (
+                SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(
+                           range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS gram FROM w)),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        links AS (
+            SELECT c.a, c.b FROM (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+                FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL) c
+            JOIN n na ON na.doc_id = c.a JOIN n nb ON nb.doc_id = c.b
+            WHERE 100 * c.both >= 90 * (na.n + nb.n - c.both)),
+        reach AS (
+            SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
+               least(w.doc_id, coalesce((SELECT min(b) FROM reach WHERE a = w.doc_id), w.doc_id)) AS component_id
+        FROM w LEFT JOIN n ON n.doc_id = w.doc_id""",
 }
