@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paydw.llm.common import cut, in_buckets
+from paydw.llm.common import cut, in_buckets, let
 
 # Letters whose counts (modulo 16) make up a line's sketch.
 COUNTED = "eanitsrohlducmgw"
@@ -80,11 +80,6 @@ def keyed(lines: DataFrame, edits: int, probe: bool) -> DataFrame:
         "h1", "s", F.xxhash64("n", "i", F.expr("substring(line, (start + move) * 4 + 1, (end - start) * 4)")).alias("key"))
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def trimmed(a: Column, b: Column) -> Column:
     """Texts ``a`` and ``b`` without most of what they have in common at both ends; their distance stays."""
     def step(s, part):

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paydw.llm.common import bounded_batches, cut, doubles
+from paydw.llm.common import bounded_batches, cut, doubles, let
 from paydw.llm.token_counts import SPACE, slices
 
 # What the library takes from the lowest score for a character without a piece.
@@ -46,11 +46,15 @@ class Pieces:
         for i, p in enumerate(model.pieces):
             if p.type == 6:
                 self.byte_ids[int(p.piece[3:5], 16)] = i
-        self.longest = max(len(p) for p, _, _ in self.rows)
         self.unknown_score = min(s for _, s, _ in self.rows) - PENALTY
+        self.edges = self.useful()
+        self.longest = max(len(p) for p, _, _ in self.edges)
         inner = {c for p, _, _ in self.rows if len(p) > 1 for c in p}
         alone = "".join(c for c in "\n\t\r" if c not in inner)
         joined = any(SPACE in p.lstrip(SPACE) for p, _, _ in self.rows)
+        # marks that no useful piece has behind a letter part words
+        held = {b for p, _, _ in self.edges for a, b in zip(p, p[1:]) if a.isalpha()}
+        self.marks = "".join(c for c in ".,;:!?" if c not in held)
         # no piece reaches from another character over a space mark, or around the characters ``alone``
         self.pattern = "(?s).+" if joined else \
             f"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+"
@@ -60,9 +64,18 @@ class Pieces:
         for b, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([b])
 
+    def useful(self) -> list[tuple[str, float, int]]:
+        """The pieces that can be on a best path: no two or more others make the same text for a higher sum."""
+        score, best = {p: s for p, s, _ in self.rows}, {}
+        for p in sorted(score, key=len):  # what a piece's parts are worth is known before the piece
+            parts = max((best[p[:k]] + best[p[k:]] for k in range(1, len(p)) if p[:k] in best and p[k:] in best),
+                        default=float("-inf"))
+            best[p] = max(score[p], parts)
+        return [row for row in self.rows if row[1] >= best[row[0]]]
+
     def table(self, spark: SparkSession) -> DataFrame:
-        """The piece table: one row a piece, as many as the vocabulary has."""
-        return spark.createDataFrame(self.rows, "piece string, score double, id int")
+        """The piece table: one row for each useful piece, fewer than the vocabulary has."""
+        return spark.createDataFrame([(p, i) for p, _, i in self.edges], "piece string, id int")
 
     def split(self, text: str) -> list[str]:
         """Words of a text behind the space mark that the library puts first."""
@@ -112,28 +125,33 @@ def viterbi(edges: Column, pieces: Pieces) -> Column:
         return 127 - F.shiftright(e, 17).bitwiseAND(127)
 
     def forward(state, e):
-        # the score and the edge of the best way into place p are element p of the lists; the current one's are not there yet
+        # element p of ``done`` is the best way into place p; the current place is not among them yet
         opened = end_of(e) != end_of(state["edge"])
-        ways = F.when(opened, F.concat(state["ways"], F.array(state["edge"]))).otherwise(state["ways"])
-        sums = F.when(opened, F.concat(state["sums"], F.array(state["sum"]))).otherwise(state["sums"])
-        score = F.element_at(sums, (end_of(e) - size_of(e) + 1).cast("int")) \
-            + F.element_at(table, (e.bitwiseAND((1 << 17) - 1) + 1).cast("int"))
-        better = opened | (score > state["sum"])
-        return F.struct(ways.alias("ways"), sums.alias("sums"), F.when(better, e).otherwise(state["edge"]).alias("edge"),
-                        F.when(better, score).otherwise(state["sum"]).alias("sum"))
-
-    start = F.struct(F.array().cast("array<bigint>").alias("ways"), F.array().cast("array<double>").alias("sums"),
-                     F.lit(0).cast("long").alias("edge"), F.lit(0.0).alias("sum"))
-    ways = F.aggregate(F.array_sort(edges), start, forward,
-                       lambda s: F.reverse(F.concat(s["ways"], F.array(s["edge"]))))
+        earlier = F.when(opened, F.concat(state["done"], F.array(F.struct(state["sum"].alias("sum"), state["edge"].alias("edge"))))) \
+            .otherwise(state["done"])
+
+        def reach(done):
+            score = F.element_at(done, (end_of(e) - size_of(e) + 1).cast("int"))["sum"] \
+                + F.element_at(table, (e.bitwiseAND((1 << 17) - 1) + 1).cast("int"))
+            return let(score, lambda new: F.when(
+                opened | (new > state["sum"]), F.struct(done.alias("done"), new.alias("sum"), e.alias("edge")))
+                .otherwise(F.struct(done.alias("done"), state["sum"].alias("sum"), state["edge"].alias("edge"))))
+
+        return let(earlier, reach)
+
+    start = F.struct(F.array().cast("array<struct<sum:double,edge:bigint>>").alias("done"), F.lit(0.0).alias("sum"),
+                     F.lit(0).cast("long").alias("edge"))
+    ways = F.aggregate(F.sort_array(edges), start, forward, lambda s: F.reverse(F.concat(
+        F.transform(s["done"], lambda w: w["edge"]), F.array(s["edge"]))))
 
     def backward(state, e):
         on = end_of(e) == state["at"]
         return F.struct(F.when(on, state["at"] - size_of(e)).otherwise(state["at"]).alias("at"),
                         F.when(on & (e > 0), F.concat(state["path"], F.array(e))).otherwise(state["path"]).alias("path"))
 
-    first = F.struct(F.lit(None).cast("long").alias("at"), F.array().cast("array<bigint>").alias("path"))
-    return F.aggregate(ways, first.withField("at", end_of(F.element_at(ways, 1))), backward)["path"]
+    none = F.array().cast("array<bigint>")
+    return let(ways, lambda w: F.aggregate(
+        w, F.struct(end_of(F.element_at(w, 1)).alias("at"), none.alias("path")), backward)["path"])
 
 
 def segment(words: DataFrame, pieces: Pieces, keys: list[str], parts: list[str]) -> DataFrame:
@@ -178,17 +196,20 @@ CUT = "\x1f"  # stands between words while texts are split; texts that hold it a
 
 def words_of(texts: list[str], pieces: Pieces) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The distinct words of some texts, all words as places in that list, and the number of each text's words."""
-    find, plain = re.compile(pieces.pattern).findall, pieces.pattern[0] == "[" and "\n" in pieces.pattern
+    find, simple = re.compile(pieces.pattern).findall, pieces.pattern[0] == "[" and "\n" in pieces.pattern
     lists = []
     for t in texts:
         if not t:
             lists.append("")
-        elif plain and t[0] != " " and CUT not in t and "  " not in t and "\t" not in t and "\r" not in t and SPACE not in t:
+        elif simple and t[0] != " " and CUT not in t and "  " not in t and "\t" not in t and "\r" not in t and SPACE not in t:
             # between single spaces and line ends, what the pattern finds is what stands between cuts
             lists.append(SPACE + t.replace(" ", CUT + SPACE).replace("\n", CUT + "\n" + CUT))
         else:
             lists.append(find(SPACE + t.replace(" ", SPACE)))
-    fast = pc.split_pattern(pa.array([x if isinstance(x, str) else "" for x in lists], pa.string()), CUT)
+    plain = pa.array([x if isinstance(x, str) else "" for x in lists], pa.string())
+    if pieces.marks:
+        plain = pc.replace_substring_regex(plain, rf"(\p{{L}})([{re.escape(pieces.marks)}])", rf"\1{CUT}\2")
+    fast = pc.split_pattern(plain, CUT)
     flat = fast.flatten()
     filled = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
     ends = np.r_[0, np.cumsum(filled)][fast.offsets.to_numpy()]
@@ -226,7 +247,7 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
 
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for i, j in slices(texts, min(chunk_chars, 4_000_000)):
+            for i, j in slices(texts, min(chunk_chars, 2_000_000)):
                 distinct, at, counts = words_of(texts[i:j], pieces)
                 numbers.append(np.fromiter(map(number, distinct), dtype=np.int64, count=len(distinct))[at])
                 ids += keys[i:j]
@@ -255,7 +276,7 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for i, j in slices(texts, 4_000_000):
+            for i, j in slices(texts, 2_000_000):
                 distinct, at, _ = words_of(texts[i:j], pieces)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(distinct, pa.string()), pa.array(np.bincount(at, minlength=len(distinct)), pa.int64())],
@@ -265,8 +286,8 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
         .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most).select("word")
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 18,
-           sample_chars: int = 48_000_000, chunk_chars: int = 12_000_000) -> DataFrame:
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 17,
+           sample_chars: int = 48_000_000, chunk_chars: int = 6_000_000) -> DataFrame:
     """``doc_id, ids, text_sha256`` for every row of ``docs``: piece ids of the best segmentation.
 
     Null and empty texts have no ids; null ids and repeated rows pass through;
@@ -276,14 +297,14 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     most 32 characters, with their ids).
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, 4 << 20)
     pieces = Pieces(model)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    often = cut(segment(frequent_words(narrow, pieces, most, sample_chars), pieces, ["word"], ["word"]), "frequent").toPandas()
-    known = dict(zip(often["word"], range(len(often)), strict=True))
-    counts = often["ids"].map(len).to_numpy(dtype=np.int64) if len(often) else np.zeros(0, np.int64)
-    flat = np.concatenate(often["ids"].to_list()).astype(np.int32) if len(often) else np.zeros(0, np.int32)
+    often = cut(segment(frequent_words(narrow, pieces, most, sample_chars), pieces, ["word"], ["word"]), "frequent").toArrow()
+    known = dict(zip(often["word"].to_pylist(), range(len(often)), strict=True))
+    counts = pc.list_value_length(often["ids"]).to_numpy().astype(np.int64)
+    flat = pc.list_flatten(often["ids"]).to_numpy().astype(np.int32)
 
     chunks = cut(chunks_of(narrow, pieces, known, chunk_chars), "chunks")
     words = chunks.select(F.col("chunk").alias("of"), F.posexplode("words").alias("number", "word"))
