@@ -48,7 +48,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
-        self.encode = Tokenizer.from_file(path).encode_batch
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a letter run or mark run
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.most = most
         self.forget()
 
@@ -56,17 +59,38 @@ class WordEncoder:
         """Word numbers, how many ids each word has, and all their ids end to end."""
         self.index, self.counts, self.ids = Numbers(), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
+    def letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Counts and ids of words of letters only: each ends where an id ends a run. None if one does not."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=np.int32)
+        last = np.flatnonzero(self.ends[ids])
+        return (np.diff(np.r_[-1, last]), ids) if len(last) == len(words) else None
+
+    def others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and ids of any words: the place of an id in the joined text tells its word."""
+        e = self.tokenizer.encode_batch([" ".join(words)], add_special_tokens=False)[0]
+        starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+        at = np.fromiter((o[0] for o in e.offsets), dtype=np.int64)
+        return np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(words)), np.array(e.ids, dtype=np.int32)
+
     def learn(self, words: list[str], group: int = 256) -> None:
-        """Encode new words, many in one text; the place of an id in that text tells its word."""
-        counts, ids = [self.counts], [self.ids]
-        for i in range(0, len(words), 64 * group):
-            groups = [words[j:j + group] for j in range(i, min(i + 64 * group, len(words)), group)]
-            for ws, e in zip(groups, self.encode([" ".join(ws) for ws in groups], add_special_tokens=False), strict=True):
-                starts = np.cumsum([0] + [len(w) + 1 for w in ws[:-1]])
-                at = np.fromiter((o[0] for o in e.offsets), dtype=np.int64)
-                counts.append(np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(ws)))
-                ids.append(np.array(e.ids, dtype=np.int32))
-        self.counts, self.ids = np.concatenate(counts), np.concatenate(ids)
+        """Encode new words, many in one text."""
+        pure = [i for i, w in enumerate(words) if w.isalpha()]
+        rest = [i for i, w in enumerate(words) if not w.isalpha()]
+        counts, ids = [], []
+        for places, encode in ((pure, self.letters), (rest, self.others)):
+            for i in range(0, len(places), group):
+                some = [words[k] for k in places[i:i + group]]
+                n, found = encode(some) or self.others(some)
+                counts.append(n)
+                ids.append(found)
+        if not words:
+            return
+        n, flat = np.concatenate(counts), np.concatenate(ids)
+        order = np.argsort(np.array(pure + rest))  # back to the order of the words
+        first = (np.cumsum(n) - n)[order]
+        n = n[order]
+        flat = flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(len(flat))]
+        self.counts, self.ids = np.concatenate([self.counts, n]), np.concatenate([self.ids, flat])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and how many belong to each text."""
@@ -108,7 +132,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
     ``part`` and ``row`` number the rows in that order; null ids come first;
     equal ids are ordered by their text. A null text counts as empty and holds
     the end id only. Texts are shuffled once, as text; ids are never shuffled.
-    ``parts`` is the number of files (by default about 48 MB of text each).
+    ``parts`` is the number of files (by default about 64 MB of text each).
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -116,7 +140,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if parts is None:
         chars = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        parts = max(1, -(-chars // (48 << 20)))
+        parts = max(1, -(-chars // (64 << 20)))
     order = ["doc_id", F.xxhash64("text")]
     dealt = narrow.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text") \
         .withColumn("part", F.spark_partition_id().cast("long"))

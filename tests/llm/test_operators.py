@@ -291,7 +291,7 @@ def test_token_files_round_trip(spark, scratch):
     from tokenizers import Tokenizer
 
     rng = random.Random(11)
-    texts = [*ODD, "a<|endoftext|>b <|startoftext|>", "<|ENDOFTEXT|> J\u030c. E\u0301, h\u0331! It's... x.,y 3.14 A.B?C!!", "É́ ̈x 'S don't  ΑΣ", *[lorem(rng, 30) for _ in range(30)], "same", "same"]
+    texts = [*ODD, "a<|endoftext|>b <|startoftext|>", "\u0130stanbul \u1e9e <|ENDOFTEXT|> J\u030c. E\u0301, h\u0331! It's... x.,y 3.14 A.B?C!!", "É́ ̈x 'S don't  ΑΣ", *[lorem(rng, 30) for _ in range(30)], "same", "same"]
     ids = [None, *range(5, 4 + len(texts) - 1), 4 + len(texts) - 2]
     df = docs(spark, texts, ids=ids)
     token_files.write_token_files(df, scratch, WORDS, end_id=2, parts=3)
