@@ -26,7 +26,7 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "paydw-llm", f"{what}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

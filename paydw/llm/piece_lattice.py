@@ -6,8 +6,8 @@ Spark's ``aggregate`` folds them to the best path (Viterbi): the segmentation
 whose pieces' scores add up highest. Characters without a piece become bytes.
 
 Documents do not move through that join word by word. They are read in chunks
-and written as word numbers; frequent words (a bounded table) have fixed
-numbers and are segmented once, each chunk's other words are segmented next to it.
+and written as word numbers. Frequent words (a bounded table) have fixed numbers;
+every other distinct word is segmented once, and its ids go to the chunks that have it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ import uuid
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -154,16 +153,14 @@ def viterbi(edges: Column, pieces: Pieces) -> Column:
         w, F.struct(end_of(F.element_at(w, 1)).alias("at"), none.alias("path")), backward)["path"])
 
 
-def segment(words: DataFrame, pieces: Pieces, keys: list[str], parts: list[str]) -> DataFrame:
-    """``keys, word, ids`` of each row of ``words (keys, word)``; ``parts`` of the keys deal the words to tasks.
+def segment(words: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
+    """``keys, ids`` of each row of ``words``; ``keys`` holds ``word`` and tells rows apart.
 
-    Words are dealt before their substrings are made, so edges never move.
-    ``keys`` tell rows apart.
+    If words are already dealt by ``word``, edges never move.
     """
     # lists of edges are small: let a task keep many words' lists before it turns to sorting
-    words.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
-    dealt = words.repartition(*parts)
-    paths = lattice(dealt, pieces, keys).groupBy(*keys).agg(F.first("word").alias("text"), F.collect_list("edge").alias("edges")) \
+    words.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "300000")
+    paths = lattice(words, pieces, keys).groupBy(*keys).agg(F.first("word").alias("text"), F.collect_list("edge").alias("edges")) \
         .select(*keys, F.col("text"), viterbi(F.col("edges"), pieces).alias("path"))
     raw = F.lit(pieces.byte_ids)
 
@@ -247,7 +244,7 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
 
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for i, j in slices(texts, min(chunk_chars, 2_000_000)):
+            for i, j in slices(texts, min(chunk_chars, 1_000_000)):
                 distinct, at, counts = words_of(texts[i:j], pieces)
                 numbers.append(np.fromiter(map(number, distinct), dtype=np.int64, count=len(distinct))[at])
                 ids += keys[i:j]
@@ -283,10 +280,10 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
                     names=["word", "n"])
 
     return few.mapInArrow(run, "word string, n long").where(F.length("word") <= longest) \
-        .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most).select("word")
+        .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most)
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 17,
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 18,
            sample_chars: int = 48_000_000, chunk_chars: int = 6_000_000) -> DataFrame:
     """``doc_id, ids, text_sha256`` for every row of ``docs``: piece ids of the best segmentation.
 
@@ -301,34 +298,42 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     pieces = Pieces(model)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    often = cut(segment(frequent_words(narrow, pieces, most, sample_chars), pieces, ["word"], ["word"]), "frequent").toArrow()
+    common = frequent_words(narrow, pieces, most, sample_chars).repartition("word")
+    often = cut(segment(common, pieces, ["word", "n"]), "frequent").toArrow() \
+        .sort_by([("n", "descending"), ("word", "ascending")])  # small numbers for common words pack best
     known = dict(zip(often["word"].to_pylist(), range(len(often)), strict=True))
-    counts = pc.list_value_length(often["ids"]).to_numpy().astype(np.int64)
-    flat = pc.list_flatten(often["ids"]).to_numpy().astype(np.int32)
+    counts, flat = ragged(often["ids"])
 
     chunks = cut(chunks_of(narrow, pieces, known, chunk_chars), "chunks")
-    words = chunks.select(F.col("chunk").alias("of"), F.posexplode("words").alias("number", "word"))
-    found = segment(words, pieces, ["of", "number"], ["of"]).select("of", "number", "ids")
+    rare = chunks.select(F.col("chunk").alias("of"), F.posexplode("words").alias("number", "word")) \
+        .groupBy("word").agg(F.collect_list(F.struct("of", "number")).alias("refs"))
+    # both sides stand on the same exchange by word
+    found = segment(rare.where(F.size("refs") > 0), pieces, ["word"]).join(rare, "word") \
+        .select("ids", F.explode("refs").alias("ref")).select("ref.of", "ref.number", "ids")
 
-    def join(own: pd.DataFrame, rare: pd.DataFrame) -> pd.DataFrame:
+    def join(own: pa.Table, rest: pa.Table) -> pa.Table:
         if not len(own):
-            return pd.DataFrame({"doc_id": [], "ids": [], "text_sha256": []})
-        rare = rare.sort_values("number")
-        more = rare["ids"].map(len).to_numpy(dtype=np.int64) if len(rare) else np.zeros(0, np.int64)
-        all_counts = np.concatenate([counts, more])
-        all_ids = np.concatenate([flat, *rare["ids"]]).astype(np.int32)
+            return pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32())),
+                             "text_sha256": pa.array([], pa.string())})
+        rest = rest.sort_by("number")
+        more, tail = ragged(rest["ids"])
+        all_counts, all_ids = np.concatenate([counts, more]), np.concatenate([flat, tail])
         first = np.cumsum(all_counts) - all_counts
-        row = own.iloc[0]
-        at = unpacked(row["numbers"])
+        at = unpacked(own["numbers"][0].as_py())
         ends = np.r_[0, np.cumsum(all_counts[at])]
         ids = all_ids[np.repeat(first[at] - ends[:-1], all_counts[at]) + np.arange(ends[-1])]
-        last = ends[np.r_[0, np.cumsum(row["sizes"])].astype(np.int64)]
-        return pd.DataFrame({"doc_id": pd.array(list(row["doc_id"]), dtype="Int64"),
-                             "ids": [ids[i:j] for i, j in zip(last[:-1], last[1:], strict=True)],
-                             "text_sha256": list(row["digests"])})
+        sizes = own["sizes"][0].values.to_numpy()
+        last = ends[np.r_[0, np.cumsum(sizes)]].astype(np.int32)
+        return pa.table({"doc_id": own["doc_id"][0].values, "ids": pa.ListArray.from_arrays(pa.array(last), pa.array(ids, pa.int32())),
+                         "text_sha256": own["digests"][0].values})
 
     return chunks.select("chunk", "doc_id", "sizes", "digests", "numbers").groupBy("chunk") \
-        .cogroup(found.groupBy("of")).applyInPandas(join, "doc_id long, ids array<int>, text_sha256 string")
+        .cogroup(found.groupBy("of")).applyInArrow(join, "doc_id long, ids array<int>, text_sha256 string")
+
+
+def ragged(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of lists of ids, and all ids end to end."""
+    return (pc.list_value_length(lists).to_numpy().astype(np.int64), pc.list_flatten(lists).to_numpy().astype(np.int32))
 
 
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", passing: tuple[str, ...] = ()) -> DataFrame:
