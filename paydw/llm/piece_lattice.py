@@ -80,10 +80,17 @@ class Pieces:
         """Words of a text behind the space mark that the library puts first."""
         return re.findall(self.pattern, SPACE + text.replace(" ", SPACE)) if text else []
 
-    def decode(self, ids) -> bytes:
-        """The text of ids: pieces end to end, without the first space mark."""
-        out = b"".join(map(self.bytes.__getitem__, ids))
-        return out[1:] if out[:1] == b" " else out
+    def decode(self, ids: pa.ListArray) -> list[bytes]:
+        """The texts of lists of ids: pieces end to end, without the first space mark."""
+        size = np.array([len(b) for b in self.bytes], dtype=np.int64)
+        data = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
+        flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+        flat, ends = flat[ends[0]:ends[-1]], ends - ends[0]
+        n = size[flat]
+        done = np.r_[0, np.cumsum(n)]
+        text = data[np.repeat((np.cumsum(size) - size)[flat] - done[:-1], n) + np.arange(done[-1])].tobytes()
+        parts = done[ends].tolist()
+        return [text[i + (text[i:i + 1] == b" " and i < j):j] for i, j in zip(parts[:-1], parts[1:], strict=True)]
 
 
 def lattice(words: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
@@ -159,7 +166,7 @@ def segment(words: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
     If words are already dealt by ``word``, edges never move.
     """
     # lists of edges are small: let a task keep many words' lists before it turns to sorting
-    words.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "300000")
+    words.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
     paths = lattice(words, pieces, keys).groupBy(*keys).agg(F.first("word").alias("text"), F.collect_list("edge").alias("edges")) \
         .select(*keys, F.col("text"), viterbi(F.col("edges"), pieces).alias("path"))
     raw = F.lit(pieces.byte_ids)
@@ -257,6 +264,9 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
                     ids, sizes, digests, numbers, chars = [], [], [], [], 0
         if ids:
             yield chunk()
+        local.clear()
+        numbers.clear()
+        pa.default_memory_pool().release_unused()  # the worker stays, for the next task
 
     return docs.mapInArrow(run, CHUNK)
 
@@ -283,7 +293,7 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
         .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most)
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 18,
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 17,
            sample_chars: int = 48_000_000, chunk_chars: int = 6_000_000) -> DataFrame:
     """``doc_id, ids, text_sha256`` for every row of ``docs``: piece ids of the best segmentation.
 
@@ -294,7 +304,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     most 32 characters, with their ids).
     """
     spark = docs.sparkSession
-    bounded_batches(spark, 4 << 20)
+    bounded_batches(spark, 2 << 20)
     pieces = Pieces(model)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -338,13 +348,13 @@ def ragged(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", passing: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, <passing>, text`` of rows with ``ids``. A literal space mark in a text comes back as a space."""
-    bounded_batches(encoded.sparkSession)
+    bounded_batches(encoded.sparkSession, 2 << 20)
     pieces = Pieces(model)
     keep = [id_col, *passing]
 
     def run(batches):
         for batch in batches:
-            texts = [pieces.decode(ids).decode("utf-8", "replace") for ids in batch.column("ids").to_pylist()]
+            texts = [t.decode("utf-8", "replace") for t in pieces.decode(batch.column("ids"))]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(texts, pa.string())],
                                              names=[*keep, "text"])
 
@@ -359,11 +369,13 @@ def encode_and_decode(docs: DataFrame, model: str, **options) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            lists = batch.column("ids").to_pylist()
-            back = [hashlib.sha256(pieces.decode(x)).hexdigest() for x in lists]
+            ids = batch.column("ids")
+            ends = ids.offsets.to_numpy()
+            flat = np.ascontiguousarray(ids.values.to_numpy(), dtype="<u4")
+            crc = [zlib.crc32(flat[i:j].tobytes()) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            back = [hashlib.sha256(t).hexdigest() for t in pieces.decode(ids)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(x) for x in lists], pa.int64()),
-                 pa.array([zlib.crc32(np.array(x, dtype="<u4").tobytes()) for x in lists], pa.int64()), pa.array(back),
+                [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64()), pa.array(back),
                  pa.array([a == b for a, b in zip(back, batch.column("text_sha256").to_pylist(), strict=True)], pa.bool_())],
                 names=["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "round_trip"])
 
