@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paydw.llm.common import WORD, cut
+from paydw.llm.common import WORD, cut, let
 
 WEIGHTS = (3, 1, 2)
 
@@ -184,8 +184,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         .withColumn("nr", F.row_number().over(Window.partitionBy("key", "hash").orderBy(F.lit(1)))) \
         .join(plan, ["key", "hash", "nr"])
     words = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), 0)
-    blocks = F.array_join(F.flatten(F.transform("extra", lambda s: F.slice(
-        words, (s["first"] + 1).cast("int"), (s["end"] - s["first"]).cast("int")))), "")
+    blocks = let(words, lambda w: F.array_join(F.flatten(F.transform("extra", lambda s: F.slice(
+        w, (s["first"] + 1).cast("int"), (s["end"] - s["first"]).cast("int")))), ""))
     texts = F.concat(F.array_repeat(F.col("text"), F.col("copies")),
                      F.when(F.size("extra") > 0, F.array(blocks)).otherwise(F.array().cast("array<string>")))
     rows = rows.select("row", F.explode(texts).alias("taken")).where(F.col("taken").rlike(WORD))
