@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NAMES = ["resolve_contract", "daily_summary", "revenue_day", "segment_day", "usage_dense",
          "usage_client_day_type", "usage_window", "usage_pivot_type", "usage_gaps", "volume_moving_avg", "event_use_days",
-         "trend_value_type", "trend_segment_value", "acf", "pacf", "arma_forecast"]
+         "trend_value_type", "trend_segment_value", "acf", "pacf"]
 
 
 def main(argv):
