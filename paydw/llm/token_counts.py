@@ -40,6 +40,13 @@ class Merges:
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.ranks = np.array([pairs[k][0] for k in self.keys.tolist()], dtype=np.int32)
         self.made = np.array([pairs[k][1] for k in self.keys.tolist()], dtype=np.int32)
+        # a piece is settled if whatever it is merged into comes later: then all its places in a
+        # sequence merge in one round, as they would one after the other
+        own, least = np.full(self.width, NO_PAIR), np.full(self.width, NO_PAIR)
+        own[self.made] = self.ranks
+        for part in (self.keys // self.width, self.keys % self.width):
+            np.minimum.at(least, part, self.ranks)
+        self.settled = least > own
         # where a piece cannot reach over: before a space mark that follows another character,
         # and around characters that are part of no longer piece
         inner = {c for p in self.ids if len(p) > 1 for c in p}
@@ -93,7 +100,10 @@ class Merges:
                 if not len(sym):
                     break
             hits = np.flatnonzero(rank == np.repeat(best, length))
-            hits = hits[np.r_[True, seq[hits[1:]] != seq[hits[:-1]]]]  # the leftmost of each
+            new = np.r_[True, seq[hits[1:]] != seq[hits[:-1]]]
+            begins = new | np.r_[True, hits[1:] != hits[:-1] + 1]  # of neighbouring pairs every second one merges
+            place = np.arange(len(hits)) - np.maximum.accumulate(np.where(begins, np.arange(len(hits)), 0))
+            hits = hits[np.where(self.settled[made[hits]], place % 2 == 0, new)]  # else only the leftmost
             sym[hits] = made[hits]
             stay = np.ones(len(sym), dtype=bool)
             stay[hits + 1] = False

@@ -428,7 +428,7 @@ def test_token_counts_equal_the_librarys(spark):
     import sentencepiece as spm
 
     rng = random.Random(16)
-    texts = [*ODD, "</s> <s> hi <unk>", "<0x0A>", " " * 17 + "foo", "aaaa" * 500, "naïve ñ ß 漢字 ́e",
+    texts = [*ODD, "</s> <s> hi <unk>", "<0x0A>", "ab" * 3000, "".join(rng.choice("abcdefghij") for _ in range(20000)), " " * 17 + "foo", "aaaa" * 500, "naïve ñ ß 漢字 ́e",
              *["".join(rng.choice("abcdeéñ \n\t.,▁") for _ in range(60)) for _ in range(40)]]
     rows = token_counts.count_tokens(docs(spark, texts, ids=[None, *range(1, len(texts))]), PIECES, limit=50).collect()
     library = spm.SentencePieceProcessor(model_file=PIECES)
