@@ -45,6 +45,21 @@ def doubles(values: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
+def give_back() -> None:
+    """Return a Python worker's freed memory to the system; the worker stays for later tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def in_buckets(df: DataFrame, keys: DataFrame, col: str, bits: int = 20) -> DataFrame:
     """Rows of ``df`` whose hash ``col`` shares its low ``bits`` with a key in ``keys``.
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paydw.llm.common import bounded_batches, components, cut, in_buckets
+from paydw.llm.common import bounded_batches, components, cut, give_back, in_buckets
 from paydw.llm.token_files import text_slices
 
 BITS = 16  # n-gram counts are kept for 2 ** BITS hash buckets
@@ -83,6 +83,7 @@ def bucket_counts(rows: DataFrame, words: int, buffer_bytes: int = 4_000_000) ->
             for i, j in text_slices(texts, buffer_bytes):
                 grams = np.concatenate(shingles(texts.slice(i, j - i), words))
                 total += np.bincount((grams & np.uint64((1 << BITS) - 1)).astype(np.int64), minlength=1 << BITS)
+        give_back()
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())],
                                          names=["bucket", "n"])
@@ -135,6 +136,7 @@ def prefix_rows(rows: DataFrame, words: int, percent: int, counts: np.ndarray, b
                     [batch.column("doc_id").slice(i, j - i), *[pa.array(c, pa.int64()) for c in out[:5]],
                      *[pa.array(c, pa.list_(pa.int64())) for c in out[5:]]],
                     names=["doc_id", "n", "d1", "d2", "p1", "p2", "bits", "prefix"])
+        give_back()
 
     return rows.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, p1 long, p2 long, "
                                 "bits array<bigint>, prefix array<bigint>")

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paydw.llm.common import bounded_batches, cut, doubles, let
+from paydw.llm.common import bounded_batches, cut, doubles, give_back, let
 from paydw.llm.token_counts import SPACE, slices
 
 # What the library takes from the lowest score for a character without a piece.
@@ -251,7 +251,7 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
 
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for i, j in slices(texts, min(chunk_chars, 1_000_000)):
+            for i, j in slices(texts, min(chunk_chars, 500_000)):
                 distinct, at, counts = words_of(texts[i:j], pieces)
                 numbers.append(np.fromiter(map(number, distinct), dtype=np.int64, count=len(distinct))[at])
                 ids += keys[i:j]
@@ -262,11 +262,12 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
                     yield chunk()
                     local.clear()
                     ids, sizes, digests, numbers, chars = [], [], [], [], 0
+                    give_back()
         if ids:
             yield chunk()
         local.clear()
         numbers.clear()
-        pa.default_memory_pool().release_unused()  # the worker stays, for the next task
+        give_back()
 
     return docs.mapInArrow(run, CHUNK)
 
@@ -283,18 +284,19 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for i, j in slices(texts, 2_000_000):
+            for i, j in slices(texts, 500_000):
                 distinct, at, _ = words_of(texts[i:j], pieces)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(distinct, pa.string()), pa.array(np.bincount(at, minlength=len(distinct)), pa.int64())],
                     names=["word", "n"])
+        give_back()
 
     return few.mapInArrow(run, "word string, n long").where(F.length("word") <= longest) \
         .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most)
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 17,
-           sample_chars: int = 48_000_000, chunk_chars: int = 6_000_000) -> DataFrame:
+           sample_chars: int = 48_000_000, chunk_chars: int = 4_000_000) -> DataFrame:
     """``doc_id, ids, text_sha256`` for every row of ``docs``: piece ids of the best segmentation.
 
     Null and empty texts have no ids; null ids and repeated rows pass through;
