@@ -8,7 +8,9 @@ and links are closed to components. Equal sets are one set from the start.
 
 Dense groups are not expanded: first every prefix n-gram joins its rows with
 one pivot only, and what that links is one component; then only rows of
-different components are joined, which loses no link between components.
+different components are joined, which loses no link between components. For
+the number of links, all sets of a component are compared afterwards, block by
+block, so that pairs are counted where they are compared and never written.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from paydw.llm.common import bounded_batches, components, cut, give_back, in_buc
 from paydw.llm.token_files import text_slices
 
 BITS = 16  # n-gram counts are kept for 2 ** BITS hash buckets
+BLOCK = 512  # sets of a component that are compared with as many others at once
+BLOCK_GRAMS = 1 << 20  # and about how many n-grams they have
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -169,6 +173,13 @@ def differing(a: Column, b: Column) -> Column:
         F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, x: s + x)).otherwise(F.lit(0))
 
 
+def texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the documents in ``ids``, one row each."""
+    ids = cut(ids.withColumn("h", F.xxhash64("doc_id")), "ids")
+    return in_buckets(rows.withColumn("h", F.xxhash64("doc_id")), ids, "h").join(ids.drop("h"), "doc_id", "left_semi") \
+        .dropDuplicates(["doc_id"]).select("doc_id", "text")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are similar.
 
@@ -180,10 +191,7 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, words: int, per
         .join(maps.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b") \
         .where(differing(F.col("x"), F.col("y")) <= F.col("na") + F.col("nb") - 2 * needed("na", "nb", percent))
     pairs = cut(near.select("a", "b"), "near")
-    ids = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-              .withColumn("h", F.xxhash64("doc_id")), "ids")
-    few = in_buckets(rows.withColumn("h", F.xxhash64("doc_id")), ids, "h").join(ids.drop("h"), "doc_id", "left_semi") \
-        .dropDuplicates(["doc_id"]).select("doc_id", "text")
+    few = texts_of(rows, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
 
     def run(batches):
         for batch in batches:
@@ -200,9 +208,89 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, words: int, per
             .where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
+def alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets numbered in ``left`` (rows) and ``right`` (columns) are similar; a set is not its own pair."""
+    n = np.array([len(g) for g in sets])
+    grams, code = np.unique(np.concatenate(sets), return_inverse=True)
+    often = np.bincount(code, minlength=len(grams)) > 1  # the others are in no intersection
+    place = np.cumsum(often) - 1
+    some = often[code]
+    owner, code = np.repeat(np.arange(len(sets)), n)[some], place[code[some]]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    both = np.zeros((len(left), len(right)), dtype=np.int64)
+    wide = 4096  # n-grams at once: sums of so many ones are exact in 32-bit floats
+    for lo in range(0, int(often.sum()), wide):
+        i, j = np.searchsorted(code, (lo, lo + wide))
+        has = np.zeros((len(sets), wide), dtype=np.float32)
+        has[owner[i:j], code[i:j] - lo] = 1
+        both += (has[left] @ has[right].T).astype(np.int64)
+    out = 100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)
+    return out & (left[:, None] != right[None, :])
+
+
+def link_counts(found: DataFrame, reps: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """``rep, more``: how many documents with other sets link with a representative.
+
+    ``found`` has the component of each representative that has links and
+    ``reps (rep, size, n)`` how many documents share its set. Links lie inside
+    components, so the sets of a component are dealt to blocks, and every two
+    blocks meet once in a task that compares each pair of whole sets and gives
+    one sum a set: no row is made for a pair, however dense the component.
+    """
+    members = cut(found.join(reps, F.col("node") == F.col("rep")).select("rep", "component", "size", "n"), "members")
+    blocks = members.groupBy("component").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    texts = texts_of(rows, members.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
+    meet = dealt.join(texts, "rep") \
+        .select("rep", "component", "size", "own", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
+        .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "size", "text") \
+        .repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+
+    def counted(i, j, group):
+        own, rep, size = (np.array([x[k] for x in group]) for k in range(3))
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        if not len(left) or not len(right):
+            return []
+        links = alike([x[3] for x in group], left, right, percent).astype(np.int64)
+        sums = [(rep[left], links @ size[right])]
+        if i != j:
+            sums.append((rep[right], size[left] @ links))
+        return sums
+
+    def run(batches):
+        key, group = None, []
+        for batch in batches:
+            texts, sums = batch.column("text"), []
+            for lo, hi in text_slices(texts, 4_000_000):
+                part = batch.slice(lo, hi - lo)
+                columns = [part.column(c).to_pylist() for c in ("component", "i", "j", "own", "rep", "size")]
+                for *at, own, rep, size, grams in zip(*columns, shingles(part.column("text"), words), strict=True):
+                    if at != key:
+                        if group:
+                            sums += counted(key[1], key[2], group)
+                        key, group = at, []
+                    group.append((own, rep, size, grams))
+            if sums:
+                yield answer(sums)
+        if group and (sums := counted(key[1], key[2], group)):
+            yield answer(sums)
+        give_back()
+
+    def answer(sums):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in sums]), pa.int64()) for k in (0, 1)],
+                                          names=["rep", "more"])
+
+    return meet.mapInArrow(run, "rep long, more long").groupBy("rep").agg(F.sum("more").alias("more"))
+
+
 def near_components(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
+                    text_col: str = "text", links: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``; with ``links`` also ``n_links``.
+
+    ``n_links`` is the number of other documents that link with a row's text,
+    all links inside the component counted.
 
     Two texts link when 100 * intersection >= percent * union of their n-gram
     sets; a component is named by its smallest id. Null and empty texts have
@@ -214,7 +302,8 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 90, id_col:
     sets = cut(prefix_rows(rows, words, percent, counts), "prefixes")  # bits and prefixes take about an eighth of the sets
 
     full = sets.where("n > 0 and doc_id is not null")
-    classes = cut(full.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = cut(full.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("size")),
+                  "classes")
     grams = full.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]) \
         .select("doc_id", "n", "p1", "p2", F.posexplode("prefix").alias("pos", "gram"))
     shared = grams.groupBy("gram").count().where("count > 1").select("gram")
@@ -235,8 +324,8 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 90, id_col:
         .groupBy(F.col("l.doc_id").alias("d")).agg(F.min(F.struct("r.own", "r.doc_id")).alias("p")) \
         .select(F.least("d", "p.doc_id").alias("a"), F.greatest("d", "p.doc_id").alias("b")).distinct()
     first = cut(first, "first")
-    links = cut(verified(first, sets, rows, words, percent), "links")
-    found = components(links)
+    linked = cut(verified(first, sets, rows, words, percent), "links")
+    found = components(linked)
     placed = cut(index.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                  .withColumn("component", F.coalesce("component", "doc_id")), "placed")
     second = placed.alias("l").join(placed.alias("r"), (F.col("l.gram") == F.col("r.gram"))
@@ -244,11 +333,15 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 90, id_col:
                                     & (F.col("l.component") != F.col("r.component")) & filters()) \
         .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct()
     second = cut(second.join(first, ["a", "b"], "left_anti"), "second")
-    links = links.union(verified(second, sets, rows, words, percent))
-
-    found = components(links)
-    named = classes.join(found, F.col("rep") == F.col("node"), "left") \
-        .select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
+    linked = linked.union(verified(second, sets, rows, words, percent))
+
+    found = components(linked)
+    named = classes.join(found, F.col("rep") == F.col("node"), "left").withColumn("component_id", F.coalesce("component", "rep"))
+    if links:
+        more = cut(link_counts(found, classes.select("rep", "size", "n"), rows, words, percent), "more")
+        named = named.join(more, "rep", "left").withColumn("n_links", F.coalesce("more", F.lit(0)) + F.col("size") - 1)
+    named = named.select("n", "d1", "d2", "component_id", *["n_links"] * links)
     return sets.select("doc_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left") \
         .select("doc_id", F.col("n").alias("n_shingles"),
-                F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+                F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+                *[F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links")] * links)

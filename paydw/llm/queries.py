@@ -59,6 +59,11 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``op8_ngram_join`` with the number of links of every document, which its SQL has no column for."""
+    return ngram_join.near_components(table(spark, sf_dir, "documents"), links=True)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secret_scan.scan(docs, secret_scan.train(docs))
@@ -75,7 +80,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_source_mix, op2_line_dedup, op3_piece_lattice, op4_topk_search, op5_spot_sigs, op6_token_files, op7_language_id,
-                              op8_ngram_join, op9_secret_scan, op10_token_counts)}
+                              op8_ngram_join, op8_ngram_links, op9_secret_scan, op10_token_counts)}
 
 ORACLE: dict[str, str] = {
     # targets by trying how many sources stop; quotas by listing all quotients

@@ -382,6 +382,25 @@ def test_ngram_join_edges(spark):
     assert ngram_join.near_components(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [512, 7])
+def test_ngram_join_counts_all_links(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(31)
+    base = [lorem(rng, 60) for _ in range(3)]
+    texts = [*ODD, *base, base[0], base[0].upper()]
+    for _ in range(80):
+        words = rng.choice(base).split()
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = rng.choice(["new", "old", "x"])
+        texts.append(" ".join(words))
+    sets, label = linked(texts, 3, 80)
+    want = {i: sum(100 * len(s & t) >= 80 * len(s | t) for j, t in enumerate(sets) if j != i and s & t) for i, s in enumerate(sets)}
+    rows = ngram_join.near_components(docs(spark, texts), 3, 80, links=True).collect()
+    assert {r.doc_id: (r.component_id, r.n_links) for r in rows} == {i: (label[i], n) for i, n in want.items()}
+    assert sum(want.values()) > 10 * len(texts)
+    assert ngram_join.near_components(docs(spark, texts).limit(0), links=True).count() == 0
+
+
 def test_components_of_paths_and_cliques(spark):
     pairs = [(i, i + 1) for i in range(100, 140)] + [(a, b) for a in range(8) for b in range(a)] + [(50, 50), (61, 60)]
     got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
