@@ -25,12 +25,23 @@ BITS = 20
 HOT_BITS = 18
 
 
+def key_of(id_col: str, text_col: str) -> list[Column]:
+    """``named, k, t1, t2``, a document: whether it has an id, the id, two hashes of the text. A null id counts as the smallest."""
+    own = F.col(id_col).cast("long")
+    return [own.isNotNull().alias("named"), F.coalesce(own, F.lit(0)).alias("k"), F.xxhash64(text_col).alias("t1"),
+            F.xxhash64(F.lit("second"), F.col(text_col)).alias("t2")]
+
+
+DOC = ["named", "k", "t1", "t2"]
+PLACE = [*DOC, "pos"]
+
+
 def lines_of(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
-    """``k, pos, line, n, h1, h2`` of every line of at least ``least`` characters; a null id counts as the smallest."""
-    lines = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63)).alias("k"),
-                        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
+    """``named, k, t1, t2, pos, line, n, h1, h2`` of every line of at least ``least`` characters."""
+    lines = docs.select(*key_of(id_col, text_col), F.col(text_col).alias("text")) \
+        .select(*DOC, F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     return lines.withColumn("n", F.length("line")).where(F.col("n") >= least).select(
-        "k", "pos", "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
+        *PLACE, "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
 
 
 def sketch(line: Column) -> Column:
@@ -141,21 +152,20 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
 def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """``k, pos``: the lines that go, by document and place (from 0).
+    """``named, k, t1, t2, pos``: the lines that go, by document and place (from 0).
 
-    Lines stand in the order of document id and place. A line goes if an
-    earlier line equals it or is within ``edits`` edits of it; lines of fewer
-    than ``least`` characters always stay. Copies of a row (same id and text)
-    count as one document.
+    Lines stand in the order of document id, hashes of the text and place. A
+    line goes if an earlier line equals it or is within ``edits`` edits of it;
+    lines of fewer than ``least`` characters always stay. Rows of the same id
+    and text, a null id too, count as one document; other rows never do.
     """
     lines = lines_of(docs, id_col, text_col, least)
-    short = cut(lines.select("k", "pos", "h1", "h2"), "lines")
-    classes = cut(short.groupBy("h1", "h2").agg(F.min(F.struct("k", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-                  .select("h1", "h2", "first.k", "first.pos", "n"), "classes")
+    short = cut(lines.select(*PLACE, "h1", "h2"), "lines")
+    classes = cut(short.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")), "classes")
     # lines with more than 1 / 2 ** HOT_BITS of all occurrences: fewer than 2 ** HOT_BITS, whatever the input
     hot = classes.where(F.col("n") > short.count() / 2 ** HOT_BITS) \
-        .select("h1", "h2", F.col("k").alias("k0"), F.col("pos").alias("pos0"))
-    some = lines.join(F.broadcast(hot), ["h1", "h2"], "left").where("k0 is null or (k = k0 and pos = pos0)") \
+        .select("h1", "h2", "first")
+    some = lines.join(F.broadcast(hot), ["h1", "h2"], "left").where(F.col("first").isNull() | (F.col("first") == F.struct(*PLACE))) \
         .select("h1", "line", "n", sketch(F.col("line")).alias("s"))
     # a line that still comes more than once is indexed once; its probes then meet it once each
     index = keyed(some, edits, False).repartition("key").dropDuplicates(["key", "h1"])
@@ -167,7 +177,7 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str
     ids = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
     texts = in_buckets(lines, ids, "h1", BITS).join(ids, "h1", "left_semi").dropDuplicates(["h1", "h2"]) \
         .select("h1", "h2", "line")
-    texts = cut(texts.join(classes.select("h1", "h2", F.struct("k", "pos").alias("first")), ["h1", "h2"]), "candidates")
+    texts = cut(texts.join(classes.select("h1", "h2", "first"), ["h1", "h2"]), "candidates")
 
     def side(name, end):
         return texts.select(F.col("h1").alias(name), F.col("h2").alias(f"h2{end}"), F.col("line").alias(f"c{end}"),
@@ -180,10 +190,9 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str
                        F.when(later, F.col("h2b")).otherwise(F.col("h2a")).alias("h2")) \
         .distinct().withColumn("near", F.lit(True))
     bad = cut(classes.join(near, ["h1", "h2"], "left").where("n > 1 or near")
-              .select("h1", "h2", F.col("k").alias("k0"), F.col("pos").alias("pos0"),
-                      F.coalesce("near", F.lit(False)).alias("near")), "bad")
+              .select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "bad")
     where = in_buckets(short, bad, "h1", BITS)
-    return where.join(bad, ["h1", "h2"]).where("near or k <> k0 or pos <> pos0").select("k", "pos")
+    return where.join(bad, ["h1", "h2"]).where(F.col("near") | (F.col("first") != F.struct(*PLACE))).select(*PLACE)
 
 
 def dedup_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str = "doc_id",
@@ -193,14 +202,14 @@ def dedup_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str =
     See ``repeated_lines`` for the lines that go. The others stay joined by
     line ends; a text that loses all its lines is empty; null texts stay null.
     """
-    gone = cut(repeated_lines(docs, edits, least, id_col, text_col).groupBy("k")
-               .agg(F.collect_set("pos").alias("gone")).withColumn("h", F.xxhash64("k")), "gone")
+    gone = cut(repeated_lines(docs, edits, least, id_col, text_col).groupBy(*DOC)
+               .agg(F.collect_set("pos").alias("gone")).withColumn("h", F.xxhash64("k", "t1")), "gone")
     buckets = gone.select(F.col("h").bitwiseAND((1 << BITS) - 1).alias("bucket")).distinct().withColumn("some", F.lit(True))
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63)).alias("k"))
-    marked = rows.withColumn("bucket", F.xxhash64("k").bitwiseAND((1 << BITS) - 1)) \
+    rows = docs.select(F.struct("*").alias("row"), *key_of(id_col, text_col))
+    marked = rows.withColumn("bucket", F.xxhash64("k", "t1").bitwiseAND((1 << BITS) - 1)) \
         .join(F.broadcast(buckets), "bucket", "left")  # 2 ** BITS rows at most
     same = marked.where("some is null").select("row", F.lit(None).cast("array<int>").alias("gone"))
-    less = marked.where("some").join(gone.select("k", "gone"), "k", "left").select("row", "gone")
+    less = marked.where("some").join(gone.select(*DOC, "gone"), DOC, "left").select("row", "gone")
     text = F.col("row").getField(text_col)
     kept = F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("gone", i))
     return same.union(less).select(

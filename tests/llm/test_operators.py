@@ -163,6 +163,31 @@ def test_line_dedup_by_brute_force(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_keys_documents_by_id_and_text(spark):
+    rng = random.Random(32)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(20, 30))) for _ in range(12)]
+    texts = list(dict.fromkeys("\n".join(rng.choice([rng.choice(base), edit(rng, rng.choice(base), rng.randint(1, 3)), "short"])
+                                         for _ in range(rng.randint(1, 5))) for _ in range(40)))
+    same = "the only line of two rows without an id"
+    rows = [(rng.choice([None, None, 5, 5, 6, 7]), t) for t in texts] + \
+        [(None, same + "\nfirst"), (None, same + "\nsecond"), (None, None), (None, "")]
+    rows += [rows[0], rows[1]]  # equal rows are one document
+    df = docs(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    hashed = df.select("doc_id", "text", F.xxhash64("text").alias("t1")).distinct().collect()
+    seen, want = [], {}
+    for i, t, _ in sorted(hashed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.t1)):
+        kept = []
+        for line in (t or "").split("\n"):
+            if len(line) < 20 or not any(abs(len(x) - len(line)) <= 2 and distance(x, line) <= 2 for x in seen):
+                kept.append(line)
+            if len(line) >= 20:
+                seen.append(line)
+        want[i, t] = None if t is None else "\n".join(kept)
+    out = line_dedup.dedup_lines(df.withColumn("before", F.col("text"))).collect()
+    assert len(out) == len(rows) and all(r.text == want[r.doc_id, r.before] for r in out)
+    assert {r.text for r in out if r.before and same in r.before} in ({same + "\nfirst", "second"}, {"first", same + "\nsecond"})
+
+
 # -- operator 3 ------------------------------------------------------------
 
 @pytest.fixture(scope="module")
