@@ -28,6 +28,7 @@ from paydw.llm.token_files import text_slices
 BITS = 16  # n-gram counts are kept for 2 ** BITS hash buckets
 BLOCK = 512  # sets of a component that are compared with as many others at once
 BLOCK_GRAMS = 1 << 20  # and about how many n-grams they have
+KEY = ["nameless", "k", "t1", "t2"]  # a row by its id and text
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -68,10 +69,16 @@ def shingles(texts: pa.Array, words: int) -> list[np.ndarray]:
     return out
 
 
+def key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """The columns ``KEY``, never null: whether a row has no id, its id, two hashes of its text (null as empty)."""
+    own, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))
+    return [own.isNull().alias("nameless"), F.coalesce(own, F.lit(0)).alias("k"), F.xxhash64(text).alias("t1"),
+            F.xxhash64(F.lit("second"), text).alias("t2")]
+
+
 def read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     bounded_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return docs.select(*key(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def bucket_counts(rows: DataFrame, words: int, buffer_bytes: int = 4_000_000) -> np.ndarray:
@@ -137,12 +144,12 @@ def prefix_rows(rows: DataFrame, words: int, percent: int, counts: np.ndarray, b
                                                    p[0], p[1], bits, grams[order].astype(signed)), strict=True):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i), *[pa.array(c, pa.int64()) for c in out[:5]],
+                    [*[batch.column(c).slice(i, j - i) for c in KEY], *[pa.array(c, pa.int64()) for c in out[:5]],
                      *[pa.array(c, pa.list_(pa.int64())) for c in out[5:]]],
-                    names=["doc_id", "n", "d1", "d2", "p1", "p2", "bits", "prefix"])
+                    names=[*KEY, "n", "d1", "d2", "p1", "p2", "bits", "prefix"])
         give_back()
 
-    return rows.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, p1 long, p2 long, "
+    return rows.mapInArrow(run, "nameless boolean, k long, t1 long, t2 long, n long, d1 long, d2 long, p1 long, p2 long, "
                                 "bits array<bigint>, prefix array<bigint>")
 
 
@@ -173,38 +180,37 @@ def differing(a: Column, b: Column) -> Column:
         F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, x: s + x)).otherwise(F.lit(0))
 
 
-def texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """``doc_id, text`` of the documents in ``ids``, one row each."""
-    ids = cut(ids.withColumn("h", F.xxhash64("doc_id")), "ids")
-    return in_buckets(rows.withColumn("h", F.xxhash64("doc_id")), ids, "h").join(ids.drop("h"), "doc_id", "left_semi") \
-        .dropDuplicates(["doc_id"]).select("doc_id", "text")
+def texts_of(rows: DataFrame, classes: DataFrame, reps: DataFrame) -> DataFrame:
+    """``rep, text`` of the representatives in ``reps``, one row each."""
+    firsts = cut(classes.select("rep", "first.*").join(reps, "rep", "left_semi"), "firsts")
+    return in_buckets(rows, firsts, "t1").join(firsts, KEY).dropDuplicates(["rep"]).select("rep", "text")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are similar.
 
     Whole bitmaps rule out most of the others first; sets are made only of the
     texts of pairs that are left, and compared once a pair.
     """
-    maps = sets.select("doc_id", "n", "bits").dropDuplicates(["doc_id"])
-    near = pairs.join(maps.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a") \
-        .join(maps.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b") \
+    maps = sets.select("rep", "n", "bits")
+    near = pairs.join(maps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a") \
+        .join(maps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b") \
         .where(differing(F.col("x"), F.col("y")) <= F.col("na") + F.col("nb") - 2 * needed("na", "nb", percent))
     pairs = cut(near.select("a", "b"), "near")
-    few = texts_of(rows, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    few = texts_of(rows, classes, pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct())
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text")
             for i, j in text_slices(texts, 4_000_000):
                 grams = [g.astype(np.int64) for g in shingles(texts.slice(i, j - i), words)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(grams, pa.list_(pa.int64()))],
-                                                 names=["doc_id", "grams"])
+                yield pa.RecordBatch.from_arrays([batch.column("rep").slice(i, j - i), pa.array(grams, pa.list_(pa.int64()))],
+                                                 names=["rep", "grams"])
 
-    whole = cut(few.mapInArrow(run, "doc_id long, grams array<bigint>"), "sets")
+    whole = cut(few.mapInArrow(run, "rep long, grams array<bigint>"), "sets")
     both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(whole.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a")
-            .join(whole.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
+    return (pairs.join(whole.select(F.col("rep").alias("a"), F.col("grams").alias("x")), "a")
+            .join(whole.select(F.col("rep").alias("b"), F.col("grams").alias("y")), "b")
             .where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
@@ -229,20 +235,20 @@ def alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent:
     return out & (left[:, None] != right[None, :])
 
 
-def link_counts(found: DataFrame, reps: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+def link_counts(found: DataFrame, classes: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """``rep, more``: how many documents with other sets link with a representative.
 
     ``found`` has the component of each representative that has links and
-    ``reps (rep, size, n)`` how many documents share its set. Links lie inside
+    ``classes`` how many documents share its set. Links lie inside
     components, so the sets of a component are dealt to blocks, and every two
     blocks meet once in a task that compares each pair of whole sets and gives
     one sum a set: no row is made for a pair, however dense the component.
     """
-    members = cut(found.join(reps, F.col("node") == F.col("rep")).select("rep", "component", "size", "n"), "members")
+    members = cut(found.join(classes, F.col("node") == F.col("rep")).select("rep", "component", "size", "n"), "members")
     blocks = members.groupBy("component").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     dealt = members.join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    texts = texts_of(rows, members.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
+    texts = texts_of(rows, classes, members.select("rep"))
     meet = dealt.join(texts, "rep") \
         .select("rep", "component", "size", "own", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
         .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "size", "text") \
@@ -285,63 +291,99 @@ def link_counts(found: DataFrame, reps: DataFrame, rows: DataFrame, words: int,
     return meet.mapInArrow(run, "rep long, more long").groupBy("rep").agg(F.sum("more").alias("more"))
 
 
-def near_components(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id",
-                    text_col: str = "text", links: bool = False) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``; with ``links`` also ``n_links``.
-
-    ``n_links`` is the number of other documents that link with a row's text,
-    all links inside the component counted.
+def linked_sets(rows: DataFrame, words: int, percent: int, nameless: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows by ``KEY`` with their sets' digests, the distinct sets, and ``node, component`` of those that link.
 
-    Two texts link when 100 * intersection >= percent * union of their n-gram
-    sets; a component is named by its smallest id. Null and empty texts have
-    no n-gram and link with nothing. Rows without an id link with nothing and
-    have no component. Repeated rows share a component.
+    A distinct set has a number of its own (``rep``), whatever ids its rows
+    have, its smallest row (``first``) and its number of ids (``size``). Rows
+    without an id take part only if ``nameless``.
     """
-    rows = read(docs, id_col, text_col)
     counts = bucket_counts(rows, words)
     sets = cut(prefix_rows(rows, words, percent, counts), "prefixes")  # bits and prefixes take about an eighth of the sets
 
-    full = sets.where("n > 0 and doc_id is not null")
-    classes = cut(full.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("size")),
-                  "classes")
-    grams = full.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]) \
-        .select("doc_id", "n", "p1", "p2", F.posexplode("prefix").alias("pos", "gram"))
+    full = sets.where("n > 0" if nameless else "n > 0 and not nameless")
+    classes = cut(full.groupBy("n", "d1", "d2").agg(F.min(F.struct(*KEY)).alias("first"), F.countDistinct("k").alias("size"))
+                  .withColumn("rep", F.monotonically_increasing_id()), "classes")
+    own = cut(full.join(classes.select("rep", "first.*"), KEY).dropDuplicates(["rep"])
+              .select("rep", "n", "p1", "p2", "bits", "prefix"), "own")
+    grams = own.select("rep", "n", "p1", "p2", F.posexplode("prefix").alias("pos", "gram"))
     shared = grams.groupBy("gram").count().where("count > 1").select("gram")
     index = cut(grams.join(shared, "gram"), "index")
     # a text whose prefix is mostly shared is the likely origin of its group: the best pivot
-    rank = index.groupBy("doc_id").agg((F.first("n") * (100 - percent) - 100 * F.count(F.lit(1))).alias("own"))
-    index = cut(index.join(rank, "doc_id"), "ranked")
+    rank = index.groupBy("rep").agg((F.first("n") * (100 - percent) - 100 * F.count(F.lit(1))).alias("own"))
+    index = cut(index.join(rank, "rep"), "ranked")
 
     def filters():
         return possible(percent, F.col("l.n"), F.col("r.n"), F.col("l.pos"), F.col("r.pos"), F.col("l.p1"),
                         F.col("r.p1"), F.col("l.p2"), F.col("r.p2"))
 
     # each text meets the best pivot of its n-grams: one pair a text at most
-    pivots = index.groupBy("gram").agg(F.min(F.struct("own", "doc_id", "n", "p1", "p2", "pos")).alias("p")) \
+    pivots = index.groupBy("gram").agg(F.min(F.struct("own", "rep", "n", "p1", "p2", "pos")).alias("p")) \
         .select("gram", "p.*")
     first = index.alias("l").join(pivots.alias("r"), (F.col("l.gram") == F.col("r.gram"))
-                                  & (F.col("l.doc_id") != F.col("r.doc_id")) & filters()) \
-        .groupBy(F.col("l.doc_id").alias("d")).agg(F.min(F.struct("r.own", "r.doc_id")).alias("p")) \
-        .select(F.least("d", "p.doc_id").alias("a"), F.greatest("d", "p.doc_id").alias("b")).distinct()
+                                  & (F.col("l.rep") != F.col("r.rep")) & filters()) \
+        .groupBy(F.col("l.rep").alias("d")).agg(F.min(F.struct("r.own", "r.rep")).alias("p")) \
+        .select(F.least("d", "p.rep").alias("a"), F.greatest("d", "p.rep").alias("b")).distinct()
     first = cut(first, "first")
-    linked = cut(verified(first, sets, rows, words, percent), "links")
+    linked = cut(verified(first, own, rows, classes, words, percent), "links")
     found = components(linked)
-    placed = cut(index.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                 .withColumn("component", F.coalesce("component", "doc_id")), "placed")
+    placed = cut(index.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+                 .withColumn("component", F.coalesce("component", "rep")), "placed")
     second = placed.alias("l").join(placed.alias("r"), (F.col("l.gram") == F.col("r.gram"))
-                                    & (F.col("l.doc_id") < F.col("r.doc_id"))
+                                    & (F.col("l.rep") < F.col("r.rep"))
                                     & (F.col("l.component") != F.col("r.component")) & filters()) \
-        .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct()
+        .select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
     second = cut(second.join(first, ["a", "b"], "left_anti"), "second")
-    linked = linked.union(verified(second, sets, rows, words, percent))
+    linked = linked.union(verified(second, own, rows, classes, words, percent))
+    return sets, classes, components(linked)
 
-    found = components(linked)
-    named = classes.join(found, F.col("rep") == F.col("node"), "left").withColumn("component_id", F.coalesce("component", "rep"))
+
+def with_smallest(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``classes`` with the smallest row of each one's component (``least``)."""
+    named = classes.join(found, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep"))
+    return named.join(named.groupBy("component").agg(F.min("first").alias("least")), "component")
+
+
+def near_components(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id",
+                    text_col: str = "text", links: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``; with ``links`` also ``n_links``.
+
+    ``n_links`` is the number of other documents that link with a row's text,
+    all links inside the component counted.
+
+    Two texts link when 100 * intersection >= percent * union of their n-gram
+    sets; a component is named by its smallest id. Null and empty texts have
+    no n-gram and link with nothing. Rows without an id link with nothing and
+    have no component. Rows that share an id link by their own texts; those of
+    equal sets are one document.
+    """
+    rows = read(docs, id_col, text_col)
+    sets, classes, found = linked_sets(rows, words, percent, nameless=False)
+    named = with_smallest(classes, found).withColumn("component_id", F.col("least.k"))
     if links:
-        more = cut(link_counts(found, classes.select("rep", "size", "n"), rows, words, percent), "more")
+        more = cut(link_counts(found, classes, rows, words, percent), "more")
         named = named.join(more, "rep", "left").withColumn("n_links", F.coalesce("more", F.lit(0)) + F.col("size") - 1)
     named = named.select("n", "d1", "d2", "component_id", *["n_links"] * links)
-    return sets.select("doc_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left") \
+    return sets.select("n", "d1", "d2", F.when(~F.col("nameless"), F.col("k")).alias("doc_id")) \
+        .join(named, ["n", "d1", "d2"], "left") \
         .select("doc_id", F.col("n").alias("n_shingles"),
                 F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
                 *[F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links")] * links)
+
+
+def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``docs`` with one row of each component of linked texts: the smallest by id (null is the largest), then by text hashes.
+
+    Rows are told apart by id and text, so rows that share an id, or have none,
+    stay or go by their own texts. Equal rows are one document; other texts
+    without an n-gram all stay.
+    """
+    sets, classes, found = linked_sets(read(docs, "doc_id", "text"), words, percent, nameless=True)
+    least = with_smallest(classes, found).select("n", "d1", "d2", "least")
+    gone = cut(sets.select(*KEY, "n", "d1", "d2").join(least, ["n", "d1", "d2"])
+               .where(F.struct(*KEY) != F.col("least")).select(*KEY).distinct(), "copies")
+    row = F.struct(*docs.columns).alias("row")
+    kept = docs.select(row, *key()).join(gone, KEY, "left_anti")
+    again = cut(kept.groupBy(*KEY).count().where("count > 1").select(*KEY), "again")
+    return kept.join(again, KEY, "left_anti").select("row.*").union(
+        kept.join(again, KEY, "left_semi").dropDuplicates(KEY).select("row.*"))

@@ -426,6 +426,22 @@ def test_ngram_join_counts_all_links(spark, monkeypatch, block):
     assert ngram_join.near_components(docs(spark, texts).limit(0), links=True).count() == 0
 
 
+def test_ngram_join_tells_rows_of_an_id_apart(spark):
+    a, b, c = ("one two three four five six seven", "red green blue black white grey pink", "sun moon star sky rain snow wind")
+    df = docs(spark, [a, b, a, b, c, a], ids=[5, 5, 3, 8, 4, None])
+    rows = ngram_join.near_components(df, links=True).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1, r.n_links or 0) for r in rows) == \
+        [(-1, -1, 0), (3, 3, 1), (4, 4, 0), (5, 3, 1), (5, 5, 1), (8, 5, 1)]
+    near = b + " red green blue black white grey pink x"
+    texts = [a, b, a, near, c, a, c, c, near + " y", "", "", None]
+    ids = [5, 5, 3, 8, None, None, None, 9, None, 1, 2, 2]
+    rows = ngram_join.one_of_each(docs(spark, texts, ids=ids), 2, 80).collect()
+    # b is far from near; c without an id goes for 9; the two empty rows of 2 are one document
+    assert sorted((r.doc_id or -1, r.text or "") for r in rows) == sorted([(3, a), (5, b), (8, near), (9, c), (1, ""), (2, "")])
+    rows = ngram_join.one_of_each(docs(spark, [a, a, b, a + " x", c], ids=[None] * 5), 2, 80).collect()
+    assert len(rows) == 3 and {b, c} < {r.text for r in rows}
+
+
 def test_components_of_paths_and_cliques(spark):
     pairs = [(i, i + 1) for i in range(100, 140)] + [(a, b) for a in range(8) for b in range(a)] + [(50, 50), (61, 60)]
     got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
