@@ -18,8 +18,14 @@ MIN_SCORE = 0.4  # a language at least this likely; the likeliest of four has 0.
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: documents without a letter, or without a likely language, go."""
+    """Operator 7: documents without a letter, or without a likely language, go.
+
+    Where nothing could be learned (no labelled text outside the held-out
+    quarter), only documents without a letter go.
+    """
     net = lang_id.fit(docs.where(~lang_id.held_out()))
+    if net is None:
+        return docs.where(F.coalesce(F.col("text").rlike(lang_id.LETTER), F.lit(False)))
     found = lang_id.predict(docs, net, passing=tuple(c for c in docs.columns if c != "doc_id"))
     return found.where((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
 

@@ -43,6 +43,12 @@ def test_language_stage_drops_texts_without_letters(kept):
     assert {tuple(r) for r in after} <= {tuple(r) for r in before}
 
 
+def test_language_stage_without_labels_drops_only_texts_without_letters(spark):
+    rows = [(1, "der Hund", None, "x", 8), (2, "12 34", None, "x", 5), (3, None, None, "x", None), (None, "a", None, "x", 1)]
+    out = corpus_pipeline.identify(spark, spark.createDataFrame(rows, SCHEMA), SF)
+    assert {r.doc_id for r in out.collect()} == {1, None} and out.columns == [f.split()[0] for f in SCHEMA.split(", ")]
+
+
 def test_line_stage(kept):
     seen, want = [], {}
     for r in sorted(kept[1], key=lambda r: (r.doc_id is not None, r.doc_id)):
