@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paydw.llm import (lang_id, line_dedup, mixing, ngram_join, piece_lattice, secret_scan, spot_sigs, token_counts,
-                       token_files, topk_search)
+from paydw.llm import (hard_negatives, lang_id, line_dedup, mixing, ngram_join, piece_lattice, secret_scan, source_audit,
+                       spot_sigs, token_counts, token_files, topk_search, warc)
 from paydw.llm.common import table
 from paydw.session import scratch_path
 
@@ -64,10 +64,15 @@ def op8_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(table(spark, sf_dir, "documents"), links=True)
 
 
+def of_kind(kind: int):
+    """A filter on spans; it takes one parameter only, as a second one would be handed the span's place."""
+    return lambda span: span["kind"] == kind
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secret_scan.scan(docs, secret_scan.train(docs))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+    counts = [F.size(F.filter("base", of_kind(k))).cast("long").alias(f"n_{name}")
               for k, name in enumerate(secret_scan.KINDS[:3])]
     return found.select("doc_id", *counts, F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
                         secret_scan.listed(F.col("spans")).alias("spans"))
@@ -78,9 +83,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "paydw-llm", f"warc-{uuid.uuid4().hex}")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_source_mix, op2_line_dedup, op3_piece_lattice, op4_topk_search, op5_spot_sigs, op6_token_files, op7_language_id,
-                              op8_ngram_join, op8_ngram_links, op9_secret_scan, op10_token_counts)}
+                              op8_ngram_join, op8_ngram_links, op9_secret_scan, op10_token_counts, op11_hard_negatives,
+                              op12_source_audit, op13_warc)}
 
 ORACLE: dict[str, str] = {
     # targets by trying how many sources stop; quotas by listing all quotients
@@ -210,4 +230,71 @@ ORACLE: dict[str, str] = {
         SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
                least(w.doc_id, coalesce((SELECT min(b) FROM reach WHERE a = w.doc_id), w.doc_id)) AS component_id
         FROM w LEFT JOIN n ON n.doc_id = w.doc_id""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND NOT coalesce(list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x))), FALSE)),
+        s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (
+            SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+            FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+                 AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 10""",
+    "op12_source_audit": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS nr, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        w AS (
+            SELECT nr, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        c AS (SELECT nr, lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+        k AS (SELECT lang, term FROM c GROUP BY ALL HAVING count(*) >= 30),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        n AS (SELECT lang, source, term, sum(n) AS n FROM c JOIN k USING (lang, term) GROUP BY ALL),
+        f AS (
+            SELECT g.lang, g.source, k.term, CAST(coalesce(n.n, 0) AS HUGEINT) AS n
+            FROM g JOIN k USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+        of_lang AS (SELECT lang, CAST(count(DISTINCT term) AS HUGEINT) AS v, sum(n) AS total FROM f GROUP BY lang),
+        of_group AS (SELECT lang, source, sum(n) AS total FROM f GROUP BY ALL),
+        p AS (
+            SELECT f.lang, f.source, f.term, f.n,
+                   CAST(1 + 1000000000 * (f.n + 5) // (of_group.total + 5 * of_lang.v) AS BIGINT) AS p
+            FROM f JOIN of_group USING (lang, source) JOIN of_lang USING (lang)),
+        q AS (
+            SELECT lang, term, CAST(1 + 1000000000 * (sum(n) + 5) // (any_value(total) + 5 * any_value(v)) AS BIGINT) AS q
+            FROM f JOIN of_lang USING (lang) GROUP BY ALL),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, coalesce((
+                       SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y ON y.lang = x.lang AND y.term = x.term
+                       WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+            FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source),
+        terms AS (
+            SELECT lang, source, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+        u AS (SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' AS part FROM terms),
+        r AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM u)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM r WHERE part = 'pair' OR rank <= 50""",
+    "op13_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END
+                   AS first_id FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_id <> coalesce(page_id, first_id - 1) THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> coalesce(page_id, first_id - 1) THEN first_id END AS refers_to
+        FROM f""",
 }
