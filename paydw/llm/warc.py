@@ -36,13 +36,15 @@ RECORDS = "page_id long, url string, payload_bytes long, payload_digest string,
 def build_dictionary(pages: DataFrame, samples: int = 600, sample_bytes: int = 32 << 10, size: int = 64 << 10) -> bytes:
     """A Zstandard dictionary from records as they are archived.
 
-    Fitted on a bounded sample: the ``samples`` records of at most
-    ``sample_bytes`` bytes with the smallest hashes. Where these are too few or
+    Fitted on a bounded sample: about ``samples`` of the records of at most
+    ``sample_bytes`` bytes, each drawn by a hash of its id and its place in the
+    table, so rows that repeat are drawn one by one. Where these are too few or
     too alike to train on, their last ``size`` bytes are the dictionary; without
     any record there is none (no bytes).
     """
-    few = pages.where(F.col("payload_bytes") <= sample_bytes) \
-        .orderBy(F.xxhash64("page_id", "digest"), "page_id", "digest").limit(samples).collect()
+    short = pages.where(F.col("payload_bytes") <= sample_bytes)
+    unit = F.pmod(F.xxhash64("page_id", F.monotonically_increasing_id()), F.lit(1 << 30)) / float(1 << 30)
+    few = short.where(unit < samples / max(pages.count(), 1)).orderBy("page_id", "digest").collect()
     records = [record(r["page_id"], r["url"], (r["payload"] or "").encode(), r["payload_bytes"], r["digest"], None, None)
                for r in few]
     if not records:
