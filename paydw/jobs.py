@@ -13,8 +13,10 @@ files arrive. A scheduler (cron, a workflow tool) runs these on a cadence;
 ``ingest`` processes what arrived since its last run and stops. Days before the
 process date are closed and summarized; late rows rebuild their month unless
 ``--late ignore``. ``--start`` and ``--end`` pull one window of transactions
-(end exclusive) with all clients and contracts; ``--clear-staging`` empties the
-staging folders once the run has succeeded.
+(end exclusive, either may be left out) with all clients and contracts.
+``--clear-staging`` removes the files that the run has read, once it has
+succeeded; files that arrived meanwhile stay. Where a window leaves rows of
+these files unread, the job refuses to start with it.
 """
 
 from __future__ import annotations
@@ -27,16 +29,17 @@ from pyspark.sql import functions as F
 from paydw.schemas import STAGING_CLIENTES, STAGING_CONTRATOS, STAGING_TRANSACOES
 from paydw.session import get_session
 from paydw.sources.driver import Staging
-from paydw.sources.staging import read_staging, read_staging_window
-from paydw.storage import remove
+from paydw.sources.staging import clear_staging, in_window, read_staging, staging_files
 
 
-def _staging(spark, path: str, start=None, end=None) -> Staging:
-    tx = read_staging_window(spark, f"{path}/transacoes", STAGING_TRANSACOES, "data_movimentacao",
-                             dt.date.fromisoformat(start), dt.date.fromisoformat(end)) if start and end \
-        else read_staging(spark, f"{path}/transacoes", STAGING_TRANSACOES)
-    return Staging(read_staging(spark, f"{path}/clientes", STAGING_CLIENTES),
-                   read_staging(spark, f"{path}/contratos", STAGING_CONTRATOS), tx)
+_SCHEMAS = {"clientes": STAGING_CLIENTES, "contratos": STAGING_CONTRATOS, "transacoes": STAGING_TRANSACOES}
+_DAY = "data_movimentacao"
+
+
+def _staging(spark, path: str, read: dict[str, list[str]], start=None, end=None) -> Staging:
+    """The staging tables, of exactly the files in ``read``."""
+    tables = {name: read_staging(spark, f"{path}/{name}", schema, names=read[name]) for name, schema in _SCHEMAS.items()}
+    return Staging(tables["clientes"], tables["contratos"], tables["transacoes"].where(in_window(_DAY, start, end)))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -60,14 +63,21 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session(a.master)
     wh = Warehouse(spark, a.warehouse)
+    start, end = (dt.date.fromisoformat(d) if d else None for d in (a.start, a.end))
+    if a.job in ("bootstrap", "interval"):
+        read = {name: staging_files(spark, f"{a.staging}/{name}") for name in _SCHEMAS}
     if a.job == "bootstrap":
-        wh.bootstrap(_staging(spark, a.staging), end_date=a.end_date)
+        wh.bootstrap(_staging(spark, a.staging, read), end_date=a.end_date)
     elif a.job == "interval":
-        wh.run_interval(_staging(spark, a.staging, a.start, a.end), end_date=a.end_date,
+        if a.clear_staging and (start or end):
+            whole = read_staging(spark, f"{a.staging}/transacoes", STAGING_TRANSACOES, names=read["transacoes"])
+            if whole.where(~F.coalesce(in_window(_DAY, start, end), F.lit(False))).limit(1).count():
+                ap.error("--clear-staging: the window leaves rows of the staging files unread")
+        wh.run_interval(_staging(spark, a.staging, read, start, end), end_date=a.end_date,
                         process_date=a.process_date, late=a.late)
         if a.clear_staging:
-            for name in ("clientes", "contratos", "transacoes"):
-                remove(spark, f"{a.staging}/{name}")
+            for name, names in read.items():
+                clear_staging(spark, f"{a.staging}/{name}", names)
     elif a.job == "daily-summary":
         wh.daily_summary_job(a.process_date)
     elif a.job == "ingest":

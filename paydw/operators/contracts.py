@@ -63,15 +63,25 @@ def resolve_contract(transacoes: DataFrame, contratos: DataFrame,
                      expiry: str = "data_vencimento_contrato",
                      contract_cols: tuple[str, ...] = ("id_contrato",),
                      hot_clients: list | None = None, salt_buckets: int = 32,
-                     row_key: str = "id_transacao") -> DataFrame:
+                     row_key: str = "id_transacao", keep_unresolved: bool = False) -> DataFrame:
     """Transactions with the id of the contract in force (columns of ``transacoes`` + ``contract_cols``).
 
+    With ``keep_unresolved`` a transaction without a contract in force stays,
+    once, with null contract columns: one join then tells both kinds apart.
+    Rows without a client never match and do not go through that join.
+
     ``hot_clients`` (e.g. from ``skew.hot_keys``) are split over
     ``salt_buckets`` tasks by a salted join; without them the join relies
     on AQE's skew-join handling.
     """
     cand = latest_contracts(contratos, max_source, client, expiry).select(
         client, expiry, *contract_cols)
+    if keep_unresolved:
+        known = transacoes.where(F.col(client).isNotNull())
+        out = salted_join(known, cand, client, hot_clients or [], salt_buckets, [row_key], "left",
+                          on=lambda t, c: t[day] <= c[expiry])
+        nowhere = transacoes.where(F.col(client).isNull())
+        return out.select(*transacoes.columns, *contract_cols).unionByName(nowhere, allowMissingColumns=True)
     if hot_clients:
         joined = salted_join(transacoes, cand, client, hot_clients, salt_buckets, [row_key])
     else:

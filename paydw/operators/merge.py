@@ -21,7 +21,7 @@ range filter on it prunes partitions.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paydw.storage import has_data
@@ -64,19 +64,10 @@ def new_rows(source: DataFrame, target: DataFrame | None, keys: list[str] | tupl
     return source.join(matched, join_keys, "left_anti")
 
 
-def spread(*keys: str | Column, files: int = 8) -> Column:
-    """One of ``files`` numbers for each row, by the hash of ``keys``: how a partition's rows are dealt to its files."""
-    return F.pmod(F.xxhash64(*keys), F.lit(files))
-
-
 def insert_only_merge(source: DataFrame, target_path: str, keys, *,
-                      partition_by: str | None = None, dealt_by: Column | None = None,
-                      sort_by: list[str] | None = None, prune_on: str | None = None) -> None:
-    """Append the rows of ``source`` whose key is new to the parquet table at ``target_path``.
-
-    A table partition's rows go to as many files as ``dealt_by`` has values,
-    each sorted by ``sort_by``; dealing by hash needs no look at the data first.
-    """
+                      partition_by: str | None = None, sort_by: list[str] | None = None,
+                      prune_on: str | None = None) -> None:
+    """Append the rows of ``source`` whose key is new to the parquet table at ``target_path``."""
     spark = source.sparkSession
     target = read_table(spark, target_path)
     cached = None
@@ -86,17 +77,25 @@ def insert_only_merge(source: DataFrame, target_path: str, keys, *,
         # executor's blocks are recomputed from lineage
         cached = source = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        new = new_rows(source, target, keys, prune_on=prune_on)
-        if target is not None:
-            # appended files keep the table's schema (names, order and types)
-            new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
-        out = new
-        if partition_by and dealt_by is not None:
-            out = out.repartition(F.col(partition_by), dealt_by).sortWithinPartitions(partition_by, *(sort_by or []))
-        writer = out.write.mode("append")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(target_path)
+        append(new_rows(source, target, keys, prune_on=prune_on), target_path, target, partition_by, sort_by)
     finally:
         if cached is not None:
             cached.unpersist()
+
+
+def append(rows: DataFrame, target_path: str, target: DataFrame | None = None,
+           partition_by: str | None = None, sort_by: list[str] | None = None) -> None:
+    """Append ``rows`` to the table at ``target_path``, in the types of ``target`` if it is there.
+
+    A partitioned table's files follow the bytes of a partition: ``rebalance``
+    lets adaptive execution split a large partition (also one that a single
+    client fills) and put small ones together, whatever the cluster's size.
+    """
+    if target is not None:
+        rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    if partition_by:
+        rows = rows.hint("rebalance", F.col(partition_by)).sortWithinPartitions(partition_by, *(sort_by or []))
+    writer = rows.write.mode("append")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(target_path)

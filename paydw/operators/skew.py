@@ -20,7 +20,6 @@ Results are exactly those of the plain join.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,27 +29,32 @@ SALT = "_salt"
 def hot_keys(df: DataFrame, key: str, min_share: float = 0.02) -> list:
     """Keys holding a share of rows >= ``min_share`` (at most 1/min_share of them)."""
     s = df.select(key).where(F.col(key).isNotNull())
-    # the counts are read by two actions: keep them, so the source is scanned once
-    counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tot = counts.agg(F.sum("n").alias("t")).first()["t"] or 0
-        if tot == 0:
-            return []
-        # the shares sum to 1, so at most 1/min_share keys qualify
-        rows = counts.where(F.col("n") >= F.lit(min_share * tot)).collect()
-        return [r[key] for r in rows]
-    finally:
-        counts.unpersist()
+    counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    one = counts.agg(F.sum("n").alias("t"), F.max("n").alias("most")).first()
+    if not one["t"] or one["most"] < min_share * one["t"]:
+        return []
+    # the shares sum to 1, so at most 1/min_share keys qualify
+    return [r[key] for r in counts.where(F.col("n") >= F.lit(min_share * one["t"])).collect()]
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, hot: list, buckets: int,
-                salt_cols: list[str], how: str = "inner") -> DataFrame:
-    """``big JOIN small ON key`` with the rows of ``hot`` keys spread over ``buckets`` tasks."""
-    if not hot or buckets <= 1:
-        return big.join(small, key, how)
-    is_hot = F.col(key).isin(hot)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(buckets)).cast("int")
-    b = big.withColumn(SALT, F.when(is_hot, salt).otherwise(F.lit(0)))
-    s = small.withColumn(SALT, F.explode(
-        F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
-    return b.join(s, [key, SALT], how).drop(SALT)
+                salt_cols: list[str], how: str = "inner", on=None) -> DataFrame:
+    """``big JOIN small ON key`` with the rows of ``hot`` keys spread over ``buckets`` tasks.
+
+    ``on(big, small)`` adds a condition, as an outer join needs it inside the join.
+    """
+    b, s = big, small
+    keys = [key]
+    if hot and buckets > 1:
+        is_hot = F.col(key).isin(hot)
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(buckets)).cast("int")
+        b = big.withColumn(SALT, F.when(is_hot, salt).otherwise(F.lit(0)))
+        s = small.withColumn(SALT, F.explode(
+            F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
+        keys.append(SALT)
+    if on is None:
+        return b.join(s, keys, how).drop(SALT)
+    # the small side's keys under names of their own, so that conditions can tell the sides apart
+    s = s.withColumnsRenamed({k: f"_small_{k}" for k in keys})
+    both = [b[k] == s[f"_small_{k}"] for k in keys]
+    return b.join(s, [*both, on(b, s)], how).drop(*[f"_small_{k}" for k in keys], SALT)

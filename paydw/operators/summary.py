@@ -3,6 +3,11 @@
 One hash aggregate with partial (map-side) aggregation: a hot client or day
 is combined inside each map task before the shuffle, so the shuffle carries
 at most one row per group per task.
+
+The same aggregate in two steps: ``partial_summary`` gives counts and decimal
+sums that can be added up in any order, ``merged_summary`` adds them up and
+turns sums into DOUBLE once. A run's partial rows stand for its transactions,
+so late ones change a day without another look at the fact table.
 """
 
 from __future__ import annotations
@@ -33,3 +38,22 @@ def summary_aggs(type_col: str = "tipo_transacao", value_col: str = "valor_trans
 def daily_summary(fact: DataFrame, group: tuple[str, ...] = SUMMARY_GROUP) -> DataFrame:
     """``fact_transacoes_dia`` rows from resolved transactions."""
     return fact.groupBy(*group).agg(*summary_aggs())
+
+
+def partial_summary(fact: DataFrame, group: tuple[str, ...] = SUMMARY_GROUP) -> DataFrame:
+    """Counts and exact sums per group, to be added up with those of other runs."""
+    t, v = F.col("tipo_transacao"), amount("valor_transacao")
+    none = F.lit(0).cast(AMOUNT_TYPE)
+    return fact.groupBy(*group).agg(
+        F.count("id_cliente").alias("quantidade_movimentacoes"),
+        *[F.count_if(t == typ).alias(f"quantidade_{typ}") for typ in SUMMARY_TYPE_ORDER],
+        F.sum(v).alias("total_movimentacao"),
+        *[F.sum(F.when(t == typ, v).otherwise(none)).alias(f"total_{typ}") for typ in SUMMARY_TYPE_ORDER])
+
+
+def merged_summary(partials: DataFrame, group: tuple[str, ...] = SUMMARY_GROUP) -> DataFrame:
+    """``daily_summary`` of all the transactions that ``partials`` stand for."""
+    names = ("movimentacoes", *SUMMARY_TYPE_ORDER)
+    return partials.groupBy(*group).agg(
+        *[F.sum(f"quantidade_{n}").cast("int").alias(f"quantidade_{n}") for n in names],
+        *[as_double(F.sum(f"total_{n}")).alias(f"total_{n}") for n in ("movimentacao", *SUMMARY_TYPE_ORDER)])

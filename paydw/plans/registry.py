@@ -81,17 +81,16 @@ def _merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 run twice with the same staging data into a fresh table: the table equals one run."""
     import uuid
 
-    from paydw.operators.contracts import resolve_contract
-    from paydw.operators.merge import insert_only_merge
+    from paydw.operators.key_index import KeyIndex, indexed_merge
     from paydw.session import scratch_path
-    from paydw.sources.driver import staging_from_sf
 
     st = staging_from_sf(spark, sf_dir)
-    target = scratch_path(spark, "paydw-merge-check", uuid.uuid4().hex[:12])
+    base = scratch_path(spark, "paydw-merge-check", uuid.uuid4().hex[:12])
     src = resolve_contract(st.transacoes, st.contratos)
-    for _ in range(2):
-        insert_only_merge(src, target, ["id_transacao", "id_cliente"])
-    return spark.read.parquet(target)
+    keys = KeyIndex(spark, f"{base}/keys", ("id_transacao", "id_cliente"))
+    for run in (1, 2):
+        indexed_merge(src, f"{base}/fact", keys, run)
+    return spark.read.parquet(f"{base}/fact")
 
 
 def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

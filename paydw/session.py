@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 # normally in spark-defaults; ``get_session`` applies them for local runs.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # an amount that does not fit its type fails the job and is not lost as NULL
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -34,6 +34,28 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return next(files(spark, path), None) is not None
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _open(spark, path)
+    return fs.exists(p)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path``, in order; none if it does not exist."""
+    fs, p = _open(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _open(spark, path)
+    fs.mkdirs(p)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``: a step that is done (made at once, nothing is overwritten)."""
+    fs, p = _open(spark, path)
+    fs.create(p, True).close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.delete(p, True)

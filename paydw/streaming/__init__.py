@@ -1,6 +1,6 @@
 """Structured Streaming jobs."""
 
-from paydw.streaming.ingest import ingest_transactions, ingest_batch
+from paydw.streaming.ingest import staging_stream
 from paydw.streaming.live import live_daily_totals, read_latest_totals, snapshot_totals
 
-__all__ = ["ingest_transactions", "ingest_batch", "live_daily_totals", "read_latest_totals", "snapshot_totals"]
+__all__ = ["live_daily_totals", "read_latest_totals", "snapshot_totals", "staging_stream"]

@@ -1,81 +1,16 @@
-"""Incremental ingest of new transactions into ``fact_transacoes``.
-
-The reference runs its ETL notebooks on a schedule. Here a file-source
-stream over the staging folder is run with ``trigger(availableNow=True)``
-by the same scheduler: each run processes every file that arrived since the
-last run and stops. Per micro-batch (``foreachBatch``):
-
-(``Warehouse.ingest`` is the complete form: it also keeps transactions that
-have no contract yet, extends the calendar and summarizes closed days only.)
-
-1. resolve the contract of each transaction (J5) against the contract
-   dimension, a static table read at batch time;
-2. insert-only merge into the fact table (K3);
-3. optionally re-summarize the days of the batch (X3, insert-only K4).
-
-Recovery (X2): the checkpoint (below ``spark.checkpoint.dir``, a shared
-folder) records which files each batch owns; a failed batch is re-run with
-the same files, and the merge is idempotent by key, so a retry never
-duplicates rows and a window is never skipped.
+"""The stream of staging files that ``Warehouse.ingest`` loads.
+
+A file-source stream over the staging folder is run with
+``trigger(availableNow=True)`` by the scheduler that also runs the other jobs:
+each run processes every file that arrived since the last one and stops. The
+checkpoint (below ``spark.checkpoint.dir``, a shared folder) records which files
+each batch owns; a failed batch is run again with the same files, and the
+warehouse's run ledger finishes what the broken attempt had staged.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from paydw.functions.calendar import month_ref
-from paydw.operators.contracts import resolve_contract
-from paydw.operators.merge import insert_only_merge, spread
-from paydw.operators.skew import hot_keys
-from paydw.schemas import KEYS, MONTH_PARTITION
-from paydw.session import scratch_path
-
-
-def ingest_batch(batch: DataFrame, contratos: DataFrame, fact_path: str,
-                 summary=None, hot_client_share: float | None = 0.02) -> None:
-    """One micro-batch: resolve contracts, merge into the fact table, summarize its days.
-
-    Clients holding at least ``hot_client_share`` of the batch are split over
-    salted tasks in the contract join (rows per client counted on the batch).
-    """
-    hot = hot_keys(batch, "id_cliente", min_share=hot_client_share) if hot_client_share else None
-    resolved = resolve_contract(batch, contratos, hot_clients=hot).select(
-        "id_transacao", "id_cliente", "id_contrato", "tipo_transacao", "valor_transacao",
-        "data_movimentacao", "hora_movimentacao",
-        month_ref(F.col("data_movimentacao")).alias(MONTH_PARTITION))
-    insert_only_merge(resolved, fact_path, KEYS["fact_transacoes"], partition_by=MONTH_PARTITION,
-                      dealt_by=spread("id_cliente", "id_transacao"), sort_by=["id_cliente", "id_transacao"])
-    if summary is not None:
-        days = [r[0] for r in batch.select("data_movimentacao").distinct().collect()]
-        summary(days)
-
-
-def ingest_transactions(spark: SparkSession, stream: DataFrame, contratos: DataFrame,
-                        fact_path: str, checkpoint: str | None = None, summary=None,
-                        hot_client_share: float | None = 0.02):
-    """Start the ingest stream (``availableNow``) and return the running query.
-
-    ``stream`` is a streaming DataFrame with the staging transaction columns.
-    ``summary`` is called with the distinct days of each batch (e.g.
-    ``Warehouse.load_summary``); the number of days in a batch is bounded
-    by the pull window, so that list is small.
-    """
-    checkpoint = checkpoint or scratch_path(spark, "paydw-streams", "ingest")
-
-    def _batch(df: DataFrame, batch_id: int) -> None:
-        # several actions read the batch (hot-key counts, merge, summary days):
-        # keep it for the duration of the call instead of re-reading the files
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            ingest_batch(df, contratos, fact_path, summary, hot_client_share)
-        finally:
-            df.unpersist()
-
-    w = stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True)
-    return w.start()
 
 
 def staging_stream(spark: SparkSession, path: str, schema, mapper=None,

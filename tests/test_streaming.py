@@ -3,37 +3,44 @@
 from pyspark.sql import functions as F
 
 from paydw.operators.contracts import resolve_contract
-from paydw.sources.driver import orders_to_transacoes, staging_contratos
-from paydw.streaming.ingest import ingest_transactions, staging_stream
+from paydw.sources.driver import orders_to_transacoes, staging_clientes, staging_contratos
+from paydw.plans.warehouse import Warehouse
+from paydw.streaming.ingest import staging_stream
 from paydw.streaming.live import live_daily_totals, read_latest_totals
 
 SF = "/root/testdata/sf0.001"
 
 
-def _run(spark, src, contratos, fact, ckpt, schema):
-    q = ingest_transactions(spark, staging_stream(spark, src, schema, orders_to_transacoes),
-                            contratos, fact, checkpoint=ckpt)
-    q.awaitTermination()
+def _run(spark, wh, src, ckpt, schema):
+    stream = staging_stream(spark, src, schema, orders_to_transacoes)
+    wh.ingest(stream, ckpt, "9999-01-01").awaitTermination()
 
 
 def test_ingest_over_runs_equals_batch(spark, scratch):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     contratos = staging_contratos(spark, SF)
     cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
-    src, fact, ckpt = f"{scratch}/staging", f"{scratch}/fact", f"{scratch}/ckpt"
+    src, ckpt, wh = f"{scratch}/staging", f"{scratch}/ckpt", Warehouse(spark, f"{scratch}/dw")
+    wh.create_tables()
+    wh.load_clientes(staging_clientes(spark, SF))
+    wh.load_contratos(contratos)
     orders.where(cut).write.parquet(f"{src}/batch=1")
-    _run(spark, src + "/*", contratos, fact, ckpt, orders.schema)
-    n1 = spark.read.parquet(fact).count()
+    _run(spark, wh, src + "/*", ckpt, orders.schema)
+    n1 = wh.fact.count()
     orders.where(~cut).write.parquet(f"{src}/batch=2")
-    _run(spark, src + "/*", contratos, fact, ckpt, orders.schema)
-    _run(spark, src + "/*", contratos, fact, ckpt, orders.schema)  # nothing new: no change
+    _run(spark, wh, src + "/*", ckpt, orders.schema)
+    _run(spark, wh, src + "/*", ckpt, orders.schema)  # nothing new: no change
     # a run that lost its checkpoint re-reads everything; the merge keeps it idempotent
-    _run(spark, src + "/*", contratos, fact, f"{scratch}/ckpt2", orders.schema)
-    got = sorted(tuple(r) for r in spark.read.parquet(fact).drop("mes_ref").collect())
-    cols = spark.read.parquet(fact).drop("mes_ref").columns
+    _run(spark, wh, src + "/*", f"{scratch}/ckpt2", orders.schema)
+    got = sorted(tuple(r) for r in wh.fact.drop("mes_ref").collect())
+    cols = wh.fact.drop("mes_ref").columns
     want = sorted(tuple(r) for r in resolve_contract(orders_to_transacoes(orders), contratos).select(*cols).collect())
     assert 0 < n1 < len(got)
     assert got == want
+    from paydw.operators.summary import daily_summary
+
+    assert sorted(map(tuple, wh.fact_dia.drop("mes_ref").collect())) == \
+        sorted(map(tuple, daily_summary(wh.fact.drop("mes_ref")).collect()))
 
 
 def test_live_daily_totals(spark, scratch):
@@ -80,28 +87,6 @@ def test_live_totals_watermark_across_runs(spark, scratch):
     assert via_snap == got
 
 
-def test_ingest_with_summary_callback(spark, scratch):
-    from paydw.operators.summary import daily_summary
-    from paydw.plans.warehouse import Warehouse
-    from paydw.sources.driver import staging_clientes
-
-    orders = spark.read.parquet(f"{SF}/orders.parquet")
-    wh = Warehouse(spark, f"{scratch}/dw")
-    wh.load_clientes(staging_clientes(spark, SF))
-    wh.load_contratos(staging_contratos(spark, SF))
-    cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
-    src = f"{scratch}/staging"
-    for i, part in enumerate((orders.where(cut), orders.where(~cut))):
-        part.write.parquet(f"{src}/batch={i}")
-        q = ingest_transactions(spark, staging_stream(spark, src + "/*", orders.schema, orders_to_transacoes),
-                                wh.contratos, f"{wh.path}/fact_transacoes",
-                                checkpoint=f"{scratch}/ck", summary=wh.load_summary)
-        q.awaitTermination()
-    got = sorted(map(tuple, wh.fact_dia.drop("mes_ref").collect()))
-    want = sorted(map(tuple, daily_summary(wh.fact.drop("mes_ref")).collect()))
-    assert got == want and len(got) > 0
-
-
 def test_live_totals_do_not_depend_on_session_time_zone(spark, scratch):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     old = spark.conf.get("spark.sql.session.timeZone")
