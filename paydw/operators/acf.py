@@ -25,19 +25,60 @@ from pyspark.sql import functions as F
 Z_975 = 1.959963984540054
 
 
+def _lag_sums(x: DataFrame, keys: list[str], window, nlags: int) -> DataFrame:
+    """``n`` and the sums of the products of ``_c`` with its lags, of the rows of ``x`` whose ``_own`` holds."""
+    products = x.select(*keys, "_own", *[(F.col("_c") * F.lag("_c", k).over(window)).alias(f"_p{k}") for k in range(nlags + 1)])
+    return products.where("_own").groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(f"_p{k}").alias(f"_s{k}") for k in range(nlags + 1)])
+
+
+def _blocked_lag_sums(df: DataFrame, keys: list[str], order: str, y, nlags: int, block_rows: int) -> DataFrame:
+    """``_lag_sums`` of series of any length: no task holds a whole series.
+
+    Rows meet by (series, stretch of ``block_rows`` days or numbers of the
+    order column) to be counted off; what the stretches before hold (one row a
+    stretch) turns that into a place in the series. Places make blocks of
+    ``block_rows``; the last ``nlags`` rows of a block also go to the next
+    one, as what its first rows look back at. Block sums add up by series.
+    ``block_rows`` has to be larger than ``nlags``. Rows of equal order have no fixed place.
+    """
+    if block_rows <= nlags:
+        raise ValueError("block_rows has to be larger than nlags")
+    is_day = df.schema[order].dataType.typeName() == "date"
+    at = F.datediff(F.col(order), F.lit("1970-01-01").cast("date")) if is_day else F.col(order)
+    x = df.select(*keys, F.col(order).alias("_t"), y.alias("_y"), F.floor(at / block_rows).alias("_stretch"))
+    counts = x.groupBy(*keys, "_stretch").agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_sum"), F.count("_y").alias("_with"))
+    series = Window.partitionBy(*keys)
+    before = counts.select(
+        *keys, "_stretch", (F.sum("_n").over(series.orderBy("_stretch")) - F.col("_n")).alias("_before"),
+        (F.sum("_sum").over(series) / F.sum("_with").over(series)).alias("_mean"))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_stretch").orderBy("_t")) - 1
+    x = x.join(before, [*keys, "_stretch"]).select(*keys, (F.col("_y") - F.col("_mean")).alias("_c"), place.alias("_place"))
+    block, rest = F.floor(F.col("_place") / block_rows), F.col("_place") % block_rows
+    x = x.select(*keys, "_c", "_place", block.alias("_block"), F.explode(F.when(
+        rest >= block_rows - nlags, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_next")) \
+        .select(*keys, "_c", "_place", (F.col("_block") + F.col("_next")).alias("_block"), (F.col("_next") == 0).alias("_own"))
+    by = [*keys, "_block"]
+    return _lag_sums(x, by, Window.partitionBy(*by).orderBy("_place"), nlags).groupBy(*keys).agg(
+        F.sum("n").alias("n"), *[F.sum(f"_s{k}").alias(f"_s{k}") for k in range(nlags + 1)])
+
+
 def acf(df: DataFrame, keys: list[str], order: str, value_col: str, nlags: int = 30,
-        adjusted: bool = False, alpha: float | None = 0.05) -> DataFrame:
-    """Rows (keys..., lag, acf, n, var_bartlett, band) for lags 0..nlags."""
+        adjusted: bool = False, alpha: float | None = 0.05, block_rows: int | None = None) -> DataFrame:
+    """Rows (keys..., lag, acf, n, var_bartlett, band) for lags 0..nlags.
+
+    A daily series fits a task, so one window holds it; for series without
+    such a bound ``block_rows`` cuts them into overlapping blocks.
+    """
     keys = list(keys)
-    part = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    w = part.orderBy(F.col(order))
     y = F.col(value_col).cast("double")
-    c = y - F.avg(y).over(part)
-    x = df.select(*keys, order, c.alias("_c"))
-    x = x.select(*keys, *[(F.col("_c") * F.lag("_c", k).over(w)).alias(f"_p{k}")
-                          for k in range(nlags + 1)])
-    sums = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                *[F.sum(f"_p{k}").alias(f"_s{k}") for k in range(nlags + 1)])
+    if block_rows is None:
+        part = Window.partitionBy(*keys) if keys else Window.partitionBy()
+        c = y - F.avg(y).over(part)
+        x = df.select(*keys, order, c.alias("_c"), F.lit(True).alias("_own"))
+        sums = _lag_sums(x, keys, part.orderBy(F.col(order)), nlags)
+    else:
+        sums = _blocked_lag_sums(df, keys, order, y, nlags, block_rows)
     n = F.col("n").cast("double")
     ratios = {}
     for k in range(nlags + 1):
@@ -111,7 +152,7 @@ _DURBIN_LEVINSON = f"""aggregate(sequence(1, size(r) - 1),
 
 
 def pacf(df: DataFrame, keys: list[str], order: str, value_col: str, nlags: int = 30,
-         method: str = "ywadjusted") -> DataFrame:
+         method: str = "ywadjusted", block_rows: int | None = None) -> DataFrame:
     """Rows (keys..., lag, pacf, n, band) by Durbin-Levinson (Yule-Walker).
 
     ``ywadjusted`` uses the lag-adjusted autocovariances (divisor n-k),
@@ -121,7 +162,7 @@ def pacf(df: DataFrame, keys: list[str], order: str, value_col: str, nlags: int
     aggregate reuses the partitioning of the autocorrelation job.
     """
     keys = list(keys)
-    a = acf(df, keys, order, value_col, nlags, adjusted=(method == "ywadjusted"), alpha=None)
+    a = acf(df, keys, order, value_col, nlags, adjusted=(method == "ywadjusted"), alpha=None, block_rows=block_rows)
     lags = F.array_sort(F.collect_list(F.struct(F.col("lag"), F.coalesce(F.col("acf"), F.lit(0.0)).alias("acf"))))
     grouped = a.groupBy(*keys) if keys else a.groupBy()
     per = grouped.agg(F.first("n").alias("n"), lags.alias("_lags"))

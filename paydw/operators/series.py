@@ -32,6 +32,25 @@ def use_gaps(df: DataFrame, keys: list[str], date_col: str) -> DataFrame:
               .withColumn("dias_sem_uso", F.datediff(F.col(date_col), F.col("dia_anterior")) - 1))
 
 
+def streaks(df: DataFrame, keys: list[str], date_col: str) -> DataFrame:
+    """Runs of days with and without a row per key: ``(keys..., uso, primeiro_dia, ultimo_dia, dias)``.
+
+    ``df`` has one row a key and day. Islands: a day minus its place among the
+    key's days is the same for all days of a run. Idle runs are what lies
+    between two runs of use; days before the first and after the last are none.
+    Null days are left out. Partitioned by the keys beforehand, all windows share it.
+    """
+    at = F.col(date_col)
+    days = df.where(at.isNotNull()).select(*keys, at, F.date_sub(at, F.row_number().over(_w(keys, date_col))).alias("_island"))
+    used = days.groupBy(*keys, "_island").agg(F.min(at).alias("primeiro_dia"), F.max(at).alias("ultimo_dia"))
+    before = F.lag("ultimo_dia").over(_w(keys, "primeiro_dia"))
+    run = lambda uso, first, last: F.struct(F.lit(uso).alias("uso"), first.alias("primeiro_dia"), last.alias("ultimo_dia"))
+    both = used.withColumn("_before", before).select(*keys, F.explode(F.array_compact(F.array(
+        run(True, F.col("primeiro_dia"), F.col("ultimo_dia")),
+        F.when(F.col("_before").isNotNull(), run(False, F.date_add("_before", 1), F.date_sub("primeiro_dia", 1)))))).alias("_r"))
+    return both.select(*keys, "_r.*").withColumn("dias", F.datediff("ultimo_dia", "primeiro_dia") + 1)
+
+
 def split_halves(df: DataFrame, keys: list[str], order: str, overlap: bool = True) -> DataFrame:
     """Positional halving: train = rows [0 .. n//2], test = rows [n//2 .. n-1].
 

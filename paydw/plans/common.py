@@ -49,9 +49,14 @@ def with_calendar(facts: DataFrame, tempo: DataFrame, on: str = "data_movimentac
 
     The calendar holds one row per day, so its size is bounded by the length
     of the period (about 36,500 rows a century) and never by the data
-    volume: it is broadcast and the facts are not shuffled.
+    volume: it is broadcast and the facts are not shuffled. Facts with their
+    month partition are joined on the month, too: any filter on the calendar
+    then prunes fact partitions at run time (dynamic partition pruning).
     """
-    return facts.join(F.broadcast(tempo), F.col(on) == tempo["data"], "inner")
+    if MONTH_PARTITION not in facts.columns:
+        return facts.join(F.broadcast(tempo), F.col(on) == tempo["data"], "inner")
+    days = tempo.withColumn("_mes", F.col("ano") * 100 + F.col("mes"))
+    return facts.join(F.broadcast(days), (F.col(on) == days["data"]) & (F.col(MONTH_PARTITION) == days["_mes"]), "inner").drop("_mes")
 
 
 def drop_partition(df: DataFrame) -> DataFrame:

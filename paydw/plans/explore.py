@@ -23,6 +23,25 @@ def type_by_segment(wh: Warehouse) -> DataFrame:
         sum_money("total", "total_movimentacao"))
 
 
+def movement_cube(wh: Warehouse) -> DataFrame:
+    """Transactions and value by segment, type and month at all levels of the three.
+
+    ``nivel`` is the grouping id (0: all three, 7: the grand total). The
+    rows are added up to the finest level first, which is as small as the
+    domain; the cube then multiplies these few rows and not the summary's.
+    """
+    t = transacao_cliente(wh)
+    pairs = ", ".join(f"'{x}', quantidade_{x}, total_{x}" for x in TRANSACTION_TYPES)
+    d = F.col("data_movimentacao")
+    fine = t.select("segmento", (F.year(d) * 100 + F.month(d)).alias("mes_ref"),
+                    F.expr(f"stack({len(TRANSACTION_TYPES)}, {pairs}) AS (tipo_transacao, quantidade, total)")) \
+        .groupBy("segmento", "tipo_transacao", "mes_ref") \
+        .agg(F.sum("quantidade").alias("q"), F.sum(amount("total")).alias("v"))
+    return fine.cube("segmento", "tipo_transacao", "mes_ref").agg(
+        F.grouping_id().cast("int").alias("nivel"), F.sum("q").cast("long").alias("quantidade_movimentacoes"),
+        as_double(F.sum("v")).alias("total_movimentacao"))
+
+
 def client_profile(wh: Warehouse) -> DataFrame:
     """Per client: share of each type in its transactions against its segment's mean share."""
     t = transacao_cliente(wh)

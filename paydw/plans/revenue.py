@@ -16,13 +16,14 @@ from paydw.schemas import TRANSACTION_TYPES
 RATE = {t: f"taxa_{t}" for t in TRANSACTION_TYPES}
 
 
-def _revenue_rows(wh: Warehouse) -> DataFrame:
-    """Summary rows with their contract's rates and calendar day.
+def _revenue_rows(wh: Warehouse, months: list[int] | None = None) -> DataFrame:
+    """Summary rows (of ``months`` only, if given) with their contract's rates and calendar day.
 
     The summary holds one row per (client, day, contract), so even a client
     with a third of all transactions adds at most one row per day here.
     """
-    fd = wh.fact_dia.select("id_cliente", "id_contrato", "data_movimentacao",
+    fd = wh.fact_dia if months is None else wh.fact_dia.where(F.col("mes_ref").isin(months))
+    fd = fd.select("id_cliente", "id_contrato", "data_movimentacao",
                             *[f"total_{t}" for t in TRANSACTION_TYPES])
     c = wh.contratos.select("id_contrato", *RATE.values())
     return with_calendar(fd.join(c, "id_contrato"), wh.tempo)
@@ -37,9 +38,9 @@ def revenue_client_day(wh: Warehouse) -> DataFrame:
     )
 
 
-def revenue_day(wh: Warehouse) -> DataFrame:
-    """Per day: revenue and value of each type and their totals (G5 + P4)."""
-    r = _revenue_rows(wh)
+def revenue_day(wh: Warehouse, months: list[int] | None = None) -> DataFrame:
+    """Per day (of ``months``, as yyyymm, or all): revenue and value of each type and their totals (G5 + P4)."""
+    r = _revenue_rows(wh, months)
     rates = {t: revenue_amount(RATE[t], f"total_{t}") for t in TRANSACTION_TYPES}
     values = {t: amount(f"total_{t}") for t in TRANSACTION_TYPES}
     return r.groupBy("data").agg(

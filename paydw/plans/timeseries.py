@@ -49,8 +49,8 @@ def _train(wh: Warehouse, split: DataFrame | None) -> DataFrame:
     return s.where(F.col("conjunto") == "treino")
 
 
-def acf_train(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None) -> DataFrame:
-    a = acf(_train(wh, split), KEYS, ORDER, "valor", nlags=nlags)
+def acf_train(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None, block_rows: int | None = None) -> DataFrame:
+    a = acf(_train(wh, split), KEYS, ORDER, "valor", nlags=nlags, block_rows=block_rows)
     return a.select("serie", F.col("lag").cast("int").alias("lag"), F.col("n").cast("long").alias("n"),
                     F.round("acf", 8).alias("acf"), F.round("var_bartlett", 10).alias("var_bartlett"),
                     F.round("band", 8).alias("band"))
@@ -61,12 +61,12 @@ def acf_candidate(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None
     return acf_first_lag(a, KEYS).select("serie", F.col("acf_first_lag").cast("int"))
 
 
-def _pacf(wh: Warehouse, nlags: int, split: DataFrame | None) -> DataFrame:
-    return pacf(_train(wh, split), KEYS, ORDER, "valor", nlags=nlags)
+def _pacf(wh: Warehouse, nlags: int, split: DataFrame | None, block_rows: int | None = None) -> DataFrame:
+    return pacf(_train(wh, split), KEYS, ORDER, "valor", nlags=nlags, block_rows=block_rows)
 
 
-def pacf_train(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None) -> DataFrame:
-    p = _pacf(wh, nlags, split)
+def pacf_train(wh: Warehouse, nlags: int = 30, split: DataFrame | None = None, block_rows: int | None = None) -> DataFrame:
+    p = _pacf(wh, nlags, split, block_rows)
     return p.select("serie", "lag", F.round("pacf", 8).alias("pacf"), "n", F.round("band", 8).alias("band"))
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paydw.operators.trend import trend_extrapolate, trend_predict, trend_summary
+from paydw.functions.calendar import month_ref
+from paydw.operators.trend import (residual_summary, trend_extrapolate, trend_from_sums, trend_predict, trend_summary,
+                                   trend_sums)
 from paydw.plans.revenue import revenue_day
 from paydw.plans.segments import segment_day_dense
 from paydw.plans.warehouse import Warehouse
@@ -117,3 +119,26 @@ def trend_predictions_segment(wh: Warehouse, dense: DataFrame | None = None) ->
         p = _predictions(segment_series(wh, measure, dense)).withColumn("medida", F.lit(name))
         out = p if out is None else out.unionByName(p)
     return out.select("medida", "serie", "data_movimentacao", "valor", "prediction")
+
+
+def keep_trend_sums(wh: Warehouse, path: str, months: list[int]) -> None:
+    """Write the sums of the value-type trends for ``months`` (new ones, or those that late rows changed).
+
+    Only these months of the summary are read and only their partitions replaced.
+    """
+    series = value_type_series(wh, revenue_day(wh, months)).withColumn("mes_ref", month_ref(F.col("data_movimentacao")))
+    trend_sums(series, ["serie", "mes_ref"], "data_movimentacao", "valor").coalesce(1).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("mes_ref").parquet(path)
+
+
+def trend_of_kept_sums(wh: Warehouse, path: str) -> DataFrame:
+    """``trend_value_type`` from the kept sums: one row a series and month is read, however long the history."""
+    return _report(trend_from_sums(wh.spark.read.parquet(path), ["serie"]), "money")
+
+
+def value_residuals(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
+    """Summary of the residuals of each value-type trend."""
+    r = residual_summary(value_type_series(wh, daily), ["serie"], "data_movimentacao", "valor")
+    digits = {"media": 4, **dict.fromkeys(("desvio", "minimo", "q25", "q50", "q75", "maximo"), 2)}
+    # a sum with 0.0 leaves no negative zero
+    return r.select("serie", "n", *[(F.round(c, d) + F.lit(0.0)).alias(c) for c, d in digits.items()])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paydw.functions.calendar import is_sunday
 from paydw.operators.densify import densify
-from paydw.operators.series import use_gaps
+from paydw.operators.series import streaks, use_gaps
 from paydw.plans.common import months_between_filter, sum_money, with_calendar, year_filter
 from paydw.plans.warehouse import Warehouse
 from paydw.schemas import TRANSACTION_TYPES
@@ -93,6 +93,17 @@ def usage_gaps(wh: Warehouse) -> DataFrame:
     return use_gaps(days, ["id_cliente"], "data_movimentacao")
 
 
+def usage_streaks(wh: Warehouse) -> DataFrame:
+    """Per client the runs of consecutive days with use and the idle runs between them."""
+    days = wh.fact_dia.select("id_cliente", "data_movimentacao").repartition("id_cliente").distinct()
+    return streaks(days, ["id_cliente"], "data_movimentacao")
+
+
+def event_streaks(events: DataFrame) -> DataFrame:
+    """``usage_streaks`` of the use-event source; raw events are reduced to days before they meet by client."""
+    return streaks(events.select("id_cliente", "data_movimentacao").distinct(), ["id_cliente"], "data_movimentacao")
+
+
 def usage_pivot_type(wh: Warehouse) -> DataFrame:
     """One row per (client, day) with the transaction count of each type.
 

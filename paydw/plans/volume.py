@@ -39,10 +39,8 @@ def volume_moving_avg(wh: Warehouse, window: int = 5, id_cliente: int | None = N
 def daily_join_calendar(wh: Warehouse, mes: int = 4, dia_min: int = 5, dia_max: int = 20) -> DataFrame:
     """Summary rows of days with mes = ``mes`` and dia_min < dia < dia_max (README sample)."""
     t = wh.tempo.where((F.col("mes") == mes) & (F.col("dia") > dia_min) & (F.col("dia") < dia_max))
-    # the month of the calendar filter, restated on the partition column: only
-    # the partitions of that month are listed and read
-    fd = wh.fact_dia.where(F.pmod(F.col("mes_ref"), F.lit(100)) == mes)
-    return drop_partition(with_calendar(fd, t))
+    # the filter on the calendar prunes the summary's months at run time
+    return drop_partition(with_calendar(wh.fact_dia, t))
 
 
 def daily_with_calendar(wh: Warehouse) -> DataFrame:

@@ -1,9 +1,10 @@
-"""Daily totals per client on a live stream, late rows bounded.
+"""Live streams of use events: daily totals, sessions, and what comes too late.
 
 ``withWatermark`` + ``window(ts, '1 day')`` + ``groupBy``: state is kept
 per (day window, client) and dropped once the watermark passes the end of
 the day, so it stays bounded by (days within the lateness) x clients.
-Rows later than the watermark are dropped by Spark, by design.
+Rows later than the watermark are dropped by Spark, by design; ``split_late``
+goes before and writes them to a table of their own.
 
 Output mode ``update`` through ``foreachBatch``: every micro-batch appends
 the new values of the windows it changed, tagged with its batch id, to a
@@ -92,3 +93,56 @@ def snapshot_totals(spark: SparkSession, out_path: str, snapshot_path: str,
         if upto is not None:
             log = prev.unionByName(log.where(F.col("batch_id") > F.lit(upto)))
     _latest(log).write.parquet(snapshot_path)
+
+
+def _seconds(length: str) -> int:
+    """Whole seconds of an interval such as ``1 day`` or ``30 minutes``."""
+    n, unit = length.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
+def split_late(spark: SparkSession, events: DataFrame, out_path: str, checkpoint: str, ts_col: str = "ts",
+               lateness: str = "1 day"):
+    """Start the split of a stream into rows on time (``pontuais``) and late ones (``atrasados``).
+
+    A row is late if its event time lies more than ``lateness`` before the
+    latest one of the batches before; rows without a time are on time. A batch
+    writes its rows and its latest time (one row) to folders of its own, so a
+    batch that is run again replaces what it wrote.
+    """
+    late_by = _seconds(lateness)
+
+    def batch(df: DataFrame, n: int) -> None:
+        at, high = F.unix_seconds(_event_time(F.col(ts_col))), None
+        if n:
+            marks = spark.read.schema("latest long, batch long").parquet(f"{out_path}/marcas").where(F.col("batch") < n)
+            high = marks.agg(F.max("latest")).first()[0]
+        late = F.coalesce(at < F.lit(high - late_by), F.lit(False)) if high is not None else F.lit(False)
+        df.agg(F.max(at).alias("latest")).write.mode("overwrite").parquet(f"{out_path}/marcas/batch={n}")
+        df.where(~late).write.mode("overwrite").parquet(f"{out_path}/pontuais/batch={n}")
+        df.where(late).write.mode("overwrite").parquet(f"{out_path}/atrasados/batch={n}")
+
+    return events.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def live_sessions(events: DataFrame, out_path: str, checkpoint: str, gap: str = "30 minutes", ts_col: str = "ts",
+                  client_col: str = "user_id", value_col: str = "value", lateness: str = "1 day"):
+    """Start the stream of closed sessions per client: ``(id_cliente, inicio, fim, eventos, valor_total)``.
+
+    A session ends ``gap`` after its last event (``fim``) and is written once
+    the watermark has passed that. State holds open sessions only. Each batch
+    writes a folder of its own.
+    """
+    x = events.select(_event_time(F.col(ts_col)).alias("_ts"), F.col(client_col).cast("long").alias("id_cliente"),
+                      F.col(value_col).alias("_v"))
+    sessions = x.withWatermark("_ts", lateness).groupBy(F.session_window("_ts", gap), "id_cliente").agg(
+        F.count(F.lit(1)).alias("eventos"), F.sum(amount("_v")).alias("_total"))
+    rows = sessions.select("id_cliente", *[F.unix_seconds(F.col(f"session_window.{a}")).alias(b)
+                                           for a, b in (("start", "inicio"), ("end", "fim"))],
+                           "eventos", F.col("_total").cast("double").alias("valor_total"))
+
+    def batch(df: DataFrame, n: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out_path}/batch={n}")
+
+    return rows.writeStream.outputMode("append").foreachBatch(batch).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()
