@@ -138,8 +138,11 @@ def sample_windows(docs: DataFrame, most: int = 4000, windows: int = 4, lang_col
     """About ``most`` labelled texts, evenly over the languages, each by ``windows`` of its windows.
 
     This bounded sample is all that is fitted: ``most * windows * 256`` bytes
-    reach the driver. A text is in the sample if the hash of its id is below
-    its language's share, so reruns and other layouts give the same sample.
+    reach the driver. A document is in the sample if the hash of its id and
+    text is below its language's share, so reruns and other layouts give the
+    same sample; documents without an id are told apart by their texts, and
+    rows that are equal in id and text are drawn together and count once. Of
+    more than ``most`` languages those with the most texts are learned.
     """
     known = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
     counts = known.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(most).collect()
@@ -147,15 +150,17 @@ def sample_windows(docs: DataFrame, most: int = 4000, windows: int = 4, lang_col
     if not shares:
         return []
     rate = F.coalesce(*[F.when(F.col(lang_col) == k, F.lit(v)) for k, v in sorted(shares.items())], F.lit(0.0))
-    unit = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
+    own = F.xxhash64(F.lit("sample"), F.col(id_col), F.col(text_col))
+    unit = F.pmod(own, F.lit(1 << 30)) / float(1 << 30)
     body = F.encode(F.col(text_col), "UTF-8")
     n = F.octet_length(text_col)
     starts = [F.lit(1)] + [(F.pmod(F.xxhash64(F.lit(k), F.col(id_col)),
                                    F.greatest(n - WINDOW, F.lit(1)).cast("long")) + 1).cast("int")
                            for k in range(1, windows)]
     rows = known.where(unit < rate).select(
-        F.col(lang_col).alias("lang"),
-        F.array_distinct(F.array(*[F.substring(body, s, WINDOW) for s in starts])).alias("parts"))
+        own.alias("own"), F.col(lang_col).alias("lang"),
+        F.array_distinct(F.array(*[F.substring(body, s, WINDOW) for s in starts])).alias("parts")) \
+        .groupBy("own", "lang").agg(F.first("parts").alias("parts"))
     return [(bytes(b), r["lang"]) for r in rows.toLocalIterator() for b in r["parts"]]
 
 

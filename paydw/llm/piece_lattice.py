@@ -278,7 +278,7 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
     Which words these are decides where a word is segmented, not how.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    unit = F.pmod(F.xxhash64(F.lit("words"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    unit = F.pmod(F.xxhash64(F.lit("words"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     few = docs.where(unit < sample_chars / max(total, 1))
 
     def run(batches):

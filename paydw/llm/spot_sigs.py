@@ -15,6 +15,7 @@ import hashlib
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -157,14 +158,16 @@ def edited(text: str, following: str) -> str:
 
 
 def fingerprints_beside_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                             part_chars: int = 8_000_000, max_parts: int = 4096) -> DataFrame:
+                             part_chars: int = 8_000_000, max_parts: int = 1 << 16) -> DataFrame:
     """Each text's fingerprint, that of its edited text, and its likeness to that and to the next text's.
 
     The next document is the one with the next smaller id (after the smallest:
     the largest); equal ids go by their text, null ids come last, null texts
     count as empty. Texts are dealt once, by ranges of ids that follow the
     id's distribution, and read in order; each range also gets the first text
-    of the range behind it. Ranges are streamed, so a large one costs time, not memory.
+    of the range behind it. Ranges are streamed, so a large one costs time, not
+    memory; there are about ``part_chars`` of text in each, more beyond
+    ``max_parts`` ranges, whose bounds the driver holds (one number a range).
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -173,24 +176,23 @@ def fingerprints_beside_next(docs: DataFrame, id_col: str = "doc_id", text_col:
     chars = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(min(max_parts, max(1, -(-chars // part_chars))))
     steps = [(i + 1) / parts for i in range(parts - 1)]
-    bounds = base.agg(F.percentile_approx("doc_id", steps or [0.5], 10 * max_parts)).first()[0] or []
+    bounds = base.agg(F.percentile_approx("doc_id", steps or [0.5], max(10_000, 10 * parts))).first()[0] or []
     bounds = np.array(sorted(set(bounds)) if steps else [], dtype=np.int64)
 
+    least = F.lit(-2 ** 63)  # a null id: below all ranges
+
     @pandas_udf("int")
-    def part_of(ids):
-        ids = ids.astype("float64").to_numpy() if ids.isna().any() else ids.to_numpy()
-        low = np.isnan(ids) if ids.dtype.kind == "f" else np.zeros(len(ids), bool)
-        import pandas as pd
-        return pd.Series(np.where(low, 0, np.searchsorted(bounds, ids)).astype(np.int32))
+    def part_of(ids):  # no nulls here, which would turn ids into floats
+        return pd.Series(np.searchsorted(bounds, ids.to_numpy()).astype(np.int32))
 
-    rows = base.withColumn("part", part_of("doc_id") if len(bounds) else F.lit(0)) \
+    rows = base.withColumn("part", part_of(F.coalesce("doc_id", least)) if len(bounds) else F.lit(0)) \
         .withColumn("h", F.xxhash64("text"))
-    firsts = rows.groupBy("part").agg(F.max(F.struct(F.coalesce("doc_id", F.lit(-2**63)).alias("d"), "h")).alias("m")) \
+    firsts = rows.groupBy("part").agg(F.max(F.struct(F.coalesce("doc_id", least).alias("d"), "h")).alias("m")) \
         .orderBy("part").collect()  # a row for each range
     where = {r["part"]: firsts[i - 1]["m"] if i else firsts[-1]["m"] for i, r in enumerate(firsts)}
     sentinels = spark.createDataFrame([(p, m["d"], m["h"]) for p, m in where.items()], "part int, d long, h long") \
         if where else spark.createDataFrame([], "part int, d long, h long")
-    ends = (rows.select(F.coalesce("doc_id", F.lit(-2**63)).alias("d"), "h", "text")
+    ends = (rows.select(F.coalesce("doc_id", least).alias("d"), "h", "text")
             .join(F.broadcast(sentinels), ["d", "h"]).dropDuplicates(["part"])
             .select(F.lit(None).cast("long").alias("doc_id"), "text", "part", "h", F.lit(1).alias("last")))
     dealt = rows.withColumn("last", F.lit(0)).unionByName(ends).repartition(parts, "part") \

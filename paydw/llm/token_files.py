@@ -198,5 +198,5 @@ def document_index(files: DataFrame) -> DataFrame:
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
     within = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("row")) - F.col("n_tokens")
-    return (rows.withColumn("within", within).join(F.broadcast(before), "part")
+    return (rows.withColumn("within", within).join(before, "part")
             .select("doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32"))

@@ -310,6 +310,23 @@ def test_similar_sets_by_brute_force(spark):
     assert got == want
 
 
+def test_next_documents_with_null_and_large_ids(spark):
+    """Ids above 2^53 keep their order in batches that hold a null id."""
+    ids = [2 ** 60 + i for i in range(120)] + [None]
+    texts = [f"the number {i} of the many words in this text and of others {i * 7}" for i in range(121)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        rows = spot_sigs.fingerprints_beside_next(docs(spark, texts, ids=ids), part_chars=500).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    order = [i for i in range(119, -1, -1)] + [120]
+    for at, i in enumerate(order):
+        following = texts[order[(at + 1) % len(order)]]
+        m = len(texts[i]) // 3
+        want = hashlib.sha256((texts[i][:len(texts[i]) - m] + following[:m]).encode()).hexdigest()
+        assert [r.edited_sha256 for r in rows if r.doc_id == ids[i]] == [want]
+
+
 # -- operator 6 ------------------------------------------------------------
 
 def test_token_files_round_trip(spark, scratch):
@@ -347,6 +364,38 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert sum(rows[r.doc_id] == r.lang_pred for r in held) / len(held) > 0.95
 
 
+def test_language_sample_with_null_and_repeated_ids(spark):
+    """Rows without an id are drawn by their texts, equal rows once: no language is lost, the bound holds."""
+    rng = random.Random(17)
+    rows = [(None, lorem(rng, 12), "en") for _ in range(600)] + [(7, lorem(rng, 12), "de") for _ in range(300)]
+    rows += [(8, "immer derselbe Text", "fr")] * 500 + [(i, lorem(rng, 12), "es") for i in range(100)]
+    sample = lang_id.sample_windows(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most=200, windows=1)
+    counts = {k: sum(lang == k for _, lang in sample) for k in ("en", "de", "fr", "es")}
+    assert 25 <= counts["en"] <= 80 and 25 <= counts["de"] <= 80 and counts["fr"] <= 1 and 25 <= counts["es"] <= 80
+
+
+def test_window_scores_are_those_of_a_plain_forward_pass(spark):
+    rng = random.Random(18)
+    texts = [lorem(rng, n) for n in (3, 40, 200, 7)] + ["日本 😀 ñ" * 60, "x"]
+    net = lang_id.train([t.encode()[:256] for t in texts[:4]] * 4, ["a", "b", "c", "a"] * 4, epochs=2)
+
+    def plain(text):
+        data, total, n = text.encode(), np.zeros(len(net.langs)), 0
+        for i in range(0, len(data), 256):
+            part = np.full(256, 256)
+            part[:len(data[i:i + 256])] = list(data[i:i + 256])
+            pooled = [max(0.0, max(sum(tables[k][part[j + k]][f] for k in range(len(tables))) for j in range(257 - len(tables))) + bias[f])
+                      for tables, bias in zip(net.tables, net.bias) for f in range(len(bias))]
+            z = np.array(pooled) @ net.out + net.out_bias
+            e = np.exp(z - z.max())
+            total += e / e.sum() * len(data[i:i + 256])
+            n += len(data[i:i + 256])
+        return total / n
+
+    got = lang_id.text_scores(net, texts, group=3)
+    assert np.allclose(got, [plain(t) for t in texts], atol=1e-5)
+
+
 def test_language_edges(spark):
     df = docs(spark, [*ODD, "12 34 !!", "e"])
     net = lang_id.train([b"the cat and the dog", b"der hund und die katze"] * 4, ["en", "de"] * 4, epochs=2)
@@ -482,6 +531,26 @@ def test_markov_models_tell_random_from_ordinary(spark):
     assert all(s["start"] == 4 and s["end"] == 4 + len(tests[r.doc_id]) for r in rows for s in r.spans if s["kind"] == 3)
 
 
+def test_runs_are_judged_by_the_models_alone(spark):
+    """Random runs from 12 characters, with and without digits, are added; long words, names and numbers are not."""
+    rng = random.Random(16)
+    key = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    both, letters = secret_scan.ALPHABET[:62], secret_scan.ALPHABET[:52]
+    words = "the quick brown service account number report total index value customer address payment invoice".split()
+    plain = lambda: "".join(w.capitalize() for w in rng.sample(words, 3)) + " " + "_".join(rng.sample(words, 3)) + " " + " ".join(rng.sample(words, 8))
+    train = [f"password={key(40, both)} {plain()} {plain()}" for _ in range(120)] + ["order 2024010100001234"] * 3
+    model = secret_scan.train(docs(spark, train), most=80)
+    least = secret_scan.margin(docs(spark, train), model, most=80, held=40)
+    assert least >= 0
+    random_runs = [key(n, kind) for n in (16, 20, 28, 40) for kind in (both, letters) for _ in range(5)]
+    texts = [f"{plain()} {t} {plain()}" for t in random_runs] + [f"{plain()} {plain()}" for _ in range(40)]
+    rows = {r.doc_id: [(s["start"], s["end"]) for s in r.spans if s["kind"] == 3]
+            for r in secret_scan.scan(docs(spark, texts), model, least).collect()}
+    hit = [i for i, t in enumerate(random_runs) if (texts[i].index(t), texts[i].index(t) + len(t)) in rows[i]]
+    assert len(hit) >= 36 and sum(len(v) for v in rows.values()) <= len(hit) + 2
+    assert secret_scan.margin(docs(spark, [None, ""]), model) == 1.0
+
+
 # -- operator 10 -----------------------------------------------------------
 
 def test_token_counts_equal_the_librarys(spark):

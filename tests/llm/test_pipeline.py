@@ -102,3 +102,19 @@ def test_run_is_all_stages(spark):
 def test_stage_names_and_operators():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "ngram_join", "source_mix", "piece_lattice"]
     assert piece_lattice.encode is not None
+
+
+def test_stages_keep_columns_named_as_their_own(spark):
+    """Extra columns named like the operators' own, and an empty table, go through every stage."""
+    rng = random.Random(22)
+    names = ("_text", "_letter", "lang_pred", "score", "_dropped", "row", "gone", "some")
+    rows = [(i, lorem(rng, 30) + "\na line that many documents repeat", "en", "x", 0, *names) for i in range(30)]
+    schema = SCHEMA + "".join(f", {n} string" for n in names)
+    for rows_in in (rows, []):
+        docs = spark.createDataFrame(rows_in, schema)
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            docs = cut(stage(spark, docs, SF), name)
+            if i < len(corpus_pipeline.STAGES) - 1:
+                assert docs.columns == [f.split()[0] for f in schema.split(", ")], name
+                assert all(tuple(r)[5:] == names for r in docs.collect()), name
+        assert (docs.count() > 0) == bool(rows_in)
