@@ -26,13 +26,19 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = lang_id.fit(docs.where(~lang_id.held_out()))
     if net is None:
         return docs.where(F.coalesce(F.col("text").rlike(lang_id.LETTER), F.lit(False)))
-    found = lang_id.predict(docs, net, passing=tuple(c for c in docs.columns if c != "doc_id"))
-    return found.where((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    # the row goes along as one column, so its names meet none of the operator's
+    rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
+    found = lang_id.predict(rows, net, passing=("row",))
+    return found.where((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select("row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: lines that repeat earlier ones, exactly or within two edits, go."""
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    count = "_dropped"
+    while count in docs.columns:  # a column of the documents stays
+        count += "_"
+    return line_dedup.dedup_lines(docs, dropped_col=count) \
+        .withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
