@@ -296,14 +296,18 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 17,
-           sample_chars: int = 48_000_000, chunk_chars: int = 4_000_000) -> DataFrame:
+           sample_chars: int = 48_000_000, chunk_chars: int = 4_000_000, finish=None, more: str = "") -> DataFrame:
     """``doc_id, ids, text_sha256`` for every row of ``docs``: piece ids of the best segmentation.
 
-    Null and empty texts have no ids; null ids and repeated rows pass through;
+    ``finish(table, pieces)`` turns each chunk's rows into those of the schema
+    ``more`` where their ids are put together, so ids need not come back to
+    another worker. Null and empty texts have no ids; null ids and repeated rows pass through;
     other columns are ignored. A task holds one chunk: about ``chunk_chars``
     characters' word numbers and words, or one longer text's. ``most`` bounds
     the table of frequent words that goes to every task (``most`` words of at
-    most 32 characters, with their ids).
+    most 32 characters, with their ids). Folding a word takes time that grows
+    with the square of its length, so texts without spaces and line ends (over
+    about 10,000 characters) are slow.
     """
     spark = docs.sparkSession
     bounded_batches(spark, 2 << 20)
@@ -325,8 +329,8 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
     def join(own: pa.Table, rest: pa.Table) -> pa.Table:
         if not len(own):
-            return pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32())),
-                             "text_sha256": pa.array([], pa.string())})
+            return done(pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32())),
+                                  "text_sha256": pa.array([], pa.string())}))
         rest = rest.sort_by("number")
         more, tail = ragged(rest["ids"])
         all_counts, all_ids = np.concatenate([counts, more]), np.concatenate([flat, tail])
@@ -336,11 +340,17 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         ids = all_ids[np.repeat(first[at] - ends[:-1], all_counts[at]) + np.arange(ends[-1])]
         sizes = own["sizes"][0].values.to_numpy()
         last = ends[np.r_[0, np.cumsum(sizes)]].astype(np.int32)
-        return pa.table({"doc_id": own["doc_id"][0].values, "ids": pa.ListArray.from_arrays(pa.array(last), pa.array(ids, pa.int32())),
-                         "text_sha256": own["digests"][0].values})
+        return done(pa.table({"doc_id": own["doc_id"][0].values,
+                              "ids": pa.ListArray.from_arrays(pa.array(last), pa.array(ids, pa.int32())),
+                              "text_sha256": own["digests"][0].values}))
+
+    def done(rows: pa.Table) -> pa.Table:
+        rows = finish(rows, pieces) if finish else rows
+        give_back()
+        return rows
 
     return chunks.select("chunk", "doc_id", "sizes", "digests", "numbers").groupBy("chunk") \
-        .cogroup(found.groupBy("of")).applyInArrow(join, "doc_id long, ids array<int>, text_sha256 string")
+        .cogroup(found.groupBy("of")).applyInArrow(join, more or "doc_id long, ids array<int>, text_sha256 string")
 
 
 def ragged(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -348,6 +358,16 @@ def ragged(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return (pc.list_value_length(lists).to_numpy().astype(np.int64), pc.list_flatten(lists).to_numpy().astype(np.int32))
 
 
+def texts_of(ids: pa.ListArray, pieces: Pieces, most: int = 200_000) -> list[bytes]:
+    """``pieces.decode`` of some rows at a time, about ``most`` ids together."""
+    ends, out, i = ids.offsets.to_numpy(), [], 0
+    while i < len(ids):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + most, "right")) - 1)
+        out += pieces.decode(ids.slice(i, j - i))
+        i = j
+    return out
+
+
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", passing: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, <passing>, text`` of rows with ``ids``. A literal space mark in a text comes back as a space."""
     bounded_batches(encoded.sparkSession, 2 << 20)
@@ -364,21 +384,32 @@ def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", passing: tupl
     return encoded.select(*dict.fromkeys([*keep, "ids"])).mapInArrow(run, schema)
 
 
+def encode_with_text(docs: DataFrame, model: str, **options) -> DataFrame:
+    """``doc_id, ids, n_pieces, text_sha256, text``: the ids and what they decode to.
+
+    A literal space mark in a text comes back as a space.
+    """
+    def finish(rows: pa.Table, pieces: Pieces) -> pa.Table:
+        ids = rows["ids"].combine_chunks()
+        texts = [t.decode("utf-8", "replace") for t in texts_of(ids, pieces)]
+        return pa.table({"doc_id": rows["doc_id"], "ids": ids, "n_pieces": pc.list_value_length(ids).cast(pa.int64()),
+                         "text_sha256": rows["text_sha256"], "text": pa.array(texts, pa.string())})
+
+    return encode(docs, model, finish=finish, more="doc_id long, ids array<int>, n_pieces long, text_sha256 string, text string",
+                  **options)
+
+
 def encode_and_decode(docs: DataFrame, model: str, **options) -> DataFrame:
     """``doc_id, n_pieces, ids_crc32, decoded_sha256, round_trip`` of every document's ids and decoded text."""
-    ids = encode(docs, model, **options)
-    pieces = Pieces(model)
-
-    def run(batches):
-        for batch in batches:
-            ids = batch.column("ids")
-            ends = ids.offsets.to_numpy()
-            flat = np.ascontiguousarray(ids.values.to_numpy(), dtype="<u4")
-            crc = [zlib.crc32(flat[i:j].tobytes()) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            back = [hashlib.sha256(t).hexdigest() for t in pieces.decode(ids)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64()), pa.array(back),
-                 pa.array([a == b for a, b in zip(back, batch.column("text_sha256").to_pylist(), strict=True)], pa.bool_())],
-                names=["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "round_trip"])
-
-    return ids.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean")
+    def finish(rows: pa.Table, pieces: Pieces) -> pa.Table:
+        ids = rows["ids"].combine_chunks()
+        ends = ids.offsets.to_numpy()
+        flat = np.ascontiguousarray(ids.values.to_numpy(), dtype="<u4")
+        crc = [zlib.crc32(flat[i:j].tobytes()) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        back = [hashlib.sha256(t).hexdigest() for t in texts_of(ids, pieces)]
+        same = [a == b for a, b in zip(back, rows["text_sha256"].to_pylist(), strict=True)]
+        return pa.table({"doc_id": rows["doc_id"], "n_pieces": pa.array(np.diff(ends), pa.int64()), "ids_crc32": pa.array(crc, pa.int64()),
+                         "decoded_sha256": pa.array(back, pa.string()), "round_trip": pa.array(same, pa.bool_())})
+
+    return encode(docs, model, finish=finish,
+                  more="doc_id long, n_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean", **options)
