@@ -56,9 +56,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: piece ids of every text, and the text that they decode to."""
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    ids = piece_lattice.encode(docs, model).withColumn("n_pieces", F.size("ids").cast("long"))
-    return piece_lattice.decode(ids, model, passing=("ids", "n_pieces", "text_sha256"))
+    return piece_lattice.encode_with_text(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [("language_id", identify), ("line_dedup", drop_lines), ("ngram_join", drop_copies),
