@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-import uuid
 import zlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -234,6 +235,8 @@ def words_of(texts: list[str], pieces: Pieces) -> tuple[list[str], np.ndarray, n
 def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_chars: int) -> DataFrame:
     """Documents in chunks: per document its number of words, all word numbers, and the words that ``known`` lacks."""
     def run(batches):
+        # small chunk numbers pack well wherever they are shuffled; a retried task gives the same ones
+        chunk_numbers = count(TaskContext.get().partitionId() << 24)
         local: dict[str, int] = {}
         ids, sizes, digests, numbers, chars = [], [], [], [], 0
 
@@ -242,7 +245,7 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
             return local.setdefault(w, base + len(local)) if n is None else n
 
         def chunk():
-            columns = [[uuid.uuid4().int >> 65], [list(local)], [ids], [np.concatenate(sizes)], [digests],
+            columns = [[next(chunk_numbers)], [list(local)], [ids], [np.concatenate(sizes)], [digests],
                        [packed(np.concatenate(numbers))]]
             types = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()),
                      pa.list_(pa.string()), pa.binary()]
