@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paydw.session import scratch_path
+from paydw.storage import remove
 
 # ASCII white space of the word pattern and the word pattern itself.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,18 +19,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame, what: str) -> DataFrame:
+def cut(df: DataFrame, what: str, made: list[str] | None = None) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read back.
 
     Later steps start at this table, so a lost executor costs a reread and not
-    a recomputation, and a table that is used twice is computed once.
+    a recomputation, and a table that is used twice is computed once. ``made``
+    receives its path, for operators that drop their tables at their end.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "paydw-llm", f"{what}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession, made: list[str]) -> None:
+    """Remove tables of ``cut`` that no plan reads any more, as their result is a written table itself."""
+    for path in made:
+        remove(spark, path)
+
+
 def let(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
     return F.element_at(F.transform(F.array(value), use), 1)

@@ -17,9 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paydw.llm.common import cut, in_buckets, let
+from paydw.llm.common import cut, drop_tables, in_buckets, let
 
-# Letters whose counts (modulo 16) make up a line's sketch.
+# Letters whose counts (modulo 4) make up a line's sketch.
 COUNTED = "eanitsrohlducmgw"
 BITS = 20
 HOT_BITS = 18
@@ -44,21 +44,27 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFra
         *PLACE, "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
 
 
-def sketch(line: Column) -> Column:
-    """Counts of sixteen letters modulo 16, four bits each."""
-    out = F.lit(0).cast("long")
+def sketched(lines: DataFrame) -> DataFrame:
+    """``h1, line, n, s``: with s, counts of sixteen letters of ``line`` modulo 4, two bits each.
+
+    A letter is counted by taking it out; the next is taken out of what is left.
+    """
+    rows = lines.select("h1", "line", "n", F.col("line").alias("r0"))
     for k, c in enumerate(COUNTED):
-        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))).cast("long")
-        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(15), 4 * k))
-    return out
+        rows = rows.withColumn(f"r{k + 1}", F.replace(f"r{k}", F.lit(c), F.lit("")))
+    out = F.lit(0)
+    for k in range(len(COUNTED)):
+        n = F.octet_length(f"r{k}") - F.octet_length(f"r{k + 1}")
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(3), 2 * k))
+    return rows.select("h1", "line", "n", out.alias("s"))
 
 
 def sketch_distance(a: Column, b: Column) -> Column:
     """What two sketches differ by; an edit changes it by 2 at most."""
-    out = F.lit(0).cast("long")
+    out = F.lit(0)
     for k in range(len(COUNTED)):
-        d = F.abs(F.shiftrightunsigned(a, 4 * k).bitwiseAND(15) - F.shiftrightunsigned(b, 4 * k).bitwiseAND(15))
-        out = out + F.least(d, F.lit(16) - d)
+        d = F.abs(F.shiftrightunsigned(a, 2 * k).bitwiseAND(3) - F.shiftrightunsigned(b, 2 * k).bitwiseAND(3))
+        out = out + F.least(d, F.lit(4) - d)
     return out
 
 
@@ -80,11 +86,14 @@ def keyed(lines: DataFrame, edits: int, probe: bool) -> DataFrame:
     """``h1, s, key``: a row for each place of ``lines (h1, line, n, s)``; equal keys are equal substrings of equal rank.
 
     Lines are cut as UTF-32, in which a character's place is known without reading what is before it.
+    They are cut so before they are spread over their places, and places are computed from rows, which keeps
+    the generated code short enough to be compiled.
     """
     spots = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(m).alias("move"))
                       for d, i, m in places(edits, probe)])
-    rows = lines.select("h1", "s", F.encode("line", "UTF-32").alias("line"), "n", F.explode(spots).alias("p")) \
-        .select("h1", "s", "line", F.col("n").alias("own"), (F.col("n") - F.col("p.d")).alias("n"), "p.i", "p.move")
+    rows = lines.select("h1", "s", F.encode("line", "UTF-32").alias("line"), "n") \
+        .select("h1", "s", "line", F.col("n").alias("own"), F.explode(spots).alias("p")) \
+        .select("h1", "s", "line", "own", (F.col("own") - F.col("p.d")).alias("n"), "p.i", "p.move")
     rows = rows.select("h1", "s", "line", "own", "n", "i", F.expr(f"int(n * i div {edits + 1})").alias("start"),
                        F.expr(f"int(n * (i + 1) div {edits + 1})").alias("end"), "move")
     return rows.where("start + move >= 0 and end + move <= own").select(
@@ -151,33 +160,42 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
 
 def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", made: list[str] | None = None) -> DataFrame:
     """``named, k, t1, t2, pos``: the lines that go, by document and place (from 0).
 
     Lines stand in the order of document id, hashes of the text and place. A
     line goes if an earlier line equals it or is within ``edits`` edits of it;
     lines of fewer than ``least`` characters always stay. Rows of the same id
     and text, a null id too, count as one document; other rows never do.
+    ``made`` receives the paths of the tables that the result is read from.
     """
     lines = lines_of(docs, id_col, text_col, least)
-    short = cut(lines.select(*PLACE, "h1", "h2"), "lines")
-    classes = cut(short.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")), "classes")
+    short = cut(lines.select(*PLACE, "h1", "h2"), "lines", made)
+    classes = cut(short.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")),
+                  "classes", made)
     # lines with more than 1 / 2 ** HOT_BITS of all occurrences: fewer than 2 ** HOT_BITS, whatever the input
     hot = classes.where(F.col("n") > short.count() / 2 ** HOT_BITS) \
         .select("h1", "h2", "first")
-    some = lines.join(F.broadcast(hot), ["h1", "h2"], "left").where(F.col("first").isNull() | (F.col("first") == F.struct(*PLACE))) \
-        .select("h1", "line", "n", sketch(F.col("line")).alias("s"))
+    some = lines.join(F.broadcast(hot), ["h1", "h2"], "left").where(F.col("first").isNull() | (F.col("first") == F.struct(*PLACE)))
+    once: list[str] = []
+    some = cut(sketched(some), "sketched", once)  # read twice: for the index and for the probes
     # a line that still comes more than once is indexed once; its probes then meet it once each
     index = keyed(some, edits, False).repartition("key").dropDuplicates(["key", "h1"])
     probe = keyed(some, edits, True).select(F.col("h1").alias("g1"), F.col("s").alias("s2"), F.col("key").alias("key2"))
     met = index.join(probe, (F.col("key") == F.col("key2")) & (F.col("h1") != F.col("g1"))
                      & (sketch_distance(F.col("s"), F.col("s2")) <= 2 * edits))
-    pairs = cut(met.select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b")).distinct(), "pairs")
+    pairs = cut(met.select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b")).distinct(), "pairs", made)
+    drop_tables(docs.sparkSession, once)
 
+    # a candidate's text is fetched from its first place alone, however often the line comes
     ids = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
-    texts = in_buckets(lines, ids, "h1", BITS).join(ids, "h1", "left_semi").dropDuplicates(["h1", "h2"]) \
-        .select("h1", "h2", "line")
-    texts = cut(texts.join(classes.select("h1", "h2", "first"), ["h1", "h2"]), "candidates")
+    firsts = cut(classes.join(ids, "h1", "left_semi").select("h1", "h2", "first.*", F.xxhash64("h1", "first").alias("at")),
+                 "firsts", made)
+    spot = ["h1", "h2", *PLACE]
+    texts = in_buckets(lines.withColumn("at", F.xxhash64("h1", F.struct(*PLACE))), firsts, "at", BITS) \
+        .groupBy(*spot).agg(F.first("line").alias("line")).join(firsts, spot) \
+        .select("h1", "h2", "line", F.struct(*PLACE).alias("first"))
+    texts = cut(texts, "candidates", made)
 
     def side(name, end):
         return texts.select(F.col("h1").alias(name), F.col("h2").alias(f"h2{end}"), F.col("line").alias(f"c{end}"),
@@ -190,7 +208,7 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str
                        F.when(later, F.col("h2b")).otherwise(F.col("h2a")).alias("h2")) \
         .distinct().withColumn("near", F.lit(True))
     bad = cut(classes.join(near, ["h1", "h2"], "left").where("n > 1 or near")
-              .select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "bad")
+              .select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "bad", made)
     where = in_buckets(short, bad, "h1", BITS)
     return where.join(bad, ["h1", "h2"]).where(F.col("near") | (F.col("first") != F.struct(*PLACE))).select(*PLACE)
 
@@ -202,8 +220,10 @@ def dedup_lines(docs: DataFrame, edits: int = 2, least: int = 20, id_col: str =
     See ``repeated_lines`` for the lines that go. The others stay joined by
     line ends; a text that loses all its lines is empty; null texts stay null.
     """
-    gone = cut(repeated_lines(docs, edits, least, id_col, text_col).groupBy(*DOC)
+    made: list[str] = []
+    gone = cut(repeated_lines(docs, edits, least, id_col, text_col, made).groupBy(*DOC)
                .agg(F.collect_set("pos").alias("gone")).withColumn("h", F.xxhash64("k", "t1")), "gone")
+    drop_tables(docs.sparkSession, made)  # nothing reads them behind ``gone``
     buckets = gone.select(F.col("h").bitwiseAND((1 << BITS) - 1).alias("bucket")).distinct().withColumn("some", F.lit(True))
     rows = docs.select(F.struct("*").alias("row"), *key_of(id_col, text_col))
     marked = rows.withColumn("bucket", F.xxhash64("k", "t1").bitwiseAND((1 << BITS) - 1)) \
