@@ -7,7 +7,8 @@ whose pieces' scores add up highest. Characters without a piece become bytes.
 
 Documents do not move through that join word by word. They are read in chunks
 and written as word numbers. Frequent words (a bounded table) have fixed numbers;
-every other distinct word is segmented once, and its ids go to the chunks that have it.
+every other word is cut where no piece can reach across, every distinct part is segmented once,
+and its ids go to the chunks that have it.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,7 @@ class Pieces:
         joined = any(SPACE in p.lstrip(SPACE) for p, _, _ in self.rows)
         # marks that no useful piece has behind a letter part words
         held = {b for p, _, _ in self.edges for a, b in zip(p, p[1:]) if a.isalpha()}
+        self.pairs = {a + b for p, _, _ in self.edges for a, b in zip(p, p[1:])}
         self.marks = "".join(c for c in ".,;:!?" if c not in held)
         # no piece reaches from another character over a space mark, or around the characters ``alone``
         self.pattern = "(?s).+" if joined else \
@@ -81,6 +83,11 @@ class Pieces:
         """Words of a text behind the space mark that the library puts first."""
         return re.findall(self.pattern, SPACE + text.replace(" ", SPACE)) if text else []
 
+    def parts(self, word: str) -> list[str]:
+        """A word cut wherever no useful piece has the two characters side by side: no edge crosses such a place."""
+        at = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.pairs]
+        return [word[i:j] for i, j in zip([0, *at], [*at, len(word)], strict=True)]
+
     def decode(self, ids: pa.ListArray) -> list[bytes]:
         """The texts of lists of ids: pieces end to end, without the first space mark."""
         size = np.array([len(b) for b in self.bytes], dtype=np.int64)
@@ -238,12 +245,21 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
         # small chunk numbers pack well wherever they are shuffled; a retried task gives the same ones
         chunk_numbers = count(TaskContext.get().partitionId() << 24)
         local: dict[str, int] = {}
+        rare: dict[str, list[int]] = {}
         ids, sizes, digests, numbers, chars = [], [], [], [], 0
 
         def number(w, base=len(known)):
             n = known.get(w)
             return local.setdefault(w, base + len(local)) if n is None else n
 
+        def numbered(w):
+            n = known.get(w)
+            if n is not None:
+                return [n]
+            if w not in rare:
+                rare[w] = [number(p) for p in pieces.parts(w)]
+            return rare[w]
+
         def chunk():
             columns = [[next(chunk_numbers)], [list(local)], [ids], [np.concatenate(sizes)], [digests],
                        [packed(np.concatenate(numbers))]]
@@ -256,19 +272,25 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
             texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             for i, j in slices(texts, min(chunk_chars, 500_000)):
                 distinct, at, counts = words_of(texts[i:j], pieces)
-                numbers.append(np.fromiter(map(number, distinct), dtype=np.int64, count=len(distinct))[at])
+                lists = [numbered(w) for w in distinct]
+                n = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+                flat = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(n.sum()))
+                ends = np.r_[0, np.cumsum(n[at])]
+                numbers.append(flat[np.repeat((np.cumsum(n) - n)[at] - ends[:-1], n[at]) + np.arange(ends[-1])])
                 ids += keys[i:j]
-                sizes.append(counts)
+                sizes.append(np.diff(ends[np.r_[0, np.cumsum(counts)]]))
                 digests += [hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for t in texts[i:j]]
                 chars += sum(map(len, texts[i:j]))
                 if chars >= chunk_chars:
                     yield chunk()
                     local.clear()
+                    rare.clear()
                     ids, sizes, digests, numbers, chars = [], [], [], [], 0
                     give_back()
         if ids:
             yield chunk()
         local.clear()
+        rare.clear()
         numbers.clear()
         give_back()
 
@@ -276,7 +298,7 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
 
 
 def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int, longest: int = 32) -> DataFrame:
-    """At most ``most`` words of at most ``longest`` characters, the commonest of a bounded sample of ``docs``.
+    """At most ``most`` words and parts of words, of at most ``longest`` characters, the commonest of a bounded sample of ``docs``.
 
     Which words these are decides where a word is segmented, not how.
     """
@@ -289,9 +311,13 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
             texts = batch.column("text").to_pylist()
             for i, j in slices(texts, 500_000):
                 distinct, at, _ = words_of(texts[i:j], pieces)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(distinct, pa.string()), pa.array(np.bincount(at, minlength=len(distinct)), pa.int64())],
-                    names=["word", "n"])
+                n = np.bincount(at, minlength=len(distinct)).tolist()
+                both = list(zip(distinct, n, strict=True))
+                for w, k in zip(distinct, n, strict=True):
+                    cut_up = pieces.parts(w)
+                    both += [(p, k) for p in cut_up] if len(cut_up) > 1 else []
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in both], pa.string()),
+                                                  pa.array([k for _, k in both], pa.int64())], names=["word", "n"])
         give_back()
 
     return few.mapInArrow(run, "word string, n long").where(F.length("word") <= longest) \
@@ -306,11 +332,11 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     ``more`` where their ids are put together, so ids need not come back to
     another worker. Null and empty texts have no ids; null ids and repeated rows pass through;
     other columns are ignored. A task holds one chunk: about ``chunk_chars``
-    characters' word numbers and words, or one longer text's. ``most`` bounds
+    characters' word numbers and parts of words, or one longer text's. ``most`` bounds
     the table of frequent words that goes to every task (``most`` words of at
-    most 32 characters, with their ids). Folding a word takes time that grows
-    with the square of its length, so texts without spaces and line ends (over
-    about 10,000 characters) are slow.
+    most 32 characters, with their ids). Folding a part takes time that grows
+    with the square of its length, so runs of over about 10,000 characters in
+    which any two neighbours are side by side in some piece are slow.
     """
     spark = docs.sparkSession
     bounded_batches(spark, 2 << 20)

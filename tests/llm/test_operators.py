@@ -216,6 +216,20 @@ def test_lattice_equals_the_librarys_best_path(spark, unigram):
     assert {r.doc_id: list(r.ids) for r in out} == {i: library.encode(t or "") for i, t in enumerate(texts)}
 
 
+def test_parts_of_words_are_cut_where_no_piece_reaches_across(unigram):
+    pieces = piece_lattice.Pieces(unigram[0])
+    rng = random.Random(7)
+    useful = {p for p, _, _ in pieces.edges}
+    for word in ["", "x", "▁5374040645122205", "▁naïve", *("".join(rng.choice("abeqxz59é%▁日") for _ in range(30)) for _ in range(50))]:
+        parts = pieces.parts(word)
+        assert "".join(parts) == word and (not word or all(parts))
+        cuts = np.cumsum([len(p) for p in parts])[:-1]
+        crossing = [(i, j) for i in range(len(word)) for j in range(i + 2, min(len(word), i + pieces.longest) + 1)
+                    if word[i:j] in useful and any(i < c < j for c in cuts)]
+        assert not crossing
+    assert len(pieces.parts("qxqzqx" * 5)) > 1
+
+
 def test_pieces_round_trip(spark):
     texts = [*ODD, "ends with space ", " starts", "<s> </s> <unk> <0x0A>"]
     df = docs(spark, texts, ids=[None, *range(len(texts) - 1)])
