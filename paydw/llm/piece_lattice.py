@@ -7,8 +7,8 @@ whose pieces' scores add up highest. Characters without a piece become bytes.
 
 Documents do not move through that join word by word. They are read in chunks
 and written as word numbers. Frequent words (a bounded table) have fixed numbers;
-every other word is cut where no piece can reach across, every distinct part is segmented once,
-and its ids go to the chunks that have it.
+every other word is cut, if it is long, where no piece can reach across; every distinct part is
+segmented once, and its ids go to the chunks that have it.
 """
 
 from __future__ import annotations
@@ -84,7 +84,12 @@ class Pieces:
         return re.findall(self.pattern, SPACE + text.replace(" ", SPACE)) if text else []
 
     def parts(self, word: str) -> list[str]:
-        """A word cut wherever no useful piece has the two characters side by side: no edge crosses such a place."""
+        """A word longer than any piece, cut wherever no useful piece has the two characters side by side.
+
+        No edge crosses such a place. For shorter words the search would cost more than it saves.
+        """
+        if len(word) <= self.longest:
+            return [word]
         at = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.pairs]
         return [word[i:j] for i, j in zip([0, *at], [*at, len(word)], strict=True)]
 
