@@ -124,8 +124,9 @@ def viterbi(edges: Column, pieces: Pieces) -> Column:
     """The best path as its edges, last first; of equal paths the one with the longer last piece.
 
     One pass over the edges in order: the best way into the current place is
-    kept apart and joins the earlier ones when the next place begins. A second
-    fold goes back from the end.
+    kept apart and joins the earlier ones when the next place begins. No edge is
+    longer than the longest piece, so only that many sums stay; of all places
+    just the best edge is kept. A second fold goes back from the end.
     """
     scores = [pieces.unknown_score] * (max(i for _, _, i in pieces.rows) + 2)
     for _, score, i in pieces.rows:
@@ -139,24 +140,26 @@ def viterbi(edges: Column, pieces: Pieces) -> Column:
         return 127 - F.shiftright(e, 17).bitwiseAND(127)
 
     def forward(state, e):
-        # element p of ``done`` is the best way into place p; the current place is not among them yet
+        # the last of ``sums`` belongs to the place before the current one, whose own best is ``sum``
         opened = end_of(e) != end_of(state["edge"])
-        earlier = F.when(opened, F.concat(state["done"], F.array(F.struct(state["sum"].alias("sum"), state["edge"].alias("edge"))))) \
-            .otherwise(state["done"])
+        kept = F.when(F.size(state["sums"]) < pieces.longest, state["sums"]) \
+            .otherwise(F.slice(state["sums"], 2, pieces.longest - 1))
+        earlier = F.when(opened, F.concat(kept, F.array(state["sum"]))).otherwise(state["sums"])
+        ways = F.when(opened, F.concat(state["ways"], F.array(state["edge"]))).otherwise(state["ways"])
 
-        def reach(done):
-            score = F.element_at(done, (end_of(e) - size_of(e) + 1).cast("int"))["sum"] \
+        def reach(sums):
+            score = F.element_at(sums, -size_of(e).cast("int")) \
                 + F.element_at(table, (e.bitwiseAND((1 << 17) - 1) + 1).cast("int"))
-            return let(score, lambda new: F.when(
-                opened | (new > state["sum"]), F.struct(done.alias("done"), new.alias("sum"), e.alias("edge")))
-                .otherwise(F.struct(done.alias("done"), state["sum"].alias("sum"), state["edge"].alias("edge"))))
+            return let(score, lambda new: let(opened | (new > state["sum"]), lambda better: F.struct(
+                sums.alias("sums"), ways.alias("ways"), F.when(better, new).otherwise(state["sum"]).alias("sum"),
+                F.when(better, e).otherwise(state["edge"]).alias("edge"))))
 
         return let(earlier, reach)
 
-    start = F.struct(F.array().cast("array<struct<sum:double,edge:bigint>>").alias("done"), F.lit(0.0).alias("sum"),
-                     F.lit(0).cast("long").alias("edge"))
-    ways = F.aggregate(F.sort_array(edges), start, forward, lambda s: F.reverse(F.concat(
-        F.transform(s["done"], lambda w: w["edge"]), F.array(s["edge"]))))
+    start = F.struct(F.array().cast("array<double>").alias("sums"), F.array().cast("array<bigint>").alias("ways"),
+                     F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("edge"))
+    ways = F.aggregate(F.sort_array(edges), start, forward,
+                       lambda s: F.reverse(F.concat(s["ways"], F.array(s["edge"]))))
 
     def backward(state, e):
         on = end_of(e) == state["at"]
