@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,19 @@ def bounded_batches(spark: SparkSession, limit: int = 16 << 20) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the jobs that are run inside; those of before come back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def doubles(values: list[float]) -> Column:
     """A constant array of numbers, handed over as one text; the optimizer folds it to a literal."""
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")

@@ -7,8 +7,9 @@ whose pieces' scores add up highest. Characters without a piece become bytes.
 
 Documents do not move through that join word by word. They are read in chunks
 and written as word numbers. Frequent words (a bounded table) have fixed numbers;
-every other word is cut where no piece can reach across, every distinct part is segmented once,
-and its ids go to the chunks that have it.
+every other word is cut where no piece can reach across. A chunk deals its distinct
+parts to buckets by hash, as one compressed list a bucket; a bucket's distinct parts
+are segmented once, and each list's ids go back to its chunk, again as one compressed list.
 """
 
 from __future__ import annotations
@@ -26,12 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paydw.llm.common import bounded_batches, cut, doubles, give_back, let
+from paydw.llm.common import bounded_batches, cut, doubles, give_back, let, settings
 from paydw.llm.token_counts import SPACE, slices
 
 # What the library takes from the lowest score for a character without a piece.
 PENALTY = 10.0
 
+# lists of edges are small: a task keeps many words' lists before it turns to sorting
+EDGE_LISTS = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000"}
+
 
 class Pieces:
     """Piece texts, scores and ids of a model file (unigram or BPE: scores are read alike)."""
@@ -56,6 +60,13 @@ class Pieces:
         # marks that no useful piece has behind a letter part words
         held = {b for p, _, _ in self.edges for a, b in zip(p, p[1:]) if a.isalpha()}
         self.pairs = {a + b for p, _, _ in self.edges for a, b in zip(p, p[1:])}
+        # characters that stand beside others in a useful piece, numbered from 1; all others are 0
+        letters = sorted({c for pair in self.pairs for c in pair})
+        self.kinds = np.zeros(max(map(ord, letters), default=0) + 2, dtype=np.int64)
+        self.kinds[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.beside = np.zeros((len(letters) + 1, len(letters) + 1), dtype=bool)
+        for a, b in self.pairs:
+            self.beside[self.kinds[ord(a)], self.kinds[ord(b)]] = True
         self.marks = "".join(c for c in ".,;:!?" if c not in held)
         # no piece reaches from another character over a space mark, or around the characters ``alone``
         self.pattern = "(?s).+" if joined else \
@@ -88,6 +99,20 @@ class Pieces:
         at = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.pairs]
         return [word[i:j] for i, j in zip([0, *at], [*at, len(word)], strict=True)]
 
+    def parts_of(self, words: list[str]) -> list[list[str]]:
+        """``parts`` of many words; which of them are cut at all is found in one go."""
+        if not words:
+            return []
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        code = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        kind = self.kinds[np.minimum(code, len(self.kinds) - 1)]
+        crossed = np.ones(len(code), dtype=bool)
+        crossed[1:] = self.beside[kind[:-1], kind[1:]]
+        crossed[(np.cumsum(size) - size)[size > 0]] = True  # a word's first character has nothing before it
+        cuts = np.zeros(len(words), dtype=bool)
+        cuts[np.repeat(np.arange(len(words)), size)[~crossed]] = True
+        return [self.parts(w) if c else [w] for w, c in zip(words, cuts.tolist(), strict=True)]
+
     def decode(self, ids: pa.ListArray) -> list[bytes]:
         """The texts of lists of ids: pieces end to end, without the first space mark."""
         size = np.array([len(b) for b in self.bytes], dtype=np.int64)
@@ -176,8 +201,6 @@ def segment(words: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
 
     If words are already dealt by ``word``, edges never move.
     """
-    # lists of edges are small: let a task keep many words' lists before it turns to sorting
-    words.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
     paths = lattice(words, pieces, keys).groupBy(*keys).agg(F.first("word").alias("text"), F.collect_list("edge").alias("edges")) \
         .select(*keys, F.col("text"), viterbi(F.col("edges"), pieces).alias("path"))
     raw = F.lit(pieces.byte_ids)
@@ -194,7 +217,7 @@ def segment(words: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Word numbers, byte by byte of all numbers, compressed."""
+    """Numbers below 2^32, byte by byte of all numbers, compressed."""
     raw = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
     return zstandard.ZstdCompressor(level=3).compress(raw)
 
@@ -204,8 +227,25 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.T).view("<u4").reshape(-1).astype(np.int64)
 
 
-CHUNK = ("chunk long, words array<string>, doc_id array<bigint>, sizes array<bigint>, digests array<string>, "
-         "numbers binary")
+def packed_words(words: pa.StringArray) -> bytes:
+    """A list of words, compressed: how many, the length of each in bytes, then all of them."""
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int32)[words.offset:words.offset + len(words) + 1]
+    body = data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes()
+    head = np.r_[len(words), np.diff(ends)].astype("<u4")
+    return zstandard.ZstdCompressor(level=3).compress(head[:1].tobytes() + head[1:].view(np.uint8).reshape(-1, 4).T.tobytes() + body)
+
+
+def unpacked_words(data: bytes) -> pa.StringArray:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n = int.from_bytes(raw[:4], "little")
+    sizes = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, 4).reshape(4, n).T).view("<u4").reshape(-1)
+    ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+    return pa.StringArray.from_buffers(n, pa.py_buffer(ends), pa.py_buffer(raw[4 + 4 * n:]))
+
+
+CHUNK = ("chunk long, doc_id array<bigint>, sizes array<bigint>, digests array<string>, numbers binary, "
+         "packs array<struct<bucket:int,words:binary>>")
 CUT = "\x1f"  # stands between words while texts are split; texts that hold it are split by the pattern
 
 
@@ -242,8 +282,24 @@ def words_of(texts: list[str], pieces: Pieces) -> tuple[list[str], np.ndarray, n
     return list(index), np.concatenate(pieces_at), sizes
 
 
-def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_chars: int) -> DataFrame:
-    """Documents in chunks: per document its number of words, all word numbers, and the words that ``known`` lacks."""
+def dealt(words: list[str], buckets: int) -> tuple[np.ndarray, list[dict]]:
+    """The place of each word among all in the order of bucket and word, and each bucket's words as one list."""
+    own = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), dtype=np.int64, count=len(words))
+    table = pa.table({"bucket": own, "word": pa.array(words, pa.string())})
+    order = pc.sort_indices(table, [("bucket", "ascending"), ("word", "ascending")])
+    place = np.empty(len(words), dtype=np.int64)
+    place[order.to_numpy()] = np.arange(len(words))
+    ordered, own = table["word"].combine_chunks().take(order), np.sort(own)
+    starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, dtype=np.int64)
+    return place, [{"bucket": int(own[i]), "words": packed_words(ordered.slice(i, j - i))}
+                   for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(own)])]
+
+
+def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_chars: int, buckets: int) -> DataFrame:
+    """Documents in chunks: per document its number of words, all word numbers, and the words that ``known`` lacks, by bucket.
+
+    A chunk's own words have the numbers behind those of ``known``, in the order of bucket and word.
+    """
     def run(batches):
         # small chunk numbers pack well wherever they are shuffled; a retried task gives the same ones
         chunk_numbers = count(TaskContext.get().partitionId() << 24)
@@ -255,27 +311,28 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
             n = known.get(w)
             return local.setdefault(w, base + len(local)) if n is None else n
 
-        def numbered(w):
-            n = known.get(w)
-            if n is not None:
-                return [n]
-            if w not in rare:
-                rare[w] = [number(p) for p in pieces.parts(w)]
-            return rare[w]
+        def numbered(words):
+            new = [w for w in words if w not in known and w not in rare]
+            for w, cut_up in zip(new, pieces.parts_of(new), strict=True):
+                rare[w] = [number(p) for p in cut_up]
+            return [rare[w] if n is None else [n] for w, n in zip(words, map(known.get, words), strict=True)]
 
         def chunk():
-            columns = [[next(chunk_numbers)], [list(local)], [ids], [np.concatenate(sizes)], [digests],
-                       [packed(np.concatenate(numbers))]]
-            types = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()),
-                     pa.list_(pa.string()), pa.binary()]
+            place, packs = dealt(list(local), buckets)
+            all_numbers = np.concatenate(numbers)
+            own = all_numbers >= len(known)
+            all_numbers[own] = place[all_numbers[own] - len(known)] + len(known)
+            columns = [[next(chunk_numbers)], [ids], [np.concatenate(sizes)], [digests], [packed(all_numbers)], [packs]]
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string()), pa.binary(),
+                     pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary())]))]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                                              names=["chunk", "words", "doc_id", "sizes", "digests", "numbers"])
+                                              names=["chunk", "doc_id", "sizes", "digests", "numbers", "packs"])
 
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             for i, j in slices(texts, min(chunk_chars, 500_000)):
                 distinct, at, counts = words_of(texts[i:j], pieces)
-                lists = [numbered(w) for w in distinct]
+                lists = numbered(distinct)
                 n = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
                 flat = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(n.sum()))
                 ends = np.r_[0, np.cumsum(n[at])]
@@ -300,12 +357,12 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
     return docs.mapInArrow(run, CHUNK)
 
 
-def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int, longest: int = 32) -> DataFrame:
-    """At most ``most`` words and parts of words, of at most ``longest`` characters, the commonest of a bounded sample of ``docs``.
+def frequent_words(docs: DataFrame, pieces: Pieces, total: int, most: int, sample_chars: int, longest: int = 32) -> DataFrame:
+    """At most ``most`` words and parts of words, of at most ``longest`` characters, the commonest of a bounded sample of ``docs``,
+    which have ``total`` bytes of text.
 
     Which words these are decides where a word is segmented, not how.
     """
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     unit = F.pmod(F.xxhash64(F.lit("words"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     few = docs.where(unit < sample_chars / max(total, 1))
 
@@ -316,8 +373,7 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
                 distinct, at, _ = words_of(texts[i:j], pieces)
                 n = np.bincount(at, minlength=len(distinct)).tolist()
                 both = list(zip(distinct, n, strict=True))
-                for w, k in zip(distinct, n, strict=True):
-                    cut_up = pieces.parts(w)
+                for k, cut_up in zip(n, pieces.parts_of(distinct), strict=True):
                     both += [(p, k) for p in cut_up] if len(cut_up) > 1 else []
                 yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in both], pa.string()),
                                                   pa.array([k for _, k in both], pa.int64())], names=["word", "n"])
@@ -328,7 +384,8 @@ def frequent_words(docs: DataFrame, pieces: Pieces, most: int, sample_chars: int
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 17,
-           sample_chars: int = 48_000_000, chunk_chars: int = 4_000_000, finish=None, more: str = "") -> DataFrame:
+           sample_chars: int = 48_000_000, chunk_chars: int = 4_000_000, part_chars: int = 16_000_000,
+           max_parts: int = 1 << 16, finish=None, more: str = "") -> DataFrame:
     """``doc_id, ids, text_sha256`` for every row of ``docs``: piece ids of the best segmentation.
 
     ``finish(table, pieces)`` turns each chunk's rows into those of the schema
@@ -337,35 +394,58 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     other columns are ignored. A task holds one chunk: about ``chunk_chars``
     characters' word numbers and parts of words, or one longer text's. ``most`` bounds
     the table of frequent words that goes to every task (``most`` words of at
-    most 32 characters, with their ids). Folding a part takes time that grows
-    with the square of its length, so runs of over about 10,000 characters in
-    which any two neighbours are side by side in some piece are slow.
+    most 32 characters, with their ids). Other parts go to four buckets for each
+    ``part_chars`` of text (beyond ``max_parts`` partitions buckets grow, by the
+    parts that each chunk has once); one task holds one bucket's lists. A run in which
+    any two neighbours are side by side in some piece is one part, whose edges
+    are one array: about 16 numbers a character.
     """
     spark = docs.sparkSession
     bounded_batches(spark, 2 << 20)
     pieces = Pieces(model)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    common = frequent_words(narrow, pieces, most, sample_chars).repartition("word")
-    often = cut(segment(common, pieces, ["word", "n"]), "frequent").toArrow() \
-        .sort_by([("n", "descending"), ("word", "ascending")])  # small numbers for common words pack best
+    total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    common = frequent_words(narrow, pieces, total, most, sample_chars).repartition("word")
+    with settings(spark, EDGE_LISTS):
+        often = cut(segment(common, pieces, ["word", "n"]), "frequent").toArrow() \
+            .sort_by([("n", "descending"), ("word", "ascending")])  # small numbers for common words pack best
     known = dict(zip(often["word"].to_pylist(), range(len(often)), strict=True))
     counts, flat = ragged(often["ids"])
 
-    chunks = cut(chunks_of(narrow, pieces, known, chunk_chars), "chunks")
-    rare = chunks.select(F.col("chunk").alias("of"), F.posexplode("words").alias("number", "word")) \
-        .groupBy("word").agg(F.collect_list(F.struct("of", "number")).alias("refs"))
-    # both sides stand on the same exchange by word
-    found = segment(rare.where(F.size("refs") > 0), pieces, ["word"]).join(rare, "word") \
-        .select("ids", F.explode("refs").alias("ref")).select("ref.of", "ref.number", "ids")
+    parts = min(max_parts, max(1, -(-total // part_chars)))
+    chunks = cut(chunks_of(narrow, pieces, known, chunk_chars, 4 * parts), "chunks")
+    lists = chunks.select(F.col("chunk").alias("of"), F.explode("packs").alias("pack")) \
+        .select("pack.bucket", "of", "pack.words").repartition(parts, "bucket")
+
+    def distinct(own: pa.Table) -> pa.Table:
+        words = pc.unique(pa.chunked_array([unpacked_words(w) for w in own["words"].to_pylist()], pa.string()))
+        return pa.table({"bucket": pa.array(np.full(len(words), own["bucket"][0].as_py()), pa.int32()), "word": words})
+
+    def answer(own: pa.Table, found: pa.Table) -> pa.Table:
+        words, out = found["word"].combine_chunks(), []
+        some, ids = ragged(found["ids"])
+        first = np.cumsum(some) - some
+        for data in own["words"].to_pylist():
+            at = pc.index_in(unpacked_words(data), words).to_numpy()
+            n = some[at]
+            ends = np.r_[0, np.cumsum(n)]
+            out.append(packed(np.r_[len(n), n, ids[np.repeat(first[at] - ends[:-1], n) + np.arange(ends[-1])]]))
+        return pa.table({"of": own["of"], "bucket": own["bucket"], "ids": pa.array(out, pa.binary())})
+
+    # words stand by bucket from here on: edges never move, and the lists meet them on the same exchange
+    words = lists.groupBy("bucket").applyInArrow(distinct, "bucket int, word string").repartition(parts, "bucket")
+    with settings(spark, EDGE_LISTS):
+        found = cut(lists.groupBy("bucket").cogroup(segment(words, pieces, ["bucket", "word"]).groupBy("bucket"))
+                    .applyInArrow(answer, "of long, bucket int, ids binary"), "parts")
 
     def join(own: pa.Table, rest: pa.Table) -> pa.Table:
         if not len(own):
             return done(pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32())),
                                   "text_sha256": pa.array([], pa.string())}))
-        rest = rest.sort_by("number")
-        more, tail = ragged(rest["ids"])
-        all_counts, all_ids = np.concatenate([counts, more]), np.concatenate([flat, tail])
+        back = [unpacked(data) for data in rest.sort_by("bucket")["ids"].to_pylist()]  # the order of the chunk's words
+        all_counts = np.concatenate([counts, *[b[1:1 + b[0]] for b in back]])
+        all_ids = np.concatenate([flat, *[b[1 + b[0]:] for b in back]])
         first = np.cumsum(all_counts) - all_counts
         at = unpacked(own["numbers"][0].as_py())
         ends = np.r_[0, np.cumsum(all_counts[at])]

@@ -228,6 +228,27 @@ def test_parts_of_words_are_cut_where_no_piece_reaches_across(unigram):
                     if word[i:j] in useful and any(i < c < j for c in cuts)]
         assert not crossing
     assert len(pieces.parts("qxqzqx" * 5)) > 1
+    words = ["", "x", "", "naïve", "日本語😀x", *("".join(rng.choice("abeqxz59é%▁日😀") for _ in range(n)) for n in range(40)), ""]
+    assert pieces.parts_of(words) == [pieces.parts(w) or [""] for w in words] and pieces.parts_of([]) == []
+
+
+def test_lists_of_words_come_back_by_bucket():
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("ab\né日😀 ") for _ in range(rng.randint(1, 9))) for _ in range(500)}, key=lambda w: rng.random())
+    place, packs = piece_lattice.dealt(words, 7)
+    back = [w for p in packs for w in piece_lattice.unpacked_words(p["words"]).to_pylist()]
+    assert [back[i] for i in place.tolist()] == words and len({p["bucket"] for p in packs}) == len(packs) == 7
+    place, packs = piece_lattice.dealt([], 7)
+    assert len(place) == 0 and packs == []
+
+
+def test_lattice_of_one_long_run(spark, unigram):
+    path, library = unigram
+    text = "the" * 3000  # no two neighbours part here: one word of 9,000 characters
+    before = spark.conf.get("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", None)
+    out = piece_lattice.encode(docs(spark, [text, "the " * 50]), path, most=2).collect()
+    assert {r.doc_id: list(r.ids) for r in out} == {0: library.encode(text), 1: library.encode("the " * 50)}
+    assert spark.conf.get("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", None) == before
 
 
 def test_pieces_round_trip(spark):
