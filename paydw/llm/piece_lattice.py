@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from itertools import chain, count
+from itertools import chain, count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -99,19 +99,24 @@ class Pieces:
         at = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.pairs]
         return [word[i:j] for i, j in zip([0, *at], [*at, len(word)], strict=True)]
 
-    def parts_of(self, words: list[str]) -> list[list[str]]:
-        """``parts`` of many words; which of them are cut at all is found in one go."""
-        if not words:
-            return []
+    def parts_of(self, words: list[str]) -> list[list[str] | None]:
+        """``parts`` of many words, whose cuts are found in one go; None for a word that stays whole."""
+        found: list[list[str] | None] = [None] * len(words)
         size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        code = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        code = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
         kind = self.kinds[np.minimum(code, len(self.kinds) - 1)]
-        crossed = np.ones(len(code), dtype=bool)
-        crossed[1:] = self.beside[kind[:-1], kind[1:]]
-        crossed[(np.cumsum(size) - size)[size > 0]] = True  # a word's first character has nothing before it
-        cuts = np.zeros(len(words), dtype=bool)
-        cuts[np.repeat(np.arange(len(words)), size)[~crossed]] = True
-        return [self.parts(w) if c else [w] for w, c in zip(words, cuts.tolist(), strict=True)]
+        start = np.cumsum(size) - size
+        apart = np.zeros(len(code), dtype=bool)
+        apart[1:] = ~self.beside[kind[:-1], kind[1:]]
+        apart[start[size > 0]] = False  # a word's first character has nothing before it
+        at = np.flatnonzero(apart)
+        owner = np.repeat(np.arange(len(words)), size)[at]
+        cut_up, first = np.unique(owner, return_index=True)
+        places, ends = (at - start[owner]).tolist(), [*first[1:].tolist(), len(at)]
+        for k, i, j in zip(cut_up.tolist(), first.tolist(), ends):
+            w, cuts = words[k], places[i:j]
+            found[k] = [w[x:y] for x, y in zip([0, *cuts], [*cuts, None])]
+        return found
 
     def decode(self, ids: pa.ListArray) -> list[bytes]:
         """The texts of lists of ids: pieces end to end, without the first space mark."""
@@ -244,7 +249,7 @@ def unpacked_words(data: bytes) -> pa.StringArray:
     return pa.StringArray.from_buffers(n, pa.py_buffer(ends), pa.py_buffer(raw[4 + 4 * n:]))
 
 
-CHUNK = ("chunk long, doc_id array<bigint>, sizes array<bigint>, digests array<string>, numbers binary, "
+CHUNK = ("chunk long, doc_id array<bigint>, sizes array<bigint>, digests binary, numbers binary, "
          "packs array<struct<bucket:int,words:binary>>")
 CUT = "\x1f"  # stands between words while texts are split; texts that hold it are split by the pattern
 
@@ -269,7 +274,7 @@ def words_of(texts: list[str], pieces: Pieces) -> tuple[list[str], np.ndarray, n
     filled = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
     ends = np.r_[0, np.cumsum(filled)][fast.offsets.to_numpy()]
     coded = flat.filter(pa.array(filled)).dictionary_encode()
-    distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    distinct, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
     slow = [i for i, x in enumerate(lists) if not isinstance(x, str)]
     if not slow:
         return distinct, at, np.diff(ends)
@@ -304,7 +309,7 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
         # small chunk numbers pack well wherever they are shuffled; a retried task gives the same ones
         chunk_numbers = count(TaskContext.get().partitionId() << 24)
         local: dict[str, int] = {}
-        rare: dict[str, list[int]] = {}
+        rare: dict[str, list[int]] = {}  # words that are cut
         ids, sizes, digests, numbers, chars = [], [], [], [], 0
 
         def number(w, base=len(known)):
@@ -312,18 +317,32 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
             return local.setdefault(w, base + len(local)) if n is None else n
 
         def numbered(words):
-            new = [w for w in words if w not in known and w not in rare]
+            """The numbers of all words end to end, and how many each word has."""
+            at = np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+            n = np.ones(len(words), dtype=np.int64)
+            other = np.flatnonzero(at < 0)
+            unknown = [words[i] for i in other.tolist()]
+            at[other] = np.fromiter(map(local.get, unknown, repeat(-1)), dtype=np.int64, count=len(unknown))
+            other = other[at[other] < 0]
+            new = [w for w in (words[i] for i in other.tolist()) if w not in rare]
             for w, cut_up in zip(new, pieces.parts_of(new), strict=True):
-                rare[w] = [number(p) for p in cut_up]
-            return [rare[w] if n is None else [n] for w, n in zip(words, map(known.get, words), strict=True)]
+                if cut_up:
+                    rare[w] = list(map(number, cut_up))
+                else:
+                    number(w)
+            lists = [rare.get(words[i]) or [local[words[i]]] for i in other.tolist()]
+            n[other] = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+            flat = np.repeat(at, n)
+            flat[flat < 0] = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(n[other].sum()))
+            return flat, n
 
         def chunk():
             place, packs = dealt(list(local), buckets)
             all_numbers = np.concatenate(numbers)
             own = all_numbers >= len(known)
             all_numbers[own] = place[all_numbers[own] - len(known)] + len(known)
-            columns = [[next(chunk_numbers)], [ids], [np.concatenate(sizes)], [digests], [packed(all_numbers)], [packs]]
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string()), pa.binary(),
+            columns = [[next(chunk_numbers)], [ids], [np.concatenate(sizes)], [b"".join(digests)], [packed(all_numbers)], [packs]]
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(),
                      pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary())]))]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                                               names=["chunk", "doc_id", "sizes", "digests", "numbers", "packs"])
@@ -332,14 +351,12 @@ def chunks_of(docs: DataFrame, pieces: Pieces, known: dict[str, int], chunk_char
             texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             for i, j in slices(texts, min(chunk_chars, 500_000)):
                 distinct, at, counts = words_of(texts[i:j], pieces)
-                lists = numbered(distinct)
-                n = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-                flat = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(n.sum()))
+                flat, n = numbered(distinct)
                 ends = np.r_[0, np.cumsum(n[at])]
                 numbers.append(flat[np.repeat((np.cumsum(n) - n)[at] - ends[:-1], n[at]) + np.arange(ends[-1])])
                 ids += keys[i:j]
                 sizes.append(np.diff(ends[np.r_[0, np.cumsum(counts)]]))
-                digests += [hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for t in texts[i:j]]
+                digests += [hashlib.sha256(t.encode("utf-8", "replace")).digest() for t in texts[i:j]]
                 chars += sum(map(len, texts[i:j]))
                 if chars >= chunk_chars:
                     yield chunk()
@@ -374,7 +391,7 @@ def frequent_words(docs: DataFrame, pieces: Pieces, total: int, most: int, sampl
                 n = np.bincount(at, minlength=len(distinct)).tolist()
                 both = list(zip(distinct, n, strict=True))
                 for k, cut_up in zip(n, pieces.parts_of(distinct), strict=True):
-                    both += [(p, k) for p in cut_up] if len(cut_up) > 1 else []
+                    both += [(p, k) for p in cut_up or ()]
                 yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in both], pa.string()),
                                                   pa.array([k for _, k in both], pa.int64())], names=["word", "n"])
         give_back()
@@ -384,7 +401,7 @@ def frequent_words(docs: DataFrame, pieces: Pieces, total: int, most: int, sampl
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 17,
-           sample_chars: int = 48_000_000, chunk_chars: int = 4_000_000, part_chars: int = 16_000_000,
+           sample_chars: int = 48_000_000, chunk_chars: int = 5_000_000, part_chars: int = 16_000_000,
            max_parts: int = 1 << 16, finish=None, more: str = "") -> DataFrame:
     """``doc_id, ids, text_sha256`` for every row of ``docs``: piece ids of the best segmentation.
 
@@ -452,9 +469,10 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         ids = all_ids[np.repeat(first[at] - ends[:-1], all_counts[at]) + np.arange(ends[-1])]
         sizes = own["sizes"][0].values.to_numpy()
         last = ends[np.r_[0, np.cumsum(sizes)]].astype(np.int32)
+        digests = own["digests"][0].as_py().hex()
         return done(pa.table({"doc_id": own["doc_id"][0].values,
                               "ids": pa.ListArray.from_arrays(pa.array(last), pa.array(ids, pa.int32())),
-                              "text_sha256": own["digests"][0].values}))
+                              "text_sha256": pa.array([digests[i:i + 64] for i in range(0, len(digests), 64)], pa.string())}))
 
     def done(rows: pa.Table) -> pa.Table:
         rows = finish(rows, pieces) if finish else rows
