@@ -437,7 +437,10 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
     def distinct(own: pa.Table) -> pa.Table:
         words = pc.unique(pa.chunked_array([unpacked_words(w) for w in own["words"].to_pylist()], pa.string()))
-        return pa.table({"bucket": pa.array(np.full(len(words), own["bucket"][0].as_py()), pa.int32()), "word": words})
+        words = words.take(pc.sort_indices(words))  # alike words side by side, many in a row, pack well on their way
+        ends = pa.array([*range(0, len(words), 4096), len(words)], pa.int32())
+        return pa.table({"bucket": pa.array([own["bucket"][0].as_py()] * (len(ends) - 1), pa.int32()),
+                         "words": pa.ListArray.from_arrays(ends, words)})
 
     def answer(own: pa.Table, found: pa.Table) -> pa.Table:
         words, out = found["word"].combine_chunks(), []
@@ -451,7 +454,8 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         return pa.table({"of": own["of"], "bucket": own["bucket"], "ids": pa.array(out, pa.binary())})
 
     # words stand by bucket from here on: edges never move, and the lists meet them on the same exchange
-    words = lists.groupBy("bucket").applyInArrow(distinct, "bucket int, word string").repartition(parts, "bucket")
+    words = lists.groupBy("bucket").applyInArrow(distinct, "bucket int, words array<string>").repartition(parts, "bucket") \
+        .select("bucket", F.explode("words").alias("word"))
     with settings(spark, EDGE_LISTS):
         found = cut(lists.groupBy("bucket").cogroup(segment(words, pieces, ["bucket", "word"]).groupBy("bucket"))
                     .applyInArrow(answer, "of long, bucket int, ids binary"), "parts")
