@@ -66,8 +66,11 @@ def new_rows(source: DataFrame, target: DataFrame | None, keys: list[str] | tupl
 
 def insert_only_merge(source: DataFrame, target_path: str, keys, *,
                       partition_by: str | None = None, sort_by: list[str] | None = None,
-                      prune_on: str | None = None) -> None:
-    """Append the rows of ``source`` whose key is new to the parquet table at ``target_path``."""
+                      prune_on: str | None = None, laid_out: bool = False) -> None:
+    """Append the rows of ``source`` whose key is new to the parquet table at ``target_path``.
+
+    ``laid_out`` is that of ``append``; it holds where there is no target to join with yet.
+    """
     spark = source.sparkSession
     target = read_table(spark, target_path)
     cached = None
@@ -77,24 +80,28 @@ def insert_only_merge(source: DataFrame, target_path: str, keys, *,
         # executor's blocks are recomputed from lineage
         cached = source = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        append(new_rows(source, target, keys, prune_on=prune_on), target_path, target, partition_by, sort_by)
+        append(new_rows(source, target, keys, prune_on=prune_on), target_path, target, partition_by, sort_by,
+               laid_out=laid_out and target is None)
     finally:
         if cached is not None:
             cached.unpersist()
 
 
 def append(rows: DataFrame, target_path: str, target: DataFrame | None = None,
-           partition_by: str | None = None, sort_by: list[str] | None = None) -> None:
+           partition_by: str | None = None, sort_by: list[str] | None = None, laid_out: bool = False) -> None:
     """Append ``rows`` to the table at ``target_path``, in the types of ``target`` if it is there.
 
     A partitioned table's files follow the bytes of a partition: ``rebalance``
     lets adaptive execution split a large partition (also one that a single
     client fills) and put small ones together, whatever the cluster's size.
+    Rows that are ``laid_out`` already lie together by partition and are not moved again.
     """
     if target is not None:
         rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
     if partition_by:
-        rows = rows.hint("rebalance", F.col(partition_by)).sortWithinPartitions(partition_by, *(sort_by or []))
+        if not laid_out:
+            rows = rows.hint("rebalance", F.col(partition_by))
+        rows = rows.sortWithinPartitions(partition_by, *(sort_by or []))
     writer = rows.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(partition_by)

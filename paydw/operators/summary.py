@@ -5,9 +5,10 @@ is combined inside each map task before the shuffle, so the shuffle carries
 at most one row per group per task.
 
 The same aggregate in two steps: ``partial_summary`` gives counts and decimal
-sums that can be added up in any order, ``merged_summary`` adds them up and
-turns sums into DOUBLE once. A run's partial rows stand for its transactions,
-so late ones change a day without another look at the fact table.
+sums by group and type, which can be added up in any order; ``merged_summary``
+adds them up and turns sums into DOUBLE once. A run's partial rows stand for its
+transactions, so late ones change a day without another look at the fact table.
+They are narrow (one count and one sum a row), as most groups have one type.
 """
 
 from __future__ import annotations
@@ -41,19 +42,19 @@ def daily_summary(fact: DataFrame, group: tuple[str, ...] = SUMMARY_GROUP) -> Da
 
 
 def partial_summary(fact: DataFrame, group: tuple[str, ...] = SUMMARY_GROUP) -> DataFrame:
-    """Counts and exact sums per group, to be added up with those of other runs."""
-    t, v = F.col("tipo_transacao"), amount("valor_transacao")
-    none = F.lit(0).cast(AMOUNT_TYPE)
-    return fact.groupBy(*group).agg(
-        F.count("id_cliente").alias("quantidade_movimentacoes"),
-        *[F.count_if(t == typ).alias(f"quantidade_{typ}") for typ in SUMMARY_TYPE_ORDER],
-        F.sum(v).alias("total_movimentacao"),
-        *[F.sum(F.when(t == typ, v).otherwise(none)).alias(f"total_{typ}") for typ in SUMMARY_TYPE_ORDER])
+    """Count and exact sum per group and type, to be added up with those of other runs."""
+    return fact.groupBy(*group, "tipo_transacao").agg(
+        F.count(F.lit(1)).alias("quantidade"), F.sum(amount("valor_transacao")).alias("total"))
 
 
 def merged_summary(partials: DataFrame, group: tuple[str, ...] = SUMMARY_GROUP) -> DataFrame:
     """``daily_summary`` of all the transactions that ``partials`` stand for."""
-    names = ("movimentacoes", *SUMMARY_TYPE_ORDER)
+    t, none = F.col("tipo_transacao"), F.lit(0).cast(AMOUNT_TYPE)
+    named = F.col("id_cliente").isNotNull()  # a row without a client is not counted
     return partials.groupBy(*group).agg(
-        *[F.sum(f"quantidade_{n}").cast("int").alias(f"quantidade_{n}") for n in names],
-        *[as_double(F.sum(f"total_{n}")).alias(f"total_{n}") for n in ("movimentacao", *SUMMARY_TYPE_ORDER)])
+        F.sum(F.when(named, F.col("quantidade")).otherwise(0)).cast("int").alias("quantidade_movimentacoes"),
+        *[F.sum(F.when(t == typ, F.col("quantidade")).otherwise(0)).cast("int").alias(f"quantidade_{typ}")
+          for typ in SUMMARY_TYPE_ORDER],
+        as_double(F.sum("total")).alias("total_movimentacao"),
+        *[as_double(F.sum(F.when(t == typ, F.col("total")).otherwise(none))).alias(f"total_{typ}")
+          for typ in SUMMARY_TYPE_ORDER])

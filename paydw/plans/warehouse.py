@@ -51,7 +51,7 @@ from paydw.operators.contracts import resolve_contract
 from paydw.operators.key_index import KeyIndex
 from paydw.operators.merge import append, insert_only_merge, new_rows, read_table
 from paydw.operators.skew import hot_keys
-from paydw.operators.summary import merged_summary, partial_summary
+from paydw.operators.summary import SUMMARY_GROUP, merged_summary, partial_summary
 from paydw.plans.runs import Runs
 from paydw.schemas import (DIM_CLIENTES, DIM_CONTRATOS, DIM_TEMPO, FACT_TRANSACOES, FACT_TRANSACOES_DIA, KEYS,
                            MONTH_PARTITION, STAGING_TRANSACOES)
@@ -66,7 +66,9 @@ TABLES = {"dim_clientes": DIM_CLIENTES, "dim_contratos": DIM_CONTRATOS, "dim_tem
           "fact_transacoes_dia": StructType([*FACT_TRANSACOES_DIA.fields, _MONTH])}
 WAITING_BUCKETS = 64
 # Bump when the ETL output changes so cached warehouses are rebuilt.
-WAREHOUSE_VERSION = "5"
+WAREHOUSE_VERSION = "6"
+# Summary rows that a task adds up and sorts, whatever the length of the history.
+SUMMARY_ROWS = 500_000
 
 
 def at_once(*steps) -> None:
@@ -250,8 +252,9 @@ class Warehouse:
 
         def partials():
             if n["new"]:
+                # the aggregate's own exchange deals the rows to files
                 self._put(partial_summary(new).withColumn(MONTH_PARTITION, month_ref(F.col("data_movimentacao"))),
-                          "resumo_parcial", run, MONTH_PARTITION, "data_movimentacao")
+                          "resumo_parcial", run, MONTH_PARTITION, "data_movimentacao", dealt=True)
 
         def waits():
             if n["waits"]:
@@ -266,13 +269,15 @@ class Warehouse:
 
         at_once(facts, partials, waits)
 
-    def _put(self, rows: DataFrame, name: str, run: int, *order: str) -> None:
+    def _put(self, rows: DataFrame, name: str, run: int, *order: str, dealt: bool = False) -> None:
         """A run's rows of a table of state, in place of what a broken attempt wrote.
 
         Sorted by the columns that readers filter by, so row groups are skipped
-        by their statistics; files follow the bytes.
+        by their statistics; files follow the bytes. Rows that an exchange has
+        just ``dealt`` are not moved again.
         """
-        rows.hint("rebalance", F.col(order[0])).sortWithinPartitions(*order).write.mode("overwrite") \
+        rows = rows if dealt else rows.hint("rebalance", F.col(order[0]))
+        rows.sortWithinPartitions(*order).write.mode("overwrite") \
             .option("parquet.block.size", str(16 << 20)).parquet(f"{self.path}/{name}/run={run}")
 
     def _not_in_fact(self, rows: DataFrame) -> DataFrame:
@@ -300,10 +305,9 @@ class Warehouse:
     def _partials(self) -> DataFrame | None:
         if not has_data(self.spark, f"{self.path}/resumo_parcial"):
             return None
-        counts = [f.name for f in FACT_TRANSACOES_DIA.fields[3:7]]
-        sums = [f.name for f in FACT_TRANSACOES_DIA.fields[7:]]
-        schema = StructType([*FACT_TRANSACOES_DIA.fields[:3], *[StructField(c, LongType()) for c in counts],
-                             *[StructField(c, DecimalType(38, 10)) for c in sums], _MONTH, StructField("run", LongType())])
+        schema = StructType([*FACT_TRANSACOES_DIA.fields[:3], StructField("tipo_transacao", StringType()),
+                             StructField("quantidade", LongType()), StructField("total", DecimalType(38, 10)),
+                             _MONTH, StructField("run", LongType())])
         return self.spark.read.schema(schema).parquet(f"{self.path}/resumo_parcial")
 
     def summarize_closed(self, process_date, touched: DataFrame, late: str = "recompute") -> None:
@@ -340,14 +344,25 @@ class Warehouse:
             partials = partials.where((month <= month_of(before)) & (d < F.lit(str(before)).cast("date")))
         target, layout = f"{self.path}/fact_transacoes_dia", {
             "partition_by": MONTH_PARTITION, "sort_by": ["id_cliente", "data_movimentacao"]}
+        layout["laid_out"] = True
         if closing:  # days that the summary does not have: nothing to compare with
             append(self._summary(partials), target, **layout)
         else:
             insert_only_merge(self._summary(partials), target, KEYS["fact_transacoes_dia"], prune_on=MONTH_PARTITION, **layout)
 
     def _summary(self, partials: DataFrame) -> DataFrame:
-        return merged_summary(partials).select(*[F.col(f.name).cast(f.dataType) for f in FACT_TRANSACOES_DIA.fields],
-                                               month_ref(F.col("data_movimentacao")).alias(MONTH_PARTITION))
+        """Summary rows of ``partials``, laid out by month and client.
+
+        The narrow rows move once, to the task that adds them up and writes
+        them: a range of months and clients holds whole groups. A run has
+        at most one row a group and type, so no client makes a range long.
+        """
+        return merged_summary(self._laid_out(partials), (MONTH_PARTITION, *SUMMARY_GROUP)) \
+            .select(*[F.col(f.name).cast(f.dataType) for f in FACT_TRANSACOES_DIA.fields], MONTH_PARTITION)
+
+    def _laid_out(self, rows: DataFrame) -> DataFrame:
+        """``rows`` in ranges of month and client of about ``SUMMARY_ROWS`` rows."""
+        return rows.repartitionByRange(max(1, -(-rows.count() // SUMMARY_ROWS)), MONTH_PARTITION, "id_cliente")
 
     def recompute_summary(self, days: list) -> None:
         """Late rows (Q17): new sums for ``days``, from the partial sums of these days.
@@ -366,7 +381,7 @@ class Warehouse:
         names = TABLES["fact_transacoes_dia"].fieldNames()
         new = self._summary(partials.where(months).join(late, "data_movimentacao", "left_semi"))
         others = self.table("fact_transacoes_dia").where(months).join(late, "data_movimentacao", "left_anti")
-        new.select(*names).unionByName(others.select(*names)).hint("rebalance", F.col(MONTH_PARTITION)) \
+        new.select(*names).unionByName(self._laid_out(others).select(*names)) \
             .sortWithinPartitions(MONTH_PARTITION, "id_cliente", "data_movimentacao") \
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(MONTH_PARTITION).parquet(f"{self.path}/fact_transacoes_dia")

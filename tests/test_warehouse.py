@@ -2,8 +2,11 @@
 
 import datetime as dt
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from paydw.operators.summary import daily_summary, merged_summary, partial_summary
+from paydw.plans import warehouse
 from paydw.plans.warehouse import Warehouse
 from paydw.sources.calendar import calendar
 from paydw.sources.driver import Staging, staging_from_sf
@@ -110,3 +113,38 @@ def test_etl_with_a_hot_client_equals_plain_resolution(spark, scratch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
     assert sorted(map(tuple, wh.fact_dia.drop("mes_ref").collect())) == \
         sorted(map(tuple, daily_summary(want).collect()))
+
+
+def test_partial_sums_and_summary_move_their_rows_once(spark, scratch, monkeypatch):
+    written, write = {}, DataFrameWriter.parquet
+
+    def noted(self, path, *a, **k):
+        written[path] = self._df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+        write(self, path, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    monkeypatch.setattr(warehouse, "SUMMARY_ROWS", 3)  # several ranges
+    st = staging_from_sf(spark, "/root/testdata/sf0.001")
+    st = Staging(st.clientes, st.contratos, st.transacoes.limit(40))
+    wh = Warehouse(spark, scratch)
+    wh.run_interval(st, end_date="last")
+    moved = {p.removeprefix(f"{scratch}/").split("/")[0]: n for p, n in written.items()}
+    assert moved["resumo_parcial"] == 1 and moved["fact_transacoes_dia"] == 1
+    want = daily_summary(wh.fact).collect()
+    assert want and sorted(map(tuple, want)) == sorted(tuple(r)[:-1] for r in wh.fact_dia.collect())
+    wh.recompute_summary([r.data_movimentacao for r in want[:5]])
+    assert sorted(map(tuple, want)) == sorted(tuple(r)[:-1] for r in wh.fact_dia.collect())
+
+
+def test_sums_of_a_type_without_a_value(spark):
+    """Narrow partial sums keep what is null: rows without a type, a value or a client."""
+    rows = [(1, 1, "payin", None), (1, 1, "payout", 2.0), (1, 2, "payin", None), (1, 3, None, 4.0), (1, 3, "x", 1.0),
+            (None, 4, "boleto", 8.0), (1, 5, "boleto", None), (1, 5, "boleto", 3.0)]
+    fact = spark.createDataFrame([(c, dt.date(2024, 1, d), 9, t, v) for c, d, t, v in rows],
+                                 "id_cliente long, data_movimentacao date, id_contrato long, tipo_transacao string, valor_transacao double")
+    parts = partial_summary(fact.where("data_movimentacao < '2024-01-05'")).union(
+        partial_summary(fact.where("valor_transacao is null and data_movimentacao > '2024-01-04'"))).union(
+        partial_summary(fact.where("valor_transacao = 3")))
+    key = lambda r: str(r[:3])
+    assert parts.columns[-2:] == ["quantidade", "total"]
+    assert sorted(map(tuple, merged_summary(parts).collect()), key=key) == sorted(map(tuple, daily_summary(fact).collect()), key=key)
