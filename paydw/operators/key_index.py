@@ -5,7 +5,7 @@ index is a narrow Parquet table of the key columns: dealt to files by a hash
 bucket of the key, sorted by bucket and key within a file, in small row groups
 with a Bloom filter on the leading key. Ids need not grow with time.
 
-* A small batch (at most ``lookup_most`` keys a bucket) reads its buckets with
+* A small batch (at most ``lookup_most`` rows a bucket) reads its buckets with
   the ids themselves as a pushed filter: a row group is opened only if its
   minimum, maximum and Bloom filter leave an id possible.
 * A larger batch joins its buckets' keys, without the target's other columns.
@@ -75,21 +75,21 @@ class KeyIndex:
     def matched(self, batch: DataFrame) -> DataFrame | None:
         """The distinct keys of ``batch`` that the index holds; None if there is none.
 
-        One job counts the batch's keys by bucket (at most ``buckets`` rows);
+        One job counts the batch's rows by bucket (at most ``buckets`` rows);
         only if every count is small are the keys themselves (at most
         ``buckets * lookup_most``) brought to the driver, to be pushed to the scan.
         """
         stored = self.stored()
         if stored is None:
             return None
-        keys = batch.where(self.not_null()).select(*[F.col(k).cast("long") for k in self.keys]).distinct() \
+        keys = batch.where(self.not_null()).select(*[F.col(k).cast("long") for k in self.keys]) \
             .withColumn(BUCKET, self.bucket())
         lead = self.keys[0]
         counts = keys.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n"), F.min(lead).alias("lo"), F.max(lead).alias("hi")).collect()
         if not counts:
             return None
         if max(r["n"] for r in counts) <= self.lookup_most:
-            return self.looked_up(stored, [tuple(r) for r in keys.collect()])
+            return self.looked_up(stored, [tuple(r) for r in keys.distinct().collect()])
         within = F.col(lead).between(min(r["lo"] for r in counts), max(r["hi"] for r in counts))
         near = stored.where(F.col(BUCKET).isin([r[BUCKET] for r in counts]) & within)
         return near.select(BUCKET, *self.keys).join(keys, [BUCKET, *self.keys], "left_semi").select(*self.keys)
